@@ -132,3 +132,69 @@ QUERIES["order_features"] = with_views(
 
 QUERIES["merge_features"] = with_views(
     f"ev AS ({_EV}), od AS ({_OD})\n" + _features(_EV_TRIPLES + "\n UNION ALL " + _OD_TRIPLES, "2001-08-01"))
+
+# ---- PL4 preference lists ------------------------------------------------------------
+
+def _favor(feature: str, output: str, extra: str = "") -> str:
+    return with_views(f"""
+cnt AS (SELECT sid, {feature} AS feature_name, CAST(count(*) AS DOUBLE) AS value FROM fx_behavior
+  WHERE {valid_sql('sid')} AND day BETWEEN '2024-01-10' AND '2024-01-20' AND {valid_sql(feature)} {extra}
+  GROUP BY 1, 2),
+rk AS (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY value DESC, feature_name ASC) AS rn FROM cnt)
+SELECT sid, '{output}' AS feature_name,
+  CAST(json_object('1', coalesce(max(CASE WHEN rn = 1 THEN feature_name END), ''),
+                   '2', coalesce(max(CASE WHEN rn = 2 THEN feature_name END), ''),
+                   '3', coalesce(max(CASE WHEN rn = 3 THEN feature_name END), '')) AS VARCHAR) AS value,
+  '2024-01-20' AS dt
+FROM rk WHERE rn <= 3 GROUP BY sid""")
+
+
+QUERIES["favor_teacher"] = _favor("cla_teacher_ids", "teacher_favor")
+QUERIES["favor_location"] = _favor("cla_servicecenter_id", "class_location_favor")
+QUERIES["favor_classtime"] = _favor("cla_classtime_ids", "class_time_favor", "AND cla_class_type IN ('1', '3')")
+
+# ---- PL12 order content recall ---------------------------------------------------------
+
+QUERIES["order_recall"] = with_views(f"""
+od AS (SELECT * FROM fx_order WHERE dt BETWEEN '1995-01-01' AND '2001-08-01'),
+r AS (SELECT sid, {subject_sql('subjectname')} || {level_sql('classlevelname')} AS feature_name,
+             {status_weight_sql('orderstatus')} AS value FROM od
+      UNION ALL SELECT sid, 'price', classprice FROM od)
+SELECT sid, feature_name, round(sum(value), 6) AS value FROM r GROUP BY sid, feature_name""")
+
+# ---- PL5 student tokens ----------------------------------------------------------------
+
+_TOKENS = f"""
+live AS (SELECT s.stu_id FROM fx_student s WHERE EXISTS (SELECT 1 FROM fx_user u WHERE u.id = s.stu_uid)),
+regs AS (SELECT reg_student_id AS sid, reg_class_id AS cla_id, reg_pay_date FROM fx_regist
+  WHERE reg_ispay IN (1, 2) AND reg_isdeleted = 0 AND reg_pay_date > '1996-09-01'
+    AND {valid_sql('reg_student_id')} AND {valid_sql('reg_class_id')}
+    AND reg_student_id IN (SELECT stu_id FROM live)),
+cls AS (SELECT cla_id, cla_term_id, cla_subject_names FROM fx_class
+  WHERE cla_year > '2016' AND {valid_sql('cla_id')} AND cla_term_id IN ('1','2','3','4','5')
+    AND cla_subject_names IN ('语文','数学','英语','物理','化学','综合','生物')),
+tok AS (SELECT r.sid, {subject_rule_sql('c.cla_subject_names')} || '_' || c.cla_term_id AS tok, max(r.reg_pay_date) AS latest
+  FROM regs r JOIN cls c ON r.cla_id = c.cla_id GROUP BY 1, 2),
+rk AS (SELECT sid, tok, row_number() OVER (PARTITION BY sid ORDER BY latest DESC, tok ASC) AS rn FROM tok),
+lists AS (SELECT sid, coalesce(max(CASE WHEN rn = 1 THEN tok END), '') AS t1,
+                 coalesce(max(CASE WHEN rn = 2 THEN tok END), '') AS t2,
+                 coalesce(max(CASE WHEN rn = 3 THEN tok END), '') AS t3 FROM rk WHERE rn <= 3 GROUP BY sid),
+tokens AS (SELECT l.sid, s.city_id, s.stu_grade_id AS grade_id, t1, t2, t3 FROM lists l JOIN fx_student s ON l.sid = s.stu_id
+  WHERE s.city_id IS NOT NULL AND s.city_id <> '' AND {valid_sql('s.stu_grade_id')})"""
+
+QUERIES["student_tokens"] = with_views(_TOKENS + """
+SELECT sid, city_id, grade_id, t1 || ',' || t2 || ',' || t3 AS left_rule, '2001-01-01' AS dt FROM tokens""")
+
+# ---- PL6 rule match (relational form of the rules) ----------------------------------
+
+_MATCH = _TOKENS + """,
+stok AS (SELECT sid, city_id, grade_id, t1 AS tok FROM tokens UNION SELECT sid, city_id, grade_id, t2 FROM tokens
+         UNION SELECT sid, city_id, grade_id, t3 FROM tokens),
+locs AS (SELECT sid, city_id, unnest(string_split(depart_4, ',')) AS loc FROM fx_location
+         UNION SELECT sid, city_id, 'live-class-service-center' FROM fx_location),
+matched AS (SELECT DISTINCT s.sid, s.city_id, r.cla_id FROM stok s
+  JOIN fx_rule_long r ON s.city_id = r.city_id AND s.grade_id = r.grade_id AND s.tok = r.left_token
+  JOIN locs l ON l.sid = s.sid AND l.city_id = s.city_id AND l.loc = r.loc
+  WHERE r.cla_id <> '')"""
+
+QUERIES["rule_match"] = with_views(_MATCH + "\nSELECT sid, city_id, cla_id FROM matched")

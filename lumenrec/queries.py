@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenrec.plans import features as pf
+from lumenrec.plans import rules as pr
 from lumenrec.sources import fixtures as fx
 from lumenrec.sources.fixtures import bind_fixtures
 
@@ -50,3 +51,40 @@ def q_merge_features(spark, sf_dir):
     t = bind_fixtures(spark, sf_dir)
     return _round(pf.merged_features(t, (fx.EVENT_BEGIN, fx.EVENT_END), (fx.ORDER_BEGIN, fx.ORDER_END),
                                      fx.ORDER_END, fx.CREATED_AFTER), "value")
+
+
+def _favor(name: str):
+    def q(spark, sf_dir):
+        t = bind_fixtures(spark, sf_dir)
+        return pf.favor_list(t, name, fx.EVENT_BEGIN, fx.EVENT_END, fx.EVENT_END)
+    return q
+
+
+register("favor_teacher")(_favor("teacher_favor"))
+register("favor_location")(_favor("class_location_favor"))
+register("favor_classtime")(_favor("class_time_favor"))
+
+
+@register("order_recall")
+def q_order_recall(spark, sf_dir):
+    t = bind_fixtures(spark, sf_dir)
+    return _round(pf.order_recall(t, fx.ORDER_BEGIN, fx.ORDER_END), "value")
+
+
+def _tokens(t):
+    return pr.student_tokens(t, fx.PAY_AFTER, fx.AS_OF)
+
+
+@register("student_tokens")
+def q_student_tokens(spark, sf_dir):
+    t = bind_fixtures(spark, sf_dir)
+    return _tokens(t).withColumn("left_rule", F.array_join("left_rule", ","))
+
+
+def _rule_match(t):
+    return pr.rule_match(_tokens(t), t.rule, t.location)
+
+
+@register("rule_match")
+def q_rule_match(spark, sf_dir):
+    return _rule_match(bind_fixtures(spark, sf_dir))
