@@ -198,3 +198,52 @@ matched AS (SELECT DISTINCT s.sid, s.city_id, r.cla_id FROM stok s
   WHERE r.cla_id <> '')"""
 
 QUERIES["rule_match"] = with_views(_MATCH + "\nSELECT sid, city_id, cla_id FROM matched")
+
+# ---- PL7 / PL8 schedule side --------------------------------------------------------------
+
+_SCHED = """,
+cur AS (SELECT cla_id, city_id, cla_term_id, cla_subject_names, cla_year AS year FROM fx_class
+        WHERE cla_id IS NOT NULL AND cla_id <> '' AND cla_id <> '-'),
+fut AS (SELECT cuc_class_id AS cla_id, city_id, CAST(cuc_class_date AS VARCHAR) AS d, cuc_start_time AS st, cuc_end_time AS et
+        FROM fx_curriculum WHERE cuc_class_date > DATE '2001-01-01'),
+ra AS (SELECT m.sid, m.city_id, m.cla_id, c.cla_term_id, c.cla_subject_names, c.year FROM matched m
+       JOIN cur c ON c.cla_id = m.cla_id AND c.city_id = m.city_id
+       WHERE EXISTS (SELECT 1 FROM fut f WHERE f.cla_id = m.cla_id AND f.city_id = m.city_id)),
+reg AS (SELECT r.sid, r.cla_id, st.city_id, c.cla_term_id, c.cla_subject_names, c.cla_year AS year FROM fx_registered r
+        JOIN fx_class c ON c.cla_id = r.cla_id JOIN fx_student st ON st.stu_id = r.sid),
+reg_sess AS (SELECT reg.sid, reg.city_id, reg.cla_id, CAST(s.d AS VARCHAR) AS d, s.st, s.et FROM reg JOIN fx_session s ON s.cla_id = reg.cla_id),
+rec_first AS (SELECT cla_id, city_id, d, min(st) AS st, min(et) AS et FROM fut GROUP BY 1, 2, 3),
+same_key AS (SELECT ra.* FROM ra WHERE NOT EXISTS (
+       SELECT 1 FROM reg g WHERE g.sid = ra.sid AND g.city_id = ra.city_id
+         AND g.cla_term_id IS NOT DISTINCT FROM ra.cla_term_id
+         AND g.cla_subject_names IS NOT DISTINCT FROM ra.cla_subject_names
+         AND g.year IS NOT DISTINCT FROM ra.year)),
+conflicting AS (SELECT DISTINCT k.sid, k.city_id, k.cla_id FROM same_key k
+       JOIN rec_first rf ON rf.cla_id = k.cla_id AND rf.city_id = k.city_id
+       JOIN reg_sess f ON f.sid = k.sid AND f.city_id = k.city_id AND f.d = rf.d
+       WHERE rf.st <= f.et AND f.st <= rf.et)"""
+
+QUERIES["conflict_free"] = with_views(_MATCH + _SCHED + """
+SELECT k.sid, k.city_id, k.cla_id FROM same_key k
+WHERE NOT EXISTS (SELECT 1 FROM conflicting c WHERE c.sid = k.sid AND c.city_id = k.city_id AND c.cla_id = k.cla_id)""")
+
+QUERIES["same_subject_exclusion"] = with_views(_MATCH + _SCHED + """
+SELECT sid, city_id, cla_id, cla_term_id, cla_subject_names, year FROM same_key""")
+
+QUERIES["time_conflict"] = with_views(_MATCH + _SCHED + """
+SELECT sid, city_id, cla_id FROM conflicting""")
+
+QUERIES["curriculum_arrays"] = with_views("""
+fut AS (SELECT cuc_class_id AS cla_id, city_id, CAST(cuc_class_date AS VARCHAR) AS d, cuc_start_time AS st, cuc_end_time AS et
+        FROM fx_curriculum WHERE cuc_class_date > DATE '2001-01-01')
+SELECT cla_id AS cuc_id, city_id,
+  string_agg(d, ',' ORDER BY d, st, et) AS date_arr,
+  string_agg(st, ',' ORDER BY d, st, et) AS starttime_arr,
+  string_agg(et, ',' ORDER BY d, st, et) AS endtime_arr,
+  '2001-01-01' AS dt
+FROM fut GROUP BY cla_id, city_id""")
+
+QUERIES["packed_split"] = with_views("""
+reg AS (SELECT r.sid, r.cla_id, st.city_id FROM fx_registered r JOIN fx_class c ON c.cla_id = r.cla_id
+        JOIN fx_student st ON st.stu_id = r.sid)
+SELECT reg.sid, reg.city_id, reg.cla_id, CAST(s.d AS VARCHAR) AS d, s.st, s.et FROM reg JOIN fx_session s ON s.cla_id = reg.cla_id""")

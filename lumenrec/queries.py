@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from lumenrec.plans import features as pf
 from lumenrec.plans import rules as pr
+from lumenrec.plans import recommend as prec
+from lumenrec.operators import schedule as sched
 from lumenrec.sources import fixtures as fx
 from lumenrec.sources.fixtures import bind_fixtures
 
@@ -88,3 +90,51 @@ def _rule_match(t):
 @register("rule_match")
 def q_rule_match(spark, sf_dir):
     return _rule_match(bind_fixtures(spark, sf_dir))
+
+
+def _conflict_free(t):
+    return prec.conflict_free(t, _rule_match(t), fx.AS_OF)
+
+
+@register("conflict_free")
+def q_conflict_free(spark, sf_dir):
+    return _conflict_free(bind_fixtures(spark, sf_dir))
+
+
+def _rec_attrs(t):
+    recs = _rule_match(t)
+    sessions = sched.future_sessions(t.curriculum, fx.AS_OF)
+    attrs = recs.join(prec.current_classes(t), ["cla_id", "city_id"])
+    return attrs.join(sessions.select("cla_id", "city_id"), ["cla_id", "city_id"], "left_semi")
+
+
+@register("same_subject_exclusion")
+def q_same_subject_exclusion(spark, sf_dir):
+    t = bind_fixtures(spark, sf_dir)
+    kept = sched.same_subject_exclusion(_rec_attrs(t), prec.live_registrations(t))
+    return kept.select("sid", "city_id", "cla_id", "cla_term_id", "cla_subject_names", "year")
+
+
+@register("time_conflict")
+def q_time_conflict(spark, sf_dir):
+    t = bind_fixtures(spark, sf_dir)
+    regs = prec.live_registrations(t)
+    kept = sched.same_subject_exclusion(_rec_attrs(t), regs).select("sid", "city_id", "cla_id")
+    sessions = sched.first_session_per_date(sched.future_sessions(t.curriculum, fx.AS_OF))
+    return sched.time_conflicts(kept.join(sessions, ["cla_id", "city_id"]), sched.registered_sessions(regs))
+
+
+@register("curriculum_arrays")
+def q_curriculum_arrays(spark, sf_dir):
+    t = bind_fixtures(spark, sf_dir)
+    out = prec.curriculum_table(t, fx.AS_OF)
+    for c in ("date_arr", "starttime_arr", "endtime_arr"):
+        out = out.withColumn(c, F.array_join(c, ","))
+    return out
+
+
+@register("packed_split")
+def q_packed_split(spark, sf_dir):
+    t = bind_fixtures(spark, sf_dir)
+    s = sched.registered_sessions(prec.live_registrations(t))
+    return s.filter("ok").select("sid", "city_id", "cla_id", "d", "st", "et")

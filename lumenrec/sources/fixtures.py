@@ -205,7 +205,7 @@ def fx_session(curriculum: DataFrame, as_of: str = AS_OF) -> DataFrame:
 
 
 def fx_register(raw: _Raw, klass: DataFrame, curriculum: DataFrame) -> DataFrame:
-    """Packed registrations: one row per registered (sid, class) whose class has future sessions."""
+    """Packed registrations: one row per registered (sid, class) with its future sessions."""
     packed = fx_session(curriculum).groupBy("cla_id").agg(
         F.array_sort(F.collect_list(F.struct("d", "st", "et"))).alias("s"))
     packed = packed.select(
@@ -214,11 +214,15 @@ def fx_register(raw: _Raw, klass: DataFrame, curriculum: DataFrame) -> DataFrame
         F.array_join(F.transform("s", lambda x: x["st"]), START_SEP).alias("start_times"),
         F.array_join(F.transform("s", lambda x: x["et"]), END_SEP).alias("end_times"),
     )
-    k = klass.select("cla_id", "cla_term_id", "cla_subject_names", F.col("cla_year").alias("year"), "city_id")
-    return fx_registered(raw).join(packed, "cla_id").join(k, "cla_id").select(
+    k = klass.select("cla_id", "cla_term_id", "cla_subject_names", F.col("cla_year").alias("year"))
+    # city of the registration row = the student's city, so a per-city run checks
+    # all of a student's registrations
+    stu = fx_student(raw).select(F.col("stu_id").alias("sid"), "city_id")
+    # every registration is a row; a class without future sessions packs empty texts
+    return fx_registered(raw).join(packed, "cla_id", "left").join(k, "cla_id").join(stu, "sid").select(
         "sid", "cla_id", "cla_term_id", "cla_subject_names", "year",
         F.lit("1").alias("reg_ispay"), F.lit("0").alias("reg_isdeleted"), "city_id",
-        "class_dates", "start_times", "end_times",
+        *[F.coalesce(c, F.lit("")).alias(c) for c in ("class_dates", "start_times", "end_times")],
     )
 
 
