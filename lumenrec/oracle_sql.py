@@ -247,3 +247,48 @@ QUERIES["packed_split"] = with_views("""
 reg AS (SELECT r.sid, r.cla_id, st.city_id FROM fx_registered r JOIN fx_class c ON c.cla_id = r.cla_id
         JOIN fx_student st ON st.stu_id = r.sid)
 SELECT reg.sid, reg.city_id, reg.cla_id, CAST(s.d AS VARCHAR) AS d, s.st, s.et FROM reg JOIN fx_session s ON s.cla_id = reg.cla_id""")
+
+# ---- PL9-PL11 packs and the key-value export ---------------------------------------------
+
+def _info_sql(a: str) -> str:
+    return (f"json_object('cla_id', {a}.cla_id, 'city_id', {a}.city_id, "
+            f"'cla_subject_ids', CAST({a}.cla_subject_ids AS VARCHAR), 'cla_class_type', CAST({a}.cla_class_type AS VARCHAR), "
+            f"'cla_subject_names', {a}.cla_subject_names, 'cla_term_id', {a}.cla_term_id, 'cla_grade_id', {a}.cla_grade_id, "
+            f"'cla_level_name', {a}.cla_level_name, 'cla_classtime_names', {a}.cla_classtime_names, "
+            f"'cla_classdate_name', {a}.cla_classdate_name, 'getScore', CAST(CAST({a}.fin_score AS FLOAT) AS VARCHAR))")
+
+
+_FREE = """,
+free AS (SELECT k.sid, k.city_id, k.cla_id FROM same_key k
+  WHERE NOT EXISTS (SELECT 1 FROM conflicting c WHERE c.sid = k.sid AND c.city_id = k.city_id AND c.cla_id = k.cla_id)),
+ent AS (SELECT f.sid, s.*, """ + _info_sql("s") + """ AS info FROM free f JOIN fx_score s ON s.cla_id = f.cla_id AND s.city_id = f.city_id),
+spack AS (SELECT sid,
+  '{"online_recom":[' || coalesce(string_agg(CAST(info AS VARCHAR), ',' ORDER BY cla_id) FILTER (WHERE cla_class_type = 1), '')
+  || '],"offine_recom":[' || coalesce(string_agg(CAST(info AS VARCHAR), ',' ORDER BY cla_id) FILTER (WHERE cla_class_type IS DISTINCT FROM 1), '')
+  || ']}' AS jsonstring FROM ent GROUP BY sid),
+gpack AS (SELECT coalesce(city_id, 'null') || '_' || coalesce(cla_grade_id, 'null') || '_' || coalesce(cla_subject_names, 'null') AS key,
+  '[' || string_agg(CAST(""" + _info_sql("s") + """ AS VARCHAR), ',' ORDER BY cla_id) || ']' AS jsonstring
+  FROM fx_score s GROUP BY 1),
+kv AS (SELECT 'recommend_studentid_' || sid AS key, jsonstring AS value FROM spack
+  UNION ALL SELECT 'recommend_' || key, jsonstring FROM gpack),
+kvx AS (SELECT key, value, CAST(2592000 AS BIGINT) AS ttl_s,
+  CAST(TIMESTAMP '2001-01-01 00:00:00' + INTERVAL 2592000 SECOND AS VARCHAR) AS expires_at, CAST(1 AS BIGINT) AS n_pages FROM kv)"""
+
+QUERIES["serve_pack"] = with_views(_MATCH + _SCHED + _FREE + "\nSELECT sid, jsonstring FROM spack")
+
+QUERIES["serve_pack_keyed"] = with_views(_MATCH + _SCHED + _FREE + """,
+kpack AS (SELECT sid,
+  '{"online_recom":{' || coalesce(string_agg(to_json(cla_id) || ':' || CAST(info AS VARCHAR), ',' ORDER BY cla_id) FILTER (WHERE cla_class_type = 1), '')
+  || '},"offine_recom":{' || coalesce(string_agg(to_json(cla_id) || ':' || CAST(info AS VARCHAR), ',' ORDER BY cla_id) FILTER (WHERE cla_class_type IS DISTINCT FROM 1), '')
+  || '}}' AS jsonstring FROM (SELECT DISTINCT * FROM ent) GROUP BY sid)
+SELECT sid, jsonstring FROM kpack""")
+
+QUERIES["fallback_pack"] = with_views(_MATCH + _SCHED + _FREE + "\nSELECT key, jsonstring FROM gpack")
+
+QUERIES["kv_export"] = with_views(_MATCH + _SCHED + _FREE + "\nSELECT * FROM kvx")
+
+QUERIES["kv_scan_prefix"] = with_views(_MATCH + _SCHED + _FREE + """
+SELECT * FROM kvx WHERE starts_with(key, 'recommend_studentid_') ORDER BY key LIMIT 10""")
+
+QUERIES["kv_get"] = with_views(_MATCH + _SCHED + _FREE + """
+SELECT * FROM kvx WHERE key = 'recommend_0_BUILDING_数学'""")

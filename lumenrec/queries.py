@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from lumenrec.plans import features as pf
 from lumenrec.plans import rules as pr
 from lumenrec.plans import recommend as prec
+from lumenrec.plans import serve as psv
 from lumenrec.operators import schedule as sched
 from lumenrec.sources import fixtures as fx
 from lumenrec.sources.fixtures import bind_fixtures
@@ -138,3 +139,44 @@ def q_packed_split(spark, sf_dir):
     t = bind_fixtures(spark, sf_dir)
     s = sched.registered_sessions(prec.live_registrations(t))
     return s.filter("ok").select("sid", "city_id", "cla_id", "d", "st", "et")
+
+
+def _drop_paging(df):
+    return df.drop("page", "n_pages")
+
+
+@register("serve_pack")
+def q_serve_pack(spark, sf_dir):
+    t = bind_fixtures(spark, sf_dir)
+    return _drop_paging(psv.student_pack(t, _conflict_free(t)))
+
+
+@register("serve_pack_keyed")
+def q_serve_pack_keyed(spark, sf_dir):
+    t = bind_fixtures(spark, sf_dir)
+    return _drop_paging(psv.student_pack_keyed(t, _conflict_free(t)))
+
+
+@register("fallback_pack")
+def q_fallback_pack(spark, sf_dir):
+    t = bind_fixtures(spark, sf_dir)
+    return _drop_paging(psv.fallback_pack(t))
+
+
+def _kv(t):
+    return psv.kv_export(psv.student_pack(t, _conflict_free(t)), psv.fallback_pack(t), fx.AS_OF)
+
+
+@register("kv_export")
+def q_kv_export(spark, sf_dir):
+    return _kv(bind_fixtures(spark, sf_dir))
+
+
+@register("kv_scan_prefix")
+def q_kv_scan_prefix(spark, sf_dir):
+    return psv.kv_scan_prefix(_kv(bind_fixtures(spark, sf_dir)), psv.STUDENT_KEY_PREFIX)
+
+
+@register("kv_get")
+def q_kv_get(spark, sf_dir):
+    return psv.kv_get(_kv(bind_fixtures(spark, sf_dir)), "recommend_0_BUILDING_数学")
