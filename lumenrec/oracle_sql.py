@@ -292,3 +292,54 @@ SELECT * FROM kvx WHERE starts_with(key, 'recommend_studentid_') ORDER BY key LI
 
 QUERIES["kv_get"] = with_views(_MATCH + _SCHED + _FREE + """
 SELECT * FROM kvx WHERE key = 'recommend_0_BUILDING_数学'""")
+
+# ---- per-row functions, filters and reshapes -------------------------------------------------
+
+QUERIES["fn_level"] = with_views(f"x AS (SELECT 1)\nSELECT cla_id, cla_level_name, {level_sql('cla_level_name')} AS level FROM fx_class")
+QUERIES["fn_subject"] = with_views(f"x AS (SELECT 1)\nSELECT cla_id, cla_subject_names, {subject_sql('cla_subject_names')} AS subject FROM fx_class")
+QUERIES["fn_subject_rule"] = with_views(
+    f"x AS (SELECT 1)\nSELECT cla_id, cla_term_id, {subject_rule_sql('cla_subject_names')} AS subject, "
+    f"{subject_rule_sql('cla_subject_names')} || '_' || cla_term_id AS token FROM fx_class")
+QUERIES["fn_class_type"] = with_views(f"x AS (SELECT 1)\nSELECT cla_id, cla_class_type, {type_sql('cla_class_type')} AS type_tag FROM fx_class")
+QUERIES["fn_status_weight"] = with_views(
+    f"x AS (SELECT 1)\nSELECT orderstatus, count(*) AS n_orders, {status_weight_sql('orderstatus')} AS weight FROM fx_order GROUP BY orderstatus")
+QUERIES["fn_price"] = with_views(
+    f"x AS (SELECT 1)\nSELECT sid, dt, orderstatus, round(classprice, 6) AS classprice, round({price_sql('orderstatus', 'classprice')}, 6) AS price_weight FROM fx_order")
+QUERIES["fn_millis_date"] = "SELECT event_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events"
+QUERIES["fn_overlap"] = with_views("""x AS (SELECT 1)
+SELECT cuc_class_id AS cla_id, CAST(cuc_class_date AS VARCHAR) AS d, cuc_start_time AS st, cuc_end_time AS et,
+  ('10:00' <= cuc_end_time AND cuc_start_time <= '11:00') AS overlaps
+FROM fx_curriculum WHERE cuc_class_date > DATE '2001-01-01'""")
+QUERIES["fn_day_range"] = with_views("""
+days AS (SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS day FROM generate_series(DATE '2024-01-10', DATE '2024-01-20', INTERVAL 1 DAY) g(d)),
+per_day AS (SELECT day, count(*) AS n FROM fx_behavior GROUP BY day)
+SELECT days.day, coalesce(per_day.n, 0) AS n_rows FROM days LEFT JOIN per_day ON per_day.day = days.day""")
+QUERIES["valid_ids"] = with_views(
+    f"x AS (SELECT 1)\nSELECT sid, cla_id, day FROM fx_behavior WHERE {valid_sql('sid')} AND {valid_sql('cla_id')} AND {valid_sql('cla_level_name')}")
+QUERIES["date_range"] = with_views(
+    "x AS (SELECT 1)\nSELECT sid, dt, orderstatus FROM fx_order WHERE dt >= '1996-01-01' AND dt <= '1996-12-31'")
+QUERIES["tagged_union"] = with_views(_MATCH + _SCHED + """
+SELECT sid, cla_id, cla_term_id, cla_subject_names, year, '-1' AS reg_ispay FROM ra
+UNION ALL SELECT sid, cla_id, cla_term_id, cla_subject_names, year, '1' FROM reg""")
+QUERIES["array_dedupe"] = with_views("""
+x AS (SELECT sid, city_id, unnest(string_split(depart_4, ',')) AS loc FROM fx_location
+      UNION SELECT sid, city_id, 'live-class-service-center' FROM fx_location)
+SELECT sid, city_id, string_agg(loc, ',' ORDER BY loc) AS locs FROM x GROUP BY sid, city_id""")
+QUERIES["unnest"] = QUERIES["rule_match"]
+QUERIES["limit_sample"] = with_views("""x AS (SELECT 1)
+SELECT sid, dt, orderstatus, subjectname, classlevelname, round(classprice, 6) AS classprice FROM fx_order
+ORDER BY sid, dt, orderstatus, subjectname, classlevelname, classprice LIMIT 1000""")
+QUERIES["json_property_top3"] = """
+WITH cnt AS (SELECT CAST(user_id AS VARCHAR) AS sid, json_extract_string(props, '$.k') AS feature_name, CAST(count(*) AS DOUBLE) AS value
+  FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL GROUP BY 1, 2),
+rk AS (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY value DESC, feature_name ASC) AS rn FROM cnt)
+SELECT sid, '班型偏好' AS feature_name,
+  CAST(json_object('1', coalesce(max(CASE WHEN rn = 1 THEN feature_name END), ''),
+                   '2', coalesce(max(CASE WHEN rn = 2 THEN feature_name END), ''),
+                   '3', coalesce(max(CASE WHEN rn = 3 THEN feature_name END), '')) AS VARCHAR) AS value,
+  '2024-01-20' AS dt
+FROM rk WHERE rn <= 3 GROUP BY sid"""
+QUERIES["row_json_export"] = with_views("""x AS (SELECT 1)
+SELECT cla_id AS key, CAST(json_object('cla_id', cla_id, 'city_id', city_id, 'cla_grade_id', cla_grade_id, 'cla_term_id', cla_term_id,
+  'cla_subject_names', cla_subject_names, 'cla_level_name', cla_level_name, 'cla_class_type', cla_class_type, 'cla_year', cla_year) AS VARCHAR) AS value,
+  CAST(600 AS BIGINT) AS ttl_s FROM fx_class""")

@@ -180,3 +180,122 @@ def q_kv_scan_prefix(spark, sf_dir):
 @register("kv_get")
 def q_kv_get(spark, sf_dir):
     return psv.kv_get(_kv(bind_fixtures(spark, sf_dir)), "recommend_0_BUILDING_数学")
+
+
+# ---- per-row functions, filters and reshapes over whole driver-derived tables -------------
+from lumenrec import functions as fn  # noqa: E402
+from lumenrec.operators import reshape as rs  # noqa: E402
+from lumenrec.plans import rules as _rules  # noqa: E402
+
+
+@register("fn_level")
+def q_fn_level(spark, sf_dir):
+    k = bind_fixtures(spark, sf_dir).klass
+    return k.select("cla_id", "cla_level_name", fn.level_tag("cla_level_name").alias("level"))
+
+
+@register("fn_subject")
+def q_fn_subject(spark, sf_dir):
+    k = bind_fixtures(spark, sf_dir).klass
+    return k.select("cla_id", "cla_subject_names", fn.subject_code("cla_subject_names").alias("subject"))
+
+
+@register("fn_subject_rule")
+def q_fn_subject_rule(spark, sf_dir):
+    k = bind_fixtures(spark, sf_dir).klass
+    return k.select("cla_id", "cla_term_id", fn.subject_rule_name("cla_subject_names").alias("subject"),
+                    fn.token("cla_subject_names", "cla_term_id").alias("token"))
+
+
+@register("fn_class_type")
+def q_fn_class_type(spark, sf_dir):
+    k = bind_fixtures(spark, sf_dir).klass
+    return k.select("cla_id", "cla_class_type", fn.class_type_tag("cla_class_type").alias("type_tag"))
+
+
+@register("fn_status_weight")
+def q_fn_status_weight(spark, sf_dir):
+    o = bind_fixtures(spark, sf_dir).order
+    return o.groupBy("orderstatus").agg(F.count(F.lit(1)).alias("n_orders")) \
+        .select("orderstatus", "n_orders", fn.status_weight("orderstatus").alias("weight"))
+
+
+@register("fn_price")
+def q_fn_price(spark, sf_dir):
+    o = bind_fixtures(spark, sf_dir).order
+    return o.select("sid", "dt", "orderstatus", F.round("classprice", 6).alias("classprice"),
+                    F.round(fn.price_weight("orderstatus", "classprice"), 6).alias("price_weight"))
+
+
+@register("fn_millis_date")
+def q_fn_millis_date(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    ms = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
+    return e.select("event_id", fn.millis_to_date(ms).alias("day"))
+
+
+@register("fn_overlap")
+def q_fn_overlap(spark, sf_dir):
+    s = sched.future_sessions(bind_fixtures(spark, sf_dir).curriculum, fx.AS_OF)
+    return s.select("cla_id", "d", "st", "et",
+                    fn.intervals_overlap("st", "et", F.lit("10:00"), F.lit("11:00")).alias("overlaps"))
+
+
+@register("fn_day_range")
+def q_fn_day_range(spark, sf_dir):
+    t = bind_fixtures(spark, sf_dir)
+    days = spark.range(1).select(F.explode(fn.day_range(fx.EVENT_BEGIN, fx.EVENT_END)).alias("d")) \
+        .select(F.col("d").cast("string").alias("day"))
+    per_day = t.behavior.groupBy("day").agg(F.count(F.lit(1)).alias("n_rows"))
+    return days.join(per_day, "day", "left").select("day", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+
+
+@register("valid_ids")
+def q_valid_ids(spark, sf_dir):
+    b = bind_fixtures(spark, sf_dir).behavior
+    return b.filter(fn.is_valid("sid") & fn.is_valid("cla_id") & fn.is_valid("cla_level_name")) \
+        .select("sid", "cla_id", "day")
+
+
+@register("date_range")
+def q_date_range(spark, sf_dir):
+    o = bind_fixtures(spark, sf_dir).order
+    return o.filter(fn.date_between("dt", "1996-01-01", "1996-12-31")).select("sid", "dt", "orderstatus")
+
+
+@register("tagged_union")
+def q_tagged_union(spark, sf_dir):
+    t = bind_fixtures(spark, sf_dir)
+    return sched.tagged_union(_rec_attrs(t), prec.live_registrations(t))
+
+
+@register("array_dedupe")
+def q_array_dedupe(spark, sf_dir):
+    loc = bind_fixtures(spark, sf_dir).location
+    parts = F.array_append(fn.java_split("depart_4", ","), F.lit(_rules.LIVE_KEY))
+    return loc.select("sid", "city_id", F.array_join(F.array_sort(rs.dedupe_list(parts)), ",").alias("locs"))
+
+
+@register("unnest")
+def q_unnest(spark, sf_dir):
+    lists = pr.as_lists(_rule_match(bind_fixtures(spark, sf_dir)))
+    return rs.unnest(lists, "rec_class_list", "cla_id")
+
+
+@register("limit_sample")
+def q_limit_sample(spark, sf_dir):
+    o = bind_fixtures(spark, sf_dir).order
+    return rs.sample_rows(o.select("sid", "dt", "orderstatus", "subjectname", "classlevelname",
+                                   F.round("classprice", 6).alias("classprice")), 1000)
+
+
+@register("json_property_top3")
+def q_json_property_top3(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet") \
+        .select(F.col("user_id").cast("string").alias("sid"), "props")
+    return rs.json_property_top3(e, "props", "$.k", "班型偏好", fx.EVENT_END)
+
+
+@register("row_json_export")
+def q_row_json_export(spark, sf_dir):
+    return rs.row_json(bind_fixtures(spark, sf_dir).klass, "cla_id", 600)
