@@ -8,7 +8,7 @@ never one ``OR`` join (that would leave only ``sid`` as a hash key).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenrec.functions import intervals_overlap, java_split
@@ -101,6 +101,57 @@ def time_conflicts(rec_sessions: DataFrame, reg_sessions: DataFrame) -> DataFram
     return r.join(f, cond, "left_semi").select("sid", "city_id", "cla_id").distinct()
 
 
+def conflict_flags(rec_sessions: DataFrame, reg_sessions: DataFrame) -> DataFrame:
+    """JN11 without pairs: per recommended session ``(sid, city_id, cla_id, d, st, et)``
+    a flag ``conflict`` -- does it overlap (closed) a registered session of the
+    same student on the same date?
+
+    Both sides are unioned and swept per ``(sid, city_id, d)`` in start order
+    (registered before recommended at equal starts).  A recommended interval R
+    overlaps some registered F iff
+      * the largest end of the registered sessions starting at or before R.st
+        reaches R.st, or
+      * the first registered start after R.st is at or before R.et.
+    Two running window aggregates answer both, so no pair is ever formed.
+    Sessions with a missing time or an inverted interval (start after end) are
+    error rows: counted by ``timetable_errors``, never matched.
+    """
+    good = F.coalesce(F.col("st") <= F.col("et"), F.lit(False))
+    r = rec_sessions.select("sid", "city_id", "d", "cla_id", "st", "et", F.lit(1).alias("_side"),
+                            good.alias("_good"))
+    f = reg_sessions.filter(F.col("ok") & good).select(
+        "sid", "city_id", "d", F.lit(None).cast("string").alias("cla_id"), "st", "et",
+        F.lit(0).alias("_side"), F.lit(True).alias("_good"))
+    w = Window.partitionBy("sid", "city_id", "d").orderBy("st", "_side")
+    is_reg = F.col("_side") == 0
+    before = F.max(F.when(is_reg, F.col("et"))).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    after = F.min(F.when(is_reg, F.col("st"))).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    swept = r.unionByName(f).select("sid", "city_id", "cla_id", "d", "st", "et", "_side", "_good",
+                                    before.alias("_b"), after.alias("_a"))
+    conflict = F.col("_good") & (F.coalesce(F.col("_b") >= F.col("st"), F.lit(False))
+                                 | F.coalesce(F.col("_a") <= F.col("et"), F.lit(False)))
+    return swept.filter(F.col("_side") == 1).select("sid", "city_id", "cla_id", "d", "st", "et",
+                                                    conflict.alias("conflict"))
+
+
+def conflict_free_recs(rec_sessions: DataFrame, reg_sessions: DataFrame) -> DataFrame:
+    """Recommendations ``(sid, city_id, cla_id)`` none of whose sessions conflict.
+
+    Every recommendation must appear in ``rec_sessions`` with at least one
+    session (JN9 guarantees it); error-row sessions count as no conflict.
+    """
+    flags = conflict_flags(rec_sessions, reg_sessions)
+    return flags.groupBy("sid", "city_id", "cla_id").agg(F.max("conflict").alias("_c")) \
+        .filter(~F.col("_c")).select("sid", "city_id", "cla_id")
+
+
+def timetable_errors(sessions: DataFrame) -> DataFrame:
+    """Count error rows (missing time or start after end) of a session table."""
+    bad = F.col("st").isNull() | F.col("et").isNull() | (F.col("st") > F.col("et"))
+    return sessions.agg(F.sum(F.when(bad, 1).otherwise(0)).cast("bigint").alias("error_rows"),
+                        F.count(F.lit(1)).alias("rows"))
+
+
 def tagged_union(recs: DataFrame, regs: DataFrame, tag: str = "-1") -> DataFrame:
     """ST2/ST3: recommendations and registrations in one positional union, the
     recommendations tagged ``reg_ispay = tag`` (the original's sentinel)."""

@@ -32,20 +32,17 @@ def conflict_free(t: Tables, recs: DataFrame, as_of: str, city: str | None = Non
     session (JN9), (c) repeat no registered term-subject-year (JN10) and
     (d) overlap no registered session on the same date (JN11).
 
-    Returns ``(sid, city_id, cla_id)``; duplicates of the class table are kept
-    like the original's list (AG7).
+    Returns the set ``(sid, city_id, cla_id)``: each input is used once, the
+    overlap test is a sweep (``conflict_flags``), never a pairwise join.
     """
     r = recs if city is None else recs.filter(F.col("city_id") == city)
     sessions = sc.future_sessions(t.curriculum, as_of, city)
-    attrs = r.join(current_classes(t, city), ["cla_id", "city_id"])
-    attrs = attrs.join(sessions.select("cla_id", "city_id"), ["cla_id", "city_id"], "left_semi")
     regs = live_registrations(t, city)
-    kept = sc.same_subject_exclusion(attrs, regs)
+    kept = sc.same_subject_exclusion(r.join(current_classes(t, city), ["cla_id", "city_id"]), regs)
+    # the inner join with the future sessions is JN9: a class without one drops out
     rec_sessions = kept.select("sid", "city_id", "cla_id").join(
         sessions if all_sessions else sc.first_session_per_date(sessions), ["cla_id", "city_id"])
-    conflicts = sc.time_conflicts(rec_sessions, sc.registered_sessions(regs, all_sessions))
-    return kept.join(conflicts, ["sid", "city_id", "cla_id"], "left_anti") \
-        .select("sid", "city_id", "cla_id")
+    return sc.conflict_free_recs(rec_sessions, sc.registered_sessions(regs, all_sessions))
 
 
 def curriculum_table(t: Tables, as_of: str, city: str | None = None) -> DataFrame:

@@ -122,7 +122,8 @@ def q_time_conflict(spark, sf_dir):
     regs = prec.live_registrations(t)
     kept = sched.same_subject_exclusion(_rec_attrs(t), regs).select("sid", "city_id", "cla_id")
     sessions = sched.first_session_per_date(sched.future_sessions(t.curriculum, fx.AS_OF))
-    return sched.time_conflicts(kept.join(sessions, ["cla_id", "city_id"]), sched.registered_sessions(regs))
+    flags = sched.conflict_flags(kept.join(sessions, ["cla_id", "city_id"]), sched.registered_sessions(regs))
+    return flags.filter("conflict").select("sid", "city_id", "cla_id").distinct()
 
 
 @register("curriculum_arrays")
