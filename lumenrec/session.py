@@ -26,6 +26,8 @@ _CORE_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
     # Re-runs overwrite only the dt partitions they produce.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # dt partitions are yyyy-MM-dd text stamps; keep them text when read back
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 
