@@ -1,0 +1,10 @@
+"""Incremental execution of the day-by-day feature accumulation (AG4).
+
+The original jobs have no streaming; their per-day loop (one step per day,
+merged into a running sum) is what a Structured Streaming aggregation does.
+This package runs the same event-feature plan (PL2) incrementally.
+"""
+
+from lumenrec.streaming.features import event_feature_stream
+
+__all__ = ["event_feature_stream"]
