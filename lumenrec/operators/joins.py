@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Buckets per hot key; the small side is copied this many times.
-DEFAULT_SALT = 16
+DEFAULT_SALT = 8
 _SALT = "_salt"
 
 
@@ -52,7 +52,8 @@ def containment_join(items: DataFrame, item_key: list[str], item_tokens: str,
     pairs whose matched-token count equals the number of distinct set tokens.
     Empty sets: every item of the group (a join on ``on`` alone, salted because
     the group key is coarse).  Null sets match nothing.
-    Returns ``item_key + set_key`` columns, one row per matching pair.
+    Returns ``item_key + set_key`` columns, one row per matching pair (items
+    are expected to be unique per ``item_key``).
     """
     tok = "_tok"
     it = items.select(*item_key, *[c for c in on if c not in item_key],
@@ -70,4 +71,6 @@ def containment_join(items: DataFrame, item_key: list[str], item_tokens: str,
     empties = st.filter(F.size("_req") == 0).select(*set_key, *[c for c in on if c not in set_key])
     owners = items.select(*item_key, *[c for c in on if c not in item_key])
     every = salted_join(owners, empties, on, spread_by=item_key, salt=salt).select(*item_key, *set_key)
-    return full.unionByName(every).distinct()
+    # the branches are disjoint (non-empty vs empty sets) and each is one row per
+    # pair when ``items`` has one row per item key, so no dedupe shuffle is needed
+    return full.unionByName(every)

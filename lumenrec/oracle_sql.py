@@ -343,3 +343,31 @@ QUERIES["row_json_export"] = with_views("""x AS (SELECT 1)
 SELECT cla_id AS key, CAST(json_object('cla_id', cla_id, 'city_id', city_id, 'cla_grade_id', cla_grade_id, 'cla_term_id', cla_term_id,
   'cla_subject_names', cla_subject_names, 'cla_level_name', cla_level_name, 'cla_class_type', cla_class_type, 'cla_year', cla_year) AS VARCHAR) AS value,
   CAST(600 AS BIGINT) AS ttl_s FROM fx_class""")
+
+# ---- literal Q3, JSON parse, locations, unpivots ------------------------------------------
+
+QUERIES["favor_classtime_literal"] = with_views(f"""
+cnt AS (SELECT sid, cla_classtime_ids AS feature_name,
+        sum(CASE WHEN cla_class_type = '3' THEN 11.0 ELSE 1.0 END) AS value FROM fx_behavior
+  WHERE ({valid_sql('sid')} AND day BETWEEN '2024-01-10' AND '2024-01-20' AND {valid_sql('cla_classtime_ids')}
+         AND cla_class_type = '1') OR cla_class_type = '3'
+  GROUP BY 1, 2),
+rk AS (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY value DESC, feature_name ASC) AS rn FROM cnt)
+SELECT sid, 'class_time_favor' AS feature_name,
+  CAST(json_object('1', coalesce(max(CASE WHEN rn = 1 THEN feature_name END), ''),
+                   '2', coalesce(max(CASE WHEN rn = 2 THEN feature_name END), ''),
+                   '3', coalesce(max(CASE WHEN rn = 3 THEN feature_name END), '')) AS VARCHAR) AS value,
+  '2024-01-20' AS dt
+FROM rk WHERE rn <= 3 GROUP BY sid""")
+
+QUERIES["recall_parse"] = with_views("x AS (SELECT 1)\nSELECT city_id, grade_id, left_token, loc, cla_id FROM fx_rule_long")
+
+QUERIES["student_locations"] = with_views("""
+x AS (SELECT sid, city_id, unnest(string_split(depart_4, ',')) AS loc FROM fx_location
+      UNION SELECT sid, city_id, 'live-class-service-center' FROM fx_location)
+SELECT sid, city_id, loc FROM x""")
+
+QUERIES["event_unpivot"] = with_views(f"ev AS ({_EV})\nSELECT sid, feature_name, value FROM ({_EV_TRIPLES}) t")
+
+QUERIES["order_unpivot"] = with_views(
+    f"od AS ({_OD})\nSELECT sid, feature_name, round(value, 6) AS value FROM ({_OD_TRIPLES}) t")

@@ -300,3 +300,38 @@ def q_json_property_top3(spark, sf_dir):
 @register("row_json_export")
 def q_row_json_export(spark, sf_dir):
     return rs.row_json(bind_fixtures(spark, sf_dir).klass, "cla_id", 600)
+
+
+@register("favor_classtime_literal")
+def q_favor_classtime_literal(spark, sf_dir):
+    t = bind_fixtures(spark, sf_dir)
+    return pf.favor_list(t, "class_time_favor", fx.EVENT_BEGIN, fx.EVENT_END, fx.EVENT_END, literal_quirk=True)
+
+
+@register("recall_parse")
+def q_recall_parse(spark, sf_dir):
+    t = bind_fixtures(spark, sf_dir)
+    rl = pr.rules_with_id(t.rule)
+    ent = pr.recall_entries(rl)
+    keys = rl.select("rule_id", "city_id", "grade_id", F.explode("left").alias("left_token"))
+    return ent.join(keys, "rule_id").select("city_id", "grade_id", "left_token", "loc", "cla_id")
+
+
+@register("student_locations")
+def q_student_locations(spark, sf_dir):
+    return pr.student_locations(bind_fixtures(spark, sf_dir).location)
+
+
+@register("event_unpivot")
+def q_event_unpivot(spark, sf_dir):
+    from lumenrec.operators import features as ft
+    t = bind_fixtures(spark, sf_dir)
+    return ft.event_triples(ft.valid_events(t.behavior, fx.EVENT_BEGIN, fx.EVENT_END))
+
+
+@register("order_unpivot")
+def q_order_unpivot(spark, sf_dir):
+    from lumenrec.operators import features as ft
+    t = bind_fixtures(spark, sf_dir)
+    tr = ft.order_triples(ft.valid_orders(t.order, fx.ORDER_BEGIN, fx.ORDER_END, fx.CREATED_AFTER))
+    return _round(tr, "value")
