@@ -15,9 +15,13 @@ def millis_to_date(c, zone: str = "UTC") -> Column:
 
     Bad text gives null instead of failing the job.
     """
-    ms = F.expr("try_cast(null AS bigint)") if c is None else col(c).try_cast("bigint")
-    ts = F.timestamp_millis(ms)
-    return F.date_format(F.from_utc_timestamp(ts, zone), "yyyy-MM-dd")
+    ms = col(c).try_cast("bigint")
+    if zone.upper() in ("UTC", "GMT", "Z"):
+        # exact integer day arithmetic: independent of the session time zone
+        day = F.date_from_unix_date(F.floor(ms / F.lit(86400000)).cast("int"))
+        return day.cast("string")
+    # other zones: wall clock of the instant in ``zone`` (session time zone UTC)
+    return F.date_format(F.from_utc_timestamp(F.timestamp_millis(ms), zone), "yyyy-MM-dd")
 
 
 def intervals_overlap(fs, fe, rs, re) -> Column:

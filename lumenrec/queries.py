@@ -18,6 +18,7 @@ from lumenrec.plans import recommend as prec
 from lumenrec.plans import serve as psv
 from lumenrec.operators import schedule as sched
 from lumenrec.sources import fixtures as fx
+from lumenrec.session import apply_core_conf
 from lumenrec.sources.fixtures import bind_fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,8 +26,15 @@ REGISTRY: dict[str, Query] = {}
 
 
 def register(name: str):
+    """Register a query; it pins the session settings it relies on (UTC, ANSI,
+    AQE) because the caller's session may have been built elsewhere."""
     def deco(fn: Query) -> Query:
-        REGISTRY[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            apply_core_conf(spark)
+            return fn(spark, sf_dir)
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        REGISTRY[name] = run
         return fn
     return deco
 

@@ -44,11 +44,16 @@ def _day(c: str) -> Column:
 
 
 class _Raw:
+    """Driver tables, each read (and its files listed) once per binding."""
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
+        self._dfs: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._dfs:
+            self._dfs[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._dfs[name]
 
 
 def fx_class(raw: _Raw) -> DataFrame:
@@ -229,18 +234,30 @@ def fx_register(raw: _Raw, klass: DataFrame, curriculum: DataFrame) -> DataFrame
 def bind_fixtures(spark: SparkSession, sf_dir: str) -> Tables:
     """All logical inputs bound to the driver tables in ``sf_dir``."""
     raw = _Raw(spark, sf_dir)
-    klass_full = lambda: fx_class(raw)
+    memo: dict[str, DataFrame] = {}
+
+    def once(key, build):
+        # one DataFrame per view: shared inputs are one plan object (smaller plans,
+        # faster analysis, identical subtrees for exchange reuse)
+        def get():
+            if key not in memo:
+                memo[key] = build()
+            return memo[key]
+        return get
+
+    klass_full = once("klass_full", lambda: fx_class(raw))
+    curriculum = once("curriculum", lambda: fx_curriculum(raw))
     loaders = {
-        "behavior": lambda: fx_behavior(raw, klass_full()),
-        "order": lambda: fx_order(raw, klass_full()),
-        "regist": lambda: fx_regist(raw),
-        "user": lambda: fx_user(raw),
-        "student": lambda: fx_student(raw),
+        "behavior": once("behavior", lambda: fx_behavior(raw, klass_full())),
+        "order": once("order", lambda: fx_order(raw, klass_full())),
+        "regist": once("regist", lambda: fx_regist(raw)),
+        "user": once("user", lambda: fx_user(raw)),
+        "student": once("student", lambda: fx_student(raw)),
         "klass": klass_full,
-        "curriculum": lambda: fx_curriculum(raw),
-        "rule": lambda: fx_rule(klass_full()),
-        "location": lambda: fx_location(raw),
-        "register": lambda: fx_register(raw, klass_full(), fx_curriculum(raw)),
-        "score": lambda: fx_score(klass_full()),
+        "curriculum": curriculum,
+        "rule": once("rule", lambda: fx_rule(klass_full())),
+        "location": once("location", lambda: fx_location(raw)),
+        "register": once("register", lambda: fx_register(raw, klass_full(), curriculum())),
+        "score": once("score", lambda: fx_score(klass_full())),
     }
     return Tables(spark, loaders)

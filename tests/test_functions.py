@@ -92,3 +92,9 @@ def test_day_range(spark):
     got = spark.range(1).select(F.explode(fn.day_range("2018-08-30", "2018-09-02")).alias("d")) \
         .select(F.col("d").cast("string")).collect()
     assert [r[0] for r in got] == ["2018-08-30", "2018-08-31", "2018-09-01", "2018-09-02"]
+
+
+def test_millis_to_date_negative_and_zone(spark):
+    assert one_col(spark, ["-1", "-86400000"], fn.millis_to_date) == ["1969-12-31", "1969-12-31"]
+    assert one_col(spark, ["1535760000000"], lambda c: fn.millis_to_date(c, "Asia/Shanghai")) == ["2018-09-01"]
+    assert one_col(spark, ["1535817600000"], lambda c: fn.millis_to_date(c, "America/New_York")) == ["2018-09-01"]
