@@ -1,11 +1,14 @@
 """Event weights (PL2) maintained incrementally as behaviour files arrive.
 
-``readStream`` over the behaviour folder -> the same filters and unpivot as
-the batch plan -> per micro-batch partial sums merged into the running table
-(AG2 ``MergeData``) through ``foreachBatch``.  Every batch writes a new
-version folder ``batch_id=<n>`` holding the full running sums; a replayed
-batch (after a failure) finds its version already present and is skipped, so
-each batch is applied exactly once.  Readers take the newest version.
+``readStream`` over the behaviour folder -> the batch plan's filters and
+unpivot -> a streaming ``groupBy(sid, feature_name).agg(sum)`` in *update*
+mode.  The running sums live in the checkpointed state store (this is AG4's
+"one step per day, merged": each micro-batch is a step, the state is the
+merge).  Every batch emits only the keys it changed, with their absolute
+totals, and ``foreachBatch`` upserts them into a table partitioned by a hash
+bucket of ``sid``: only the touched buckets are rewritten (dynamic partition
+overwrite).  Re-running a batch after a failure emits the same absolute rows,
+so the upsert is idempotent.
 """
 
 from __future__ import annotations
@@ -16,48 +19,45 @@ from pyspark.sql import functions as F
 from lumenrec import schemas
 from lumenrec.operators import features as ft
 
+DEFAULT_BUCKETS = 64
+
+
+def _upsert(target: str, dt: str, buckets: int):
+    def apply(changed: DataFrame, batch_id: int) -> None:
+        spark = changed.sparkSession
+        rows = changed.select(*ft.KEY, "value", F.lit(dt).alias("dt"),
+                              F.pmod(F.xxhash64("sid"), F.lit(buckets)).cast("int").alias("bucket")).persist()
+        try:
+            try:
+                current = spark.read.parquet(target).withColumn("bucket", F.col("bucket").cast("int"))
+            except Exception:  # first batch: no table yet
+                current = None
+            if current is None:
+                out = rows
+            else:
+                touched = rows.select("bucket").distinct()
+                kept = current.join(touched, "bucket", "left_semi") \
+                    .join(rows.select(*ft.KEY), ft.KEY, "left_anti")
+                out = kept.select(*rows.columns).unionByName(rows)
+            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("bucket").parquet(target))
+        finally:
+            rows.unpersist()
+    return apply
 
-def event_feature_stream(spark: SparkSession, behavior_dir: str, target: str, checkpoint: str,
-                         begin: str, end: str, dt: str, available_now: bool = True):
-    """Start the incremental PL2 over parquet files in ``behavior_dir``.
 
-    ``target`` receives one version folder per batch (``batch_id=<n>``); the
-    newest version holds the running sums.  Returns the ``StreamingQuery``.
-    """
+def event_feature_stream(spark: SparkSession, behavior_dir: str, target: str, checkpoint: str,
+                         begin: str, end: str, dt: str, buckets: int = DEFAULT_BUCKETS,
+                         available_now: bool = True):
+    """Start the incremental PL2 over parquet files in ``behavior_dir``; returns the query."""
     events = spark.readStream.schema(schemas.BEHAVIOR).parquet(behavior_dir)
-    triples = ft.event_triples(ft.valid_events(events, begin, end))
-    writer = triples.writeStream.foreachBatch(_merge_into_latest(target, dt)) \
-        .option("checkpointLocation", checkpoint)
+    sums = ft.sum_weights(ft.event_triples(ft.valid_events(events, begin, end)))
+    writer = (sums.writeStream.outputMode("update").foreachBatch(_upsert(target, dt, buckets))
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
-def _versions(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target).withColumn("batch_id", F.col("batch_id").cast("bigint"))
-
-
 def latest(spark: SparkSession, target: str) -> DataFrame:
-    """The newest version of the running sums."""
-    df = _versions(spark, target)
-    top = df.agg(F.max("batch_id")).first()[0]
-    return df.filter(F.col("batch_id") == top).select(*ft.KEY, "value", "dt")
-
-
-def _merge_into_latest(target: str, dt: str):
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        try:
-            stored = _versions(spark, target)
-            top = stored.agg(F.max("batch_id")).first()[0]
-        except Exception:  # first batch: nothing stored yet
-            stored, top = None, None
-        if top is not None and top >= batch_id:
-            return  # replay of a batch already merged
-        delta = ft.sum_weights(batch)
-        if stored is None:
-            merged = delta
-        else:
-            merged = ft.merge(stored.filter(F.col("batch_id") == top).select(*ft.KEY, "value"), delta)
-        out = merged.select(*ft.KEY, "value").withColumn("dt", F.lit(dt))
-        out.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
-    return apply
+    """The running sums as a feature table ``(sid, feature_name, value, dt)``."""
+    return spark.read.parquet(target).select(*ft.KEY, "value", "dt")

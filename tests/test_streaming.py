@@ -27,3 +27,19 @@ def test_stream_equals_batch(spark, tmp_path):
     got = [(s, f, round(v, 6)) for s, f, v in rows(latest(spark, target), "sid", "feature_name", "value")]
     want = rows(pf.event_features(t, fx.EVENT_BEGIN, fx.EVENT_END, fx.EVENT_END), "sid", "feature_name", "value")
     assert got == [(s, f, round(v, 6)) for s, f, v in want]
+
+
+def test_upsert_is_idempotent_and_touches_only_its_buckets(spark, tmp_path):
+    from lumenrec.streaming.features import _upsert
+    target = str(tmp_path / "t")
+    apply = _upsert(target, "d", buckets=4)
+    b0 = spark.createDataFrame([(f"s{i}", "f", float(i)) for i in range(20)], "sid string, feature_name string, value double")
+    apply(b0, 0)
+    b1 = spark.createDataFrame([("s3", "f", 100.0), ("s99", "g", 1.0)], b0.schema)
+    apply(b1, 1)
+    apply(b1, 1)   # replay of the same batch
+    got = {(r.sid, r.feature_name): r.value for r in latest(spark, target).collect()}
+    want = {(f"s{i}", "f"): float(i) for i in range(20)}
+    want[("s3", "f")] = 100.0
+    want[("s99", "g")] = 1.0
+    assert got == want
