@@ -1,14 +1,17 @@
 """Timetables and the two exclusion rules (PL7, NS3, NS5, JN9-JN11).
 
 Sessions are kept long, one row ``(class, city, date, start, end)``.  The
-exclusions are anti joins on equality keys; the overlap test is a residual
-condition of an equi-join on ``(sid, city, date)``, never a nested loop and
-never one ``OR`` join (that would leave only ``sid`` as a hash key).
+same-subject rule is a null-safe anti join; the overlap test
+(``conflict_flags``) checks each recommended session against a bounded
+per-date summary of the registered sessions, so no recommendation x
+registration pair is formed.  ``time_conflicts`` is the plain pairwise form
+(equi-join on ``(sid, city, date)`` plus the overlap residual), kept as the
+reference the tests compare with.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenrec.functions import intervals_overlap, java_split
@@ -103,42 +106,33 @@ def time_conflicts(rec_sessions: DataFrame, reg_sessions: DataFrame) -> DataFram
 
 def conflict_flags(rec_sessions: DataFrame, reg_sessions: DataFrame) -> DataFrame:
     """JN11 without pairs: per recommended session ``(sid, city_id, cla_id, d, st, et)``
-    a flag ``conflict`` -- does it overlap (closed) a registered session of the
-    same student on the same date?
-
-    Both sides are unioned and swept per ``(sid, city_id, d)`` in start order
-    (registered before recommended at equal starts).  A recommended interval R
-    overlaps some registered F iff
-      * the largest end of the registered sessions starting at or before R.st
-        reaches R.st, or
-      * the first registered start after R.st is at or before R.et.
-    Two running window aggregates answer both, so no pair is ever formed.
-    Sessions with a missing time or an inverted interval (start after end) are
-    error rows: counted by ``timetable_errors``, never matched.
+    a flag ``conflict`` -- does it overlap (closed, ``TimeCover``) a registered
+    session of the same student on the same date?
+
+    A registered F overlaps R iff ``F.st <= R.et and F.et >= R.st``.  For a fixed
+    start the second test only needs the largest end, so the registered side
+    is reduced to one ``(start, max end)`` entry per distinct start time of the
+    student's date -- at most one per minute of the day, however many rows
+    the data holds -- and every recommended session checks that short array
+    with ``exists``.  The join is many-to-one on ``(sid, city_id, d)``; a hot
+    key is split by AQE.  Exact for any intervals, inverted ones included;
+    rows with a missing time never match (SURVEY Q9).
     """
-    good = F.coalesce(F.col("st") <= F.col("et"), F.lit(False))
-    r = rec_sessions.select("sid", "city_id", "d", "cla_id", "st", "et", F.lit(1).alias("_side"),
-                            good.alias("_good"))
-    f = reg_sessions.filter(F.col("ok") & good).select(
-        "sid", "city_id", "d", F.lit(None).cast("string").alias("cla_id"), "st", "et",
-        F.lit(0).alias("_side"), F.lit(True).alias("_good"))
-    w = Window.partitionBy("sid", "city_id", "d").orderBy("st", "_side")
-    is_reg = F.col("_side") == 0
-    before = F.max(F.when(is_reg, F.col("et"))).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    after = F.min(F.when(is_reg, F.col("st"))).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    swept = r.unionByName(f).select("sid", "city_id", "cla_id", "d", "st", "et", "_side", "_good",
-                                    before.alias("_b"), after.alias("_a"))
-    conflict = F.col("_good") & (F.coalesce(F.col("_b") >= F.col("st"), F.lit(False))
-                                 | F.coalesce(F.col("_a") <= F.col("et"), F.lit(False)))
-    return swept.filter(F.col("_side") == 1).select("sid", "city_id", "cla_id", "d", "st", "et",
-                                                    conflict.alias("conflict"))
+    f = reg_sessions.filter(F.col("ok") & F.col("st").isNotNull() & F.col("et").isNotNull())
+    per_start = f.groupBy("sid", "city_id", "d", "st").agg(F.max("et").alias("mx"))
+    per_day = per_start.groupBy("sid", "city_id", "d") \
+        .agg(F.collect_list(F.struct("st", "mx")).alias("_reg"))
+    j = rec_sessions.join(per_day, ["sid", "city_id", "d"], "left")
+    hit = F.exists("_reg", lambda e: (e["st"] <= F.col("et")) & (e["mx"] >= F.col("st")))
+    return j.select("sid", "city_id", "cla_id", "d", "st", "et",
+                    F.coalesce(hit, F.lit(False)).alias("conflict"))
 
 
 def conflict_free_recs(rec_sessions: DataFrame, reg_sessions: DataFrame) -> DataFrame:
     """Recommendations ``(sid, city_id, cla_id)`` none of whose sessions conflict.
 
     Every recommendation must appear in ``rec_sessions`` with at least one
-    session (JN9 guarantees it); error-row sessions count as no conflict.
+    session (JN9 guarantees it); a session with a missing time has no conflict.
     """
     flags = conflict_flags(rec_sessions, reg_sessions)
     return flags.groupBy("sid", "city_id", "cla_id").agg(F.max("conflict").alias("_c")) \
@@ -146,8 +140,8 @@ def conflict_free_recs(rec_sessions: DataFrame, reg_sessions: DataFrame) -> Data
 
 
 def timetable_errors(sessions: DataFrame) -> DataFrame:
-    """Count error rows (missing time or start after end) of a session table."""
-    bad = F.col("st").isNull() | F.col("et").isNull() | (F.col("st") > F.col("et"))
+    """Count error rows (a missing start or end, SURVEY Q9) of a session table."""
+    bad = F.col("st").isNull() | F.col("et").isNull()
     return sessions.agg(F.sum(F.when(bad, 1).otherwise(0)).cast("bigint").alias("error_rows"),
                         F.count(F.lit(1)).alias("rows"))
 

@@ -33,7 +33,8 @@ def conflict_free(t: Tables, recs: DataFrame, as_of: str, city: str | None = Non
     (d) overlap no registered session on the same date (JN11).
 
     Returns the set ``(sid, city_id, cla_id)``: each input is used once, the
-    overlap test is a sweep (``conflict_flags``), never a pairwise join.
+    overlap test checks a bounded per-date summary (``conflict_flags``), never
+    a pairwise join.
     """
     r = recs if city is None else recs.filter(F.col("city_id") == city)
     sessions = sc.future_sessions(t.curriculum, as_of, city)
