@@ -18,7 +18,7 @@ from lumenrec.plans import recommend as prec
 from lumenrec.plans import serve as psv
 from lumenrec.operators import schedule as sched
 from lumenrec.sources import fixtures as fx
-from lumenrec.session import apply_core_conf
+from lumenrec.session import apply_core_conf, cut_lineage
 from lumenrec.sources.fixtures import bind_fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,16 +154,24 @@ def _drop_paging(df):
     return df.drop("page", "n_pages")
 
 
+def _free_cut(t):
+    """The conflict-free set behind a lineage cut: a pack reads its entries twice
+    (per-key counts for paging, then the entries), and the cut keeps the whole
+    recommendation chain from running twice.  The jobs cut the same way by
+    writing the table and reading it back."""
+    return cut_lineage(_conflict_free(t))
+
+
 @register("serve_pack")
 def q_serve_pack(spark, sf_dir):
     t = bind_fixtures(spark, sf_dir)
-    return _drop_paging(psv.student_pack(t, _conflict_free(t)))
+    return _drop_paging(psv.student_pack(t, _free_cut(t)))
 
 
 @register("serve_pack_keyed")
 def q_serve_pack_keyed(spark, sf_dir):
     t = bind_fixtures(spark, sf_dir)
-    return _drop_paging(psv.student_pack_keyed(t, _conflict_free(t)))
+    return _drop_paging(psv.student_pack_keyed(t, _free_cut(t)))
 
 
 @register("fallback_pack")
@@ -173,7 +181,7 @@ def q_fallback_pack(spark, sf_dir):
 
 
 def _kv(t):
-    return psv.kv_export(psv.student_pack(t, _conflict_free(t)), psv.fallback_pack(t), fx.AS_OF)
+    return psv.kv_export(psv.student_pack(t, _free_cut(t)), psv.fallback_pack(t), fx.AS_OF)
 
 
 @register("kv_export")
