@@ -24,6 +24,11 @@ _CORE_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
+    # Broadcast only on a measured size: no static (estimate-based) broadcast; AQE
+    # turns a shuffle join into a broadcast join once the small side's shuffle
+    # output is known to be under 32 MB, and keeps the shuffle join otherwise.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     # Re-runs overwrite only the dt partitions they produce.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # dt partitions are yyyy-MM-dd text stamps; keep them text when read back
