@@ -109,3 +109,12 @@ def test_reuse_or_compute(spark):
     pr.reuse_or_compute(stored, "2018-09-06", compute)
     pr.reuse_or_compute(stored.limit(0), "2018-09-05", compute)   # empty table -> recompute (Q10)
     assert len(calls) == 2
+
+
+def test_duplicate_recall_keys_keep_every_entry(spark):
+    """Q12: a location listed twice in the recall JSON contributes both lists."""
+    tokens, _, location = _rule_inputs(spark)
+    dup = spark.createDataFrame([("c1", "g1", ["数学_1"], '{"L1":["801"],"L1":["802"]}')],
+                                "city_id string, grade_id string, left array<string>, recall string")
+    got = rows(pr.rule_match(tokens, dup, location))
+    assert got == [("s1", "c1", "801"), ("s1", "c1", "802"), ("s2", "c1", "801"), ("s2", "c1", "802")]
