@@ -21,7 +21,7 @@ from lumenrec.plans import features as pf
 from lumenrec.plans import recommend as prec
 from lumenrec.plans import rules as pr
 from lumenrec.plans import serve as psv
-from lumenrec.sinks import append_partitions, overwrite_table, push_partitions, single_file_text
+from lumenrec.sinks import append_partitions, overwrite_table, push_partitions, text_export
 from lumenrec.sources.tables import Tables
 
 
@@ -98,9 +98,9 @@ def fallback_job(t: Tables, out_root: str, as_of: str, client_factory=None) -> s
 
 
 def order_recall_job(t: Tables, out_root: str, begin: str, end: str) -> dict[str, str]:
-    """PL12: the text rows as one file (SNK4) and the sums per (id, feature)."""
+    """PL12: the text rows as a delimited text export (SNK4) and the sums per (id, feature)."""
     rows_path, sums_path = f"{out_root}/order_recall_rows", f"{out_root}/order_recall_sums"
-    single_file_text(pf.order_recall_rows(t, begin, end), rows_path)
+    text_export(pf.order_recall_rows(t, begin, end), rows_path)
     overwrite_table(pf.order_recall(t, begin, end), sums_path)
     return {"rows": rows_path, "sums": sums_path}
 

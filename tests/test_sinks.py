@@ -4,7 +4,7 @@ import glob
 import json
 import os
 
-from lumenrec.sinks import append_partitions, overwrite_table, push_partitions, single_file_text
+from lumenrec.sinks import append_partitions, overwrite_table, push_partitions, text_export
 
 
 def test_rerun_replaces_only_its_partitions(spark, tmp_path):
@@ -18,13 +18,16 @@ def test_rerun_replaces_only_its_partitions(spark, tmp_path):
     assert got == [("s1", 1.0, "2018-09-05"), ("s1", 9.0, "2018-09-06"), ("s2", 2.0, "2018-09-05")]
 
 
-def test_overwrite_and_single_file(spark, tmp_path):
+def test_overwrite_and_text_export(spark, tmp_path):
     df = spark.range(20).selectExpr("CAST(id AS STRING) AS k", "id * 2 AS v").repartition(4)
     overwrite_table(df, str(tmp_path / "t"))
     overwrite_table(df.limit(3), str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).count() == 3
-    single_file_text(df, str(tmp_path / "txt"))
-    assert len(glob.glob(str(tmp_path / "txt" / "part-*"))) == 1
+    text_export(df, str(tmp_path / "txt"), records_per_file=3)
+    parts = glob.glob(str(tmp_path / "txt" / "part-*"))
+    lines = sorted(line.strip() for p in parts for line in open(p))
+    assert lines == sorted(f"{i},{2 * i}" for i in range(20))
+    assert all(sum(1 for _ in open(p)) <= 3 for p in parts)
 
 
 def _file_client_factory(folder):
