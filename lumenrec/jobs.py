@@ -66,19 +66,17 @@ def flagship_job(t: Tables, out_root: str, as_of: str, pay_after: str, city: str
     if tokens is not stored:
         overwrite_table(tokens, p["rule_tokens"])
     tokens = sp.read.parquet(p["rule_tokens"])
-    # PL6: recommendation lists (stored as lists, one row per student)
+    # PL6: recommendations, stored long (one row per student and class); the
+    # list shape of the original table is `rules.as_lists` over this table
     recs = pr.rule_match(tokens, t.rule, t.location, city)
-    append_partitions(pr.as_lists(recs).withColumn("dt", F.lit(as_of)), p["loc_rule_rec"])
-    recs = _read(sp, p["loc_rule_rec"], as_of).select(
-        "sid", "city_id", F.explode("rec_class_list").alias("cla_id"))
+    append_partitions(recs.withColumn("dt", F.lit(as_of)), p["loc_rule_rec"])
+    recs = _read(sp, p["loc_rule_rec"], as_of).select("sid", "city_id", "cla_id")
     # PL7: curriculum transform table
     append_partitions(prec.curriculum_table(t, as_of, city), p["curriculum_transform"])
     # PL8: conflict-free lists
     free = prec.conflict_free(t, recs, as_of, city)
-    append_partitions(pr.as_lists(free, name="rec_list").withColumn("dt", F.lit(as_of)),
-                      p["after_filter_recommand"])
-    free = _read(sp, p["after_filter_recommand"], as_of).select(
-        "sid", "city_id", F.explode("rec_list").alias("cla_id"))
+    append_partitions(free.withColumn("dt", F.lit(as_of)), p["after_filter_recommand"])
+    free = _read(sp, p["after_filter_recommand"], as_of).select("sid", "city_id", "cla_id")
     # PL9: packs -> key-value records
     kv = psv.kv_records(psv.student_pack(t, free, city), psv.STUDENT_KEY_PREFIX, "sid", as_of)
     append_partitions(kv.withColumn("dt", F.lit(as_of)), p["kv_student"])

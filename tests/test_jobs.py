@@ -25,7 +25,8 @@ def test_flagship_job_matches_query_and_reruns_idempotently(spark, tmp_path):
     want = rows(E.queries()["serve_pack"](spark, SF).selectExpr("concat('recommend_studentid_', sid)", "jsonstring"))
     assert first == want
     free = spark.read.parquet(p["after_filter_recommand"])
-    assert free.filter("size(rec_list) = 0").count() == 0
+    assert free.filter("cla_id IS NULL OR cla_id = ''").count() == 0
+    assert rows(free, "sid", "city_id", "cla_id") == rows(E.queries()["conflict_free"](spark, SF))
 
 
 def test_city_run_is_a_slice_of_the_all_city_run(spark, tmp_path):
@@ -34,7 +35,7 @@ def test_city_run_is_a_slice_of_the_all_city_run(spark, tmp_path):
     one = jobs.flagship_job(t, str(tmp_path / "c0"), fx.AS_OF, fx.PAY_AFTER, city="0")
     a = spark.read.parquet(all_city["after_filter_recommand"]).filter("city_id = '0'")
     b = spark.read.parquet(one["after_filter_recommand"])
-    assert rows(a, "sid", "rec_list") == rows(b, "sid", "rec_list")
+    assert rows(a, "sid", "cla_id") == rows(b, "sid", "cla_id")
 
 
 def test_feature_and_list_jobs(spark, tmp_path):
