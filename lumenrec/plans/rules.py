@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumenrec.functions import is_valid, is_valid_city_weak, java_split, pad3, token
+from lumenrec.functions import is_valid, is_valid_city_weak, java_split, token
 from lumenrec.operators.joins import DEFAULT_SALT, containment_join, salted_join
 from lumenrec.operators.ranking import as_padded_list, recent_distinct
 from lumenrec.sources.tables import Tables

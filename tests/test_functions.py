@@ -1,6 +1,5 @@
 """Truth tables of the scalar functions (SC1-SC8, PF5, PF6, PF12, NS3, NS6)."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from lumenrec import functions as fn

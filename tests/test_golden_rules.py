@@ -3,7 +3,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from lumenrec.plans import rules as pr
 from lumenrec.schemas import TOKENS

@@ -4,7 +4,6 @@ import json
 
 from lumenrec.operators import packs
 from lumenrec.plans import serve as psv
-from tests.conftest import rows
 from tests.helpers import tables
 
 SCORE = [
