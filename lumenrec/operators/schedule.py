@@ -112,8 +112,8 @@ def conflict_flags(rec_sessions: DataFrame, reg_sessions: DataFrame) -> DataFram
     A registered F overlaps R iff ``F.st <= R.et and F.et >= R.st``.  For a fixed
     start the second test only needs the largest end, so the registered side
     is reduced to one ``(start, max end)`` entry per distinct start time of the
-    student's date -- at most one per minute of the day, however many rows
-    the data holds -- and every recommended session checks that short array
+    student's date -- bounded by the clock's resolution (1,440 for ``HH:MM``),
+    however many rows the data holds -- and every recommended session checks that short array
     with ``exists``.  The join is many-to-one on ``(sid, city_id, d)``; a hot
     key is split by AQE.  Exact for any intervals, inverted ones included;
     rows with a missing time never match (SURVEY Q9).

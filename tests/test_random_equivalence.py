@@ -32,7 +32,7 @@ def _minute(m):
     return f"{m // 60:02d}:{m % 60:02d}"
 
 
-def test_conflict_sweep_equals_nested_loop(spark):
+def test_conflict_check_equals_nested_loop(spark):
     rnd = random.Random(11)
     dates = ["2001-03-01", "2001-03-02", "2001-03-03"]
     recs, regs = [], []
