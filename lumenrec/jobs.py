@@ -5,7 +5,12 @@ and later stages read the written tables back: the write is the lineage cut,
 so a lost executor costs one stage, never the whole chain, and nothing is
 computed twice.  Reruns replace their own ``dt`` partitions (SNK1).
 
-    python -m lumenrec.jobs flagship --sf-dir /root/testdata/sf0.01 --out /shared/out [--city 0]
+    python -m lumenrec.jobs flagship --sf-dir /root/testdata/sf0.01 --out /shared/out --master local[*]
+    spark-submit --py-files lumenrec.zip lumenrec/jobs.py flagship \
+        --catalog '{"behavior": "db.behavior", ...}' --out /shared/out --city 0
+
+The parameters (dates, ``as_of``) are the fixture ones; a catalog run passes its
+own by calling the job functions directly.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ from lumenrec.plans import recommend as prec
 from lumenrec.plans import rules as pr
 from lumenrec.plans import serve as psv
 from lumenrec.sinks import append_partitions, overwrite_table, push_partitions, text_export
-from lumenrec.sources.tables import Tables
+from lumenrec.sources.tables import Tables, from_catalog
 
 
 def _read(spark: SparkSession, path: str, dt: str | None = None) -> DataFrame:
@@ -108,13 +113,21 @@ def main(argv=None) -> None:
     from lumenrec.sources import fixtures as fx
     ap = argparse.ArgumentParser(prog="lumenrec.jobs")
     ap.add_argument("job", choices=["features", "lists", "flagship", "fallback", "order_recall"])
-    ap.add_argument("--sf-dir", required=True)
-    ap.add_argument("--out", required=True)
+    src = ap.add_mutually_exclusive_group(required=True)
+    src.add_argument("--sf-dir", help="driver tables folder (fixture binding)")
+    src.add_argument("--catalog", help='JSON map of logical inputs to tables, e.g. {"behavior": "db.user_behavior"}')
+    ap.add_argument("--out", required=True, help="shared output folder")
     ap.add_argument("--city", default=None)
-    ap.add_argument("--master", default="local[*]")
+    ap.add_argument("--master", default=None, help="local master for a run outside spark-submit")
     a = ap.parse_args(argv)
-    spark = build_session(master=a.master)
-    t = fx.bind_fixtures(spark, a.sf_dir)
+    if a.master:
+        spark = build_session(master=a.master)
+    else:
+        from pyspark.sql import SparkSession
+        from lumenrec.session import apply_core_conf
+        spark = SparkSession.builder.getOrCreate()   # spark-submit supplies master and resources
+        apply_core_conf(spark)
+    t = fx.bind_fixtures(spark, a.sf_dir) if a.sf_dir else from_catalog(spark, json.loads(a.catalog))
     if a.job == "features":
         res = feature_job(t, a.out, (fx.EVENT_BEGIN, fx.EVENT_END), (fx.ORDER_BEGIN, fx.ORDER_END),
                           fx.ORDER_END, fx.CREATED_AFTER)
