@@ -9,8 +9,8 @@ computed twice.  Reruns replace their own ``dt`` partitions (SNK1).
     spark-submit --py-files lumenrec.zip lumenrec/jobs.py flagship \
         --catalog '{"behavior": "db.behavior", ...}' --out /shared/out --city 0
 
-The parameters (dates, ``as_of``) are the fixture ones; a catalog run passes its
-own by calling the job functions directly.
+Dates default to the fixture parameters; pass ``--as-of``, ``--pay-after``,
+``--event-range``, ``--order-range`` and ``--created-after`` for other data.
 """
 
 from __future__ import annotations
@@ -119,6 +119,11 @@ def main(argv=None) -> None:
     ap.add_argument("--out", required=True, help="shared output folder")
     ap.add_argument("--city", default=None)
     ap.add_argument("--master", default=None, help="local master for a run outside spark-submit")
+    ap.add_argument("--as-of", default=fx.AS_OF, help="today: the dt stamp and the future-session bound")
+    ap.add_argument("--pay-after", default=fx.PAY_AFTER)
+    ap.add_argument("--created-after", default=fx.CREATED_AFTER)
+    ap.add_argument("--event-range", nargs=2, default=[fx.EVENT_BEGIN, fx.EVENT_END])
+    ap.add_argument("--order-range", nargs=2, default=[fx.ORDER_BEGIN, fx.ORDER_END])
     a = ap.parse_args(argv)
     if a.master:
         spark = build_session(master=a.master)
@@ -128,17 +133,17 @@ def main(argv=None) -> None:
         spark = SparkSession.builder.getOrCreate()   # spark-submit supplies master and resources
         apply_core_conf(spark)
     t = fx.bind_fixtures(spark, a.sf_dir) if a.sf_dir else from_catalog(spark, json.loads(a.catalog))
+    ev, od = tuple(a.event_range), tuple(a.order_range)
     if a.job == "features":
-        res = feature_job(t, a.out, (fx.EVENT_BEGIN, fx.EVENT_END), (fx.ORDER_BEGIN, fx.ORDER_END),
-                          fx.ORDER_END, fx.CREATED_AFTER)
+        res = feature_job(t, a.out, ev, od, od[1], a.created_after)
     elif a.job == "lists":
-        res = list_job(t, a.out, fx.EVENT_BEGIN, fx.EVENT_END, fx.EVENT_END)
+        res = list_job(t, a.out, ev[0], ev[1], ev[1])
     elif a.job == "flagship":
-        res = flagship_job(t, a.out, fx.AS_OF, fx.PAY_AFTER, a.city)
+        res = flagship_job(t, a.out, a.as_of, a.pay_after, a.city)
     elif a.job == "fallback":
-        res = fallback_job(t, a.out, fx.AS_OF)
+        res = fallback_job(t, a.out, a.as_of)
     else:
-        res = order_recall_job(t, a.out, fx.ORDER_BEGIN, fx.ORDER_END)
+        res = order_recall_job(t, a.out, *od)
     print(json.dumps(res))
     spark.stop()
 
