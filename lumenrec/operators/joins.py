@@ -2,8 +2,11 @@
 
 Keys such as ``(city, grade)`` have a handful of values however large the
 data is, so one value can hold a third of all students.  ``salted_join``
-spreads the big side of such a key over ``salt`` buckets (by a hash of a
-high-cardinality column) and replicates the small side into every bucket;
+spreads the big side of such a key over buckets (by a hash of a
+high-cardinality column) and replicates the small side into every bucket of
+that key.  The bucket count is per key: ``salt_buckets`` derives it from an
+estimate of the key's big-side rows (cold keys get one bucket, i.e. no
+replication; hot keys up to ``MAX_SALT``).  A fixed ``salt`` is also accepted.
 AQE's skew-join split still applies on top.
 """
 
@@ -12,23 +15,48 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Buckets per hot key; the small side is copied this many times.
+# Fixed salt when no per-key estimate is given; the small side is copied this many times.
 DEFAULT_SALT = 8
+# Per-key buckets: one per this many estimated big-side rows, at most MAX_SALT.
+ROWS_PER_BUCKET = 2_000_000
+MAX_SALT = 64
 _SALT = "_salt"
+_BUCKETS = "_buckets"
+
+
+def salt_buckets(load: DataFrame, keys: list[str], n_col: str = "_n",
+                 rows_per_bucket: int = ROWS_PER_BUCKET, max_salt: int = MAX_SALT) -> DataFrame:
+    """``(keys..., _buckets)``: how many buckets each key's big side is spread over,
+    from ``n_col``, an estimate (an upper bound is best) of its big-side rows."""
+    n = F.ceil(F.col(n_col) / F.lit(rows_per_bucket))
+    return load.select(*keys, F.least(F.lit(max_salt), F.greatest(F.lit(1), n)).cast("int").alias(_BUCKETS))
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], spread_by: str | list[str],
-                how: str = "inner", salt: int = DEFAULT_SALT) -> DataFrame:
-    """Equi-join on ``on`` with the big side split into ``salt`` buckets per key.
+                how: str = "inner", salt: int = DEFAULT_SALT,
+                buckets: DataFrame | None = None) -> DataFrame:
+    """Equi-join on ``on`` with the big side of each key split into buckets.
 
-    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti`` (the big side
-    stays on the left, so every big row meets every small row of its key once).
+    ``buckets`` (from ``salt_buckets``, keyed by a subset of ``on``) gives the
+    count per key -- keys it does not list get one bucket; without it every key
+    gets ``salt`` buckets.  ``how`` is ``inner``, ``left``, ``left_semi`` or
+    ``left_anti`` (the big side stays on the left, so every big row meets every
+    small row of its key exactly once).  The bucket table has one small row per
+    coarse key; AQE broadcasts it once its measured size allows.
     """
-    if salt <= 1:
-        return big.join(small, on, how)
     spread = [spread_by] if isinstance(spread_by, str) else list(spread_by)
-    b = big.withColumn(_SALT, F.pmod(F.xxhash64(*spread), F.lit(salt)).cast("int"))
-    s = small.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    if buckets is None:
+        if salt <= 1:
+            return big.join(small, on, how)
+        b = big.withColumn(_SALT, F.pmod(F.xxhash64(*spread), F.lit(salt)).cast("int"))
+        s = small.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        return b.join(s, on + [_SALT], how).drop(_SALT)
+    keys = [c for c in buckets.columns if c != _BUCKETS]
+    count = F.coalesce(F.col(_BUCKETS), F.lit(1))
+    b = big.join(buckets, keys, "left") \
+        .withColumn(_SALT, F.pmod(F.xxhash64(*spread), count).cast("int")).drop(_BUCKETS)
+    s = small.join(buckets, keys, "left") \
+        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), count - 1))).drop(_BUCKETS)
     return b.join(s, on + [_SALT], how).drop(_SALT)
 
 
@@ -44,14 +72,16 @@ def contained_in(required: str | Column, offered: str | Column) -> Column:
 
 def containment_join(items: DataFrame, item_key: list[str], item_tokens: str,
                      sets: DataFrame, set_key: list[str], set_tokens: str,
-                     on: list[str], salt: int = DEFAULT_SALT) -> DataFrame:
+                     on: list[str], salt: int = DEFAULT_SALT,
+                     buckets: DataFrame | None = None) -> DataFrame:
     """JN7 relational division: pairs (item, set) with ``set_tokens ⊆ item_tokens``
     inside the same ``on`` group.
 
     Non-empty sets: explode both token lists, equi-join on ``on + token`` and keep
     pairs whose matched-token count equals the number of distinct set tokens.
     Empty sets: every item of the group (a join on ``on`` alone, salted because
-    the group key is coarse).  Null sets match nothing.
+    the group key is coarse).  Null sets match nothing.  ``buckets`` (keyed by
+    a subset of ``on``) sets the salt per group; otherwise ``salt`` for all.
     Returns ``item_key + set_key`` columns, one row per matching pair (items
     are expected to be unique per ``item_key``).
     """
@@ -64,13 +94,14 @@ def containment_join(items: DataFrame, item_key: list[str], item_tokens: str,
     st_nonempty = st.filter(F.size("_req") > 0) \
         .select(*set_key, *[c for c in on if c not in set_key], F.size("_req").alias("_n"),
                 F.explode("_req").alias(tok))
-    hits = salted_join(it, st_nonempty, on + [tok], spread_by=item_key, salt=salt)
+    hits = salted_join(it, st_nonempty, on + [tok], spread_by=item_key, salt=salt, buckets=buckets)
     # distinct matched tokens (at most _n per pair), robust to repeated item rows
     full = hits.groupBy(*item_key, *set_key, "_n").agg(F.size(F.collect_set(tok)).alias("_hit")) \
         .filter(F.col("_hit") == F.col("_n")).select(*item_key, *set_key)
     empties = st.filter(F.size("_req") == 0).select(*set_key, *[c for c in on if c not in set_key])
     owners = items.select(*item_key, *[c for c in on if c not in item_key])
-    every = salted_join(owners, empties, on, spread_by=item_key, salt=salt).select(*item_key, *set_key)
+    every = salted_join(owners, empties, on, spread_by=item_key, salt=salt,
+                        buckets=buckets).select(*item_key, *set_key)
     # the branches are disjoint (non-empty vs empty sets) and each is one row per
     # pair when ``items`` has one row per item key, so no dedupe shuffle is needed
     return full.unionByName(every)

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumenrec.functions import is_valid, is_valid_city_weak, java_split, token
-from lumenrec.operators.joins import DEFAULT_SALT, containment_join, salted_join
+from lumenrec.operators.joins import (
+    DEFAULT_SALT, ROWS_PER_BUCKET, containment_join, salt_buckets, salted_join,
+)
 from lumenrec.operators.ranking import as_padded_list, recent_distinct
 from lumenrec.sources.tables import Tables
 
@@ -120,23 +122,37 @@ def student_locations(location: DataFrame, city: str | None = None) -> DataFrame
 
 
 def rule_match(tokens: DataFrame, rules: DataFrame, location: DataFrame, city: str | None = None,
-               salt: int = DEFAULT_SALT, bad_json: str = "fail") -> DataFrame:
+               salt: int | None = None, bad_json: str = "fail",
+               rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """PL6: distinct recommendations ``(sid, city_id, cla_id)`` (JN5-JN7, NS1-NS2, AG6).
 
     A rule matches a student of its city and grade when every token of its
     ``left`` is in the student's padded token list (so ``''`` in ``left``
     matches students with fewer than three tokens).  A matched rule offers the
     classes listed under each of the student's locations and the live key.
+
+    Skew: the students per ``(city, grade)`` -- one count over the stored token
+    table -- bound the rows of every coarse-keyed join below, so they set the
+    salt buckets per group and per rule (``salt_buckets``); pass ``salt`` to
+    use one fixed salt instead.
     """
     tk = tokens if city is None else tokens.filter(F.col("city_id") == city)
     rl = rules_with_id(rules, city)
+    group_buckets = rule_buckets = None
+    if salt is None:
+        load = tk.groupBy("city_id", "grade_id").agg(F.count(F.lit(1)).alias("_n"))
+        group_buckets = salt_buckets(load, ["city_id", "grade_id"], rows_per_bucket=rows_per_bucket)
+        rule_buckets = rl.select("rule_id", "city_id", "grade_id") \
+            .join(group_buckets, ["city_id", "grade_id"]).select("rule_id", "_buckets")
+    fixed = DEFAULT_SALT if salt is None else salt
     matched = containment_join(tk.select("sid", "city_id", "grade_id", "left_rule"), ["sid", "city_id"],
                                "left_rule", rl.select("rule_id", "city_id", "grade_id", "left"),
-                               ["rule_id"], "left", on=["city_id", "grade_id"], salt=salt)
+                               ["rule_id"], "left", on=["city_id", "grade_id"], salt=fixed,
+                               buckets=group_buckets)
     locs = student_locations(location, city)
     offers = matched.join(locs, ["sid", "city_id"])
     recalls = recall_entries(rl, bad_json)
-    recs = salted_join(offers, recalls, ["rule_id", "loc"], spread_by="sid", salt=salt)
+    recs = salted_join(offers, recalls, ["rule_id", "loc"], spread_by="sid", salt=fixed, buckets=rule_buckets)
     return recs.filter(F.col("cla_id") != "").select("sid", "city_id", "cla_id").distinct()
 
 

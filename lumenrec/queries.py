@@ -93,7 +93,9 @@ def q_student_tokens(spark, sf_dir):
 
 
 def _rule_match(t):
-    return pr.rule_match(_tokens(t), t.rule, t.location)
+    # the token table is a stored table of the original (PL5 writes it); the cut
+    # stands for that write, so counting students per group reads it, not the chain
+    return pr.rule_match(cut_lineage(_tokens(t)), t.rule, t.location)
 
 
 @register("rule_match")

@@ -76,7 +76,11 @@ def test_rule_match_golden(spark):
 
 def test_rule_match_salt_invariant(spark):
     tokens, rules, location = _rule_inputs(spark)
-    assert rows(pr.rule_match(tokens, rules, location, salt=1)) == rows(pr.rule_match(tokens, rules, location, salt=7))
+    want = rows(pr.rule_match(tokens, rules, location, salt=1))
+    assert rows(pr.rule_match(tokens, rules, location, salt=7)) == want
+    # per-group buckets: one student per bucket forces every group to split
+    assert rows(pr.rule_match(tokens, rules, location, rows_per_bucket=1)) == want
+    assert rows(pr.rule_match(tokens, rules, location)) == want
 
 
 def test_rule_match_city_filter(spark):
