@@ -371,3 +371,21 @@ QUERIES["event_unpivot"] = with_views(f"ev AS ({_EV})\nSELECT sid, feature_name,
 
 QUERIES["order_unpivot"] = with_views(
     f"od AS ({_OD})\nSELECT sid, feature_name, round(value, 6) AS value FROM ({_OD_TRIPLES}) t")
+
+# ---- the local job's per-day samples (WN3 + PL1/PL2) ------------------------------------
+
+_EV_COLS = ", ".join(f"{c} NULLS FIRST" for c in (
+    "sid", "cla_id", "cla_level_name", "cla_subject_names", "cla_class_type", "cla_teacher_ids",
+    "cla_servicecenter_id", "cla_classtime_ids"))
+_OD_COLS = ", ".join(f"{c} NULLS FIRST" for c in (
+    "sid", "orderstatus", "classprice", "classlevelname", "subjectname", "startdate", "finacreatedate"))
+
+QUERIES["event_features_sample"] = with_views(f"""
+ev AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY day ORDER BY {_EV_COLS}) AS rn FROM ({_EV}) x)
+       WHERE rn <= 300)
+""" + _features(_EV_TRIPLES, "2024-01-20"))
+
+QUERIES["order_features_sample"] = with_views(f"""
+od AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dt ORDER BY {_OD_COLS}) AS rn FROM ({_OD}) x)
+       WHERE rn <= 20)
+""" + _features(_OD_TRIPLES, "2001-08-01"))

@@ -16,6 +16,7 @@ from lumenrec.functions import is_valid
 from lumenrec.functions.time import days_in_range
 from lumenrec.operators import features as ft
 from lumenrec.operators.ranking import top3_json
+from lumenrec.operators.reshape import sample_per_group
 from lumenrec.sources.tables import Tables
 
 
@@ -40,6 +41,19 @@ def merged_features(t: Tables, event_range: tuple[str, str], order_range: tuple[
     return ft.sum_weights(ev.unionByName(od), dt)
 
 
+def sampled_event_features(t: Tables, begin: str, end: str, dt: str, per_day: int = 1000) -> DataFrame:
+    """PL2 of the local job: at most ``per_day`` behaviour rows of each day (total order)."""
+    rows = sample_per_group(ft.valid_events(t.behavior, begin, end), "day", per_day)
+    return ft.sum_weights(ft.event_triples(rows), dt)
+
+
+def sampled_order_features(t: Tables, begin: str, end: str, dt: str, created_after: str,
+                           per_day: int = 1000) -> DataFrame:
+    """PL1 of the local job: at most ``per_day`` orders of each ``dt`` (total order)."""
+    rows = sample_per_group(ft.valid_orders(t.order, begin, end, created_after), "dt", per_day)
+    return ft.sum_weights(ft.order_triples(rows), dt)
+
+
 # ---- PL4 preference lists -------------------------------------------------------------
 
 # ---- fixed values: the three lists of the original job --------------------------------

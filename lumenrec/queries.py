@@ -353,3 +353,16 @@ def q_order_unpivot(spark, sf_dir):
     t = bind_fixtures(spark, sf_dir)
     tr = ft.order_triples(ft.valid_orders(t.order, fx.ORDER_BEGIN, fx.ORDER_END, fx.CREATED_AFTER))
     return _round(tr, "value")
+
+
+@register("event_features_sample")
+def q_event_features_sample(spark, sf_dir):
+    t = bind_fixtures(spark, sf_dir)
+    return _round(pf.sampled_event_features(t, fx.EVENT_BEGIN, fx.EVENT_END, fx.EVENT_END, per_day=300), "value")
+
+
+@register("order_features_sample")
+def q_order_features_sample(spark, sf_dir):
+    t = bind_fixtures(spark, sf_dir)
+    return _round(pf.sampled_order_features(t, fx.ORDER_BEGIN, fx.ORDER_END, fx.ORDER_END, fx.CREATED_AFTER,
+                                            per_day=20), "value")
