@@ -73,7 +73,7 @@ def flagship_job(t: Tables, out_root: str, as_of: str, pay_after: str, city: str
     tokens = sp.read.parquet(p["rule_tokens"])
     # PL6: recommendations, stored long (one row per student and class); the
     # list shape of the original table is `rules.as_lists` over this table
-    recs = pr.rule_match(tokens, t.rule, t.location, city)
+    recs = pr.rule_match(tokens, t.rule, t.location, city, group_load=pr.students_per_group(t.student, city))
     append_partitions(recs.withColumn("dt", F.lit(as_of)), p["loc_rule_rec"])
     recs = _read(sp, p["loc_rule_rec"], as_of).select("sid", "city_id", "cla_id")
     # PL7: curriculum transform table

@@ -26,10 +26,15 @@ _BUCKETS = "_buckets"
 
 def salt_buckets(load: DataFrame, keys: list[str], n_col: str = "_n",
                  rows_per_bucket: int = ROWS_PER_BUCKET, max_salt: int = MAX_SALT) -> DataFrame:
-    """``(keys..., _buckets)``: how many buckets each key's big side is spread over,
-    from ``n_col``, an estimate (an upper bound is best) of its big-side rows."""
-    n = F.ceil(F.col(n_col) / F.lit(rows_per_bucket))
-    return load.select(*keys, F.least(F.lit(max_salt), F.greatest(F.lit(1), n)).cast("int").alias(_BUCKETS))
+    """``(keys..., _buckets)`` for the *hot* keys only: how many buckets a key's big
+    side is spread over, from ``n_col``, an estimate (an upper bound is best) of
+    its big-side rows.  Keys needing one bucket are left out.
+
+    Size bound: a listed key has more than ``rows_per_bucket`` rows, so the table
+    has fewer than ``total rows / rows_per_bucket`` entries -- which is what lets
+    ``salted_join`` broadcast it."""
+    n = F.least(F.lit(max_salt), F.greatest(F.lit(1), F.ceil(F.col(n_col) / F.lit(rows_per_bucket)))).cast("int")
+    return load.select(*keys, n.alias(_BUCKETS)).filter(F.col(_BUCKETS) > 1)
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], spread_by: str | list[str],
@@ -37,12 +42,14 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], spread_by: str
                 buckets: DataFrame | None = None) -> DataFrame:
     """Equi-join on ``on`` with the big side of each key split into buckets.
 
-    ``buckets`` (from ``salt_buckets``, keyed by a subset of ``on``) gives the
-    count per key -- keys it does not list get one bucket; without it every key
-    gets ``salt`` buckets.  ``how`` is ``inner``, ``left``, ``left_semi`` or
-    ``left_anti`` (the big side stays on the left, so every big row meets every
-    small row of its key exactly once).  The bucket table has one small row per
-    coarse key; AQE broadcasts it once its measured size allows.
+    ``buckets`` (from ``salt_buckets``) gives the count per hot key -- keys it
+    does not list get one bucket, i.e. no replication; without it every key gets
+    ``salt`` buckets.  Its key columns must exist on both sides and be fixed by
+    the join key (e.g. a rule's city and grade).  ``how`` is ``inner``,
+    ``left``, ``left_semi`` or ``left_anti`` (the big side stays on the left, so
+    every big row meets every small row of its key exactly once).  The bucket
+    table is broadcast: its size is bounded (see ``salt_buckets``), and a
+    shuffle join on the coarse key would recreate the skew it removes.
     """
     spread = [spread_by] if isinstance(spread_by, str) else list(spread_by)
     if buckets is None:
@@ -52,11 +59,13 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], spread_by: str
         s = small.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         return b.join(s, on + [_SALT], how).drop(_SALT)
     keys = [c for c in buckets.columns if c != _BUCKETS]
+    hot = F.broadcast(buckets)
     count = F.coalesce(F.col(_BUCKETS), F.lit(1))
-    b = big.join(buckets, keys, "left") \
+    b = big.join(hot, keys, "left") \
         .withColumn(_SALT, F.pmod(F.xxhash64(*spread), count).cast("int")).drop(_BUCKETS)
-    s = small.join(buckets, keys, "left") \
+    s = small.join(hot, keys, "left") \
         .withColumn(_SALT, F.explode(F.sequence(F.lit(0), count - 1))).drop(_BUCKETS)
+    s = s.drop(*[k for k in keys if k not in on])
     return b.join(s, on + [_SALT], how).drop(_SALT)
 
 

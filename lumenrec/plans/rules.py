@@ -95,19 +95,19 @@ def rules_with_id(rules: DataFrame, city: str | None = None) -> DataFrame:
 
 
 def recall_entries(rules: DataFrame, bad_json: str = "fail") -> DataFrame:
-    """NS1: recall JSON -> rows ``(rule_id, loc, cla_id)``.
+    """NS1: recall JSON -> rows ``(rule_id, city_id, grade_id, loc, cla_id)``.
 
     Unparseable JSON fails the job like the original (``bad_json='fail'``), or
     is skipped (``'skip'``).
     """
     parsed = F.from_json("recall", _RECALL)
-    r = rules.select("rule_id", "recall", parsed.alias("m"))
+    r = rules.select("rule_id", "city_id", "grade_id", "recall", parsed.alias("m"))
     if bad_json == "fail":
         r = r.withColumn("m", F.when(F.col("m").isNull(),
                                      F.raise_error(F.concat(F.lit("bad recall JSON: "), F.col("recall"))))
                          .otherwise(F.col("m")))
-    return r.select("rule_id", F.explode("m").alias("loc", "ids")) \
-        .select("rule_id", "loc", F.explode("ids").alias("cla_id"))
+    return r.select("rule_id", "city_id", "grade_id", F.explode("m").alias("loc", "ids")) \
+        .select("rule_id", "city_id", "grade_id", "loc", F.explode("ids").alias("cla_id"))
 
 
 def student_locations(location: DataFrame, city: str | None = None) -> DataFrame:
@@ -121,9 +121,21 @@ def student_locations(location: DataFrame, city: str | None = None) -> DataFrame
                       F.explode(F.array_distinct(F.array_append(parts, F.lit(LIVE_KEY)))).alias("loc"))
 
 
+def students_per_group(student: DataFrame, city: str | None = None) -> DataFrame:
+    """``(city_id, grade_id, _n)``: students per group, from the base student table.
+
+    Token lists are a subset of the students (PL5 joins them), so this bounds
+    the rows per group of every coarse-keyed join of the rule match without
+    touching the token chain."""
+    s = student.filter(is_valid_city_weak("city_id") & is_valid("stu_grade_id"))
+    if city is not None:
+        s = s.filter(F.col("city_id") == city)
+    return s.groupBy("city_id", F.col("stu_grade_id").alias("grade_id")).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def rule_match(tokens: DataFrame, rules: DataFrame, location: DataFrame, city: str | None = None,
                salt: int | None = None, bad_json: str = "fail",
-               rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+               rows_per_bucket: int = ROWS_PER_BUCKET, group_load: DataFrame | None = None) -> DataFrame:
     """PL6: distinct recommendations ``(sid, city_id, cla_id)`` (JN5-JN7, NS1-NS2, AG6).
 
     A rule matches a student of its city and grade when every token of its
@@ -131,28 +143,31 @@ def rule_match(tokens: DataFrame, rules: DataFrame, location: DataFrame, city: s
     matches students with fewer than three tokens).  A matched rule offers the
     classes listed under each of the student's locations and the live key.
 
-    Skew: the students per ``(city, grade)`` -- one count over the stored token
-    table -- bound the rows of every coarse-keyed join below, so they set the
-    salt buckets per group and per rule (``salt_buckets``); pass ``salt`` to
-    use one fixed salt instead.
+    Skew: the students per ``(city, grade)`` bound the rows of every
+    coarse-keyed join below, so they set the salt buckets per group and per
+    rule (``salt_buckets``).  ``group_load`` supplies that count
+    (``students_per_group`` over the student table); without it the token table
+    is counted.  Pass ``salt`` to use one fixed salt instead.
     """
     tk = tokens if city is None else tokens.filter(F.col("city_id") == city)
     rl = rules_with_id(rules, city)
-    group_buckets = rule_buckets = None
+    group_buckets = None
     if salt is None:
-        load = tk.groupBy("city_id", "grade_id").agg(F.count(F.lit(1)).alias("_n"))
+        load = group_load if group_load is not None else \
+            tk.groupBy("city_id", "grade_id").agg(F.count(F.lit(1)).alias("_n"))
         group_buckets = salt_buckets(load, ["city_id", "grade_id"], rows_per_bucket=rows_per_bucket)
-        rule_buckets = rl.select("rule_id", "city_id", "grade_id") \
-            .join(group_buckets, ["city_id", "grade_id"]).select("rule_id", "_buckets")
     fixed = DEFAULT_SALT if salt is None else salt
-    matched = containment_join(tk.select("sid", "city_id", "grade_id", "left_rule"), ["sid", "city_id"],
+    matched = containment_join(tk.select("sid", "city_id", "grade_id", "left_rule"), ["sid", "city_id", "grade_id"],
                                "left_rule", rl.select("rule_id", "city_id", "grade_id", "left"),
                                ["rule_id"], "left", on=["city_id", "grade_id"], salt=fixed,
                                buckets=group_buckets)
     locs = student_locations(location, city)
     offers = matched.join(locs, ["sid", "city_id"])
+    # a rule's (city, grade) is fixed by its id, so both sides find the same buckets
     recalls = recall_entries(rl, bad_json)
-    recs = salted_join(offers, recalls, ["rule_id", "loc"], spread_by="sid", salt=fixed, buckets=rule_buckets)
+    if group_buckets is None:
+        recalls = recalls.drop("city_id", "grade_id")
+    recs = salted_join(offers, recalls, ["rule_id", "loc"], spread_by="sid", salt=fixed, buckets=group_buckets)
     return recs.filter(F.col("cla_id") != "").select("sid", "city_id", "cla_id").distinct()
 
 

@@ -93,9 +93,8 @@ def q_student_tokens(spark, sf_dir):
 
 
 def _rule_match(t):
-    # the token table is a stored table of the original (PL5 writes it); the cut
-    # stands for that write, so counting students per group reads it, not the chain
-    return pr.rule_match(cut_lineage(_tokens(t)), t.rule, t.location)
+    # salt buckets sized from students per group of the base student table
+    return pr.rule_match(_tokens(t), t.rule, t.location, group_load=pr.students_per_group(t.student))
 
 
 @register("rule_match")
@@ -331,7 +330,7 @@ def q_recall_parse(spark, sf_dir):
     t = bind_fixtures(spark, sf_dir)
     rl = pr.rules_with_id(t.rule)
     ent = pr.recall_entries(rl)
-    keys = rl.select("rule_id", "city_id", "grade_id", F.explode("left").alias("left_token"))
+    keys = rl.select("rule_id", F.explode("left").alias("left_token"))
     return ent.join(keys, "rule_id").select("city_id", "grade_id", "left_token", "loc", "cla_id")
 
 

@@ -121,3 +121,10 @@ def test_duplicate_recall_keys_keep_every_entry(spark):
                                 "city_id string, grade_id string, left array<string>, recall string")
     got = rows(pr.rule_match(tokens, dup, location))
     assert got == [("s1", "c1", "801"), ("s1", "c1", "802"), ("s2", "c1", "801"), ("s2", "c1", "802")]
+
+
+def test_rule_match_with_student_group_load(spark):
+    tokens, rules, location = _rule_inputs(spark)
+    load = spark.createDataFrame([("c1", "g1", 5), ("c1", "g2", 1)], "city_id string, grade_id string, _n long")
+    want = rows(pr.rule_match(tokens, rules, location, salt=1))
+    assert rows(pr.rule_match(tokens, rules, location, group_load=load, rows_per_bucket=2)) == want
