@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup
+from . import licenses, line_dedup, pii, quality
 from .common import documents
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,34 @@ def _sha(c):
     return F.sha2(c.cast("binary"), 256)
 
 
+@_query
+def op3_quality_rules(spark, sf_dir):
+    return quality.quality_rules(documents(spark, sf_dir))
+
+
+def _spans(c):
+    """kind:start:end of an array of spans, comma-joined."""
+    return F.array_join(F.transform(c, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+@_query
+def op6_personal_data(spark, sf_dir):
+    out = pii.find_personal_data(documents(spark, sf_dir))
+    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
+                      _sha(_spans(F.col("base"))).alias("base_sha256"), _spans(F.col("spans")).alias("spans"))
+
+
+@_query
+def op7_license_scan(spark, sf_dir):
+    out = licenses.scan_licenses(documents(spark, sf_dir))
+    return out.select("doc_id", "n_known", "line_ids", "paragraph_ids",
+                      F.array_join("rules", ",").alias("rules"), F.array_join("licenses", ",").alias("licenses"))
+
+
+ORACLE["op7_license_scan"] = licenses.oracle_sql()
+
+
 @_query
 def op10_line_dedup(spark, sf_dir):
     out = line_dedup.drop_common_lines(documents(spark, sf_dir))
