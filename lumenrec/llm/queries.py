@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, line_dedup, pii, quality
+from . import bpe, licenses, line_dedup, packing, pii, quality, secret_scan
 from .common import documents
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,15 +24,42 @@ def _sha(c):
     return F.sha2(c.cast("binary"), 256)
 
 
+def _spans(c):
+    """kind:start:end of an array of spans, comma-joined."""
+    return F.array_join(F.transform(c, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def _of(*kinds):
+    return lambda s: s["kind"].isin(*kinds)
+
+
+@_query
+def op1_secret_scan(spark, sf_dir):
+    out = secret_scan.scan_secrets(documents(spark, sf_dir))
+    return out.select("doc_id", *[F.size(F.filter("spans", _of(k))).cast("long").alias(f"n_{k}") for k in secret_scan.KINDS],
+                      _sha(_spans(F.filter("spans", _of(*secret_scan.KINDS)))).alias("base_sha256"),
+                      _spans(F.col("spans")).alias("spans"))
+
+
+@_query
+def op2_best_fit_packing(spark, sf_dir):
+    return packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @_query
 def op3_quality_rules(spark, sf_dir):
     return quality.quality_rules(documents(spark, sf_dir))
 
 
-def _spans(c):
-    """kind:start:end of an array of spans, comma-joined."""
-    return F.array_join(F.transform(c, lambda s: F.concat_ws(
-        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+@_query
+def op4_byte_bpe(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = bpe.encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+    out = bpe.decode(ids, path)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      _sha(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
+                      _sha(F.col("decoded")).alias("decoded_sha256"))
 
 
 @_query
