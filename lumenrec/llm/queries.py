@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, licenses, line_dedup, packing, pii, quality, secret_scan
+from . import bpe, fingerprint, licenses, line_dedup, near_dup, packing, pii, quality, secret_scan
 from .common import documents
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,11 @@ def op7_license_scan(spark, sf_dir):
 ORACLE["op7_license_scan"] = licenses.oracle_sql()
 
 
+@_query
+def op8_near_duplicates(spark, sf_dir):
+    return near_dup.near_duplicates(documents(spark, sf_dir))
+
+
 @_query
 def op9_document_fingerprint(spark, sf_dir):
     return fingerprint.edited_neighbours(documents(spark, sf_dir))
