@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, licenses, line_dedup, near_dup, packing, pii, quality, secret_scan
+from . import bpe, fingerprint, katz, licenses, line_dedup, near_dup, packing, pii, quality, secret_scan
 from .common import documents
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,12 @@ def op4_byte_bpe(spark, sf_dir):
                       _sha(F.col("decoded")).alias("decoded_sha256"))
 
 
+@_query
+def op5_katz_score(spark, sf_dir):
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
+    return katz.score_documents(documents(spark, sf_dir), held_out)
+
+
 @_query
 def op6_personal_data(spark, sf_dir):
     out = pii.find_personal_data(documents(spark, sf_dir))
