@@ -50,6 +50,24 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+_BROADCAST_ROWS = 500_000      # rows (of about 30 bytes) up to which a counted table is broadcast
+
+
+def row_key(*columns: str) -> Column:
+    """64-bit hash that tells rows with one id apart."""
+    return F.xxhash64(*[F.col(c) for c in columns])
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str, key: Column) -> DataFrame:
+    """The rows of ``docs`` whose id and ``key`` are not in the written table ``gone`` (g_id, g_key).
+
+    ``gone`` is broadcast only if a count finds it small; else both sides are shuffled.
+    """
+    if gone.count() <= _BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["g_id"]) & (key == gone["g_key"]), "left_anti")
+
+
 class Scratch:
     """Written intermediate tables of one run in the shared folder.
 

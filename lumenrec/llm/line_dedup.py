@@ -9,10 +9,12 @@ from .common import WS, Scratch, ascii_lower
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per document row: id, a key of the text, the lines."""
+    """One row per document row: id, a key of the text, the lines, the other columns in a struct."""
     text = F.coalesce(F.col(text_col), F.lit(""))
+    rest = F.struct(F.col(text_col).isNull().alias("no_text"),
+                    *[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in (id_col, text_col)])
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("tk"),
-                       F.split(text, "\n", -1).alias("lines"))
+                       F.split(text, "\n", -1).alias("lines"), rest.alias("rest"))
 
 
 def _long_keys(lines: DataFrame, min_chars: int) -> DataFrame:
@@ -35,17 +37,8 @@ def common_lines(keys: DataFrame, min_docs: int) -> DataFrame:
             .filter(F.col("n") >= min_docs).select("h", "keep"))
 
 
-def drop_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      min_chars: int = 40, min_docs: int = 5) -> DataFrame:
-    """Drop repeated long lines from all documents but the one with the largest id.
-
-    Returns one row per input row: id (named ``id_col``), text (named ``text_col``, the lines
-    that stay joined by newline), n_lines, n_dropped.  A line's key is the line without ASCII
-    white space at both ends, A-Z lower-cased, known by its 128-bit hash.
-
-    Null or empty text is one empty line.  Rows with one id are one document (its lines count
-    once); a null id counts as one document that never is the largest.  An empty table gives an
-    empty result; other columns are ignored, whatever their names.
+def _deduplicated(docs: DataFrame, id_col: str, text_col: str, min_chars: int, min_docs: int) -> DataFrame:
+    """(id, text, n_lines, n_dropped, rest) of each row.
 
     The keys are joined to the common lines as two exchanges under a sort-merge join, so that
     adaptive execution splits the partition of a very common line.
@@ -59,10 +52,44 @@ def drop_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                .select(F.col("id").alias("d_id"), F.col("tk").alias("d_tk"), "gone"))
     n = F.size("lines")
     joined = lines.join(dropped, F.col("id").eqNullSafe(F.col("d_id")) & (F.col("tk") == F.col("d_tk")), "left")
-    left = joined.select("id", "lines", n.cast("long").alias("n_lines"),
+    left = joined.select("id", "rest", "lines", n.cast("long").alias("n_lines"),
                          F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
                          F.when(F.col("gone").isNull(), F.lit(None))
                          .otherwise(F.array_except(F.sequence(F.lit(0), n - 1), F.col("gone"))).alias("stay"))
     text = F.when(F.col("stay").isNull(), F.array_join("lines", "\n")).otherwise(
         F.array_join(F.transform("stay", lambda i: F.get("lines", i)), "\n"))
-    return left.select(F.col("id").alias(id_col), text.alias(text_col), "n_lines", "n_dropped")
+    return left.select("id", text.alias("text"), "n_lines", "n_dropped", "rest")
+
+
+def drop_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      min_chars: int = 40, min_docs: int = 5) -> DataFrame:
+    """Drop repeated long lines from all documents but the one with the largest id.
+
+    Returns one row per input row: id (named ``id_col``), text (named ``text_col``, the lines
+    that stay joined by newline), n_lines, n_dropped.  A line's key is the line without ASCII
+    white space at both ends, A-Z lower-cased, known by its 128-bit hash.
+
+    Null or empty text is one empty line.  Rows with one id are one document (its lines count
+    once); a null id counts as one document that never is the largest.  An empty table gives an
+    empty result; other columns are ignored, whatever their names.
+    """
+    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    out = _deduplicated(plain, "id", "text", min_chars, min_docs)
+    return out.select(F.col("id").alias(id_col), F.col("text").alias(text_col), "n_lines", "n_dropped")
+
+
+def rewrite_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars",
+                      min_chars: int = 40, min_docs: int = 5) -> DataFrame:
+    """The rows of ``docs`` with the text that :func:`drop_common_lines` leaves; every other column
+    unchanged, but for ``chars_col`` (if there is one), the new count of code points.  Null
+    text stays null."""
+    out = _deduplicated(docs, id_col, text_col, min_chars, min_docs)
+    text = F.when(~F.col("rest.no_text"), F.col("text"))
+    columns = []
+    for i, c in enumerate(docs.columns):
+        value = F.col("id") if c == id_col else text if c == text_col else F.col(f"rest.c{i}")
+        if c == chars_col:
+            value = F.when(F.col("rest.no_text"), value).otherwise(
+                F.char_length("text").cast(docs.schema[c].dataType))
+        columns.append(value.alias(c))
+    return out.select(*columns)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrow import in_tasks, parts
-from .common import Scratch
+from .common import Scratch, without
 from .shingles import mix, shingle_sets
 
 BANDS, ROWS = 16, 4
@@ -381,3 +381,14 @@ def _components(docs: DataFrame, id_col: str, text_col: str, percent: int, shing
     search = _Search(plain, percent, shingle)
     search.run()
     return search.result()
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85,
+             shingle: int = 5) -> DataFrame:
+    """The rows of ``docs`` that :func:`near_duplicates` keeps, with all their columns: of each
+    group of linked documents the one with the smallest id."""
+    found = _components(docs, id_col, text_col, percent, shingle)
+    gone = found.filter(F.col("id") != F.col("component")).select(
+        F.col("id").alias("g_id"), F.col("tk").alias("g_key")).distinct()
+    gone = Scratch(docs.sparkSession, "near-dup").write(gone, "copies")
+    return without(docs, gone, id_col, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD_CLASS, Scratch, words_of
+from .common import WORD_CLASS, Scratch, row_key, without, words_of
 
 # statistic -> smallest standard deviation taken for it: groups of clean text have near-constant
 # statistics, and a distance in units of less than this would reject ordinary variation
@@ -246,3 +246,14 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                       "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                       F.col("d2").alias("distance"),
                       (~F.col("base_failed") & F.coalesce(F.col("d2") <= cut, F.lit(True))).alias("kept"))
+
+
+def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+              source_col: str = "source", tail: float = 1e-6) -> DataFrame:
+    """The rows of ``docs`` that :func:`quality_rules` keeps, with all their columns."""
+    key = row_key(id_col, text_col, lang_col, source_col)
+    judged = quality_rules(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
+                                       F.col(source_col).alias("source"), key.alias("key")),
+                           "id", "text", "lang", "source", tail, carry=("key",))
+    gone = judged.filter(~F.col("kept")).select(F.col("id").alias("g_id"), F.col("key").alias("g_key")).distinct()
+    return without(docs, Scratch(docs.sparkSession, "quality").write(gone, "rejected"), id_col, key)
