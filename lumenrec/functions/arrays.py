@@ -14,13 +14,15 @@ def java_split(c, delimiter: str) -> Column:
     """NS3: split like ``String.split``: trailing empty parts are dropped.
 
     Spark's ``split`` keeps them, so trailing delimiters are stripped first.
-    A null text stays null; an empty text gives ``['']``.
+    A null text stays null, an empty text gives ``['']``, a text of delimiters
+    alone gives an empty array.
     """
     d = _re.escape(delimiter)
     stripped = F.regexp_replace(col(c), f"(?:{d})+$", "")
-    return F.split(stripped, d)
+    return F.when((stripped == "") & (col(c) != ""), F.array().cast("array<string>")) \
+        .otherwise(F.split(stripped, d))
 
 
-def pad3(arr, filler: str = "") -> Column:
-    """NS6: the first three elements, padded with ``filler`` to length three."""
-    return F.slice(F.concat(col(arr), F.array(*[F.lit(filler)] * 3)), 1, 3)
+def pad(arr, n: int = 3, filler: str = "") -> Column:
+    """NS6: the first ``n`` elements, padded with ``filler`` to length ``n``."""
+    return F.slice(F.concat(col(arr), F.array_repeat(F.lit(filler), n)), 1, n)

@@ -26,14 +26,15 @@ def is_valid_city_weak(c) -> Column:
 
 
 def date_between(c, begin: str | None = None, end: str | None = None) -> Column:
-    """PF8: closed range on a ``yyyy-MM-dd`` text or date column."""
+    """PF8: closed range on a date column; the bounds are date literals, which reach the scan."""
     c = col(c)
-    cond = F.lit(True)
+    cond = None
     if begin is not None:
-        cond = cond & (c >= F.lit(begin))
+        cond = c >= F.lit(begin).cast("date")
     if end is not None:
-        cond = cond & (c <= F.lit(end))
-    return cond
+        upper = c <= F.lit(end).cast("date")
+        cond = upper if cond is None else cond & upper
+    return F.lit(True) if cond is None else cond
 
 
 def not_empty_json(c) -> Column:

@@ -2,7 +2,7 @@
 
 The keyword tests are "the whole text matches ``.*kw.*``" in the original
 jobs.  ``.`` there does not match a line terminator, so a text holding a line
-break never matches any keyword; ``_single_line`` reproduces that exactly.
+break never matches any keyword.
 Null texts fall through to the default value.
 """
 
@@ -46,16 +46,10 @@ CLASS_TYPE_PREFIX = "_tp_"
 _LINE_TERMINATORS = "[\\n\\r\\u0085\\u2028\\u2029]"
 
 
-def _single_line(c: Column) -> Column:
-    return ~c.rlike(_LINE_TERMINATORS)
-
-
 def _first_keyword(c: Column, pairs, default: str) -> Column:
-    ok = _single_line(c)
-    expr = None
+    expr = F.when(c.rlike(_LINE_TERMINATORS), F.lit(default))    # tested once, first
     for kw, out in pairs:
-        cond = ok & c.contains(kw)
-        expr = F.when(cond, F.lit(out)) if expr is None else expr.when(cond, F.lit(out))
+        expr = expr.when(c.contains(kw), F.lit(out))
     return F.coalesce(expr.otherwise(F.lit(default)), F.lit(default))
 
 
@@ -89,8 +83,3 @@ def token(subject, term) -> Column:
 def group_key(*cols, sep: str = "_") -> Column:
     """SC12 composite key; a null part renders as the text ``null`` like string concatenation."""
     return F.concat_ws(sep, *[F.coalesce(col(c).cast("string"), F.lit("null")) for c in cols])
-
-
-def to_text(c) -> Column:
-    """SC13 number -> text (``0.5`` -> ``0.5``, ``3`` -> ``3``)."""
-    return col(c).cast("string")

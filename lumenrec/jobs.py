@@ -3,7 +3,7 @@
 Each job writes its outputs under ``out_root`` (a shared folder on a cluster)
 and later stages read the written tables back: the write is the lineage cut,
 so a lost executor costs one stage, never the whole chain, and nothing is
-computed twice.  Reruns replace their own ``dt`` partitions (SNK1).
+computed twice.  Reruns replace their own slice, ``dt`` or ``dt`` and city (SNK1).
 
     python -m lumenrec.jobs flagship --sf-dir /root/testdata/sf0.01 --out /shared/out --master local[*]
     spark-submit --py-files lumenrec.zip lumenrec/jobs.py flagship \
@@ -22,101 +22,149 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenrec.operators import features as ft
+from lumenrec.operators import schedule as sched
 from lumenrec.plans import features as pf
 from lumenrec.plans import recommend as prec
 from lumenrec.plans import rules as pr
 from lumenrec.plans import serve as psv
-from lumenrec.sinks import append_partitions, overwrite_table, push_partitions, text_export
+from lumenrec.sinks import (
+    create_if_absent, exists, overwrite_table, push_partitions, read_slice, replace_slice, text_export,
+)
 from lumenrec.sources.tables import Tables, from_catalog
 
 
-def _read(spark: SparkSession, path: str, dt: str | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
-    return df if dt is None else df.filter(F.col("dt") == dt)
+class Output:
+    """The tables of a run: folders below ``root``, and catalog tables over them if ``database``
+    is given (created once, partitions registered)."""
+
+    def __init__(self, spark: SparkSession, root: str, database: str | None = None):
+        self.spark, self.root, self.database = spark, root.rstrip("/"), database
+        self.paths: dict[str, str] = {}
+
+    def _publish(self, df: DataFrame, name: str, partitions: tuple[str, ...]) -> None:
+        if self.database:
+            create_if_absent(self.spark, f"{self.database}.{name}", df, self.paths[name], partitions)
+
+    def replace(self, df: DataFrame, name: str, **slice_: str) -> DataFrame:
+        """Replace the run's slice of a table and return it as written (the lineage cut)."""
+        for k, v in slice_.items():
+            df = df.withColumn(k, F.lit(v))
+        path = self.paths[name] = f"{self.root}/{name}"
+        replace_slice(df, path, **slice_)
+        by = tuple(c for c in ("dt", "pay_after", "city_id") if c in df.columns and (c in slice_ or c == "city_id"))
+        self._publish(df, name, by)
+        return read_slice(self.spark, df.schema, path, **slice_)
+
+    def overwrite(self, df: DataFrame, name: str) -> None:
+        path = self.paths[name] = f"{self.root}/{name}"
+        overwrite_table(df, path)
+        self._publish(df, name, ())
+
+
+def _slice(as_of: str, city: str | None) -> dict[str, str]:
+    return {"dt": as_of} if city is None else {"dt": as_of, "city_id": city}
 
 
 def feature_job(t: Tables, out_root: str, event_range: tuple[str, str], order_range: tuple[str, str],
-                dt: str, created_after: str) -> dict[str, str]:
+                dt: str, created_after: str, database: str | None = None) -> dict[str, str]:
     """PL3: event weights, order weights, and their merge (three tables)."""
-    paths = {k: f"{out_root}/{k}" for k in ("event_features", "order_features", "orderevent_features")}
-    append_partitions(pf.event_features(t, *event_range, dt), paths["event_features"])
-    append_partitions(pf.order_features(t, *order_range, dt, created_after), paths["order_features"])
-    ev, od = _read(t.spark, paths["event_features"], dt), _read(t.spark, paths["order_features"], dt)
-    append_partitions(ft.merge(ev, od, dt), paths["orderevent_features"])
-    return paths
+    out = Output(t.spark, out_root, database)
+    ev = out.replace(pf.event_features(t, *event_range, dt), "event_features", dt=dt)
+    od = out.replace(pf.order_features(t, *order_range, dt, created_after), "order_features", dt=dt)
+    out.replace(ft.merge(ev, od, dt), "orderevent_features", dt=dt)
+    return out.paths
 
 
-def list_job(t: Tables, out_root: str, begin: str, end: str, dt: str) -> str:
+def list_job(t: Tables, out_root: str, begin: str, end: str, dt: str, database: str | None = None) -> str:
     """PL4: the three preference lists into one table (one write per dt)."""
+    out = Output(t.spark, out_root, database)
     lists = [pf.favor_list(t, name, begin, end, dt) for name in pf.FAVOR_LISTS]
-    out = lists[0].unionByName(lists[1]).unionByName(lists[2])
-    path = f"{out_root}/list_output"
-    append_partitions(out, path)
-    return path
+    out.replace(lists[0].unionByName(lists[1]).unionByName(lists[2]), "list_output", dt=dt)
+    return out.paths["list_output"]
+
+
+def _tokens(t: Tables, out: Output, as_of: str, pay_after: str) -> DataFrame:
+    """PL5 with same-day reuse (Q10): a token table of this day and this pay date is read back."""
+    path = out.paths["rule_tokens"] = f"{out.root}/rule_tokens"
+    cut = {"dt": as_of, "pay_after": pay_after}
+    # the tokens of all cities are one slice, so the city is an ordinary column of it
+    fresh = pr.student_tokens(t, pay_after, as_of).withColumnRenamed("city_id", "student_city")
+    if exists(t.spark, f"{path}/dt={as_of}/pay_after={pay_after}/_SUCCESS"):
+        stored = fresh.withColumn("pay_after", F.lit(pay_after)).schema
+        tokens = read_slice(t.spark, stored, path, **cut)
+    else:
+        tokens = out.replace(fresh, "rule_tokens", **cut)
+    return tokens.withColumnRenamed("student_city", "city_id")
+
+
+def _recommendations(t: Tables, out: Output, as_of: str, pay_after: str, city: str | None) -> DataFrame:
+    """PL5 -> PL6 -> PL7 -> PL8, every table written once; returns the conflict-free set."""
+    cut = _slice(as_of, city)
+    tokens = _tokens(t, out, as_of, pay_after)
+    # stored long (one row per student and class); the list shape of the original table is
+    # ``rules.as_lists`` over this table
+    recs = out.replace(pr.rule_match(tokens, t.rule, t.location, city), "recommended", **cut)
+    out.replace(prec.curriculum_table(t, as_of, city), "class_schedule", **cut)
+    free = out.replace(prec.conflict_free(t, recs, as_of, city), "recommended_free", **cut)
+    out.replace(sched.rejected_sessions(prec.live_registrations(t, city)), "register_rejects", **cut)
+    return free
 
 
 def flagship_job(t: Tables, out_root: str, as_of: str, pay_after: str, city: str | None = None,
-                 client_factory=None) -> dict[str, str]:
+                 client_factory=None, database: str | None = None) -> dict[str, str]:
     """PL5 -> PL6 -> PL7 -> PL8 -> PL9 with every intermediate table written once."""
-    sp = t.spark
-    p = {k: f"{out_root}/{k}" for k in ("rule_tokens", "loc_rule_rec", "curriculum_transform",
-                                        "after_filter_recommand", "kv_student")}
-    # PL5 with same-day reuse of the stored token table (Q10)
-    stored = None
-    try:
-        stored = sp.read.parquet(p["rule_tokens"])
-    except Exception:  # first run: no table yet
-        stored = None
-    tokens = pr.reuse_or_compute(stored, as_of, lambda: pr.student_tokens(t, pay_after, as_of))
-    if tokens is not stored:
-        overwrite_table(tokens, p["rule_tokens"])
-    tokens = sp.read.parquet(p["rule_tokens"])
-    # PL6: recommendations, stored long (one row per student and class); the
-    # list shape of the original table is `rules.as_lists` over this table
-    recs = pr.rule_match(tokens, t.rule, t.location, city, group_load=pr.students_per_group(t.student, city))
-    append_partitions(recs.withColumn("dt", F.lit(as_of)), p["loc_rule_rec"])
-    recs = _read(sp, p["loc_rule_rec"], as_of).select("sid", "city_id", "cla_id")
-    # PL7: curriculum transform table
-    append_partitions(prec.curriculum_table(t, as_of, city), p["curriculum_transform"])
-    # PL8: conflict-free lists
-    free = prec.conflict_free(t, recs, as_of, city)
-    append_partitions(free.withColumn("dt", F.lit(as_of)), p["after_filter_recommand"])
-    free = _read(sp, p["after_filter_recommand"], as_of).select("sid", "city_id", "cla_id")
-    # PL9: packs -> key-value records
+    out = Output(t.spark, out_root, database)
+    free = _recommendations(t, out, as_of, pay_after, city)
     kv = psv.kv_records(psv.student_pack(t, free, city), psv.STUDENT_KEY_PREFIX, "sid", as_of)
-    append_partitions(kv.withColumn("dt", F.lit(as_of)), p["kv_student"])
+    written = out.replace(kv, "kv_student", **_slice(as_of, city))
+    if client_factory is not None:
+        push_partitions(written, client_factory)
+    return out.paths
+
+
+def keyed_job(t: Tables, out_root: str, as_of: str, pay_after: str, city: str | None = None,
+              client_factory=None, database: str | None = None) -> dict[str, str]:
+    """PL10: the same chain into the class-id keyed packs."""
+    out = Output(t.spark, out_root, database)
+    free = _recommendations(t, out, as_of, pay_after, city)
+    kv = psv.kv_records(psv.student_pack_keyed(t, free, city), psv.STUDENT_KEY_PREFIX, "sid", as_of)
+    written = out.replace(kv, "kv_student_keyed", **_slice(as_of, city))
     if client_factory is not None:
-        push_partitions(_read(sp, p["kv_student"], as_of), client_factory)
-    return p
+        push_partitions(written, client_factory)
+    return out.paths
 
 
-def fallback_job(t: Tables, out_root: str, as_of: str, client_factory=None) -> str:
+def fallback_job(t: Tables, out_root: str, as_of: str, city: str | None = None, client_factory=None,
+                 database: str | None = None) -> str:
     """PL11: fallback packs per city/grade/subject -> key-value records."""
-    kv = psv.kv_records(psv.fallback_pack(t), psv.GROUP_KEY_PREFIX, "key", as_of)
-    path = f"{out_root}/kv_fallback"
-    append_partitions(kv.withColumn("dt", F.lit(as_of)), path)
+    out = Output(t.spark, out_root, database)
+    kv = psv.kv_records(psv.fallback_pack(t, city), psv.GROUP_KEY_PREFIX, "key", as_of)
+    written = out.replace(kv, "kv_fallback", **_slice(as_of, city))
     if client_factory is not None:
-        push_partitions(_read(t.spark, path, as_of), client_factory)
-    return path
+        push_partitions(written, client_factory)
+    return out.paths["kv_fallback"]
 
 
-def order_recall_job(t: Tables, out_root: str, begin: str, end: str) -> dict[str, str]:
-    """PL12: the text rows as a delimited text export (SNK4) and the sums per (id, feature)."""
-    rows_path, sums_path = f"{out_root}/order_recall_rows", f"{out_root}/order_recall_sums"
+def order_recall_job(t: Tables, out_root: str, begin: str, end: str, database: str | None = None) -> dict[str, str]:
+    """PL12: the text rows as a delimited text export (SNK4) and the sums per (id, feature),
+    with the number of texts that were no number (AG11)."""
+    out = Output(t.spark, out_root, database)
+    rows_path = f"{out.root}/order_recall_rows"
     text_export(pf.order_recall_rows(t, begin, end), rows_path)
-    overwrite_table(pf.order_recall(t, begin, end), sums_path)
-    return {"rows": rows_path, "sums": sums_path}
+    out.overwrite(pf.order_recall(t, begin, end), "order_recall_sums")
+    return {"rows": rows_path, "sums": out.paths["order_recall_sums"]}
 
 
 def main(argv=None) -> None:
     from lumenrec.session import build_session
     from lumenrec.sources import fixtures as fx
     ap = argparse.ArgumentParser(prog="lumenrec.jobs")
-    ap.add_argument("job", choices=["features", "lists", "flagship", "fallback", "order_recall"])
+    ap.add_argument("job", choices=["features", "lists", "flagship", "keyed", "fallback", "order_recall"])
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--sf-dir", help="driver tables folder (fixture binding)")
-    src.add_argument("--catalog", help='JSON map of logical inputs to tables, e.g. {"behavior": "db.user_behavior"}')
+    src.add_argument("--catalog", help='JSON map of logical inputs to tables, e.g. {"behavior": "db.behavior"}')
     ap.add_argument("--out", required=True, help="shared output folder")
+    ap.add_argument("--database", default=None, help="catalog database for the output tables")
     ap.add_argument("--city", default=None)
     ap.add_argument("--master", default=None, help="local master for a run outside spark-submit")
     ap.add_argument("--as-of", default=fx.AS_OF, help="today: the dt stamp and the future-session bound")
@@ -135,15 +183,16 @@ def main(argv=None) -> None:
     t = fx.bind_fixtures(spark, a.sf_dir) if a.sf_dir else from_catalog(spark, json.loads(a.catalog))
     ev, od = tuple(a.event_range), tuple(a.order_range)
     if a.job == "features":
-        res = feature_job(t, a.out, ev, od, od[1], a.created_after)
+        res = feature_job(t, a.out, ev, od, od[1], a.created_after, a.database)
     elif a.job == "lists":
-        res = list_job(t, a.out, ev[0], ev[1], ev[1])
-    elif a.job == "flagship":
-        res = flagship_job(t, a.out, a.as_of, a.pay_after, a.city)
+        res = list_job(t, a.out, ev[0], ev[1], ev[1], a.database)
+    elif a.job in ("flagship", "keyed"):
+        job = flagship_job if a.job == "flagship" else keyed_job
+        res = job(t, a.out, a.as_of, a.pay_after, a.city, database=a.database)
     elif a.job == "fallback":
-        res = fallback_job(t, a.out, a.as_of)
+        res = fallback_job(t, a.out, a.as_of, a.city, database=a.database)
     else:
-        res = order_recall_job(t, a.out, *od)
+        res = order_recall_job(t, a.out, *od, a.database)
     print(json.dumps(res))
     spark.stop()
 

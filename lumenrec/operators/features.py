@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenrec.functions import (
-    class_type_tag, is_valid, level_tag, price_weight, status_weight, subject_code,
+    class_type_tag, date_between, is_valid, level_tag, price_weight, status_weight, subject_code,
 )
 from lumenrec.functions._col import col
 
@@ -29,6 +29,11 @@ def unpivot(df: DataFrame, id_col: str, entries: list[tuple[Column, Column]],
     return df.select(col(id_col).alias("sid"), F.inline(F.array(*structs)))
 
 
+def _with_subject(rows: DataFrame, subject: str, *more: tuple[str, Column]) -> DataFrame:
+    """Rows with ``_subj`` and ``more`` columns, computed once below the unpivot."""
+    return rows.select("*", subject_code(subject).alias("_subj"), *[c.alias(n) for n, c in more])
+
+
 def sum_weights(triples: DataFrame, dt: str | None = None) -> DataFrame:
     """AG1: sum of ``value`` per ``(sid, feature_name)``; optional ``dt`` stamp."""
     out = triples.groupBy(*KEY).agg(F.sum("value").alias("value"))
@@ -50,9 +55,10 @@ def count_values(rows: DataFrame, feature: str) -> DataFrame:
 
 def order_triples(orders: DataFrame) -> DataFrame:
     """ST6: one order -> subject+level (status weight), subject (2.0), subject+price (price weight)."""
-    subj = subject_code("subjectname")
-    return unpivot(orders, "sid", [
-        (F.concat(subj, level_tag("classlevelname")), status_weight("orderstatus")),
+    subj = F.col("_subj")
+    rows = _with_subject(orders, "subjectname", ("_lev", level_tag("classlevelname")))
+    return unpivot(rows, "sid", [
+        (F.concat(subj, "_lev"), status_weight("orderstatus")),
         (subj, F.lit(2.0)),
         (F.concat(subj, F.lit("price")), price_weight("orderstatus", "classprice")),
     ])
@@ -60,41 +66,48 @@ def order_triples(orders: DataFrame) -> DataFrame:
 
 def event_triples(events: DataFrame) -> DataFrame:
     """ST7: one behaviour row -> subject+level, subject, subject+class type; weight 1.0 each."""
-    subj = subject_code("cla_subject_names")
-    return unpivot(events, "sid", [
-        (F.concat(subj, level_tag("cla_level_name")), F.lit(1.0)),
-        (subj, F.lit(1.0)),
-        (F.concat(subj, class_type_tag("cla_class_type")), F.lit(1.0)),
+    return unpivot(_event_codes(events), "sid", [
+        (F.concat("_subj", "_lev"), F.lit(1.0)),
+        (F.col("_subj"), F.lit(1.0)),
+        (F.concat("_subj", "_type"), F.lit(1.0)),
     ])
 
 
-def order_recall_rows(orders: DataFrame, id_col: str = "sid") -> DataFrame:
+def _event_codes(events: DataFrame) -> DataFrame:
+    return _with_subject(events, "cla_subject_names", ("_lev", level_tag("cla_level_name")),
+                         ("_type", class_type_tag("cla_class_type")))
+
+
+def order_recall_rows(orders: DataFrame, id_col: str = "distinctid") -> DataFrame:
     """ST8: one order -> (id, subject+level, status weight as text, startdate),
-    (id, 'price', price as text, startdate)."""
-    subj = subject_code("subjectname")
+    (id, 'price', price as text, startdate); a null price counts as 0 (SURVEY Q2)."""
+    price = F.coalesce(F.col("classprice"), F.lit(0.0))
     structs = [
-        F.struct(F.concat(subj, level_tag("classlevelname")).alias("feature_name"),
+        F.struct(F.concat("_subj", "_lev").alias("feature_name"),
                  status_weight("orderstatus").cast("string").alias("value")),
-        F.struct(F.lit("price").alias("feature_name"),
-                 F.col("classprice").cast("string").alias("value")),
+        F.struct(F.lit("price").alias("feature_name"), price.cast("string").alias("value")),
     ]
-    return orders.select(F.col(id_col).alias("sid"), F.col("startdate").alias("dt"),
-                         F.inline(F.array(*structs))).select("sid", "feature_name", "value", "dt")
+    rows = _with_subject(orders, "subjectname", ("_lev", level_tag("classlevelname")))
+    return rows.select(id_col, F.col("startdate").cast("string").alias("dt"), F.inline(F.array(*structs))) \
+        .select(id_col, "feature_name", "value", "dt")
 
 
-def sum_text_values(rows: DataFrame) -> DataFrame:
-    """AG11: text values -> double (bad text is null, not a failed job), summed per key."""
-    return rows.groupBy(*KEY).agg(F.sum(F.col("value").try_cast("double")).alias("value"))
+def sum_text_values(rows: DataFrame, id_col: str = "distinctid") -> DataFrame:
+    """AG11: text values -> double (bad text is null, not a failed job), summed per key;
+    ``n_rejected`` counts the key's texts that are no number."""
+    number = F.col("value").try_cast("double")
+    return rows.groupBy(id_col, "feature_name").agg(
+        F.sum(number).alias("value"), F.count_if(number.isNull() & F.col("value").isNotNull()).alias("n_rejected"))
 
 
 # ---- source filters ---------------------------------------------------------------
 
 def valid_orders(orders: DataFrame, begin: str, end: str, created_after: str) -> DataFrame:
     """Orders of a valid sid created after ``created_after`` with ``dt`` in [begin, end]."""
-    return orders.filter(is_valid("sid") & (F.col("finacreatedate") > F.lit(created_after))
-                         & F.col("dt").between(begin, end))
+    return orders.filter(is_valid("sid") & (F.col("finacreatedate") > F.lit(created_after).cast("date"))
+                         & date_between("dt", begin, end))
 
 
 def valid_events(events: DataFrame, begin: str, end: str) -> DataFrame:
     """Behaviour rows of a valid sid and class with ``day`` in [begin, end]."""
-    return events.filter(is_valid("cla_id") & is_valid("sid") & F.col("day").between(begin, end))
+    return events.filter(is_valid("cla_id") & is_valid("sid") & date_between("day", begin, end))

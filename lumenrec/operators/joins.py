@@ -1,116 +1,44 @@
-"""Join helpers: salted equi-joins for structurally hot keys, containment (JN7).
+"""Containment join (JN7).
 
-Keys such as ``(city, grade)`` have a handful of values however large the
-data is, so one value can hold a third of all students.  ``salted_join``
-spreads the big side of such a key over buckets (by a hash of a
-high-cardinality column) and replicates the small side into every bucket of
-that key.  The bucket count is per key: ``salt_buckets`` derives it from an
-estimate of the key's big-side rows (cold keys get one bucket, i.e. no
-replication; hot keys up to ``MAX_SALT``).  A fixed ``salt`` is also accepted.
-AQE's skew-join split still applies on top.
+Keys such as ``(city, grade)`` are coarse: one value can hold a third of all
+students.  Both inputs of every join here meet the join through their own
+exchange, so adaptive execution splits the partition of a hot key by rows and
+copies only the other side's part of it (``spark.sql.adaptive.skewJoin``), from
+measured sizes and without a bound on the number of splits.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed salt when no per-key estimate is given; the small side is copied this many times.
-DEFAULT_SALT = 8
-# Per-key buckets: one per this many estimated big-side rows, at most MAX_SALT.
-ROWS_PER_BUCKET = 2_000_000
-MAX_SALT = 64
-_SALT = "_salt"
-_BUCKETS = "_buckets"
-
-
-def salt_buckets(load: DataFrame, keys: list[str], n_col: str = "_n",
-                 rows_per_bucket: int = ROWS_PER_BUCKET, max_salt: int = MAX_SALT) -> DataFrame:
-    """``(keys..., _buckets)`` for the *hot* keys only: how many buckets a key's big
-    side is spread over, from ``n_col``, an estimate (an upper bound is best) of
-    its big-side rows.  Keys needing one bucket are left out.
-
-    Size bound: a listed key has more than ``rows_per_bucket`` rows, so the table
-    has fewer than ``total rows / rows_per_bucket`` entries -- which is what lets
-    ``salted_join`` broadcast it."""
-    n = F.least(F.lit(max_salt), F.greatest(F.lit(1), F.ceil(F.col(n_col) / F.lit(rows_per_bucket)))).cast("int")
-    return load.select(*keys, n.alias(_BUCKETS)).filter(F.col(_BUCKETS) > 1)
-
-
-def salted_join(big: DataFrame, small: DataFrame, on: list[str], spread_by: str | list[str],
-                how: str = "inner", salt: int = DEFAULT_SALT,
-                buckets: DataFrame | None = None) -> DataFrame:
-    """Equi-join on ``on`` with the big side of each key split into buckets.
-
-    ``buckets`` (from ``salt_buckets``) gives the count per hot key -- keys it
-    does not list get one bucket, i.e. no replication; without it every key gets
-    ``salt`` buckets.  Its key columns must exist on both sides and be fixed by
-    the join key (e.g. a rule's city and grade).  ``how`` is ``inner``,
-    ``left``, ``left_semi`` or ``left_anti`` (the big side stays on the left, so
-    every big row meets every small row of its key exactly once).  The bucket
-    table is broadcast: its size is bounded (see ``salt_buckets``), and a
-    shuffle join on the coarse key would recreate the skew it removes.
-    """
-    spread = [spread_by] if isinstance(spread_by, str) else list(spread_by)
-    if buckets is None:
-        if salt <= 1:
-            return big.join(small, on, how)
-        b = big.withColumn(_SALT, F.pmod(F.xxhash64(*spread), F.lit(salt)).cast("int"))
-        s = small.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-        return b.join(s, on + [_SALT], how).drop(_SALT)
-    keys = [c for c in buckets.columns if c != _BUCKETS]
-    hot = F.broadcast(buckets)
-    count = F.coalesce(F.col(_BUCKETS), F.lit(1))
-    b = big.join(hot, keys, "left") \
-        .withColumn(_SALT, F.pmod(F.xxhash64(*spread), count).cast("int")).drop(_BUCKETS)
-    s = small.join(hot, keys, "left") \
-        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), count - 1))).drop(_BUCKETS)
-    s = s.drop(*[k for k in keys if k not in on])
-    return b.join(s, on + [_SALT], how).drop(_SALT)
-
-
-def contained_in(required: str | Column, offered: str | Column) -> Column:
-    """Row-local containment test: every element of ``required`` is in ``offered``.
-
-    An empty ``required`` is contained in anything; a null ``required`` is not.
-    """
-    req = F.col(required) if isinstance(required, str) else required
-    off = F.col(offered) if isinstance(offered, str) else offered
-    return req.isNotNull() & F.forall(req, lambda x: F.array_contains(off, x))
-
 
 def containment_join(items: DataFrame, item_key: list[str], item_tokens: str,
-                     sets: DataFrame, set_key: list[str], set_tokens: str,
-                     on: list[str], salt: int = DEFAULT_SALT,
-                     buckets: DataFrame | None = None) -> DataFrame:
-    """JN7 relational division: pairs (item, set) with ``set_tokens ⊆ item_tokens``
+                     sets: DataFrame, set_key: list[str], set_tokens: str, on: list[str]) -> DataFrame:
+    """JN7 relational division: pairs (item, set) with ``set_tokens`` a subset of ``item_tokens``
     inside the same ``on`` group.
 
     Non-empty sets: explode both token lists, equi-join on ``on + token`` and keep
     pairs whose matched-token count equals the number of distinct set tokens.
-    Empty sets: every item of the group (a join on ``on`` alone, salted because
-    the group key is coarse).  Null sets match nothing.  ``buckets`` (keyed by
-    a subset of ``on``) sets the salt per group; otherwise ``salt`` for all.
-    Returns ``item_key + set_key`` columns, one row per matching pair (items
-    are expected to be unique per ``item_key``).
+    Empty sets are contained in every item: each pairs with all items of its
+    group, so their output is items of the group times empty sets of the group
+    (the operator's meaning; rules per group are bounded, students are not).
+    Null sets match nothing.  Returns ``item_key + set_key`` columns, one row
+    per matching pair (items are expected to be unique per ``item_key``).
     """
     tok = "_tok"
-    it = items.select(*item_key, *[c for c in on if c not in item_key],
-                      F.explode(F.array_distinct(item_tokens)).alias(tok))
+    group = [c for c in on if c not in item_key]
+    it = items.select(*item_key, *group, F.explode(F.array_distinct(item_tokens)).alias(tok))
     st = sets.filter(F.col(set_tokens).isNotNull()) \
-        .select(*set_key, *[c for c in on if c not in set_key],
-                F.array_distinct(set_tokens).alias("_req"))
-    st_nonempty = st.filter(F.size("_req") > 0) \
-        .select(*set_key, *[c for c in on if c not in set_key], F.size("_req").alias("_n"),
-                F.explode("_req").alias(tok))
-    hits = salted_join(it, st_nonempty, on + [tok], spread_by=item_key, salt=salt, buckets=buckets)
+        .select(*set_key, *[c for c in on if c not in set_key], F.array_distinct(set_tokens).alias("_req"))
+    need = st.filter(F.size("_req") > 0) \
+        .select(*set_key, *[c for c in on if c not in set_key], F.size("_req").alias("_n"), F.explode("_req").alias(tok))
+    hits = it.join(need, on + [tok])
     # distinct matched tokens (at most _n per pair), robust to repeated item rows
     full = hits.groupBy(*item_key, *set_key, "_n").agg(F.size(F.collect_set(tok)).alias("_hit")) \
         .filter(F.col("_hit") == F.col("_n")).select(*item_key, *set_key)
     empties = st.filter(F.size("_req") == 0).select(*set_key, *[c for c in on if c not in set_key])
-    owners = items.select(*item_key, *[c for c in on if c not in item_key])
-    every = salted_join(owners, empties, on, spread_by=item_key, salt=salt,
-                        buckets=buckets).select(*item_key, *set_key)
+    every = items.select(*item_key, *group).join(empties, on).select(*item_key, *set_key)
     # the branches are disjoint (non-empty vs empty sets) and each is one row per
     # pair when ``items`` has one row per item key, so no dedupe shuffle is needed
     return full.unionByName(every)

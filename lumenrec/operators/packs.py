@@ -1,10 +1,10 @@
-"""JSON result packs (NS7, NS8, AG8-AG10) with bounded pages.
+"""Result packs (NS7, NS8, AG8-AG10) in long form.
 
-A pack is one JSON value per key (a student, or a city/grade/subject group).
-Entries are rendered in parallel; a key with more than ``page_size`` entries
-is split into ``ceil(n / page_size)`` pages by a hash of the entry id, so no
-task and no value ever holds an unbounded group.  A key under the page size
-gets exactly one page (page 0), identical to the unpaged pack.
+A pack is the set of entries of one key (a student, or a city/grade/subject
+group): one row ``(key, section, cla_id, entry)`` per class, ``entry`` the
+class's attributes as JSON.  Nothing is gathered per key, so a key may have any
+number of entries; ``render`` builds the one JSON value of keys that are asked
+for.
 """
 
 from __future__ import annotations
@@ -24,74 +24,64 @@ OFFLINE_KEY = "offine_recom"   # spelling is part of the output format
 ONLINE_TYPE = 1
 # ------------------------------------------------------------------------------------------
 
-DEFAULT_PAGE_SIZE = 1000
+LIST_SECTION = "list"          # the one section of a fallback list
 _JSON_OPTS = {"ignoreNullFields": "false"}
 
 
-def info_struct(score_cols: DataFrame | None = None) -> Column:
-    """NS7: the 11 attributes as text, in the fixed order (SC13 casts)."""
+def entry_json() -> Column:
+    """NS7, NS8: the 11 attributes as text, in the fixed order (SC13 casts), as JSON."""
     fields = []
     for name in INFO_FIELDS:
-        if name == "getScore":
-            c = F.col("fin_score").cast("float").cast("string")
-        else:
-            c = F.col(name).cast("string")
-        fields.append(c.alias(name))
-    return F.struct(*fields)
+        c = F.col("fin_score").cast("float") if name == "getScore" else F.col(name)
+        fields.append(c.cast("string").alias(name))
+    return F.to_json(F.struct(*fields), _JSON_OPTS)
 
 
-def assign_pages(df: DataFrame, key: list[str], item: str, page_size: int) -> DataFrame:
-    """Add ``page`` and ``n_pages``: entries of a key spread over bounded pages.
-
-    The per-key count is a partial aggregate (one row per key and input
-    partition cross the shuffle); joining it back is many-to-one, which AQE
-    splits when a key is hot.
-    """
-    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-    n_pages = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(page_size))).cast("int")
-    out = df.join(counts, key).withColumn("n_pages", n_pages)
-    page = F.when(F.col("n_pages") == 1, F.lit(0)) \
-        .otherwise(F.pmod(F.xxhash64(item), F.col("n_pages")).cast("int"))
-    return out.withColumn("page", page).drop("_n")
+def section() -> Column:
+    """Class type 1 goes online, every other type (null too) offline."""
+    online = F.coalesce(F.col("cla_class_type").cast("int") == ONLINE_TYPE, F.lit(False))
+    return F.when(online, F.lit(ONLINE_KEY)).otherwise(F.lit(OFFLINE_KEY))
 
 
-def _sorted_json_list(entries: Column, sort_key: Column) -> Column:
-    """Non-null ``entries`` of the group as an array sorted by ``sort_key``
-    (a null entry gives a null pair, which ``collect_list`` skips)."""
-    pair = F.when(entries.isNotNull(), F.struct(sort_key.alias("k"), entries.alias("v")))
-    return F.transform(F.array_sort(F.collect_list(pair)), lambda p: p["v"])
+def list_entries(rows: DataFrame, key: list[str]) -> DataFrame:
+    """AG10: the entries of a list per key; a class that is scored twice is listed twice."""
+    return rows.select(*key, F.lit(LIST_SECTION).alias("section"), "cla_id", entry_json().alias("entry"))
 
 
-def list_pack(entries: DataFrame, key: list[str], page_size: int = DEFAULT_PAGE_SIZE) -> DataFrame:
-    """AG10: per key a JSON list of info maps sorted by class id.
+def online_offline_entries(rows: DataFrame, key: list[str], keyed: bool = False) -> DataFrame:
+    """AG8 (``keyed=False``): the entries of the online and the offline list;
+    AG9 (``keyed=True``): the same with one entry per class id.
 
-    ``entries`` has ``key`` columns plus the score columns.  Output
-    ``key..., page, n_pages, jsonstring``.
+    Of repeated classes the keyed form keeps the entry with the highest score,
+    of equal scores the one whose JSON is the greatest text.
     """
-    e = entries.select(*key, F.col("cla_id").alias("_id"), info_struct().alias("_info"))
-    e = assign_pages(e, key, "_id", page_size)
-    out = e.groupBy(*key, "page", "n_pages").agg(_sorted_json_list(F.col("_info"), F.col("_id")).alias("_l"))
-    return out.select(*key, "page", "n_pages", F.to_json("_l", _JSON_OPTS).alias("jsonstring"))
+    out = rows.select(*key, section().alias("section"), "cla_id", entry_json().alias("entry"), "fin_score")
+    if keyed:
+        best = F.max(F.struct("fin_score", "entry", "section")).alias("b")
+        out = out.groupBy(*key, "cla_id").agg(best).select(*key, "b.section", "cla_id", "b.entry")
+    return out.select(*key, "section", "cla_id", "entry")
 
 
-def online_offline_pack(entries: DataFrame, key: list[str], keyed: bool = False,
-                        page_size: int = DEFAULT_PAGE_SIZE) -> DataFrame:
-    """AG8 (``keyed=False``): ``{"online_recom": [info...], "offine_recom": [info...]}``;
-    AG9 (``keyed=True``): the same with objects keyed by class id.
+def _list(section_name: str, keyed: bool) -> Column:
+    """The section's entries in order of class id as JSON, without brackets."""
+    item = F.col("entry")
+    if keyed:
+        name = F.to_json(F.array("cla_id"))
+        item = F.concat(F.substring(name, F.lit(2), F.char_length(name) - 2), F.lit(":"), item)
+    pair = F.when(F.col("section") == section_name, F.struct(F.col("cla_id").alias("k"), item.alias("v")))
+    return F.array_join(F.transform(F.array_sort(F.collect_list(pair)), lambda p: p["v"]), ",")
 
-    Class type 1 goes online, every other type (null too) offline.
+
+def render(entries: DataFrame, key: str, keyed: bool = False) -> DataFrame:
+    """``(key, value)``: the JSON value of each key of ``entries``.
+
+    For requested keys: the value of a key holds all its entries, so its size
+    is the reader's choice.  A key of a list section renders as a JSON list.
     """
-    is_on = F.coalesce(F.col("cla_class_type") == ONLINE_TYPE, F.lit(False))
-    e = entries.select(*key, F.col("cla_id").alias("_id"), is_on.alias("_on"), info_struct().alias("_info"))
-    if keyed:  # one entry per class id (a map keeps one value per key)
-        e = e.dropDuplicates([*key, "_id"])
-    e = assign_pages(e, key, "_id", page_size)
-    on = _sorted_json_list(F.when(F.col("_on"), F.col("_info")), F.col("_id"))
-    off = _sorted_json_list(F.when(~F.col("_on"), F.col("_info")), F.col("_id"))
-    if keyed:
-        on = _sorted_json_list(F.when(F.col("_on"), F.struct(F.col("_id"), F.col("_info"))), F.col("_id"))
-        off = _sorted_json_list(F.when(~F.col("_on"), F.struct(F.col("_id"), F.col("_info"))), F.col("_id"))
-        on, off = F.map_from_entries(on), F.map_from_entries(off)
-    out = e.groupBy(*key, "page", "n_pages").agg(on.alias(ONLINE_KEY), off.alias(OFFLINE_KEY))
-    pack = F.to_json(F.struct(ONLINE_KEY, OFFLINE_KEY), _JSON_OPTS)
-    return out.select(*key, "page", "n_pages", pack.alias("jsonstring"))
+    lo, hi = ("{", "}") if keyed else ("[", "]")
+    parts = entries.groupBy(key).agg(
+        F.max(F.col("section") == LIST_SECTION).alias("_plain"), _list(LIST_SECTION, False).alias("_l"),
+        _list(ONLINE_KEY, keyed).alias("_on"), _list(OFFLINE_KEY, keyed).alias("_off"))
+    both = F.concat(F.lit(f'{{"{ONLINE_KEY}":{lo}'), "_on", F.lit(f'{hi},"{OFFLINE_KEY}":{lo}'), "_off", F.lit(f"{hi}}}"))
+    return parts.select(key, F.when(F.col("_plain"), F.concat(F.lit("["), "_l", F.lit("]")))
+                        .otherwise(both).alias("value"))

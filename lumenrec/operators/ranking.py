@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lumenrec.functions import pad
+
 TOP_N = 3
 
 
@@ -52,5 +54,4 @@ def as_padded_list(ranked: DataFrame, key: str, item: str, n: int = TOP_N) -> Da
     """Long ranked rows -> ``(key, list)`` in rank order, padded with ``''`` to ``n``."""
     lst = F.transform(F.array_sort(F.collect_list(F.struct("rank", item))), lambda x: x[item])
     out = ranked.groupBy(key).agg(lst.alias("list"))
-    padded = F.slice(F.concat(F.col("list"), F.array_repeat(F.lit(""), n)), 1, n)
-    return out.withColumn("list", padded)
+    return out.withColumn("list", pad("list", n))

@@ -1,27 +1,14 @@
-"""Set and reshape helpers (PF2, PF4, ST1, ST4, ST5, WN3, NS9, SNK6)."""
+"""Set and reshape helpers (PF4, ST4, ST5, WN3, NS9, SNK6)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenrec.operators.ranking import top3_json
 from lumenrec.operators.features import count_values
 
 
-def rename_all(df: DataFrame, *names: str) -> DataFrame:
-    """PF2: positional rename of every column."""
-    return df.toDF(*names)
-
-
-def bag_union(*dfs: DataFrame) -> DataFrame:
-    """ST1: bag union by column name."""
-    out = dfs[0]
-    for d in dfs[1:]:
-        out = out.unionByName(d)
-    return out
-
-
 def dedupe_list(arr) -> F.Column:
     """ST4: set-dedupe inside a list (first occurrence kept)."""
     return F.array_distinct(arr)
@@ -37,16 +24,6 @@ def sample_rows(df: DataFrame, n: int, order: list[str] | None = None) -> DataFr
     return df.orderBy(*(order or df.columns)).limit(n)
 
 
-def sample_per_group(df: DataFrame, group: str, n: int, order: list[str] | None = None) -> DataFrame:
-    """WN3 per day: the first ``n`` rows of each ``group`` value after a total order
-    (the local job's ``... where day = d limit 1000`` for every day).  The rank
-    filter sits directly on the window, so Spark keeps at most ``n`` rows per
-    group and map partition before the shuffle (``WindowGroupLimit``)."""
-    keys = order or [c for c in df.columns if c != group]
-    w = Window.partitionBy(group).orderBy(*keys)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
-
-
 def json_property_top3(events: DataFrame, json_col: str, path: str, output_name: str,
                        dt: str, min_version: tuple[int, int] | None = None,
                        version_col: str | None = None) -> DataFrame:

@@ -71,15 +71,17 @@ def registered_sessions(register: DataFrame, all_sessions: bool = False) -> Data
     original fails there (Q9); such rows are kept for counting, never joined.
     """
     u = unpack_register(register)
-    ex = u.select("sid", "city_id", "cla_id", "date_arr", "starttime_arr", "endtime_arr",
-                  F.posexplode("date_arr").alias("pos", "d"))
-    ex = ex.filter(F.col("d") != "")  # an empty text splits to [''] -- not a session
+    zipped = F.arrays_zip(F.col("date_arr").alias("d"), F.col("starttime_arr").alias("st"),
+                          F.col("endtime_arr").alias("et"))
+    ex = u.select("sid", "city_id", "cla_id", F.posexplode(zipped).alias("pos", "s"))
+    # an empty text splits to [''] -- not a session; times beyond the dates belong to none
+    ex = ex.select("sid", "city_id", "cla_id", "pos", "s.d", "s.st", "s.et").filter(F.col("d") != "")
     if not all_sessions:
-        ex = ex.filter(F.array_position("date_arr", F.col("d")) == F.col("pos") + 1)
-    st = F.get(F.col("starttime_arr"), F.col("pos"))
-    et = F.get(F.col("endtime_arr"), F.col("pos"))
-    return ex.select("sid", "city_id", "cla_id", "d", st.alias("st"), et.alias("et"),
-                     (st.isNotNull() & et.isNotNull()).alias("ok"))
+        first = F.min(F.struct("pos", "st", "et")).alias("f")
+        ex = ex.groupBy("sid", "city_id", "cla_id", "d").agg(first) \
+            .select("sid", "city_id", "cla_id", "d", "f.st", "f.et")
+    return ex.select("sid", "city_id", "cla_id", "d", "st", "et",
+                     (F.col("st").isNotNull() & F.col("et").isNotNull()).alias("ok"))
 
 
 def same_subject_exclusion(recs: DataFrame, regs: DataFrame) -> DataFrame:
@@ -139,11 +141,29 @@ def conflict_free_recs(rec_sessions: DataFrame, reg_sessions: DataFrame) -> Data
         .filter(~F.col("_c")).select("sid", "city_id", "cla_id")
 
 
-def timetable_errors(sessions: DataFrame) -> DataFrame:
-    """Count error rows (a missing start or end, SURVEY Q9) of a session table."""
-    bad = F.col("st").isNull() | F.col("et").isNull()
-    return sessions.agg(F.sum(F.when(bad, 1).otherwise(0)).cast("bigint").alias("error_rows"),
-                        F.count(F.lit(1)).alias("rows"))
+def student_register(regs: DataFrame, all_sessions: bool = False) -> DataFrame:
+    """What both exclusions need of a student, one row per (sid, city_id): ``owned``, the distinct
+    (term, subject, year) registered, and ``booked``, one (d, st, largest end) per date and start.
+
+    Both are bounded by the values of terms, subjects and years and by the
+    calendar's start times, however many registrations repeat them; each is
+    summed up within a task before it is shuffled.  Rows with a missing time
+    book nothing (SURVEY Q9).
+    """
+    owned = regs.groupBy("sid", "city_id").agg(F.collect_set(F.struct(
+        F.col("cla_term_id").alias("term"), F.col("cla_subject_names").alias("subject"),
+        F.col("year").alias("year"))).alias("owned"))
+    s = registered_sessions(regs, all_sessions).filter("ok")
+    booked = s.groupBy("sid", "city_id", "d", "st").agg(F.max("et").alias("mx")) \
+        .groupBy("sid", "city_id").agg(F.collect_list(F.struct("d", "st", "mx")).alias("booked"))
+    return owned.join(booked, ["sid", "city_id"], "left")
+
+
+def rejected_sessions(regs: DataFrame, all_sessions: bool = False) -> DataFrame:
+    """Sessions of the packed registrations that were left out for a missing start or end
+    (SURVEY Q9), counted per city: ``(city_id, n_sessions, n_rejected)``."""
+    s = registered_sessions(regs, all_sessions)
+    return s.groupBy("city_id").agg(F.count(F.lit(1)).alias("n_sessions"), F.count_if(~F.col("ok")).alias("n_rejected"))
 
 
 def tagged_union(recs: DataFrame, regs: DataFrame, tag: str = "-1") -> DataFrame:

@@ -9,24 +9,25 @@ from __future__ import annotations
 
 FIXTURE_VIEWS = r"""
 fx_class AS (
- SELECT CAST(p_partkey AS VARCHAR) AS cla_id, CAST(p_partkey % 5 AS VARCHAR) AS city_id,
+ SELECT CAST(p_partkey AS VARCHAR) AS cla_id, CAST(CAST(floor(p_partkey/400.0) AS BIGINT) AS VARCHAR) AS city_id,
  CASE CAST(floor(p_partkey/5.0) AS BIGINT) % 5 WHEN 0 THEN 'BUILDING' WHEN 1 THEN 'FURNITURE' WHEN 2 THEN 'MACHINERY' WHEN 3 THEN 'HOUSEHOLD' ELSE 'AUTOMOBILE' END AS cla_grade_id,
  CAST(p_size % 6 AS VARCHAR) AS cla_term_id,
  CASE p_type WHEN 'MEDIUM' THEN '数学' WHEN 'STANDARD' THEN '语文' WHEN 'LARGE' THEN '英语' WHEN 'PROMO' THEN '物理' WHEN 'SMALL' THEN '化学' ELSE '生物' END AS cla_subject_names,
  CASE split_part(p_name,' ',2) WHEN 'widget' THEN '启航班' WHEN 'plate' THEN '勤思班' WHEN 'ring' THEN '敏学班' WHEN 'rod' THEN '博学班' WHEN 'bolt' THEN '创新班' WHEN 'gizmo' THEN '兴趣班' ELSE '-' END AS cla_level_name,
  CAST(p_partkey % 4 AS VARCHAR) AS cla_class_type, CAST(2016 + p_size % 3 AS VARCHAR) AS cla_year,
  CASE WHEN p_partkey % 4 = 1 THEN 'live-class-service-center' ELSE 'L' || CAST(p_partkey % 3 AS VARCHAR) END AS loc,
- p_brand AS cla_teacher_ids, p_retailprice/1000 AS fin_score FROM part),
+ p_brand AS cla_teacher_ids, CAST(p_size % 6 + 1 AS BIGINT) AS cla_subject_ids, 'C' || CAST(p_size % 6 AS VARCHAR) AS cla_classtime_names,
+ CAST(2016 + p_size % 3 AS VARCHAR) || '/' || CAST(p_size % 6 AS VARCHAR) AS cla_classdate_name, p_retailprice/1000 AS fin_score FROM part),
 fx_student AS (
- SELECT CAST(c_custkey AS VARCHAR) AS stu_id, CAST(c_custkey AS VARCHAR) AS stu_uid, CAST(n_regionkey AS VARCHAR) AS city_id, c_mktsegment AS stu_grade_id
- FROM customer JOIN nation ON c_nationkey=n_nationkey),
+ SELECT CAST(c_custkey AS VARCHAR) AS stu_id, CAST(c_custkey AS VARCHAR) AS stu_uid, CAST(CAST(floor(c_custkey/300.0) AS BIGINT) AS VARCHAR) AS city_id, c_mktsegment AS stu_grade_id
+ FROM customer),
 fx_user AS (SELECT CAST(c_custkey AS VARCHAR) AS id FROM customer WHERE c_acctbal > 0),
 fx_regist AS (
  SELECT CAST(o_custkey AS VARCHAR) AS reg_student_id, CAST(l_partkey AS VARCHAR) AS reg_class_id, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS reg_pay_date,
  CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 0 END AS reg_ispay, CASE l_returnflag WHEN 'R' THEN 1 ELSE 0 END AS reg_isdeleted
  FROM lineitem JOIN orders ON l_orderkey=o_orderkey),
 fx_order AS (
- SELECT CAST(o_custkey AS VARCHAR) AS sid, CASE WHEN l_returnflag='R' THEN 3 WHEN o_orderstatus='F' THEN 2 WHEN o_orderstatus='O' THEN 1 ELSE 0 END AS orderstatus,
+ SELECT CAST(o_custkey AS VARCHAR) AS sid, 'd' || CAST(o_custkey AS VARCHAR) AS distinctid, CASE WHEN l_returnflag='R' THEN 3 WHEN o_orderstatus='F' THEN 2 WHEN o_orderstatus='O' THEN 1 ELSE 0 END AS orderstatus,
  l_extendedprice*0.02 AS classprice, cla_level_name AS classlevelname, cla_subject_names AS subjectname,
  CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS startdate,
  CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS finacreatedate, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS dt
@@ -38,11 +39,11 @@ fx_behavior AS (
 fx_curriculum AS (
  SELECT CAST(l_partkey AS VARCHAR) AS cuc_class_id, CAST(l_shipdate AS DATE) AS cuc_class_date,
  lpad(CAST(8+l_linenumber AS VARCHAR),2,'0') || ':00' AS cuc_start_time, lpad(CAST(10+l_linenumber AS VARCHAR),2,'0') || ':00' AS cuc_end_time,
- CAST(l_partkey % 5 AS VARCHAR) AS city_id FROM lineitem),
+ CAST(CAST(floor(l_partkey/400.0) AS BIGINT) AS VARCHAR) AS city_id FROM lineitem),
 fx_location AS (
- SELECT CAST(c_custkey AS VARCHAR) AS sid, CAST(n_regionkey AS VARCHAR) AS city_id,
+ SELECT CAST(c_custkey AS VARCHAR) AS sid, CAST(CAST(floor(c_custkey/300.0) AS BIGINT) AS VARCHAR) AS city_id,
  'L' || CAST(c_custkey % 3 AS VARCHAR) || ',L' || CAST(c_custkey % 2 AS VARCHAR) AS depart_4
- FROM customer JOIN nation ON c_nationkey=n_nationkey),
+ FROM customer),
 fx_rule_long AS (
  SELECT city_id, cla_grade_id AS grade_id, CASE WHEN cla_subject_names='生物' THEN '其他' ELSE cla_subject_names END || '_' || cla_term_id AS left_token, loc, cla_id FROM fx_class),
 fx_registered AS (
@@ -157,10 +158,11 @@ QUERIES["favor_classtime"] = _favor("cla_classtime_ids", "class_time_favor", "AN
 
 QUERIES["order_recall"] = with_views(f"""
 od AS (SELECT * FROM fx_order WHERE dt BETWEEN '1995-01-01' AND '2001-08-01'),
-r AS (SELECT sid, {subject_sql('subjectname')} || {level_sql('classlevelname')} AS feature_name,
+r AS (SELECT distinctid, {subject_sql('subjectname')} || {level_sql('classlevelname')} AS feature_name,
              {status_weight_sql('orderstatus')} AS value FROM od
-      UNION ALL SELECT sid, 'price', classprice FROM od)
-SELECT sid, feature_name, round(sum(value), 6) AS value FROM r GROUP BY sid, feature_name""")
+      UNION ALL SELECT distinctid, 'price', coalesce(classprice, 0.0) FROM od)
+SELECT distinctid, feature_name, round(sum(value), 6) AS value, CAST(0 AS BIGINT) AS n_rejected
+FROM r GROUP BY distinctid, feature_name""")
 
 # ---- PL5 student tokens ----------------------------------------------------------------
 
@@ -212,7 +214,7 @@ ra AS (SELECT m.sid, m.city_id, m.cla_id, c.cla_term_id, c.cla_subject_names, c.
 reg AS (SELECT r.sid, r.cla_id, st.city_id, c.cla_term_id, c.cla_subject_names, c.cla_year AS year FROM fx_registered r
         JOIN fx_class c ON c.cla_id = r.cla_id JOIN fx_student st ON st.stu_id = r.sid),
 reg_sess AS (SELECT reg.sid, reg.city_id, reg.cla_id, CAST(s.d AS VARCHAR) AS d, s.st, s.et FROM reg JOIN fx_session s ON s.cla_id = reg.cla_id),
-rec_first AS (SELECT cla_id, city_id, d, min(st) AS st, min(et) AS et FROM fut GROUP BY 1, 2, 3),
+rec_first AS (SELECT cla_id, city_id, d, st, et FROM (SELECT *, row_number() OVER (PARTITION BY cla_id, city_id, d ORDER BY st, et) AS rn FROM fut) x WHERE rn = 1),
 same_key AS (SELECT ra.* FROM ra WHERE NOT EXISTS (
        SELECT 1 FROM reg g WHERE g.sid = ra.sid AND g.city_id = ra.city_id
          AND g.cla_term_id IS NOT DISTINCT FROM ra.cla_term_id
@@ -258,40 +260,57 @@ def _info_sql(a: str) -> str:
             f"'cla_classdate_name', {a}.cla_classdate_name, 'getScore', CAST(CAST({a}.fin_score AS FLOAT) AS VARCHAR))")
 
 
+def _section_sql(a: str) -> str:
+    return f"CASE WHEN CAST({a}.cla_class_type AS BIGINT) = 1 THEN 'online_recom' ELSE 'offine_recom' END"
+
+
+def _kv_sql(prefix: str, key: str, body: str) -> str:
+    return (f"SELECT '{prefix}' || {key} AS key, city_id, section, cla_id, entry AS value, CAST(2592000 AS BIGINT) AS ttl_s, "
+            f"CAST(TIMESTAMP '2001-01-01 00:00:00' + INTERVAL 2592000 SECOND AS VARCHAR) AS expires_at FROM {body}")
+
+
 _FREE = """,
 free AS (SELECT k.sid, k.city_id, k.cla_id FROM same_key k
   WHERE NOT EXISTS (SELECT 1 FROM conflicting c WHERE c.sid = k.sid AND c.city_id = k.city_id AND c.cla_id = k.cla_id)),
-ent AS (SELECT f.sid, s.*, """ + _info_sql("s") + """ AS info FROM free f JOIN fx_score s ON s.cla_id = f.cla_id AND s.city_id = f.city_id),
-spack AS (SELECT sid,
-  '{"online_recom":[' || coalesce(string_agg(CAST(info AS VARCHAR), ',' ORDER BY cla_id) FILTER (WHERE cla_class_type = 1), '')
-  || '],"offine_recom":[' || coalesce(string_agg(CAST(info AS VARCHAR), ',' ORDER BY cla_id) FILTER (WHERE cla_class_type IS DISTINCT FROM 1), '')
-  || ']}' AS jsonstring FROM ent GROUP BY sid),
+spack AS (SELECT f.sid, s.city_id, """ + _section_sql("s") + """ AS section, s.cla_id, CAST(""" + _info_sql("s") + """ AS VARCHAR) AS entry
+  FROM free f JOIN fx_score s ON s.cla_id = f.cla_id AND s.city_id = f.city_id)"""
+
+_GROUPS = """
 gpack AS (SELECT coalesce(city_id, 'null') || '_' || coalesce(cla_grade_id, 'null') || '_' || coalesce(cla_subject_names, 'null') AS key,
-  '[' || string_agg(CAST(""" + _info_sql("s") + """ AS VARCHAR), ',' ORDER BY cla_id) || ']' AS jsonstring
-  FROM fx_score s GROUP BY 1),
-kv AS (SELECT 'recommend_studentid_' || sid AS key, jsonstring AS value FROM spack
-  UNION ALL SELECT 'recommend_' || key, jsonstring FROM gpack),
-kvx AS (SELECT key, value, CAST(2592000 AS BIGINT) AS ttl_s,
-  CAST(TIMESTAMP '2001-01-01 00:00:00' + INTERVAL 2592000 SECOND AS VARCHAR) AS expires_at, CAST(1 AS BIGINT) AS n_pages FROM kv)"""
+  city_id, 'list' AS section, cla_id, CAST(""" + _info_sql("s") + """ AS VARCHAR) AS entry FROM fx_score s),
+gkv AS (""" + _kv_sql("recommend_", "key", "gpack") + ")"
 
-QUERIES["serve_pack"] = with_views(_MATCH + _SCHED + _FREE + "\nSELECT sid, jsonstring FROM spack")
+QUERIES["serve_pack"] = with_views(_MATCH + _SCHED + _FREE + "\nSELECT sid, section, cla_id, entry FROM spack")
 
 QUERIES["serve_pack_keyed"] = with_views(_MATCH + _SCHED + _FREE + """,
-kpack AS (SELECT sid,
-  '{"online_recom":{' || coalesce(string_agg(to_json(cla_id) || ':' || CAST(info AS VARCHAR), ',' ORDER BY cla_id) FILTER (WHERE cla_class_type = 1), '')
-  || '},"offine_recom":{' || coalesce(string_agg(to_json(cla_id) || ':' || CAST(info AS VARCHAR), ',' ORDER BY cla_id) FILTER (WHERE cla_class_type IS DISTINCT FROM 1), '')
-  || '}}' AS jsonstring FROM (SELECT DISTINCT * FROM ent) GROUP BY sid)
-SELECT sid, jsonstring FROM kpack""")
+attr AS (SELECT k.cla_id, k.city_id, k.cla_subject_ids, k.cla_class_type, k.cla_subject_names, k.cla_term_id, k.cla_grade_id,
+  k.cla_level_name, k.cla_classtime_names, k.cla_classdate_name, s.fin_score
+  FROM fx_class k JOIN fx_score s ON s.cla_id = k.cla_id AND s.city_id = k.city_id)
+SELECT f.sid, """ + _section_sql("a") + """ AS section, a.cla_id, CAST(""" + _info_sql("a") + """ AS VARCHAR) AS entry
+FROM free f JOIN attr a ON a.cla_id = f.cla_id AND a.city_id = f.city_id""")
 
-QUERIES["fallback_pack"] = with_views(_MATCH + _SCHED + _FREE + "\nSELECT key, jsonstring FROM gpack")
+QUERIES["fallback_pack"] = with_views(_GROUPS + "\nSELECT key, section, cla_id, entry FROM gpack")
 
-QUERIES["kv_export"] = with_views(_MATCH + _SCHED + _FREE + "\nSELECT * FROM kvx")
+QUERIES["kv_export"] = with_views(_MATCH + _SCHED + _FREE + "," + _GROUPS + """
+SELECT * FROM gkv UNION ALL """ + _kv_sql("recommend_studentid_", "sid", "spack"))
 
-QUERIES["kv_scan_prefix"] = with_views(_MATCH + _SCHED + _FREE + """
-SELECT * FROM kvx WHERE starts_with(key, 'recommend_studentid_') ORDER BY key LIMIT 10""")
+QUERIES["kv_scan_prefix"] = with_views(_GROUPS + """
+SELECT * FROM gkv WHERE key IN (SELECT DISTINCT key FROM gkv WHERE starts_with(key, 'recommend_') ORDER BY key LIMIT 10)""")
 
-QUERIES["kv_get"] = with_views(_MATCH + _SCHED + _FREE + """
-SELECT * FROM kvx WHERE key = 'recommend_0_BUILDING_数学'""")
+QUERIES["kv_get"] = with_views(_GROUPS + """
+SELECT key, '[' || string_agg(value, ',' ORDER BY cla_id) || ']' AS value, count(*) AS n_entries, max(ttl_s) AS ttl_s,
+  max(expires_at) AS expires_at FROM gkv WHERE key = 'recommend_0_BUILDING_数学' GROUP BY key""")
+
+QUERIES["kv_values"] = with_views(_MATCH + _SCHED + _FREE + """
+SELECT sid, '{"online_recom":[' || coalesce(string_agg(entry, ',' ORDER BY cla_id) FILTER (WHERE section = 'online_recom'), '')
+  || '],"offine_recom":[' || coalesce(string_agg(entry, ',' ORDER BY cla_id) FILTER (WHERE section = 'offine_recom'), '')
+  || ']}' AS value FROM spack GROUP BY sid""")
+
+QUERIES["register_rejects"] = with_views("""
+reg AS (SELECT r.sid, r.cla_id, st.city_id FROM fx_registered r JOIN fx_class c ON c.cla_id = r.cla_id
+        JOIN fx_student st ON st.stu_id = r.sid)
+SELECT reg.city_id, count(*) AS n_sessions, CAST(0 AS BIGINT) AS n_rejected
+FROM reg JOIN fx_session s ON s.cla_id = reg.cla_id GROUP BY reg.city_id""")
 
 # ---- per-row functions, filters and reshapes -------------------------------------------------
 
@@ -341,7 +360,8 @@ SELECT sid, '班型偏好' AS feature_name,
 FROM rk WHERE rn <= 3 GROUP BY sid"""
 QUERIES["row_json_export"] = with_views("""x AS (SELECT 1)
 SELECT cla_id AS key, CAST(json_object('cla_id', cla_id, 'city_id', city_id, 'cla_grade_id', cla_grade_id, 'cla_term_id', cla_term_id,
-  'cla_subject_names', cla_subject_names, 'cla_level_name', cla_level_name, 'cla_class_type', cla_class_type, 'cla_year', cla_year) AS VARCHAR) AS value,
+  'cla_subject_names', cla_subject_names, 'cla_level_name', cla_level_name, 'cla_class_type', cla_class_type, 'cla_year', cla_year,
+  'cla_subject_ids', cla_subject_ids, 'cla_classtime_names', cla_classtime_names, 'cla_classdate_name', cla_classdate_name) AS VARCHAR) AS value,
   CAST(600 AS BIGINT) AS ttl_s FROM fx_class""")
 
 # ---- literal Q3, JSON parse, locations, unpivots ------------------------------------------
@@ -372,20 +392,14 @@ QUERIES["event_unpivot"] = with_views(f"ev AS ({_EV})\nSELECT sid, feature_name,
 QUERIES["order_unpivot"] = with_views(
     f"od AS ({_OD})\nSELECT sid, feature_name, round(value, 6) AS value FROM ({_OD_TRIPLES}) t")
 
-# ---- the local job's per-day samples (WN3 + PL1/PL2) ------------------------------------
+QUERIES["positional_rename"] = with_views("x AS (SELECT 1)\nSELECT sid AS student, city_id AS city, depart_4 AS centers FROM fx_location")
 
-_EV_COLS = ", ".join(f"{c} NULLS FIRST" for c in (
-    "sid", "cla_id", "cla_level_name", "cla_subject_names", "cla_class_type", "cla_teacher_ids",
-    "cla_servicecenter_id", "cla_classtime_ids"))
-_OD_COLS = ", ".join(f"{c} NULLS FIRST" for c in (
-    "sid", "orderstatus", "classprice", "classlevelname", "subjectname", "startdate", "finacreatedate"))
+QUERIES["nonblank_lists"] = with_views(_TOKENS + "\nSELECT sid, t1 AS first_token FROM tokens WHERE t1 <> ''")
 
-QUERIES["event_features_sample"] = with_views(f"""
-ev AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY day ORDER BY {_EV_COLS}) AS rn FROM ({_EV}) x)
-       WHERE rn <= 300)
-""" + _features(_EV_TRIPLES, "2024-01-20"))
+QUERIES["table_counts"] = with_views("""x AS (SELECT 1)
+SELECT 'behavior' AS name, count(*) AS n_rows FROM fx_behavior UNION ALL SELECT 'order', count(*) FROM fx_order
+UNION ALL SELECT 'regist', count(*) FROM fx_regist UNION ALL SELECT 'klass', count(*) FROM fx_class
+UNION ALL SELECT 'curriculum', count(*) FROM fx_curriculum""")
 
-QUERIES["order_features_sample"] = with_views(f"""
-od AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dt ORDER BY {_OD_COLS}) AS rn FROM ({_OD}) x)
-       WHERE rn <= 20)
-""" + _features(_OD_TRIPLES, "2001-08-01"))
+QUERIES["fn_today"] = with_views("""x AS (SELECT 1)
+SELECT cuc_class_date > DATE '2001-01-01' AS future, count(*) AS n_sessions FROM fx_curriculum GROUP BY 1""")

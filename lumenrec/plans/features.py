@@ -12,11 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenrec.functions import is_valid
+from lumenrec.functions import date_between, is_valid
 from lumenrec.functions.time import days_in_range
 from lumenrec.operators import features as ft
 from lumenrec.operators.ranking import top3_json
-from lumenrec.operators.reshape import sample_per_group
 from lumenrec.sources.tables import Tables
 
 
@@ -41,19 +40,6 @@ def merged_features(t: Tables, event_range: tuple[str, str], order_range: tuple[
     return ft.sum_weights(ev.unionByName(od), dt)
 
 
-def sampled_event_features(t: Tables, begin: str, end: str, dt: str, per_day: int = 1000) -> DataFrame:
-    """PL2 of the local job: at most ``per_day`` behaviour rows of each day (total order)."""
-    rows = sample_per_group(ft.valid_events(t.behavior, begin, end), "day", per_day)
-    return ft.sum_weights(ft.event_triples(rows), dt)
-
-
-def sampled_order_features(t: Tables, begin: str, end: str, dt: str, created_after: str,
-                           per_day: int = 1000) -> DataFrame:
-    """PL1 of the local job: at most ``per_day`` orders of each ``dt`` (total order)."""
-    rows = sample_per_group(ft.valid_orders(t.order, begin, end, created_after), "dt", per_day)
-    return ft.sum_weights(ft.order_triples(rows), dt)
-
-
 # ---- PL4 preference lists -------------------------------------------------------------
 
 # ---- fixed values: the three lists of the original job --------------------------------
@@ -76,7 +62,7 @@ def favor_counts(t: Tables, feature: str, begin: str, end: str,
     of the range.
     """
     b = t.behavior
-    std = is_valid("sid") & F.col("day").between(begin, end) & is_valid(feature)
+    std = is_valid("sid") & date_between("day", begin, end) & is_valid(feature)
     if condition is not None:
         std = std & condition
     if literal_or is None:
@@ -105,7 +91,7 @@ def favor_list(t: Tables, output_name: str, begin: str, end: str, dt: str,
 
 def order_recall_rows(t: Tables, begin: str, end: str) -> DataFrame:
     """ST8 rows of the orders whose ``dt`` lies in the range (text values)."""
-    return ft.order_recall_rows(t.order.filter(F.col("dt").between(begin, end)))
+    return ft.order_recall_rows(t.order.filter(date_between("dt", begin, end)))
 
 
 def order_recall(t: Tables, begin: str, end: str) -> DataFrame:

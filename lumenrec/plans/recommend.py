@@ -26,24 +26,37 @@ def live_registrations(t: Tables, city: str | None = None) -> DataFrame:
     return g
 
 
+def class_sessions(t: Tables, as_of: str, city: str | None = None, all_sessions: bool = False) -> DataFrame:
+    """JN8, JN9 on the class side: current classes with a future session, one row each with its
+    attributes and its sessions ``(d, st, et)`` as an array (a class's own few dates)."""
+    sessions = sc.future_sessions(t.curriculum, as_of, city)
+    if not all_sessions:
+        sessions = sc.first_session_per_date(sessions)
+    per_class = sessions.groupBy("cla_id", "city_id").agg(F.collect_list(F.struct("d", "st", "et")).alias("sessions"))
+    return current_classes(t, city).join(per_class, ["cla_id", "city_id"])
+
+
 def conflict_free(t: Tables, recs: DataFrame, as_of: str, city: str | None = None,
                   all_sessions: bool = False) -> DataFrame:
     """PL8: recommendations that (a) are current classes (JN8), (b) have a future
     session (JN9), (c) repeat no registered term-subject-year (JN10) and
     (d) overlap no registered session on the same date (JN11).
 
-    Returns the set ``(sid, city_id, cla_id)``: each input is used once, the
-    overlap test checks a bounded per-date summary (``conflict_flags``), never
-    a pairwise join.
+    Returns the set ``(sid, city_id, cla_id)``.  The recommendations move twice:
+    to their class, then to their student, where one row per student holds what
+    both exclusions need (``schedule.student_register``); no pair of a
+    recommendation and a registration is formed.
     """
     r = recs if city is None else recs.filter(F.col("city_id") == city)
-    sessions = sc.future_sessions(t.curriculum, as_of, city)
-    regs = live_registrations(t, city)
-    kept = sc.same_subject_exclusion(r.join(current_classes(t, city), ["cla_id", "city_id"]), regs)
-    # the inner join with the future sessions is JN9: a class without one drops out
-    rec_sessions = kept.select("sid", "city_id", "cla_id").join(
-        sessions if all_sessions else sc.first_session_per_date(sessions), ["cla_id", "city_id"])
-    return sc.conflict_free_recs(rec_sessions, sc.registered_sessions(regs, all_sessions))
+    offers = r.select("sid", "city_id", "cla_id").join(class_sessions(t, as_of, city, all_sessions), ["cla_id", "city_id"])
+    owned = sc.student_register(live_registrations(t, city), all_sessions)
+    j = offers.join(owned, ["sid", "city_id"], "left")
+    same = F.exists("owned", lambda o: o["term"].eqNullSafe(F.col("cla_term_id"))
+                    & o["subject"].eqNullSafe(F.col("cla_subject_names")) & o["year"].eqNullSafe(F.col("year")))
+    clash = F.exists("sessions", lambda s: F.exists("booked", lambda b: (b["d"] == s["d"]) & (b["st"] <= s["et"])
+                                                    & (b["mx"] >= s["st"])))
+    free = ~F.coalesce(same, F.lit(False)) & ~F.coalesce(clash, F.lit(False))
+    return j.filter(free).select("sid", "city_id", "cla_id")
 
 
 def curriculum_table(t: Tables, as_of: str, city: str | None = None) -> DataFrame:

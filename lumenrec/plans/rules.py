@@ -11,10 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumenrec.functions import is_valid, is_valid_city_weak, java_split, token
-from lumenrec.operators.joins import (
-    DEFAULT_SALT, ROWS_PER_BUCKET, containment_join, salt_buckets, salted_join,
-)
+from lumenrec.functions import is_valid, is_valid_city_weak, java_split, not_empty_json, token
+from lumenrec.operators.joins import containment_join
 from lumenrec.operators.ranking import as_padded_list, recent_distinct
 from lumenrec.sources.tables import Tables
 
@@ -31,7 +29,7 @@ def registrations(t: Tables, pay_after: str) -> DataFrame:
     """Paid, not deleted registrations of live students (JN1, JN2)."""
     live = t.student.join(t.user, t.student.stu_uid == t.user.id, "left_semi").select("stu_id")
     reg = t.regist.filter(F.col("reg_ispay").isin(*PAID_STATES) & (F.col("reg_isdeleted") == 0)
-                          & (F.col("reg_pay_date") > F.lit(pay_after))
+                          & (F.col("reg_pay_date") > F.lit(pay_after).cast("date"))
                           & is_valid("reg_student_id") & is_valid("reg_class_id"))
     return reg.join(live, reg.reg_student_id == live.stu_id, "left_semi") \
         .select(F.col("reg_student_id").alias("sid"), F.col("reg_class_id").alias("cla_id"),
@@ -68,19 +66,6 @@ def student_tokens(t: Tables, pay_after: str, dt: str, city: str | None = None)
         "sid", "city_id", F.col("stu_grade_id").alias("grade_id"), "left_rule", F.lit(dt).alias("dt"))
 
 
-def reuse_or_compute(stored: DataFrame | None, as_of: str, compute) -> DataFrame:
-    """Same-day reuse of a stored token table (Q10): reuse it when its newest
-    ``dt`` equals ``as_of``, otherwise (or when empty / absent) compute.
-
-    One scalar aggregate runs on the driver to decide; no rows are collected.
-    """
-    if stored is not None:
-        latest = stored.agg(F.max("dt").alias("m")).first()["m"]
-        if latest == as_of:
-            return stored
-    return compute()
-
-
 # ---- PL6 rule match -----------------------------------------------------------------
 
 _RECALL = T.MapType(T.StringType(), T.ArrayType(T.StringType()))
@@ -88,7 +73,7 @@ _RECALL = T.MapType(T.StringType(), T.ArrayType(T.StringType()))
 
 def rules_with_id(rules: DataFrame, city: str | None = None) -> DataFrame:
     """Rules with a non-empty recall (PF10) and a content id."""
-    r = rules.filter(F.col("recall").isNotNull() & (F.col("recall") != "{}"))
+    r = rules.filter(not_empty_json("recall"))
     if city is not None:
         r = r.filter(F.col("city_id") == city)
     return r.withColumn("rule_id", F.xxhash64("city_id", "grade_id", "left", "recall"))
@@ -121,21 +106,8 @@ def student_locations(location: DataFrame, city: str | None = None) -> DataFrame
                       F.explode(F.array_distinct(F.array_append(parts, F.lit(LIVE_KEY)))).alias("loc"))
 
 
-def students_per_group(student: DataFrame, city: str | None = None) -> DataFrame:
-    """``(city_id, grade_id, _n)``: students per group, from the base student table.
-
-    Token lists are a subset of the students (PL5 joins them), so this bounds
-    the rows per group of every coarse-keyed join of the rule match without
-    touching the token chain."""
-    s = student.filter(is_valid_city_weak("city_id") & is_valid("stu_grade_id"))
-    if city is not None:
-        s = s.filter(F.col("city_id") == city)
-    return s.groupBy("city_id", F.col("stu_grade_id").alias("grade_id")).agg(F.count(F.lit(1)).alias("_n"))
-
-
 def rule_match(tokens: DataFrame, rules: DataFrame, location: DataFrame, city: str | None = None,
-               salt: int | None = None, bad_json: str = "fail",
-               rows_per_bucket: int = ROWS_PER_BUCKET, group_load: DataFrame | None = None) -> DataFrame:
+               bad_json: str = "fail") -> DataFrame:
     """PL6: distinct recommendations ``(sid, city_id, cla_id)`` (JN5-JN7, NS1-NS2, AG6).
 
     A rule matches a student of its city and grade when every token of its
@@ -143,34 +115,20 @@ def rule_match(tokens: DataFrame, rules: DataFrame, location: DataFrame, city: s
     matches students with fewer than three tokens).  A matched rule offers the
     classes listed under each of the student's locations and the live key.
 
-    Skew: the students per ``(city, grade)`` bound the rows of every
-    coarse-keyed join below, so they set the salt buckets per group and per
-    rule (``salt_buckets``).  ``group_load`` supplies that count
-    (``students_per_group`` over the student table); without it the token table
-    is counted.  Pass ``salt`` to use one fixed salt instead.
+    The output is students times the classes their rules offer at their
+    locations: linear in the students as long as a rule's class list is bounded.
     """
     tk = tokens if city is None else tokens.filter(F.col("city_id") == city)
     rl = rules_with_id(rules, city)
-    group_buckets = None
-    if salt is None:
-        load = group_load if group_load is not None else \
-            tk.groupBy("city_id", "grade_id").agg(F.count(F.lit(1)).alias("_n"))
-        group_buckets = salt_buckets(load, ["city_id", "grade_id"], rows_per_bucket=rows_per_bucket)
-    fixed = DEFAULT_SALT if salt is None else salt
-    matched = containment_join(tk.select("sid", "city_id", "grade_id", "left_rule"), ["sid", "city_id", "grade_id"],
+    matched = containment_join(tk.select("sid", "city_id", "grade_id", "left_rule"), ["sid", "city_id"],
                                "left_rule", rl.select("rule_id", "city_id", "grade_id", "left"),
-                               ["rule_id"], "left", on=["city_id", "grade_id"], salt=fixed,
-                               buckets=group_buckets)
-    locs = student_locations(location, city)
-    offers = matched.join(locs, ["sid", "city_id"])
-    # a rule's (city, grade) is fixed by its id, so both sides find the same buckets
-    recalls = recall_entries(rl, bad_json)
-    if group_buckets is None:
-        recalls = recalls.drop("city_id", "grade_id")
-    recs = salted_join(offers, recalls, ["rule_id", "loc"], spread_by="sid", salt=fixed, buckets=group_buckets)
+                               ["rule_id"], "left", on=["city_id", "grade_id"])
+    offers = matched.join(student_locations(location, city), ["sid", "city_id"])
+    recs = offers.join(recall_entries(rl, bad_json).select("rule_id", "loc", "cla_id"), ["rule_id", "loc"])
     return recs.filter(F.col("cla_id") != "").select("sid", "city_id", "cla_id").distinct()
 
 
 def as_lists(recs: DataFrame, item: str = "cla_id", name: str = "rec_class_list") -> DataFrame:
-    """AG6/AG7 list form for the stored tables: one sorted list per (sid, city)."""
+    """AG6 (over distinct recommendations) and AG7 (repeated rows stay repeated items): the list
+    form of the stored tables, one sorted list per (sid, city), for readers that ask for it."""
     return recs.groupBy("sid", "city_id").agg(F.array_sort(F.collect_list(item)).alias(name))

@@ -1,4 +1,8 @@
-"""Scored packs and the key-value export (PL9-PL11, SNK5, SRC16)."""
+"""Scored packs and the key-value export (PL9-PL11, SNK5, SRC16).
+
+The export is one record per key, section and class at every size: no key is
+gathered, split or rendered when it is written.
+"""
 
 from __future__ import annotations
 
@@ -13,47 +17,51 @@ from lumenrec.sources.tables import Tables
 STUDENT_KEY_PREFIX = "recommend_studentid_"
 GROUP_KEY_PREFIX = "recommend_"
 TTL_SECONDS = 2592000          # 30 days
-PAGE_SEP = "#"                 # page p > 0 of a key is stored under <key>#<p>
 # -------------------------------------------------------------------------------------------
 
 
+def _of_city(df: DataFrame, city: str | None) -> DataFrame:
+    return df if city is None else df.filter(F.col("city_id") == city)
+
+
 def scored(t: Tables, recs: DataFrame, city: str | None = None) -> DataFrame:
     """JN12: recommendations with their class score row (same city)."""
-    s = t.score if city is None else t.score.filter(F.col("city_id") == city)
-    return recs.select("sid", "city_id", "cla_id").join(s, ["cla_id", "city_id"])
+    return recs.select("sid", "city_id", "cla_id").join(_of_city(t.score, city), ["cla_id", "city_id"])
 
 
-def student_pack(t: Tables, recs: DataFrame, city: str | None = None,
-                 page_size: int = packs.DEFAULT_PAGE_SIZE) -> DataFrame:
-    """PL9: per student ``{"online_recom": [...], "offine_recom": [...]}``."""
-    return packs.online_offline_pack(scored(t, recs, city), ["sid"], page_size=page_size)
+def scored_classes(t: Tables, recs: DataFrame, city: str | None = None) -> DataFrame:
+    """JN13, JN12: recommendations with the attributes of the class table and the score of the
+    score table (same city)."""
+    attrs = [c for c in packs.INFO_FIELDS if c not in ("cla_id", "city_id", "getScore")]
+    k = _of_city(t.klass, city).select("cla_id", "city_id", *attrs)
+    s = _of_city(t.score, city).select("cla_id", "city_id", "fin_score")
+    return recs.select("sid", "city_id", "cla_id").join(k, ["cla_id", "city_id"]).join(s, ["cla_id", "city_id"])
 
 
-def student_pack_keyed(t: Tables, recs: DataFrame, city: str | None = None,
-                       page_size: int = packs.DEFAULT_PAGE_SIZE) -> DataFrame:
-    """PL10: the same pack with class-id keyed objects (JN13 + JN12 + AG9)."""
-    return packs.online_offline_pack(scored(t, recs, city), ["sid"], keyed=True, page_size=page_size)
+def student_pack(t: Tables, recs: DataFrame, city: str | None = None) -> DataFrame:
+    """PL9: the entries of ``{"online_recom": [...], "offine_recom": [...]}`` per student:
+    ``(sid, city_id, section, cla_id, entry)``."""
+    return packs.online_offline_entries(scored(t, recs, city), ["sid", "city_id"])
 
 
-def fallback_pack(t: Tables, page_size: int = packs.DEFAULT_PAGE_SIZE) -> DataFrame:
-    """PL11: every scored class grouped by ``city_grade_subject`` (SC12) as a JSON list."""
-    s = t.score.withColumn("key", group_key("city_id", "cla_grade_id", "cla_subject_names"))
-    return packs.list_pack(s, ["key"], page_size=page_size)
+def student_pack_keyed(t: Tables, recs: DataFrame, city: str | None = None) -> DataFrame:
+    """PL10: the same with one entry per class id, attributes from the class table."""
+    return packs.online_offline_entries(scored_classes(t, recs, city), ["sid", "city_id"], keyed=True)
 
 
-def _paged_key(prefix: str, key_col: str) -> F.Column:
-    base = F.concat(F.lit(prefix), F.col(key_col))
-    return F.when(F.col("page") == 0, base).otherwise(
-        F.concat(base, F.lit(PAGE_SEP), F.col("page").cast("string")))
+def fallback_pack(t: Tables, city: str | None = None) -> DataFrame:
+    """PL11: every scored class under its ``city_grade_subject`` key (SC12):
+    ``(key, city_id, section, cla_id, entry)``."""
+    s = _of_city(t.score, city).withColumn("key", group_key("city_id", "cla_grade_id", "cla_subject_names"))
+    return packs.list_entries(s, ["key", "city_id"])
 
 
-def kv_records(packed: DataFrame, prefix: str, key_col: str, as_of: str,
-               ttl_s: int = TTL_SECONDS) -> DataFrame:
-    """SNK5 records ``(key, value, ttl_s, expires_at, n_pages)`` of a pack."""
+def kv_records(entries: DataFrame, prefix: str, key_col: str, as_of: str, ttl_s: int = TTL_SECONDS) -> DataFrame:
+    """SNK5 records ``(key, city_id, section, cla_id, value, ttl_s, expires_at)`` of a pack."""
     expires = (F.lit(as_of).cast("timestamp") + F.make_dt_interval(secs=F.lit(ttl_s))).cast("string")
-    return packed.select(_paged_key(prefix, key_col).alias("key"), F.col("jsonstring").alias("value"),
-                         F.lit(ttl_s).cast("bigint").alias("ttl_s"), expires.alias("expires_at"),
-                         F.col("n_pages").cast("bigint").alias("n_pages"))
+    return entries.select(F.concat(F.lit(prefix), F.col(key_col)).alias("key"), "city_id", "section", "cla_id",
+                          F.col("entry").alias("value"), F.lit(ttl_s).cast("bigint").alias("ttl_s"),
+                          expires.alias("expires_at"))
 
 
 def kv_export(student_packs: DataFrame, group_packs: DataFrame, as_of: str) -> DataFrame:
@@ -63,15 +71,25 @@ def kv_export(student_packs: DataFrame, group_packs: DataFrame, as_of: str) -> D
 
 
 def upsert(kv: DataFrame, newer: DataFrame) -> DataFrame:
-    """Last write per key wins (the key-value store's ``SETEX`` semantics)."""
-    return kv.join(newer.select("key"), "key", "left_anti").unionByName(newer)
+    """Last write per key wins: a key of ``newer`` is replaced as a whole, whatever it held."""
+    return kv.join(newer.select("key").distinct(), "key", "left_anti").unionByName(newer)
+
 
+def kv_get(kv: DataFrame, key: str, keyed: bool = False) -> DataFrame:
+    """SRC16 ``get``: ``(key, value, n_entries, ttl_s, expires_at)`` of one key (zero or one row).
 
-def kv_get(kv: DataFrame, key: str) -> DataFrame:
-    """SRC16 ``get``: the record of one key (zero or one row)."""
-    return kv.filter(F.col("key") == key)
+    The key filter reaches the entries before anything is gathered; the value
+    is rendered for the requested key alone.
+    """
+    rows = kv.filter(F.col("key") == key)
+    facts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n_entries"), F.max("ttl_s").alias("ttl_s"),
+                                    F.max("expires_at").alias("expires_at"))
+    value = packs.render(rows.select("key", "section", "cla_id", F.col("value").alias("entry")), "key", keyed)
+    return value.join(facts, "key").select("key", "value", "n_entries", "ttl_s", "expires_at")
 
 
 def kv_scan_prefix(kv: DataFrame, prefix: str, n: int = 10) -> DataFrame:
-    """SRC16 ``keys(prefix*)`` then the first ``n``: a top-n by key (the limit is the feature)."""
-    return kv.filter(F.col("key").startswith(prefix)).orderBy("key").limit(n)
+    """SRC16 ``keys(prefix*)`` then the first ``n`` keys (the limit is the feature), with all
+    their entries."""
+    keys = kv.filter(F.col("key").startswith(prefix)).select("key").distinct().orderBy("key").limit(n)
+    return kv.join(keys, "key", "left_semi")

@@ -16,9 +16,10 @@ from lumenrec.plans import features as pf
 from lumenrec.plans import rules as pr
 from lumenrec.plans import recommend as prec
 from lumenrec.plans import serve as psv
+from lumenrec.operators import packs as pk
 from lumenrec.operators import schedule as sched
 from lumenrec.sources import fixtures as fx
-from lumenrec.session import apply_core_conf, cut_lineage
+from lumenrec.session import apply_core_conf
 from lumenrec.sources.fixtures import bind_fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +46,11 @@ def _round(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:
     return df
 
 
+def _text(c: str):
+    """A date in its output form, yyyy-MM-dd."""
+    return F.col(c).cast("string").alias(c)
+
+
 @register("event_features")
 def q_event_features(spark, sf_dir):
     t = bind_fixtures(spark, sf_dir)
@@ -93,8 +99,7 @@ def q_student_tokens(spark, sf_dir):
 
 
 def _rule_match(t):
-    # salt buckets sized from students per group of the base student table
-    return pr.rule_match(_tokens(t), t.rule, t.location, group_load=pr.students_per_group(t.student))
+    return pr.rule_match(_tokens(t), t.rule, t.location)
 
 
 @register("rule_match")
@@ -151,53 +156,57 @@ def q_packed_split(spark, sf_dir):
     return s.filter("ok").select("sid", "city_id", "cla_id", "d", "st", "et")
 
 
-def _drop_paging(df):
-    return df.drop("page", "n_pages")
-
-
-def _free_cut(t):
-    """The conflict-free set behind a lineage cut: a pack reads its entries twice
-    (per-key counts for paging, then the entries), and the cut keeps the whole
-    recommendation chain from running twice.  The jobs cut the same way by
-    writing the table and reading it back."""
-    return cut_lineage(_conflict_free(t))
+@register("register_rejects")
+def q_register_rejects(spark, sf_dir):
+    return sched.rejected_sessions(prec.live_registrations(bind_fixtures(spark, sf_dir)))
 
 
 @register("serve_pack")
 def q_serve_pack(spark, sf_dir):
     t = bind_fixtures(spark, sf_dir)
-    return _drop_paging(psv.student_pack(t, _free_cut(t)))
+    return psv.student_pack(t, _conflict_free(t)).drop("city_id")
 
 
 @register("serve_pack_keyed")
 def q_serve_pack_keyed(spark, sf_dir):
     t = bind_fixtures(spark, sf_dir)
-    return _drop_paging(psv.student_pack_keyed(t, _free_cut(t)))
+    return psv.student_pack_keyed(t, _conflict_free(t)).drop("city_id")
 
 
 @register("fallback_pack")
 def q_fallback_pack(spark, sf_dir):
-    t = bind_fixtures(spark, sf_dir)
-    return _drop_paging(psv.fallback_pack(t))
+    return psv.fallback_pack(bind_fixtures(spark, sf_dir)).drop("city_id")
 
 
-def _kv(t):
-    return psv.kv_export(psv.student_pack(t, _free_cut(t)), psv.fallback_pack(t), fx.AS_OF)
+def _kv_student(t):
+    return psv.kv_records(psv.student_pack(t, _conflict_free(t)), psv.STUDENT_KEY_PREFIX, "sid", fx.AS_OF)
+
+
+def _kv_group(t):
+    return psv.kv_records(psv.fallback_pack(t), psv.GROUP_KEY_PREFIX, "key", fx.AS_OF)
 
 
 @register("kv_export")
 def q_kv_export(spark, sf_dir):
-    return _kv(bind_fixtures(spark, sf_dir))
+    t = bind_fixtures(spark, sf_dir)
+    return _kv_student(t).unionByName(_kv_group(t))
 
 
 @register("kv_scan_prefix")
 def q_kv_scan_prefix(spark, sf_dir):
-    return psv.kv_scan_prefix(_kv(bind_fixtures(spark, sf_dir)), psv.STUDENT_KEY_PREFIX)
+    return psv.kv_scan_prefix(_kv_group(bind_fixtures(spark, sf_dir)), psv.GROUP_KEY_PREFIX)
 
 
 @register("kv_get")
 def q_kv_get(spark, sf_dir):
-    return psv.kv_get(_kv(bind_fixtures(spark, sf_dir)), "recommend_0_BUILDING_数学")
+    return psv.kv_get(_kv_group(bind_fixtures(spark, sf_dir)), "recommend_0_BUILDING_数学")
+
+
+@register("kv_values")
+def q_kv_values(spark, sf_dir):
+    """The JSON value of every student key, as a reader renders it (AG8)."""
+    t = bind_fixtures(spark, sf_dir)
+    return pk.render(psv.student_pack(t, _conflict_free(t)), "sid")
 
 
 # ---- per-row functions, filters and reshapes over whole driver-derived tables -------------
@@ -241,7 +250,7 @@ def q_fn_status_weight(spark, sf_dir):
 @register("fn_price")
 def q_fn_price(spark, sf_dir):
     o = bind_fixtures(spark, sf_dir).order
-    return o.select("sid", "dt", "orderstatus", F.round("classprice", 6).alias("classprice"),
+    return o.select("sid", _text("dt"), "orderstatus", F.round("classprice", 6).alias("classprice"),
                     F.round(fn.price_weight("orderstatus", "classprice"), 6).alias("price_weight"))
 
 
@@ -262,23 +271,22 @@ def q_fn_overlap(spark, sf_dir):
 @register("fn_day_range")
 def q_fn_day_range(spark, sf_dir):
     t = bind_fixtures(spark, sf_dir)
-    days = spark.range(1).select(F.explode(fn.day_range(fx.EVENT_BEGIN, fx.EVENT_END)).alias("d")) \
-        .select(F.col("d").cast("string").alias("day"))
+    days = spark.range(1).select(F.explode(fn.day_range(fx.EVENT_BEGIN, fx.EVENT_END)).alias("day"))
     per_day = t.behavior.groupBy("day").agg(F.count(F.lit(1)).alias("n_rows"))
-    return days.join(per_day, "day", "left").select("day", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+    return days.join(per_day, "day", "left").select(_text("day"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
 
 
 @register("valid_ids")
 def q_valid_ids(spark, sf_dir):
     b = bind_fixtures(spark, sf_dir).behavior
     return b.filter(fn.is_valid("sid") & fn.is_valid("cla_id") & fn.is_valid("cla_level_name")) \
-        .select("sid", "cla_id", "day")
+        .select("sid", "cla_id", _text("day"))
 
 
 @register("date_range")
 def q_date_range(spark, sf_dir):
     o = bind_fixtures(spark, sf_dir).order
-    return o.filter(fn.date_between("dt", "1996-01-01", "1996-12-31")).select("sid", "dt", "orderstatus")
+    return o.filter(fn.date_between("dt", "1996-01-01", "1996-12-31")).select("sid", _text("dt"), "orderstatus")
 
 
 @register("tagged_union")
@@ -303,7 +311,7 @@ def q_unnest(spark, sf_dir):
 @register("limit_sample")
 def q_limit_sample(spark, sf_dir):
     o = bind_fixtures(spark, sf_dir).order
-    return rs.sample_rows(o.select("sid", "dt", "orderstatus", "subjectname", "classlevelname",
+    return rs.sample_rows(o.select("sid", _text("dt"), "orderstatus", "subjectname", "classlevelname",
                                    F.round("classprice", 6).alias("classprice")), 1000)
 
 
@@ -354,14 +362,32 @@ def q_order_unpivot(spark, sf_dir):
     return _round(tr, "value")
 
 
-@register("event_features_sample")
-def q_event_features_sample(spark, sf_dir):
-    t = bind_fixtures(spark, sf_dir)
-    return _round(pf.sampled_event_features(t, fx.EVENT_BEGIN, fx.EVENT_END, fx.EVENT_END, per_day=300), "value")
+@register("positional_rename")
+def q_positional_rename(spark, sf_dir):
+    """PF2: every column renamed by its place."""
+    return bind_fixtures(spark, sf_dir).location.toDF("student", "city", "centers")
+
 
+@register("nonblank_lists")
+def q_nonblank_lists(spark, sf_dir):
+    """PF12: token lists whose first element is not blank."""
+    t = _tokens(bind_fixtures(spark, sf_dir))
+    return t.filter(fn.first_not_blank("left_rule")).select("sid", F.get("left_rule", F.lit(0)).alias("first_token"))
 
-@register("order_features_sample")
-def q_order_features_sample(spark, sf_dir):
+
+@register("table_counts")
+def q_table_counts(spark, sf_dir):
+    """AG12: the number of rows of each logical table."""
     t = bind_fixtures(spark, sf_dir)
-    return _round(pf.sampled_order_features(t, fx.ORDER_BEGIN, fx.ORDER_END, fx.ORDER_END, fx.CREATED_AFTER,
-                                            per_day=20), "value")
+    out = None
+    for name in ("behavior", "order", "regist", "klass", "curriculum"):
+        n = t.get(name).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("name"), "n_rows")
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
+@register("fn_today")
+def q_fn_today(spark, sf_dir):
+    """SC9: sessions against a pinned today."""
+    c = bind_fixtures(spark, sf_dir).curriculum
+    return c.groupBy((F.col("cuc_class_date") > fn.today(fx.AS_OF)).alias("future")).agg(F.count(F.lit(1)).alias("n_sessions"))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 S, D, L, I, F_ = T.StringType(), T.DoubleType(), T.LongType(), T.IntegerType(), T.FloatType()
+DT = T.DateType()
 ARR_S = T.ArrayType(T.StringType())
 
 
@@ -19,17 +20,17 @@ def _schema(*fields) -> T.StructType:
 
 BEHAVIOR = _schema(("sid", S), ("cla_id", S), ("cla_level_name", S), ("cla_subject_names", S),
                    ("cla_class_type", S), ("cla_teacher_ids", S), ("cla_servicecenter_id", S),
-                   ("cla_classtime_ids", S), ("day", S))
-ORDER = _schema(("sid", S), ("orderstatus", I), ("classprice", D), ("classlevelname", S),
-                ("subjectname", S), ("startdate", S), ("finacreatedate", S), ("dt", S))
-REGIST = _schema(("reg_student_id", S), ("reg_class_id", S), ("reg_pay_date", S),
+                   ("cla_classtime_ids", S), ("day", DT))
+ORDER = _schema(("sid", S), ("distinctid", S), ("orderstatus", I), ("classprice", D), ("classlevelname", S),
+                ("subjectname", S), ("startdate", DT), ("finacreatedate", DT), ("dt", DT))
+REGIST = _schema(("reg_student_id", S), ("reg_class_id", S), ("reg_pay_date", DT),
                  ("reg_ispay", I), ("reg_isdeleted", I))
 USER = _schema(("id", S))
 STUDENT = _schema(("stu_id", S), ("stu_uid", S), ("city_id", S), ("stu_grade_id", S))
 CLASS = _schema(("cla_id", S), ("city_id", S), ("cla_grade_id", S), ("cla_term_id", S),
                 ("cla_subject_names", S), ("cla_level_name", S), ("cla_class_type", S),
-                ("cla_year", S))
-CURRICULUM = _schema(("cuc_class_id", S), ("cuc_class_date", T.DateType()),
+                ("cla_year", S), ("cla_subject_ids", L), ("cla_classtime_names", S), ("cla_classdate_name", S))
+CURRICULUM = _schema(("cuc_class_id", S), ("cuc_class_date", DT),
                      ("cuc_start_time", S), ("cuc_end_time", S), ("city_id", S))
 TOKENS = _schema(("sid", S), ("city_id", S), ("grade_id", S), ("left_rule", ARR_S), ("dt", S))
 RULE = _schema(("city_id", S), ("grade_id", S), ("left", ARR_S), ("recall", S))

@@ -1,16 +1,14 @@
 """Spark session helpers.
 
 ``build_session`` is for local runs and tests.  On a cluster the session comes
-from spark-submit; the library only reads settings from it (see
-``checkpoint_dir``).
+from spark-submit.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings every job relies on: ANSI semantics, UTC, AQE with skew handling.
 _CORE_CONF = {
@@ -24,13 +22,14 @@ _CORE_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
-    # Broadcast only on a measured size: no static (estimate-based) broadcast; AQE
-    # turns a shuffle join into a broadcast join once the small side's shuffle
-    # output is known to be under 32 MB, and keeps the shuffle join otherwise.
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # Broadcast only on a checked size: a side is broadcast at once if its estimated size
+    # is under 4 MB (compressed files undershoot a few times, so that stays small), and AQE
+    # turns a shuffle join into a broadcast join once the small side's shuffle output is
+    # known to be under 32 MB; any other join is a shuffle join.
+    "spark.sql.autoBroadcastJoinThreshold": "4m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
-    # Re-runs overwrite only the dt partitions they produce.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Rows that lie by (student, city) stay there for joins and sums on more columns.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # dt partitions are yyyy-MM-dd text stamps; keep them text when read back
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
@@ -63,29 +62,3 @@ def apply_core_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
         except Exception:  # static or locked setting: keep the cluster's value
             pass
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster.
-
-    Read from the session (``spark.checkpoint.dir`` / the context's folder).
-    Only when nothing is set -- local runs and tests -- a private folder is
-    created and registered.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    path = tempfile.mkdtemp(prefix="lumenrec-ckpt-")
-    sc.setCheckpointDir(path)
-    return path
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never a local one)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -1,6 +1,9 @@
 """Sinks: table writes (SNK1-SNK4) and the key-value export (SNK5)."""
 
-from lumenrec.sinks.tables import append_partitions, create_if_absent, overwrite_table, text_export
+from lumenrec.sinks.tables import (
+    create_if_absent, exists, overwrite_table, read_slice, replace_slice, text_export,
+)
 from lumenrec.sinks.kv import push_partitions
 
-__all__ = ["append_partitions", "create_if_absent", "overwrite_table", "text_export", "push_partitions"]
+__all__ = ["create_if_absent", "exists", "overwrite_table", "read_slice", "replace_slice", "text_export",
+           "push_partitions"]

@@ -3,8 +3,9 @@
 The original opened a pooled client per partition and issued ``SETEX key ttl
 value`` per row.  Here the client is injected: ``client_factory()`` is called
 once per partition on the executor and must return an object with
-``setex(key, ttl_s, value)`` and ``close()``.  Writes are idempotent (last
-write per key wins), so a retried task after an executor loss is harmless.
+``setex(key, ttl_s, value)`` and ``close()``.  A record's key in the store is
+``<key>/<section>/<class id>``.  Writes are idempotent (last write per record
+wins), so a retried task after an executor loss is harmless.
 """
 
 from __future__ import annotations
@@ -12,11 +13,12 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def push_partitions(kv: DataFrame, client_factory: Callable[[], object], batch: int = 500) -> None:
-    """Send ``(key, value, ttl_s)`` rows with one client per partition."""
-    cols = kv.select("key", "value", "ttl_s")
+    """Send the records of a key-value table with one client per partition."""
+    cols = kv.select(F.concat_ws("/", "key", "section", "cla_id").alias("key"), "value", "ttl_s")
 
     def send(rows):
         client = client_factory()

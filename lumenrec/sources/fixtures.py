@@ -40,7 +40,16 @@ def _case(c: Column, pairs, default) -> Column:
 
 
 def _day(c: str) -> Column:
-    return F.col(c).cast("date").cast("string")
+    return F.col(c).cast("date")
+
+
+def _class_city(key: Column) -> Column:
+    # 400 classes and 300 students a city, however many cities the data holds
+    return F.floor(key / F.lit(400.0)).cast("string")
+
+
+def _student_city(key: Column) -> Column:
+    return F.floor(key / F.lit(300.0)).cast("string")
 
 
 class _Raw:
@@ -62,7 +71,7 @@ def fx_class(raw: _Raw) -> DataFrame:
     grade_idx = F.floor(key / F.lit(5.0)).cast("bigint") % 5
     return p.select(
         key.cast("string").alias("cla_id"),
-        (key % 5).cast("string").alias("city_id"),
+        _class_city(key).alias("city_id"),
         _case(grade_idx, list(enumerate(GRADES)), GRADES[-1]).alias("cla_grade_id"),
         (F.col("p_size") % 6).cast("string").alias("cla_term_id"),
         _case(F.col("p_type"), SUBJECT_BY_TYPE, SUBJECT_OTHER).alias("cla_subject_names"),
@@ -73,22 +82,19 @@ def fx_class(raw: _Raw) -> DataFrame:
         F.when(key % 4 == 1, F.lit(LIVE_LOCATION))
         .otherwise(F.concat(F.lit("L"), (key % 3).cast("string"))).alias("loc"),
         F.col("p_brand").alias("cla_teacher_ids"),
+        (F.col("p_size") % 6 + 1).cast("bigint").alias("cla_subject_ids"),
+        F.concat(F.lit("C"), (F.col("p_size") % 6).cast("string")).alias("cla_classtime_names"),
+        F.concat((F.lit(2016) + F.col("p_size") % 3).cast("string"), F.lit("/"),
+                 (F.col("p_size") % 6).cast("string")).alias("cla_classdate_name"),
         (F.col("p_retailprice") / 1000).alias("fin_score"),
     )
 
 
-def _nations(raw: _Raw) -> DataFrame:
-    # the nation table has 25 rows by definition: a proven bound, safe to broadcast
-    return F.broadcast(raw("nation").select("n_nationkey", "n_regionkey"))
-
-
 def fx_student(raw: _Raw) -> DataFrame:
-    c = raw("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    n = _nations(raw)
-    return c.join(n, c.c_nationkey == n.n_nationkey).select(
+    return raw("customer").select(
         F.col("c_custkey").cast("string").alias("stu_id"),
         F.col("c_custkey").cast("string").alias("stu_uid"),
-        F.col("n_regionkey").cast("string").alias("city_id"),
+        _student_city(F.col("c_custkey")).alias("city_id"),
         F.col("c_mktsegment").alias("stu_grade_id"),
     )
 
@@ -124,6 +130,7 @@ def fx_order(raw: _Raw, klass: DataFrame) -> DataFrame:
               .when(F.col("o_orderstatus") == "O", 1).otherwise(0))
     return j.select(
         F.col("o_custkey").cast("string").alias("sid"),
+        F.concat(F.lit("d"), F.col("o_custkey").cast("string")).alias("distinctid"),
         status.cast("int").alias("orderstatus"),
         (F.col("l_extendedprice") * 0.02).alias("classprice"),
         F.col("cla_level_name").alias("classlevelname"),
@@ -156,17 +163,15 @@ def fx_curriculum(raw: _Raw) -> DataFrame:
         F.col("l_shipdate").cast("date").alias("cuc_class_date"),
         F.concat(F.lpad((ln + 8).cast("string"), 2, "0"), F.lit(":00")).alias("cuc_start_time"),
         F.concat(F.lpad((ln + 10).cast("string"), 2, "0"), F.lit(":00")).alias("cuc_end_time"),
-        (F.col("l_partkey") % 5).cast("string").alias("city_id"),
+        _class_city(F.col("l_partkey")).alias("city_id"),
     )
 
 
 def fx_location(raw: _Raw) -> DataFrame:
-    c = raw("customer").select("c_custkey", "c_nationkey")
-    n = _nations(raw)
     k = F.col("c_custkey")
-    return c.join(n, c.c_nationkey == n.n_nationkey).select(
+    return raw("customer").select(
         k.cast("string").alias("sid"),
-        F.col("n_regionkey").cast("string").alias("city_id"),
+        _student_city(k).alias("city_id"),
         F.concat(F.lit("L"), (k % 3).cast("string"), F.lit(",L"), (k % 2).cast("string")).alias("depart_4"),
     )
 

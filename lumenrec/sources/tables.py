@@ -52,18 +52,7 @@ class Tables:
             raise AttributeError(name)
         return self.get(name)
 
-    def with_table(self, name: str, df: DataFrame) -> "Tables":
-        """A copy with one input replaced (e.g. a stored token table)."""
-        loaders = dict(self.loaders)
-        loaders[name] = lambda: df
-        return Tables(self.spark, loaders)
-
 
 def from_catalog(spark: SparkSession, names: dict[str, str]) -> Tables:
-    """Bind logical inputs to catalog tables, e.g. ``{"behavior": "ods.user_behavior"}``."""
+    """Bind logical inputs to catalog tables, e.g. ``{"behavior": "source.behavior"}``."""
     return Tables(spark, {k: (lambda t=t: spark.table(t)) for k, t in names.items()})
-
-
-def from_parquet(spark: SparkSession, paths: dict[str, str]) -> Tables:
-    """Bind logical inputs to parquet folders."""
-    return Tables(spark, {k: (lambda p=p: spark.read.parquet(p)) for k, p in paths.items()})

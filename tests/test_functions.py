@@ -74,12 +74,20 @@ def test_first_not_blank(spark):
     assert [r[0] for r in df.select(fn.first_not_blank("a")).collect()] == [True, False, False, False]
 
 
-def test_java_split_and_pad3(spark):
-    df = spark.createDataFrame([("a\u0001b\u0001",), ("a\u0001\u0001b",), ("",), (None,)], "x string")
+def test_java_split_and_pad(spark):
+    df = spark.createDataFrame([("a\u0001b\u0001",), ("a\u0001\u0001b",), ("",), (None,), ("\u0001\u0001",)], "x string")
     got = [r[0] for r in df.select(fn.java_split("x", "\u0001")).collect()]
-    assert got == [["a", "b"], ["a", "", "b"], [""], None]
+    assert got == [["a", "b"], ["a", "", "b"], [""], None, []]
     df2 = spark.createDataFrame([(["x"],), (["a", "b", "c", "d"],), ([],)], "a array<string>")
-    assert [r[0] for r in df2.select(fn.pad3("a")).collect()] == [["x", "", ""], ["a", "b", "c"], ["", "", ""]]
+    assert [r[0] for r in df2.select(fn.pad("a")).collect()] == [["x", "", ""], ["a", "b", "c"], ["", "", ""]]
+
+
+def test_date_between(spark):
+    days = ["2018-08-30", "2018-08-31", "2018-09-01", None]
+    df = spark.createDataFrame([(d,) for d in days], "x string").selectExpr("CAST(x AS DATE) AS x")
+    got = [r[0] for r in df.select(fn.date_between("x", "2018-08-31", "2018-09-01")).collect()]
+    assert got == [False, True, True, None]
+    assert df.filter(fn.date_between("x", end="2018-08-30")).count() == 1
 
 
 def test_group_key_nulls(spark):

@@ -41,10 +41,10 @@ def test_range_equals_merge_of_days(spark):
 
 
 def test_order_features_weights(spark):
-    orders = [("s1", 2, 3000.0, "启航", "数学", "d", "2018-08-02", "2018-08-02"),
-              ("s1", 3, 5000.0, "启航", "数学", "d", "2018-08-03", "2018-08-03"),
-              ("s1", None, 100.0, "x", "英语", "d", "2018-08-03", "2018-08-03"),   # null status = 0 (Q2)
-              ("s1", 1, 50.0, "x", "英语", "d", "2016-08-01", "2018-08-03")]       # created too early
+    orders = [("s1", "d1", 2, 3000.0, "启航", "数学", None, "2018-08-02", "2018-08-02"),
+              ("s1", "d1", 3, 5000.0, "启航", "数学", None, "2018-08-03", "2018-08-03"),
+              ("s1", "d1", None, 100.0, "x", "英语", None, "2018-08-03", "2018-08-03"),   # null status = 0 (Q2)
+              ("s1", "d1", 1, 50.0, "x", "英语", None, "2016-08-01", "2018-08-03")]       # created too early
     t = tables(spark, order=orders)
     got = {(r.feature_name): r.value for r in pf.order_features(t, "2018-08-01", "2018-08-05", "x", "2016-09-01").collect()}
     assert got == {"math_lev_1": 7.0 - 2.0, "math": 4.0, "mathprice": 1500.0 + 5.0,
@@ -72,10 +72,22 @@ def test_class_time_favor_bracketed_and_literal(spark):
 
 
 def test_order_recall_text_rows(spark):
-    orders = [("s1", 2, 12.5, "启航", "数学", "2018-08-17", "2018-08-17", "2018-08-17"),
-              ("s1", 0, 7.5, "启航", "数学", "2018-08-17", "2018-08-17", "2018-08-17")]
+    orders = [("s1", "d1", 2, 12.5, "启航", "数学", "2018-08-17", "2018-08-17", "2018-08-17"),
+              ("s2", "d1", 0, 7.5, "启航", "数学", "2018-08-17", "2018-08-17", "2018-08-17"),
+              ("s1", "d2", 0, None, "启航", "数学", "2018-08-17", "2018-08-17", "2018-08-17")]
     t = tables(spark, order=orders)
-    got = rows(pf.order_recall_rows(t, "2018-08-17", "2018-08-17"), "feature_name", "value")
-    assert got == sorted([("math_lev_1", "7.0"), ("price", "12.5"), ("math_lev_1", "3.0"), ("price", "7.5")])
-    sums = {r.feature_name: r.value for r in pf.order_recall(t, "2018-08-17", "2018-08-17").collect()}
-    assert sums == {"math_lev_1": 10.0, "price": 20.0}
+    got = rows(pf.order_recall_rows(t, "2018-08-17", "2018-08-17"), "distinctid", "feature_name", "value", "dt")
+    assert got == sorted([("d1", "math_lev_1", "7.0", "2018-08-17"), ("d1", "price", "12.5", "2018-08-17"),
+                          ("d1", "math_lev_1", "3.0", "2018-08-17"), ("d1", "price", "7.5", "2018-08-17"),
+                          ("d2", "math_lev_1", "3.0", "2018-08-17"), ("d2", "price", "0.0", "2018-08-17")])
+    sums = {(r.distinctid, r.feature_name): (r.value, r.n_rejected)
+            for r in pf.order_recall(t, "2018-08-17", "2018-08-17").collect()}
+    # summed by distinctid, not by student; a null price counts as 0 (Q2)
+    assert sums == {("d1", "math_lev_1"): (10.0, 0), ("d1", "price"): (20.0, 0),
+                    ("d2", "math_lev_1"): (3.0, 0), ("d2", "price"): (0.0, 0)}
+
+
+def test_text_that_is_no_number_is_counted(spark):
+    r = spark.createDataFrame([("d1", "price", "3.5"), ("d1", "price", "free"), ("d1", "price", None)],
+                              "distinctid string, feature_name string, value string")
+    assert [(x.value, x.n_rejected) for x in ft.sum_text_values(r).collect()] == [(3.5, 1)]

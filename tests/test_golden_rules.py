@@ -67,22 +67,13 @@ def _rule_inputs(spark):
 
 def test_rule_match_golden(spark):
     tokens, rules, location = _rule_inputs(spark)
-    got = rows(pr.rule_match(tokens, rules, location, salt=4))
+    got = rows(pr.rule_match(tokens, rules, location))
     assert got == sorted([
         ("s1", "c1", c) for c in ["101", "102", "103", "201", "301", "501"]
     ] + [("s2", "c1", "103"), ("s2", "c1", "201")])
     # s3: no rule of its grade; s4: its location row is of another city (joined on sid and city)
 
 
-def test_rule_match_salt_invariant(spark):
-    tokens, rules, location = _rule_inputs(spark)
-    want = rows(pr.rule_match(tokens, rules, location, salt=1))
-    assert rows(pr.rule_match(tokens, rules, location, salt=7)) == want
-    # per-group buckets: one student per bucket forces every group to split
-    assert rows(pr.rule_match(tokens, rules, location, rows_per_bucket=1)) == want
-    assert rows(pr.rule_match(tokens, rules, location)) == want
-
-
 def test_rule_match_city_filter(spark):
     tokens, rules, location = _rule_inputs(spark)
     assert rows(pr.rule_match(tokens, rules, location, city="c2")) == []
@@ -99,21 +90,6 @@ def test_bad_recall_json_fails_or_skips(spark):
     assert got == [("s1", "c1", "9"), ("s2", "c1", "9")]
 
 
-def test_reuse_or_compute(spark):
-    stored = spark.createDataFrame([("s1", "c1", "g1", ["a", "", ""], "2018-09-05")], TOKENS)
-    calls = []
-
-    def compute():
-        calls.append(1)
-        return stored.limit(0)
-
-    assert pr.reuse_or_compute(stored, "2018-09-05", compute) is stored
-    assert calls == []
-    pr.reuse_or_compute(stored, "2018-09-06", compute)
-    pr.reuse_or_compute(stored.limit(0), "2018-09-05", compute)   # empty table -> recompute (Q10)
-    assert len(calls) == 2
-
-
 def test_duplicate_recall_keys_keep_every_entry(spark):
     """Q12: a location listed twice in the recall JSON contributes both lists."""
     tokens, _, location = _rule_inputs(spark)
@@ -121,10 +97,3 @@ def test_duplicate_recall_keys_keep_every_entry(spark):
                                 "city_id string, grade_id string, left array<string>, recall string")
     got = rows(pr.rule_match(tokens, dup, location))
     assert got == [("s1", "c1", "801"), ("s1", "c1", "802"), ("s2", "c1", "801"), ("s2", "c1", "802")]
-
-
-def test_rule_match_with_student_group_load(spark):
-    tokens, rules, location = _rule_inputs(spark)
-    load = spark.createDataFrame([("c1", "g1", 5), ("c1", "g2", 1)], "city_id string, grade_id string, _n long")
-    want = rows(pr.rule_match(tokens, rules, location, salt=1))
-    assert rows(pr.rule_match(tokens, rules, location, group_load=load, rows_per_bucket=2)) == want

@@ -9,8 +9,10 @@ import __spark_entry__ as E
 from lumenrec import jobs
 from lumenrec.sources import fixtures as fx
 from tests.conftest import rows
+from tests.helpers import tables
 
 SF = "/root/testdata/sf0.001"
+SF_CITIES = "/root/testdata/sf0.01"     # several cities
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
 
 
@@ -18,24 +20,54 @@ def test_flagship_job_matches_query_and_reruns_idempotently(spark, tmp_path):
     t = fx.bind_fixtures(spark, SF)
     out = str(tmp_path)
     p = jobs.flagship_job(t, out, fx.AS_OF, fx.PAY_AFTER)
-    first = rows(spark.read.parquet(p["kv_student"]), "key", "value")
+    first = rows(spark.read.parquet(p["kv_student"]), "key", "cla_id", "value")
     jobs.flagship_job(fx.bind_fixtures(spark, SF), out, fx.AS_OF, fx.PAY_AFTER)   # same-day rerun
-    again = rows(spark.read.parquet(p["kv_student"]), "key", "value")
+    again = rows(spark.read.parquet(p["kv_student"]), "key", "cla_id", "value")
     assert first == again
-    want = rows(E.queries()["serve_pack"](spark, SF).selectExpr("concat('recommend_studentid_', sid)", "jsonstring"))
+    want = rows(E.queries()["serve_pack"](spark, SF).selectExpr("concat('recommend_studentid_', sid)", "cla_id", "entry"))
     assert first == want
-    free = spark.read.parquet(p["after_filter_recommand"])
+    free = spark.read.parquet(p["recommended_free"])
     assert free.filter("cla_id IS NULL OR cla_id = ''").count() == 0
     assert rows(free, "sid", "city_id", "cla_id") == rows(E.queries()["conflict_free"](spark, SF))
 
 
-def test_city_run_is_a_slice_of_the_all_city_run(spark, tmp_path):
+TABLES = ("recommended", "recommended_free", "class_schedule", "kv_student", "register_rejects")
+
+
+def test_city_runs_share_a_folder(spark, tmp_path):
+    """City 0, city 1, city 0 again in one folder: the rows of both cities of the all-city run."""
+    t = fx.bind_fixtures(spark, SF_CITIES)
+    whole = jobs.flagship_job(t, str(tmp_path / "all"), fx.AS_OF, fx.PAY_AFTER)
+    for city in ("0", "1", "0"):
+        one = jobs.flagship_job(t, str(tmp_path / "one"), fx.AS_OF, fx.PAY_AFTER, city=city)
+    for name in TABLES:
+        a = spark.read.parquet(whole[name]).filter("city_id IN ('0', '1')")
+        b = spark.read.parquet(one[name])
+        assert rows(a.select(*sorted(a.columns))) == rows(b.select(*sorted(a.columns))), name
+        assert {r.city_id for r in b.select("city_id").distinct().collect()} == {"0", "1"}, name
+
+
+def test_token_reuse_depends_on_day_and_pay_date(spark, tmp_path):
+    t = fx.bind_fixtures(spark, SF)
+    out = jobs.Output(spark, str(tmp_path))
+    first = rows(jobs._tokens(t, out, fx.AS_OF, fx.PAY_AFTER).select("sid"))
+    none = tables(spark, student=[], user=[], regist=[], klass=[])
+    assert rows(jobs._tokens(none, out, fx.AS_OF, fx.PAY_AFTER).select("sid")) == first        # read back
+    assert rows(jobs._tokens(none, out, fx.AS_OF, "1997-01-01").select("sid")) == []           # other pay date
+    assert rows(jobs._tokens(none, out, "2001-01-02", fx.PAY_AFTER).select("sid")) == []       # other day
+
+
+def test_keyed_and_fallback_jobs_into_a_catalog(spark, tmp_path):
+    spark.sql("DROP DATABASE IF EXISTS served CASCADE")
+    spark.sql(f"CREATE DATABASE served LOCATION '{tmp_path / 'db'}'")
     t = fx.bind_fixtures(spark, SF)
-    all_city = jobs.flagship_job(t, str(tmp_path / "all"), fx.AS_OF, fx.PAY_AFTER)
-    one = jobs.flagship_job(t, str(tmp_path / "c0"), fx.AS_OF, fx.PAY_AFTER, city="0")
-    a = spark.read.parquet(all_city["after_filter_recommand"]).filter("city_id = '0'")
-    b = spark.read.parquet(one["after_filter_recommand"])
-    assert rows(a, "sid", "cla_id") == rows(b, "sid", "cla_id")
+    jobs.keyed_job(t, str(tmp_path / "out"), fx.AS_OF, fx.PAY_AFTER, database="served")
+    jobs.fallback_job(t, str(tmp_path / "out"), fx.AS_OF, database="served")
+    want = rows(E.queries()["serve_pack_keyed"](spark, SF).selectExpr("concat('recommend_studentid_', sid)", "cla_id", "entry"))
+    assert rows(spark.table("served.kv_student_keyed"), "key", "cla_id", "value") == want
+    want = rows(E.queries()["fallback_pack"](spark, SF).selectExpr("concat('recommend_', key)", "cla_id", "entry"))
+    assert rows(spark.table("served.kv_fallback"), "key", "cla_id", "value") == want
+    spark.sql("DROP DATABASE served CASCADE")
 
 
 def test_feature_and_list_jobs(spark, tmp_path):

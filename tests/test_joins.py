@@ -1,20 +1,24 @@
-"""Salted joins equal plain joins for every join type, fixed or per-key buckets."""
+"""Containment join against a plain loop, with a hot group and adaptive skew splitting on and off."""
+
+import random
 
 import pytest
 
-from lumenrec.operators.joins import salt_buckets, salted_join
-from tests.conftest import rows
+from lumenrec.operators.joins import containment_join
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(spark, how):
-    big = spark.createDataFrame([(f"s{i}", "hot" if i % 3 else f"k{i % 5}", i) for i in range(300)],
-                                "sid string, key string, v int")
-    small = spark.createDataFrame([("hot", "a"), ("hot", "b"), ("k0", "c"), ("k3", "d"), ("zz", "e")],
-                                  "key string, w string")
-    want = rows(big.join(small, ["key"], how))
-    assert rows(salted_join(big, small, ["key"], "sid", how=how, salt=5)) == want
-    load = big.groupBy("key").count().withColumnRenamed("count", "_n")
-    per_key = salt_buckets(load, ["key"], rows_per_bucket=20, max_salt=16)
-    assert {r.key: r._buckets for r in per_key.collect()} == {"hot": 10}   # cold keys are not listed
-    assert rows(salted_join(big, small, ["key"], "sid", how=how, buckets=per_key)) == want
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_containment_join_equals_loop(spark, adaptive):
+    rnd = random.Random(3)
+    tokens = ["a", "b", "c", "d", ""]
+    items = [(f"s{i}", "hot" if i % 3 else f"g{i % 4}", rnd.sample(tokens, 3)) for i in range(200)]
+    sets = [(r, g, left) for r, (g, left) in enumerate(
+        (g, left) for g in ("hot", "g0", "g1") for left in ([], ["a"], ["a", "b"], ["b", "b", "c"], [""], None))]
+    want = sorted((s, r) for s, g, have in items for r, h, left in sets
+                  if g == h and left is not None and set(left) <= set(have))
+    before = spark.conf.get("spark.sql.adaptive.skewJoin.enabled")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", adaptive)
+    got = containment_join(spark.createDataFrame(items, "sid string, grp string, have array<string>"), ["sid"], "have",
+                           spark.createDataFrame(sets, "rule int, grp string, need array<string>"), ["rule"], "need", ["grp"])
+    assert sorted((r.sid, r.rule) for r in got.collect()) == want
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", before)

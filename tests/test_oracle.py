@@ -38,5 +38,5 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.columns == ["sid", "jsonstring"]
+    assert df.columns == ["sid", "section", "cla_id", "entry"]
     assert df.count() >= 0

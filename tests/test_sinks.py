@@ -1,23 +1,51 @@
-"""Sinks: idempotent partition appends (SNK1, Q16), overwrite, single-file text, KV push."""
+"""Sinks: slices replaced by reruns (SNK1, Q16), overwrite, single-file text, KV push."""
 
 import glob
 import json
 import os
 
-from lumenrec.sinks import append_partitions, overwrite_table, push_partitions, text_export
+from lumenrec.sinks import (
+    create_if_absent, overwrite_table, push_partitions, read_slice, replace_slice, text_export,
+)
 
 
-def test_rerun_replaces_only_its_partitions(spark, tmp_path):
+FEATURES = "sid string, feature_name string, value double, dt string"
+
+
+def test_rerun_replaces_only_its_slice(spark, tmp_path):
     path = str(tmp_path / "features")
-    a = spark.createDataFrame([("s1", "f", 1.0, "2018-09-05"), ("s2", "f", 2.0, "2018-09-05")], "sid string, feature_name string, value double, dt string")
-    b = spark.createDataFrame([("s1", "f", 9.0, "2018-09-06")], a.schema)
-    append_partitions(a, path)
-    append_partitions(b, path)
-    append_partitions(a, path)          # rerun of the first day: no duplicates
+    a = spark.createDataFrame([("s1", "f", 1.0, "2018-09-05"), ("s2", "f", 2.0, "2018-09-05")], FEATURES)
+    b = spark.createDataFrame([("s1", "f", 9.0, "2018-09-06")], FEATURES)
+    replace_slice(a, path, dt="2018-09-05")
+    replace_slice(b, path, dt="2018-09-06")
+    replace_slice(a, path, dt="2018-09-05")          # rerun of the first day: no duplicates
     got = sorted(tuple(r) for r in spark.read.parquet(path).select("sid", "value", "dt").collect())
     assert got == [("s1", 1.0, "2018-09-05"), ("s1", 9.0, "2018-09-06"), ("s2", 2.0, "2018-09-05")]
 
 
+def test_empty_rerun_leaves_nothing(spark, tmp_path):
+    path = str(tmp_path / "recs")
+    rows = spark.createDataFrame([("s1", "0", "d"), ("s2", "1", "d")], "sid string, city_id string, dt string")
+    for city in ("0", "1"):
+        replace_slice(rows.filter(rows.city_id == city), path, dt="d", city_id=city)
+    assert sorted(r.sid for r in read_slice(spark, rows.schema, path, dt="d").collect()) == ["s1", "s2"]
+    replace_slice(rows.limit(0), path, dt="d", city_id="0")
+    assert [r.sid for r in read_slice(spark, rows.schema, path, dt="d").collect()] == ["s2"]
+    replace_slice(rows.limit(0), path, dt="d")       # an all-city run without rows
+    assert read_slice(spark, rows.schema, path, dt="d").count() == 0
+
+
+def test_create_if_absent_registers_folder_and_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(["a"], "0", "d")], "items array<string>, city_id string, dt string")
+    spark.sql("DROP TABLE IF EXISTS created_once")
+    for _ in range(2):
+        replace_slice(df, path, dt="d")
+        create_if_absent(spark, "created_once", df, path, ("dt", "city_id"))
+    assert [(r.items, r.city_id, r.dt) for r in spark.table("created_once").collect()] == [(["a"], "0", "d")]
+    spark.sql("DROP TABLE created_once")
+
+
 def test_overwrite_and_text_export(spark, tmp_path):
     df = spark.range(20).selectExpr("CAST(id AS STRING) AS k", "id * 2 AS v").repartition(4)
     overwrite_table(df, str(tmp_path / "t"))
@@ -51,8 +79,9 @@ def _file_client_factory(folder):
 
 def test_push_partitions_one_client_per_partition(spark, tmp_path):
     folder = str(tmp_path)
-    kv = spark.createDataFrame([(f"k{i}", f"v{i}", 60) for i in range(50)], "key string, value string, ttl_s int").repartition(3)
+    kv = spark.createDataFrame([(f"k{i}", "list", "1", f"v{i}", 60) for i in range(50)],
+                               "key string, section string, cla_id string, value string, ttl_s int").repartition(3)
     push_partitions(kv, _file_client_factory(folder), batch=7)
     lines = [json.loads(x) for p in glob.glob(os.path.join(folder, "kv-*.jsonl")) for x in open(p)]
-    assert sorted(lines) == sorted([f"k{i}", 60, f"v{i}"] for i in range(50))
+    assert sorted(lines) == sorted([f"k{i}/list/1", 60, f"v{i}"] for i in range(50))
     assert len(glob.glob(os.path.join(folder, "kv-*.jsonl"))) <= 3
