@@ -68,7 +68,6 @@ def located(text_rows: DataFrame, keep: list[str], pattern: str, needs: Column,
     """
     pieces, matches = _spans(F.col("text"), pattern)
     t = text_rows.filter(needs).select(*keep, pieces.alias("pieces"), matches.alias("matches"))
-    t = t.filter(F.size("matches") > 0)
     widths = F.zip_with("pieces", "matches", lambda p, m: F.char_length(p) + F.coalesce(F.char_length(m), F.lit(0)))
     t = t.select(*keep, "pieces", "matches", F.slice(widths, F.lit(1), F.size("matches")).alias("w"))
     t = t.select(*keep, "pieces", "matches", "w", _block_starts("w").alias("starts"))
@@ -78,7 +77,8 @@ def located(text_rows: DataFrame, keep: list[str], pattern: str, needs: Column,
         extra = [F.slice("pieces", F.lit(1), F.size("matches")).alias("before"),
                  F.slice("pieces", F.lit(2), F.size("matches")).alias("after")]
     zipped = t.select(*keep, F.arrays_zip("matches", "ends", *extra).alias("z"))
-    rows = zipped.select(*keep, F.explode("z").alias("z"))
+    # explode() would have the whole array computed again in a filter pushed below it
+    rows = zipped.select(*keep, F.explode_outer("z").alias("z")).filter(F.col("z").isNotNull())
     cols = [(F.col("z.ends") - F.char_length("z.matches")).alias("start"), F.col("z.ends").alias("end"),
             F.col("z.matches").alias("match")]
     if context:
@@ -130,7 +130,7 @@ def _context_rows(text_rows: DataFrame, keep: list[str]) -> DataFrame:
 
 def _word_counts(text_rows: DataFrame) -> DataFrame:
     """How often each lower-cased word occurs in all texts."""
-    word = F.explode(F.split(ascii_lower(F.col("text")), WS_CLASS + "+")).alias("word")
+    word = F.explode_outer(F.split(ascii_lower(F.col("text")), WS_CLASS + "+")).alias("word")
     return text_rows.select(word).filter("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("uses"))
 
 
