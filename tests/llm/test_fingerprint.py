@@ -1,0 +1,96 @@
+import hashlib
+import random
+
+import numpy as np
+
+from lumenrec.llm import fingerprint as fp
+from tests.llm.helpers import docs, edge_rows, prose
+
+
+def names(text, level):
+    """Phrase names of one text at a level, with the code point at which each phrase begins unknown."""
+    x = np.array([1 << 63, *map(ord, text), 1 << 63], np.uint64)
+    edge = np.zeros(len(x), bool)
+    edge[[0, -1]] = True
+    for _ in range(level):
+        x, edge = fp._parse(x, edge)
+    return x[~edge].tolist()
+
+
+def test_equal_substrings_share_interior_names():
+    rnd = random.Random(1)
+    middle = prose(rnd, 200)
+    for before, after in (("", "zz"), ("a", ""), (prose(rnd, 30), prose(rnd, 5)), ("xyz" * 7, "q")):
+        for level, margin in ((1, 8), (2, 8), (3, 8)):
+            own, other = names(middle, level), names(before + middle + after, level)
+            core = own[margin:-margin]
+            found = [i for i in range(len(other)) if other[i:i + len(core)] == core]
+            assert found, (level, len(core))
+
+
+def test_phrases_are_short_and_parsing_ends():
+    for text in ("ab" * 500, "a" * 1000, "abc" * 400, prose(random.Random(2), 300), "".join(map(chr, range(40, 900)))):
+        n = len(text)
+        for level in (1, 2, 3):
+            m = len(names(text, level))
+            assert m <= n / 2 + 1 or n <= 2
+            n = max(m, 1)
+
+
+def test_tossing_keeps_neighbours_apart():
+    rnd = np.random.default_rng(5)
+    x = rnd.integers(0, 40, 5000).astype(np.uint64)
+    x = x[np.concatenate(([True], x[1:] != x[:-1]))]
+    edge = np.zeros(len(x), bool)
+    edge[0] = True
+    label = x
+    for most in (129, 17, 9):
+        label = fp._toss(label, edge)
+        inner = label[1:]
+        assert inner.max() < most and (label[2:] != label[1:-1]).all()
+
+
+def test_registers_do_not_depend_on_the_batch():
+    rnd = random.Random(3)
+    texts = ["", "a", "aa", "", prose(rnd, 50), "é😀" * 40, prose(rnd, 400), "x" * 999, ""]
+    alone = np.concatenate([fp.registers([t]) for t in texts])
+    assert (fp.registers(texts) == alone).all()
+    assert (fp.registers(texts[::-1])[::-1] == alone).all()
+    assert fp.encoded(fp.registers(["same", "same"]))[0] == fp.encoded(fp.registers(["same"]))[0]
+
+
+def test_likeness_orders_texts():
+    rnd = random.Random(4)
+    a, b = prose(rnd, 400, 3000), prose(random.Random(99), 400, 3000)
+    half = a[:len(a) // 2] + b[len(b) // 2:]
+    r = fp.registers([a, half, b, "", "", a + " "])
+    like = lambda i, j: float(fp.likeness(r[i:i + 1], r[j:j + 1])[0])
+    assert like(0, 0) == 1.0 and like(3, 4) == 1.0 and like(0, 3) == 0.0
+    assert like(0, 5) > 0.8 > like(0, 1) > 0.15 > like(0, 2)
+
+
+def test_edited_neighbours(spark):
+    rnd = random.Random(5)
+    rows = [r for r in edge_rows() if r[0] is not None] + [(100 + 3 * i, prose(rnd, rnd.randint(0, 80))) for i in range(60)]
+    out = fp.edited_neighbours(docs(spark, rows).repartition(7)).collect()
+    assert len(out) == len(rows)
+    chain = sorted(((d, t or "") for d, t in rows), key=lambda r: r[0])
+    got = {}
+    for r in out:
+        got.setdefault(r.doc_id, []).append(r)
+    for (d, t), (_, following) in zip(chain, chain[1:] + chain[:1]):
+        half = len(t) // 2
+        edited = t[:len(t) - half] + following[:half]
+        f = fp.encoded(fp.registers([t, edited]))
+        assert any((r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint)
+                   == (len(t), hashlib.sha256(edited.encode()).hexdigest(), *f) for r in got[d]), d
+        assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got[d])
+
+
+def test_lone_null_and_empty(spark):
+    one = fp.edited_neighbours(docs(spark, [(5, "alone in the world")])).first()
+    assert one.near_next == 1.0 and one.n_chars == 18
+    assert fp.edited_neighbours(docs(spark, [])).count() == 0
+    assert {(r.doc_id, r.n_chars) for r in fp.edited_neighbours(docs(spark, [(None, "x"), (None, None)])).collect()} == {(None, 1), (None, 0)}
+    plain = {r.doc_id: r.n_chars for r in fp.fingerprint_documents(docs(spark, [(1, "ab"), (2, None)])).collect()}
+    assert plain == {1: 2, 2: 0}

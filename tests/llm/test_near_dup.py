@@ -1,0 +1,117 @@
+import random
+
+import numpy as np
+import pytest
+
+from lumenrec.llm import near_dup as nd
+from lumenrec.llm.common import Scratch
+from lumenrec.llm.shingles import shingle_sets
+from tests.llm.helpers import docs, edge_rows, prose, records
+
+
+def shingles(t):
+    w = (t or "").encode().lower().split()
+    return {tuple(w)} - {()} if len(w) < 5 else {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+
+
+def brute(rows, percent=85):
+    sets = [shingles(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+    for i in range(len(rows)):
+        for j in range(i):
+            if rows[i][0] is not None and rows[j][0] is not None and sets[i] and sets[j]:
+                both = len(sets[i] & sets[j])
+                if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                    parent[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            r = find(i)
+            least[r] = min(least.get(r, d), d)
+    out = []
+    for i, (d, _) in enumerate(rows):
+        c = least[find(i)] if d is not None else None
+        out.append((d, len(sets[i]), c, d is None or c == d))
+    return sorted(out, key=repr)
+
+
+def copies(rnd, text, n, share):
+    out = []
+    for _ in range(n):
+        w = text.split(" ")
+        for _ in range(rnd.randint(0, max(1, int(share * len(w))))):
+            w[rnd.randrange(len(w))] = f"w{rnd.randrange(10**6)}"
+        out.append(" ".join(w))
+    return out
+
+
+def test_shingle_sets():
+    texts = ["A b  C d\te f", "a b c d e f", "a b", "A  B", "", None, "a b c d e a b c d e", "x " * 50]
+    got = shingle_sets(texts)
+    assert [len(s) for s in got] == [len(shingles(t)) for t in texts]
+    assert (got[0] == got[1]).all() and (got[2] == got[3]).all()
+    assert all((np.diff(s.astype(object)) > 0).all() for s in got if len(s) > 1)
+
+
+def test_registers_merge_and_estimate():
+    rnd = np.random.default_rng(1)
+    x = np.sort(rnd.integers(0, 2**63, 4000).astype(np.uint64))
+    a, b = x[:3000], x[1000:]
+    r = nd.sketch([a, b, x])
+    assert (np.maximum(r[0], r[1]) == r[2]).all()              # the union's registers
+    equal = np.mean([(nd.sketch([s[:90], s[10:]])[0] == nd.sketch([s[:90], s[10:]])[1]).mean()
+                     for s in (np.sort(rnd.integers(0, 2**63, 100).astype(np.uint64)) for _ in range(200))])
+    assert abs(equal - 0.8) < 0.02                              # as likely equal as the sets are similar
+
+
+def test_likelihood_keeps_links_and_drops_strangers():
+    rnd = np.random.default_rng(2)
+    near, far = [], []
+    for _ in range(300):
+        s = rnd.integers(0, 2**63, 200).astype(np.uint64)
+        near.append((np.sort(s[:185]), np.sort(s[15:])))        # similarity 0.85
+        far.append((np.sort(s[:110]), np.sort(s[90:])))         # 0.1
+    for pairs, want in ((near, 1.0), (far, 0.0)):
+        a, b = nd.sketch([p[0] for p in pairs]), nd.sketch([p[1] for p in pairs])
+        n = np.array([[len(p[0]), len(p[1])] for p in pairs], float)
+        assert nd.plausible(a, b, n[:, 0], n[:, 1], 0.85).mean() == want
+
+
+def test_components(spark):
+    rnd = random.Random(3)
+    edges = [(f"{i:04d}", f"{i + 1:04d}") for i in range(0, 200) if i % 50 != 49] + [(f"h{0:03d}", f"h{i:03d}") for i in range(1, 60)]
+    rnd.shuffle(edges)
+    df = spark.createDataFrame([(bytes(a, "ascii"), bytes(b, "ascii")) for a, b in edges], "a binary, b binary")
+    roots = {bytes(r.node).decode(): bytes(r.root).decode() for r in nd.components(df, Scratch(spark, "test"), "c").collect()}
+    assert all(roots[f"{i:04d}"] == f"{i // 50 * 50:04d}" for i in range(200))
+    assert all(roots[f"h{i:03d}"] == "h000" for i in range(60))
+
+
+@pytest.mark.parametrize("seed, share", [(1, 0.02), (2, 0.12)])
+def test_against_brute_force(spark, seed, share):
+    """Groups of copies around the threshold: the second case has many pairs that just miss it."""
+    rnd = random.Random(seed)
+    rows, d = [], 100
+    for size in (2, 3, 5, 60):
+        for t in copies(rnd, prose(rnd, 150, 3000), size, share):
+            rows.append((d, t))
+            d += 1
+    rows += [(d + i, prose(rnd, 120, 3000)) for i in range(40)]
+    rows += [r for r in edge_rows() if r[0] != 6] + [(rows[3][0], rows[3][1]), (5000, rows[3][1].upper())]
+    rnd.shuffle(rows)
+    got = nd.near_duplicates(docs(spark, rows))
+    assert records(got, "doc_id", "n_shingles", "component_id", "kept") == brute(rows)
+
+
+def test_nothing_to_link(spark):
+    assert nd.near_duplicates(docs(spark, [])).count() == 0
+    got = nd.near_duplicates(docs(spark, [(1, None), (2, ""), (3, None), (None, "a b c d e f"), (4, "a b c d e f")]))
+    assert records(got, "doc_id", "component_id", "kept") == sorted(
+        [(1, 1, True), (2, 2, True), (3, 3, True), (None, None, True), (4, 4, True)], key=repr)
+    kept = nd.keep_one(docs(spark, [(7, "a b c d e f g"), (3, "A b c d e f g"), (9, "other words are here now")]))
+    assert records(kept, "doc_id") == [(3,), (9,)] and "node" in kept.columns
