@@ -82,11 +82,3 @@ class Scratch:
         path = f"{self.root}/{name}"
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self, *names: str) -> None:
-        """Remove tables that no later step reads."""
-        jvm = self.spark._jvm
-        conf = self.spark._jsc.hadoopConfiguration()
-        for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-            path.getFileSystem(conf).delete(path, True)

@@ -3,7 +3,8 @@
 Texts become chunks: the sorted word hashes of some megabytes of text, and each word's place in
 them.  Everything that crosses the network is a chunk's sorted distinct keys for one part of
 the hash space, so a word or pair costs one entry per chunk however often it occurs, and no key
-is hot.  Four written tables: chunks, counts, scores without backoff weights, weights.
+is hot.  Written tables, by chunk or by part of the hash space: chunks, counts, scores without
+backoff weights; the weights are joined to the last.
 """
 
 from __future__ import annotations

@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
-
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .arrow import in_tasks, parts
@@ -19,6 +17,8 @@ BANDS, ROWS = 16, 4
 M = BANDS * ROWS                  # registers; 2 bytes each
 BASE, RATE, LIMIT = 1.001, 20.0, 65_534
 _DOUBT = 18.0                     # log-likelihood ratio from which a pair is not verified
+_BLOCKS = 128
+_PAIRS_EACH = 2_000               # untested pairs a bucket member may have on average to be all tested at once
 _REPS_BROADCAST = 500_000         # rows (of 24 bytes) up to which wanted texts are looked up by broadcast
 
 _u64 = np.uint64
@@ -101,11 +101,11 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
                 .groupBy(F.col("a").alias("node")).agg(F.min("root").alias("m")))
         low = labels.join(near, "node").select("node", F.col("root").alias("old"), F.least("root", "m").alias("low"))
         jump = labels.select(F.col("node").alias("low"), F.col("root").alias("further"))
-        new = scratch.write(low.join(jump, "low", "left").select(
-            "node", F.least("low", F.coalesce("further", "low")).alias("root"), "old"), f"{name}-{step}")
-        changed = new.filter(F.col("root") != F.col("old")).limit(1).count()
+        new = low.join(jump, "low", "left").select("node", F.least("low", F.coalesce("further", "low")).alias("root"), "old")
+        seen = Observation()
+        new = scratch.write(new.observe(seen, F.count_if(F.col("root") != F.col("old")).alias("changed")), f"{name}-{step}")
         labels = new.select("node", "root")
-        if not changed:
+        if not seen.get["changed"]:
             return labels
 
 
@@ -145,6 +145,12 @@ def _column(part: pa.RecordBatch, name: str, dtype: str) -> np.ndarray:
     return np.frombuffer(b"".join(part.column(name).to_pylist()), dtype)
 
 
+def _band_keys() -> Column:
+    """The bands of ``regs``: an array of hashes, each of a band's number and its registers."""
+    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(
+        b, F.substring(F.col("regs"), b * (2 * ROWS) + 1, F.lit(2 * ROWS))))
+
+
 class _Search:
     """One run: the written tables that its steps share."""
 
@@ -157,12 +163,11 @@ class _Search:
         own = self.rows.filter(F.col("id").isNotNull() & F.col("node").isNotNull())
         # texts with one shingle set are one class; a hot class meets as one row per task
         self.classes = write(own.groupBy("node", "n", "regs").agg(F.min(F.struct("id", "tk")).alias("rep")), "classes")
-        keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(
-            b, F.substring(F.col("regs"), b * (2 * ROWS) + 1, F.lit(2 * ROWS))))
-        members = self.classes.select("node", "n", F.explode(keys).alias("key"))
+        members = self.classes.select("node", "n", F.explode(_band_keys()).alias("key"))
         shared = write(members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key"), "shared")
         self.members = write(members.join(shared, "key"), "members")
-        self.edges: DataFrame | None = None
+        self.edges: DataFrame | None = None       # links found so far
+        self.roots: DataFrame | None = None       # their components
         self.n_tables = 0
         self.sets = self._needed_sets()
 
@@ -183,11 +188,14 @@ class _Search:
     def _size_fits(self, a: str, b: str):
         return 100 * F.least(a, b) >= self.percent * F.greatest(a, b)
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """The linked ones of distinct pairs (a, na, b, nb): first by likelihood, then on full sets."""
+    def _test(self, pairs: DataFrame) -> None:
+        """Verify pairs (a, na, b, nb), by likelihood and then on full sets, and add the links."""
         threshold, percent = self.percent / 100, self.percent
+        swap = F.col("a") > F.col("b")
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.when(swap, F.col("nb")).otherwise(F.col("na")).alias("na"),
+                             F.greatest("a", "b").alias("b"), F.when(swap, F.col("na")).otherwise(F.col("nb")).alias("nb"))
         regs = self.classes.select("node", "regs")
-        held = (pairs.join(regs.select(F.col("node").alias("a"), F.col("regs").alias("ra")), "a")
+        held = (pairs.distinct().join(regs.select(F.col("node").alias("a"), F.col("regs").alias("ra")), "a")
                 .join(regs.select(F.col("node").alias("b"), F.col("regs").alias("rb")), "b")
                 .select("a", "b", "na", "nb", "ra", "rb"))
 
@@ -200,10 +208,9 @@ class _Search:
                 keep = plausible(ra, rb, na, nb, threshold)
                 yield part.select(["a", "b"]).filter(pa.array(keep))
 
-        candidates = self.scratch.write(in_tasks(held, likely, "a binary, b binary"), self._name("candidates"))
-        sets = self.sets
-        full = (candidates.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
-                .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
+        candidates = in_tasks(held, likely, "a binary, b binary")
+        full = (candidates.join(self.sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
+                .join(self.sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
                 .select("a", "b", "sa", "sb"))
 
         def confirm(batches):
@@ -217,27 +224,33 @@ class _Search:
                     keep.append(100 * same >= percent * (len(x) + len(y) - same))
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-        return self.scratch.write(in_tasks(full, confirm, "a binary, b binary"), self._name("links"))
+        seen = Observation()
+        links = in_tasks(full, confirm, "a binary, b binary").observe(seen, F.count(F.lit(1)).alias("n"))
+        links = self.scratch.write(links, self._name("links"))
+        if seen.get["n"]:
+            self.edges = links if self.edges is None else self.edges.unionByName(links)
+            self.roots = components(self.edges, self.scratch, self._name("roots"))
 
     # ------------------------------------------------------------ which pairs to test
 
-    def _labelled(self, members: DataFrame) -> DataFrame:
-        """Members of buckets that still hold two components: (key, node, n, root)."""
-        if self.edges is not None:
-            roots = components(self.edges, self.scratch, self._name("roots"))
-            members = members.join(roots, "node", "left").select(
-                "key", "node", "n", F.coalesce("root", "node").alias("root"))
+    def _active(self, members: DataFrame, *more: str) -> tuple[DataFrame, int]:
+        """Members of buckets that still hold two components, (key, node, n, root), and how many."""
+        if self.roots is not None:
+            members = members.join(self.roots, "node", "left").select(
+                "key", "node", "n", F.coalesce("root", "node").alias("root"), *more)
         else:
-            members = members.select("key", "node", "n", F.col("node").alias("root"))
-        labelled = self.scratch.write(members, self._name("labelled"))
-        open_ = self.scratch.write(labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-                                   .filter("lo <> hi").select("key"), self._name("open"))
-        return self.scratch.write(labelled.join(open_, "key"), self._name("active"))
-
-    def _lonely(self, active: DataFrame) -> DataFrame:
-        """(node, u): how many shingles no other active class has.
-
-        A class cannot be linked with more than its other shingles; see :meth:`_hopeful`.
+            members = members.select("key", "node", "n", F.col("node").alias("root"), *more)
+        open_ = (members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+                 .filter("lo <> hi").select("key"))
+        seen = Observation()
+        active = members.join(open_, "key").observe(seen, F.count(F.lit(1)).alias("n"))
+        active = self.scratch.write(active, self._name("active"))
+        return active, seen.get["n"]
+
+    def _shared(self, active: DataFrame) -> DataFrame:
+        """(key, node, n, s): s is how many shingles of a member another active class has too.
+
+        No link of the member has a larger intersection than s.
         """
         nodes = active.select("node").distinct()
 
@@ -251,92 +264,114 @@ class _Search:
                     ["node", "s"])
 
         lists = in_tasks(self.sets.join(nodes, "node", "left_semi"), run, "node binary, s array<bigint>")
-        alone = (lists.select(F.xxhash64("node").alias("nk"), F.explode("s").alias("s"))
+        alone = (lists.select(F.xxhash64("node").alias("nk"), F.explode_outer("s").alias("s"))
                  .groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("nk").alias("nk")).filter("c = 1")
                  .groupBy("nk").agg(F.count(F.lit(1)).alias("u")))
-        return self.scratch.write(nodes.withColumn("nk", F.xxhash64("node")).join(alone, "nk", "left")
-                                  .select("node", F.coalesce("u", F.lit(0)).alias("u")), self._name("lonely"))
+        return (active.withColumn("nk", F.xxhash64("node")).join(alone, "nk", "left")
+                .select("key", "node", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("s")))
 
-    def _hopeful(self, active: DataFrame, lonely: DataFrame) -> DataFrame:
-        """Active members that some member of their bucket may still be linked with.
+    def _pair_fits(self, na: str, sa: str, nb: str, sb: str):
+        """Whether sizes and shared shingles allow a link: J = i / (na + nb - i) for an
+        intersection i of at most min(sa, sb)."""
+        i = F.least(sa, sb)
+        return 100 * i >= self.percent * (F.col(na) + F.col(nb) - i)
 
-        With s shared shingles and a partner of at least m shingles, a class of n has a
-        similarity of at most s / (n + max(0, m - s)).
-        """
-        least = active.groupBy("key").agg(F.min("n").alias("least"))
-        t = active.join(lonely, "node").join(least, "key")
-        shared = F.col("n") - F.col("u")
-        m = F.greatest(F.col("least"), F.ceil(F.col("n") * self.percent / 100))
-        fits = 100 * shared >= self.percent * (F.col("n") + F.greatest(F.lit(0), m - shared))
-        return self.scratch.write(t.filter(fits).select("key", "node", "n", "u"), self._name("hopeful"))
+    def _blocks(self, active: DataFrame) -> DataFrame:
+        """(node, t): how many shingles of each active class lie in each of 128 blocks of the hash space."""
+        def run(batches):
+            for part in parts(batches, "shingles"):
+                some = part.column("shingles").to_pylist()
+                t = np.stack([np.bincount(np.frombuffer(x, np.uint64) & _u64(_BLOCKS - 1), minlength=_BLOCKS) for x in some])
+                edge = np.arange(len(some) + 1, dtype=np.int32) * _BLOCKS
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.ListArray.from_arrays(
+                    pa.array(edge), pa.array(t.ravel().astype(np.int32)))], ["node", "t"])
 
-    def _test(self, pairs: DataFrame) -> None:
-        """Verify pairs (a, na, b, nb) and add the links found to the edges."""
-        pairs = pairs.filter(self._size_fits("na", "nb")).select(
-            F.least("a", "b").alias("a"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"),
-            F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb"))
-        found = self.verified(self.scratch.write(pairs.distinct(), self._name("pairs")))
-        self.edges = found if self.edges is None else self.scratch.write(
-            self.edges.unionByName(found), self._name("edges"))
-
-    def _hub_round(self, active: DataFrame, priority: Callable, hubs_each: int) -> DataFrame:
+        nodes = active.select("node").distinct()
+        return in_tasks(self.sets.join(nodes, "node", "left_semi"), run, "node binary, t array<int>")
+
+    def _blocks_fit(self):
+        """Whether the blocks allow a link: an intersection has at most the lesser count in each."""
+        i = F.aggregate(F.zip_with("t", "ht", lambda x, y: F.least(x, y)), F.lit(0), lambda a, x: a + x)
+        return 100 * i >= self.percent * (F.col("n") + F.col("hn") - i)
+
+    def _hopeful(self, active: DataFrame) -> DataFrame:
+        """Members (key, node, n, s) for whose size and shared shingles a partner's size exists in
+        the bucket.
+
+        A member of n shingles, s of them shared, can only be linked with classes of
+        ``percent * n / 100`` to ``s * (100 + percent) / percent - n`` shingles; sizes are looked
+        up by cells two percent wide, so a member that might have a partner always stays.
+        """
+        p, width = self.percent / 100, math.log(1.02)
+        t = self.scratch.write(self._shared(active), self._name("shared"))
+        cell = lambda c: F.floor(F.log(c) / width).cast("int")
+        lo, hi = F.col("n") * p, F.least(F.col("s") * (1 + 1 / p) - F.col("n"), F.col("n") / p)
+        there = t.groupBy("key", cell(F.col("n").cast("double")).alias("cell")).agg(F.count(F.lit(1)).alias("c"))
+        own = cell(F.col("n").cast("double"))
+        asked = t.filter(hi >= lo * (1 - 1e-9)).select(
+            "key", "node", "n", "s", own.alias("own"),
+            F.explode_outer(F.sequence(cell(lo) - 1, cell(hi) + 1)).alias("cell"))
+        found = asked.join(there, ["key", "cell"]).filter((F.col("cell") != F.col("own")) | (F.col("c") > 1))
+        return found.select("key", "node", "n", "s").distinct()
+
+    def _star(self, active: DataFrame, priority, hubs_each: int, fits) -> DataFrame:
         """Test up to ``hubs_each`` members of each bucket against all others of other components;
         returns the members without those hubs, whose relations are then known."""
         sub = F.pmod(F.xxhash64("node", F.lit(7)), F.lit(hubs_each)).alias("sub")
-        best = F.min(F.struct(priority().alias("p"), F.col("node").alias("hub"), F.col("n").alias("hn"),
-                              F.col("root").alias("hroot"))).alias("h")
-        hubs = self.scratch.write(active.groupBy("key", sub).agg(best).select("key", "h.hub", "h.hn", "h.hroot"),
-                                  self._name("hubs"))
-        pairs = active.join(hubs, "key").filter(F.col("root") != F.col("hroot")).select(
-            F.col("hub").alias("a"), F.col("hn").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb"))
-        self._test(pairs)
+        fields = [c for c in active.columns if c not in ("key", "node")]
+        best = F.min(F.struct(priority.alias("p"), F.col("node").alias("hub"), *[F.col(c).alias(f"h{c}") for c in fields])).alias("h")
+        hubs = self.scratch.write(active.groupBy("key", sub).agg(best).select(
+            "key", "h.hub", *[f"h.h{c}" for c in fields]), self._name("hubs"))
+        pairs = active.join(hubs, "key").filter((F.col("root") != F.col("hroot")) & fits)
+        self._test(pairs.select(F.col("hub").alias("a"), F.col("hn").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb")))
         return active.join(hubs.select("key", F.col("hub").alias("node")), ["key", "node"], "left_anti")
 
     def run(self) -> None:
         """Test pairs of bucket members until no bucket holds two untested members of different
-        components.
+        components that might be linked.
 
         First a star around one member of each bucket, which joins most groups of copies.  In the
-        buckets that still hold several components, members whose own shingles rule a link out
-        leave, then more stars follow, around those that share most; each star tests a linear
-        number of pairs and settles its centre.  Once the pairs left are few for each member
-        they are all tested.  Members of one component are never paired again, so a group of
-        copies costs about its size, and no untested pair of a bucket is given up.
+        buckets that still hold several components, members leave for whose size and shared
+        shingles no partner's size exists; then a star around those that share most.  The pairs
+        left in a bucket, of members of different components that an exact bound allows, are all
+        tested, or, as long as there are very many, more stars follow, with four times the
+        centres each time; a star tests a linear number of pairs and settles its centres.
+        Members of one component are never paired, so a group of copies costs about its size,
+        and no pair of a bucket that might be linked is given up.
         """
-        active = self._labelled(self.members)
-        if not active.limit(1).count():
+        rest, n = self._active(self.members)
+        if not n:
             return
-        rest = self._hub_round(active, lambda: F.xxhash64("node"), 1).select("key", "node", "n")
-        active = self._labelled(rest)
-        if not active.limit(1).count():
+        rest = self._star(rest, F.xxhash64("node"), 1, self._size_fits("n", "hn")).select("key", "node", "n")
+        active, n = self._active(rest)
+        if not n:
             return
-        rest = self._hopeful(active, self._lonely(active))
-        hubs_each = 1
+        hopeful = self._hopeful(active)
+        hubs_each, fits = 1, self._pair_fits("n", "s", "hn", "hs")
         while True:
-            lonely = rest.select("node", "u").distinct()
-            active = self._labelled(rest.select("key", "node", "n"))
-            per = active.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
-            left = (per.groupBy("key").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
-                    .agg(F.sum(F.col("s") * F.col("s") - F.col("q")), F.sum("s")).first())
-            pairs_left, members_left = (left[0] or 0) / 2, left[1] or 0
-            if not pairs_left:
-                return
-            if pairs_left <= 8 * members_left:
-                a = active.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-                b = active.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-                self._test(a.join(b, "key").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")))
-                           .select("a", "na", "b", "nb"))
+            active, n = self._active(hopeful, "s")
+            if not n:
                 return
-            active = active.join(lonely, "node")
-            rest = self._hub_round(active, lambda: F.col("u") / F.col("n"), hubs_each).select("key", "node", "n", "u")
+            if hubs_each > 1:
+                per = active.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
+                left = per.groupBy("key").agg((F.pow(F.sum("c"), 2) - F.sum(F.col("c") * F.col("c"))).alias("p"))
+                if (left.agg(F.sum("p")).first()[0] or 0) <= _PAIRS_EACH * n:
+                    break
+            hopeful = self._star(active, 1 - F.col("s") / F.col("n"), hubs_each, fits).select("key", "node", "n", "s")
             hubs_each = min(hubs_each * 4, 1024)
+        # a pair that shares several bands is joined in the first of them alone
+        active = active.join(self.classes.select("node", _band_keys().alias("keys")), "node").join(self._blocks(active), "node")
+        other = active.select("key", *[F.col(c).alias(f"h{c}") for c in ("node", "n", "s", "root", "keys", "t")])
+        first = F.get(F.array_compact(F.zip_with("keys", "hkeys", lambda x, y: F.when(x == y, x))), F.lit(0)) == F.col("key")
+        pairs = active.join(other, "key").filter((F.col("node") < F.col("hnode")) & (F.col("root") != F.col("hroot"))
+                                                 & fits & first & self._blocks_fit())
+        self._test(pairs.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("hnode").alias("b"), F.col("hn").alias("nb")))
 
     def result(self) -> DataFrame:
         """(id, n, component) of every row."""
         classes = self.classes.select("node", F.col("rep.id").alias("cid"))
-        if self.edges is not None:
-            roots = components(self.edges, self.scratch, self._name("roots"))
-            classes = self.scratch.write(classes.join(roots, "node", "left").select(
+        if self.roots is not None:
+            classes = self.scratch.write(classes.join(self.roots, "node", "left").select(
                 "node", "cid", F.coalesce("root", "node").alias("root")), "rooted")
             least = classes.groupBy("root").agg(F.min("cid").alias("component"))
             classes = classes.join(least, "root").select("node", "component")

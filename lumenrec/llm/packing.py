@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -109,8 +108,6 @@ def best_fit(length: np.ndarray, cost: np.ndarray, capacity: tuple[float, float,
     item = np.stack((length, np.ones(len(length)), cost), axis=1) / cap
     least = np.minimum.accumulate(item[order][::-1], axis=0)[::-1]     # least need of the items to come
     out = np.empty(len(length), np.int64)
-    residual = np.empty((0, 3))
-    names = np.empty(0, np.int64)
     used, opened, slack = 0, 0, 1e-9
     room, room_names = np.ones((1024, 3)), np.zeros(1024, np.int64)
     for k, i in enumerate(order.tolist()):

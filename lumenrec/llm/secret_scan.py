@@ -164,10 +164,6 @@ def find_spans(text: str, min_bits: float) -> list[tuple[int, int, str, float |
 _SPAN = "array<struct<start:int,end:int,kind:string,bits:double>>"
 
 
-def _pass_through(schema: T.StructType, names: list[str]) -> list[T.StructField]:
-    return [schema[n] for n in names]
-
-
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  min_bits: float = 40.0) -> DataFrame:
     """Per row: ``id_col`` and spans, an array of (start, end, kind, bits) in order.
