@@ -19,7 +19,7 @@ from .common import Scratch
 LEVELS = 3           # phrases of about 3, 10 and 30 characters
 BINS = 64            # registers of a level
 _FEW = 12            # filled registers from which a level is compared
-_EMPTY = 0xFFFF
+_EMPTY = 0xFF
 _CHARS = 300_000     # code points that are parsed at a time
 _EDGE = np.uint64(1 << 63)     # stands before, between and after texts
 
@@ -82,7 +82,8 @@ def _parse(x: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _registers(texts: list[str]) -> np.ndarray:
-    """Registers (text, level, bin): the least 16-bit value of a phrase name in each bin."""
+    """Registers (text, level, bin): eight bits of the phrase name that comes first in its bin by
+    sixteen others."""
     n = len(texts)
     size = np.fromiter(map(len, texts), np.int64, n)
     total = int(size.sum()) + n + 1
@@ -91,18 +92,18 @@ def _registers(texts: list[str]) -> np.ndarray:
     x = np.empty(total, np.uint64)
     x[edge] = _EDGE
     x[~edge] = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
-    out = np.full((n, LEVELS, BINS), _EMPTY, np.uint16)
+    out = np.full((n, LEVELS, BINS), _EMPTY, np.uint8)
     for level in range(LEVELS):
         x, edge = _parse(x, edge)
         text = (np.cumsum(edge) - 1)[~edge].astype(np.uint64)
         name = x[~edge]
-        value = np.minimum(name >> _u64(48), _u64(_EMPTY - 1))
-        key = np.sort(((text * _u64(BINS) + (name & _u64(BINS - 1))) << _u64(16)) | value)
+        own = np.minimum((name >> _u64(8)) & _u64(0xFF), _u64(_EMPTY - 1))
+        key = np.sort(((text * _u64(BINS) + (name & _u64(BINS - 1))) << _u64(24)) | (name >> _u64(48)) << _u64(8) | own)
         if key.size:
-            cell = key >> _u64(16)
+            cell = key >> _u64(24)
             first = np.concatenate(([True], cell[1:] != cell[:-1]))
             out.reshape(n, LEVELS, BINS)[(cell[first] // _u64(BINS)).astype(np.int64), level,
-                                         (cell[first] % _u64(BINS)).astype(np.int64)] = key[first] & _u64(0xFFFF)
+                                         (cell[first] % _u64(BINS)).astype(np.int64)] = key[first] & _u64(0xFF)
     return out
 
 
@@ -121,8 +122,8 @@ def registers(texts: list[str]) -> np.ndarray:
 
 
 def encoded(regs: np.ndarray) -> list[str]:
-    """Fingerprints as text: base64 of the registers, little-endian, level by level."""
-    flat = regs.reshape(len(regs), -1).astype("<u2")
+    """Fingerprints as text: base64 of the registers, level by level."""
+    flat = regs.reshape(len(regs), -1)
     return [base64.b64encode(r.tobytes()).decode() for r in flat]
 
 
