@@ -8,14 +8,25 @@ from pyspark.sql import functions as F
 from .common import WS_CLASS, ascii_lower
 
 # ---- fixed values: known licence sentences (identifier, sentence) --------------------------
+# Each is one sentence by the rules of :func:`sentences` in both views, so a longer one stands here
+# as its parts.  Where the standard text has an empty line but no full stop, both the parts and
+# the whole are listed: behind comment marks the line is not empty.
 SENTENCES = [
     ("apache-notice", "Licensed under the Apache License, Version 2.0."),
     ("apache-1", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file "
                  "except in compliance with the License."),
     ("apache-2", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("apache-2", "You may obtain a copy of the License at https://www.apache.org/licenses/LICENSE-2.0"),
+    ("apache-at", "You may obtain a copy of the License at"),
+    ("apache-url", "http://www.apache.org/licenses/LICENSE-2.0"),
+    ("apache-url", "https://www.apache.org/licenses/LICENSE-2.0"),
     ("apache-3", "Unless required by applicable law or agreed to in writing, software distributed under the License "
                  "is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express "
                  "or implied."),
+    *[("apache-2-3", f"You may obtain a copy of the License at {scheme}://www.apache.org/licenses/LICENSE-2.0 Unless "
+                     "required by applicable law or agreed to in writing, software distributed under the License is "
+                     "distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express "
+                     "or implied.") for scheme in ("http", "https")],
     ("apache-4", "See the License for the specific language governing permissions and limitations under the License."),
     ("mit-title", "MIT License"),
     ("mit-title", "The MIT License (MIT)"),
@@ -26,12 +37,6 @@ SENTENCES = [
               "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
               "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
               "subject to the following conditions:"),
-    ("mit-1", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-              "associated documentation files (the \"Software\"), to deal in the Software without restriction, "
-              "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
-              "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
-              "subject to the following conditions: The above copyright notice and this permission notice shall be "
-              "included in all copies or substantial portions of the Software."),
     ("mit-2", "The above copyright notice and this permission notice shall be included in all copies or substantial "
               "portions of the Software."),
     ("as-is-mit", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT "
@@ -48,16 +53,53 @@ SENTENCES = [
                   "or promote products derived from this software without specific prior written permission."),
     ("bsd-notice", "Released under the BSD License."),
     ("gpl3-notice", "This work is licensed under the GNU General Public License, version 3."),
-    ("gpl3-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the "
-                      "GNU General Public License as published by the Free Software Foundation, either version 3 of "
-                      "the License, or (at your option) any later version."),
-    ("gpl2-or-later", "This program is free software; you can redistribute it and/or modify it under the terms of the "
-                      "GNU General Public License as published by the Free Software Foundation; either version 2 of "
-                      "the License, or (at your option) any later version."),
+    ("free-software", "This program is free software:"),
+    *[(sid, f"you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free "
+            "Software Foundation, either version 3 of the License, or (at your option) any later version.")
+      for sid, name in (("gpl3-or-later", "General Public License"), ("lgpl3-or-later", "Lesser General Public License"),
+                        ("agpl3-or-later", "Affero General Public License"))],
+    *[(sid, f"This {what} is free software; you can redistribute it and/or modify it under the terms of the GNU {name} "
+            f"as published by the Free Software Foundation; either version {version} of the License, or (at your "
+            "option) any later version.")
+      for what in ("program", "library", "software")
+      for sid, name, version in (("gpl2-or-later", "General Public License", "2"),
+                                 ("gpl3-or-later-2", "General Public License", "3"),
+                                 ("lgpl2-or-later", "Library General Public License", "2"),
+                                 ("lgpl21-or-later", "Lesser General Public License", "2.1"),
+                                 ("lgpl3-or-later-2", "Lesser General Public License", "3"))],
+    *[("gpl2-only", f"This program is free software; you can redistribute it and/or modify it under the terms of the "
+                    f"GNU General Public License{comma} version 2{comma} as published by the Free Software Foundation.")
+      for comma in ("", ",")],
     ("gpl-hope", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
                  "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."),
+    *[("gpl-hope", f"This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+                   "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.")
+      for what in ("library", "software")],
+    ("lgpl-see", "See the GNU Lesser General Public License for more details."),
+    ("agpl-see", "See the GNU Affero General Public License for more details."),
     ("gpl-see", "See the GNU General Public License for more details."),
-    ("mpl2-form", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("mpl2-form", "This Source Code Form is subject to the terms of the Mozilla Public License, v."),
+    ("mpl2-copy", "If a copy of the MPL was not distributed with this file, You can obtain one at "
+                  "http://mozilla.org/MPL/2.0/."),
+    ("mpl2-copy", "If a copy of the MPL was not distributed with this file, You can obtain one at "
+                  "https://mozilla.org/MPL/2.0/."),
+    *[("isc-1", f"Permission to use, copy, modify, and{alt} distribute this software for any purpose with or without fee "
+                "is hereby granted, provided that the above copyright notice and this permission notice appear in all "
+                "copies.") for alt in ("", "/or")],
+    ("isc-2", "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE "
+              "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."),
+    ("unlicense-1", "This is free and unencumbered software released into the public domain."),
+    ("unlicense-2", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in "
+                    "source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any "
+                    "means."),
+    ("zlib-1", "This software is provided 'as-is', without any express or implied warranty."),
+    ("zlib-2", "In no event will the authors be held liable for any damages arising from the use of this software."),
+    ("zlib-3", "Permission is granted to anyone to use this software for any purpose, including commercial applications, "
+               "and to alter it and redistribute it freely, subject to the following restrictions:"),
+    ("bsl1-notice", "Distributed under the Boost Software License, Version 1.0."),
+    *[("epl2-notice", "This program and the accompanying materials are made available under the terms of the Eclipse "
+                      f"Public License {version} which is available at {scheme}://www.eclipse.org/legal/epl-2.0")
+      for version in ("2.0", "v2.0") for scheme in ("http", "https")],
     ("ccby4-notice", "Licensed under CC BY 4.0."),
     ("ccbysa4-notice", "Licensed under CC BY-SA 4.0."),
     ("ccbync4-notice", "Licensed under CC BY-NC 4.0."),
@@ -66,14 +108,29 @@ SENTENCES = [
 # ---- fixed values: ordered rules (rule, licence, sentence identifiers), the longer ones first --
 RULES = [
     ("apache-header", "Apache-2.0", ["apache-1", "apache-2", "apache-3", "apache-4"]),
+    ("apache-header-split", "Apache-2.0", ["apache-1", "apache-at", "apache-url", "apache-3", "apache-4"]),
+    ("apache-commented", "Apache-2.0", ["apache-2-3", "apache-4"]),
     ("bsd-3", "BSD-3-Clause", ["bsd-1", "bsd-source", "bsd-binary", "bsd-names"]),
     ("bsd-2", "BSD-2-Clause", ["bsd-1", "bsd-source", "bsd-binary"]),
     ("mit-text", "MIT", ["mit-1", "as-is-mit"]),
     ("mit-text-split", "MIT", ["mit-1", "mit-2", "as-is-mit"]),
+    ("mit-end", "MIT", ["mit-2", "as-is-mit"]),
     ("gpl3-header", "GPL-3.0-or-later", ["gpl3-or-later", "gpl-hope", "gpl-see"]),
     ("gpl2-header", "GPL-2.0-or-later", ["gpl2-or-later", "gpl-hope", "gpl-see"]),
+    ("gpl3-statement-2", "GPL-3.0-or-later", ["gpl3-or-later-2"]),
     ("gpl3-statement", "GPL-3.0-or-later", ["gpl3-or-later"]),
     ("gpl2-statement", "GPL-2.0-or-later", ["gpl2-or-later"]),
+    ("gpl2-only", "GPL-2.0-only", ["gpl2-only"]),
+    ("lgpl2-statement", "LGPL-2.0-or-later", ["lgpl2-or-later"]),
+    ("lgpl21-statement", "LGPL-2.1-or-later", ["lgpl21-or-later"]),
+    ("lgpl3-statement", "LGPL-3.0-or-later", ["lgpl3-or-later"]),
+    ("lgpl3-statement-2", "LGPL-3.0-or-later", ["lgpl3-or-later-2"]),
+    ("agpl3-statement", "AGPL-3.0-or-later", ["agpl3-or-later"]),
+    ("isc-text", "ISC", ["isc-1", "isc-2"]),
+    ("unlicense-text", "Unlicense", ["unlicense-1", "unlicense-2"]),
+    ("zlib-text", "Zlib", ["zlib-1", "zlib-2", "zlib-3"]),
+    ("bsl1-notice", "BSL-1.0", ["bsl1-notice"]),
+    ("epl2-notice", "EPL-2.0", ["epl2-notice"]),
     ("apache-notice", "Apache-2.0", ["apache-notice"]),
     ("mit-title", "MIT", ["mit-title", "mit-1"]),
     ("mit-notice", "MIT", ["mit-notice"]),

@@ -40,3 +40,87 @@ def test_edges(spark):
     assert sorted(str(r.doc_id) for r in out.collect() if r.licenses) == ["1", "None"]
     assert out.count() == len(edge_rows()) + 2
     assert licenses.scan_licenses(docs(spark, [])).count() == 0
+
+
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE."""
+ZLIB = """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:"""
+UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or
+distribute this software, either in source code form or as a compiled
+binary, for any purpose, commercial or non-commercial, and by any
+means."""
+EPL = """This program and the accompanying materials are made available under the
+terms of the Eclipse Public License 2.0 which is available at
+https://www.eclipse.org/legal/epl-2.0
+
+SPDX"""
+STANDARD = [("Apache-2.0", APACHE), ("GPL-3.0-or-later", GPL), ("GPL-3.0-or-later", GPL.replace(": you", "; you").replace("n, e", "n; e")),
+            ("AGPL-3.0-or-later", GPL.replace("GNU General", "GNU Affero General")),
+            ("LGPL-3.0-or-later", GPL.replace("GNU General", "GNU Lesser General")), ("LGPL-2.1-or-later", LGPL), ("MPL-2.0", MPL),
+            ("ISC", ISC), ("Zlib", ZLIB), ("Unlicense", UNLICENSE),
+            ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0.\n(See accompanying file LICENSE_1_0.txt)")]
+PLAIN_ONLY = [("EPL-2.0", EPL)]
+
+
+def commented(text, mark):
+    return "\n".join(f"{mark} {line}".rstrip() for line in text.split("\n"))
+
+
+def test_standard_headers_plain_and_commented(spark):
+    texts = [(name, form) for name, text in STANDARD for form in
+             (text, commented(text, " *"), commented(text, "#"), commented(text, "//"), f"/*\n{commented(text, ' *')}\n */")]
+    texts += PLAIN_ONLY + [("Apache-2.0", commented("Copyright 2020 Somebody\n\n" + APACHE, " *"))]
+    got = scan(spark, [(i, text) for i, (_, text) in enumerate(texts)])
+    assert [(name, got[i].licenses) for i, (name, _) in enumerate(texts)] == [(name, [name]) for name, _ in texts]
+
+
+def test_no_known_sentence_or_rule_is_dead(spark):
+    from pyspark.sql import functions as F
+    table = spark.createDataFrame(licenses.SENTENCES, "sid string, raw string")
+    for view in licenses.VIEWS:
+        parts = F.filter(licenses.sentences(F.col("raw"), view), lambda s: licenses.normalised(s) != "")
+        assert [r.sid for r in table.filter(F.size(parts) != 1).collect()] == []
+    assert {i for _, _, ids in licenses.RULES for i in ids} <= {sid for sid, _ in licenses.SENTENCES}
+    by_sentence = {}
+    for r in table.select("sid", licenses.normalised(F.col("raw")).alias("s")).collect():
+        assert by_sentence.setdefault(r.s, r.sid) == r.sid
