@@ -147,8 +147,9 @@ def bootstrap(text_rows: DataFrame, seeds: DataFrame, scratch: Scratch, rounds:
     * an instance by noisy-or over its patterns of at least ``min_confidence``.
 
     Seeds keep the score 1.  Instances that reach ``min_score`` are discovered; they support
-    patterns of the next round.  Tables: one edge row per distinct (pattern, instance), so the
-    graph grows with the candidates and not with the text.
+    patterns of the next round, whether or not a seed does.  A discovered word is reported where
+    a pattern of the last round stands beside it.  Tables: one edge row per distinct (pattern,
+    instance), so the graph grows with the candidates and not with the text.
     """
     cand = scratch.write(_context_rows(text_rows, ["key"]).filter(F.char_length("match") >= 6), "candidates")
     seed_at = seeds.select("key", F.col("start").alias("s"), F.col("end").alias("e"))
@@ -158,32 +159,30 @@ def bootstrap(text_rows: DataFrame, seeds: DataFrame, scratch: Scratch, rounds:
     known = scratch.write(known, "known")
     sides = F.explode(F.array(F.struct(F.lit("L").alias("side"), F.col("left").alias("word")),
                               F.struct(F.lit("R").alias("side"), F.col("right").alias("word")))).alias("p")
-    edges = (cand.select("match", sides).select("match", "p.side", "p.word").filter("word <> ''")
-             .groupBy("side", "word", "match").agg(F.count(F.lit(1)).alias("n")))
-    supported = (edges.join(known, "match").groupBy("side", "word").agg(F.count(F.lit(1)).alias("support"))
-                 .filter(F.col("support") >= min_support).select("side", "word"))
-    supported = scratch.write(supported, "supported")
-    uses = _word_counts(text_rows).join(supported.select("word").distinct(), "word", "left_semi")
-    patterns = scratch.write(supported.join(uses, "word"), "patterns")
-    edges = scratch.write(edges.join(patterns, ["side", "word"]).join(known, "match", "left")
-                          .select("side", "word", "match", "n", "uses",
-                                  F.coalesce("seed", F.lit(0.0)).alias("seed")), "edges")
-    scores = edges.select("match", F.col("seed").alias("score")).distinct()
+    edges = scratch.write(cand.select("match", sides).select("match", "p.side", "p.word").filter("word <> ''")
+                          .groupBy("side", "word", "match").agg(F.count(F.lit(1)).alias("n")), "all-edges")
+    # a pattern with fewer distinct instances, known or not, can never be supported
+    possible = (edges.groupBy("side", "word").agg(F.count(F.lit(1)).alias("instances"))
+                .filter(F.col("instances") >= min_support).select("side", "word"))
+    possible = scratch.write(possible, "possible")
+    uses = _word_counts(text_rows).join(possible.select("word").distinct(), "word", "left_semi")
+    patterns = scratch.write(possible.join(uses, "word"), "patterns")
+    edges = scratch.write(edges.join(patterns, ["side", "word"]), "edges")
+    seeded = known.select("match", F.col("seed").alias("score"))
+    scores = seeded
     for i in range(rounds):
-        held = edges.join(scores, "match")
-        confidence = (held.groupBy("side", "word")
-                      .agg((F.sum(F.col("n") * F.col("score")) / F.max("uses")).alias("conf"),
-                           F.count_if(F.col("score") >= min_score).alias("support"))
-                      .filter((F.col("conf") >= min_confidence) & (F.col("support") >= min_support)))
+        confident = (edges.join(scores, "match").groupBy("side", "word")
+                     .agg((F.sum(F.col("n") * F.col("score")) / F.max("uses")).alias("conf"),
+                          F.count_if(F.col("score") >= min_score).alias("support"))
+                     .filter((F.col("conf") >= min_confidence) & (F.col("support") >= min_support)))
+        confident = scratch.write(confident.select("side", "word", "conf"), f"confident{i}")
         doubt = F.sum(F.log(F.lit(1.0) - F.least(F.col("conf"), F.lit(0.999)) + F.lit(1e-9)))
-        found = (edges.join(confidence.select("side", "word", "conf"), ["side", "word"])
-                 .groupBy("match").agg(F.max("seed").alias("seed"), doubt.alias("d"))
-                 .select("match", F.greatest("seed", 1 - F.exp("d")).alias("score")))
-        rest = edges.select("match", "seed").distinct()
-        scores = scratch.write(rest.join(found, "match", "left")
-                               .select("match", F.coalesce("score", "seed").alias("score")), f"scores{i}")
+        found = (edges.join(confident, ["side", "word"]).groupBy("match").agg(doubt.alias("d"))
+                 .join(known, "match", "left_anti").select("match", (1 - F.exp("d")).alias("score")))
+        scores = scratch.write(seeded.unionByName(found), f"scores{i}")
+    if not rounds:
+        return cand.select("key", "start", "end").limit(0)
     new = scores.filter(F.col("score") >= min_score).join(known, "match", "left_anti").select("match")
-    confident = edges.select("side", "word").distinct()
     return (cand.join(new, "match").select("key", "start", "end", sides)
             .select("key", "start", "end", "p.side", "p.word").join(confident, ["side", "word"], "left_semi")
             .select("key", "start", "end").distinct())

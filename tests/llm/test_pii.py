@@ -75,6 +75,25 @@ def test_contexts_reveal_unseen_identifiers(spark):
     assert not any(kind == "context" for i in range(40) for _, _, kind, _ in got[200 + i])
 
 
+def test_discovered_identifiers_make_patterns(spark):
+    rnd = random.Random(12)
+    fill = lambda n: " ".join(f"w{'abcdefgh'[rnd.randrange(8)]}{'ijklmnop'[rnd.randrange(8)]}" for _ in range(n))
+    rows = [(i, f"{fill(9)} mailto: user{i}@host.example.com") for i in range(100)]
+    rows += [(200 + i, f"{fill(9)} mailto: first{i}(at)host") for i in range(8)]
+    rows += [(300 + i, f"{fill(9)} handle: first{i % 8}(at)host") for i in range(40)]
+    rows += [(400 + i, f"{fill(9)} handle: second{i}(at)host") for i in range(2)]          # beside no seed anywhere
+    rows += [(500 + i, f"{fill(9)} ordinary user{i}@host.example.com") for i in range(6)]
+    rows += [(510 + i, f"{fill(9)} ordinary word") for i in range(30)]
+    rows += [(600, f"{fill(9)} ordinary first0(at)host")]                                  # beside an ordinary word
+    rows += [(700, f"{fill(9)} handle: plain")]
+    texts = dict(rows)
+    got = found(spark, rows, "spans")
+    context = {i: [texts[i][a:e] for a, _, kind, e in spans if kind == "context"] for i, spans in got.items()}
+    want = {i: [] for i in texts}
+    want |= {i: [texts[i].split(" ")[-1]] for i in texts if 200 <= i < 500}
+    assert context == want
+
+
 def test_plan_is_native(spark):
     plan = pii.find_personal_data(docs(spark, [(1, "a@b.cc")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
