@@ -26,8 +26,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents the one with the smallest id stays."""
-    return near_dup.keep_one(docs)
+    """Of documents linked by a similarity of 0.8 or more the one with the smallest id stays."""
+    return near_dup.keep_one(docs, percent=80)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

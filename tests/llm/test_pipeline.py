@@ -45,3 +45,16 @@ def test_stages_and_run(spark, tmp_path):
     assert {r.doc_id for r in packed.collect()} == set(kept)
     whole = p.run(spark, str(tmp_path))
     assert records(whole, "doc_id", "piece", "length", "ids_crc32") == records(packed, "doc_id", "piece", "length", "ids_crc32")
+
+
+def test_near_duplicate_stage_links_from_080(spark):
+    rnd = random.Random(17)
+    pairs, kept = [], set()
+    for i in range(12):
+        words = [f"w{rnd.randrange(10**9)}" for _ in range(204)]                # 200 shingles
+        changed = (18, 20, 22, 26)[i % 4]                                       # similarity 0.835, 0.818, 0.802, 0.770
+        near = words[:-changed] + [f"v{rnd.randrange(10**9)}" for _ in range(changed)]
+        pairs += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(near))]
+        kept |= {2 * i} | ({2 * i + 1} if changed == 26 else set())
+    out = p.near_duplicates(spark, docs(spark, pairs, clash=False), "")
+    assert {r.doc_id for r in out.collect()} == kept
