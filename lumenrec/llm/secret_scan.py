@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrow import in_tasks, parts, texts
+from .words import WORDS
 
 KINDS = ("assign", "access", "hex")
 GUESS = "guess"
@@ -40,7 +42,8 @@ user guest root public private changeme please enter insert value your here none
 token key api pass word name email data base home work school family friend mother father baby angel
 purple orange yellow green black white silver golden tiger eagle mustang ranger thomas robert daniel andrew
 joshua matthew jessica ashley amanda nicole samsung google apple windows linux the and for you are with""".split()
-_RANK = {w: i + 1 for i, w in reversed(list(enumerate(COMMON_WORDS)))}
+_RANK = {w: i + 1 for i, w in reversed(list(enumerate(WORDS)))}
+_RANK |= {w: min(i + 1, _RANK.get(w, i + 1)) for i, w in reversed(list(enumerate(COMMON_WORDS)))}
 _LONGEST = max(map(len, _RANK))
 _LEET = str.maketrans("04@31!$57", "oaaeiisst")
 _ROWS = ("1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
@@ -54,6 +57,9 @@ def _keyboard() -> dict[str, tuple[int, int]]:
 
 _KEYS = _keyboard()
 _SEGMENT = 1.0           # bits for one more segment
+_SEPARATORS = "/-_.:,=+@#&"      # single characters between words, the commonest first
+_PERIODS = (1, 2, 3, 4)
+_WALK, _TURN = math.log2(94), 1.5
 
 
 def _step(a: str, b: str) -> tuple | None:
@@ -83,8 +89,8 @@ def _char_bits(value: str) -> float:
     return math.log2(max(n, 10))
 
 
-def _segments(value: str, bits: float) -> list[list[tuple[int, float, str]]]:
-    """For each end position the (start, bits, kind) of the segments that end there."""
+def _short_segments(value: str) -> list[list[tuple[int, float, str]]]:
+    """For each end position the (start, bits, kind) of the words, dates and separators that end there."""
     n = len(value)
     ends: list[list[tuple[int, float, str]]] = [[] for _ in range(n + 1)]
     low = value.lower()
@@ -96,50 +102,104 @@ def _segments(value: str, bits: float) -> list[list[tuple[int, float, str]]]:
                 if rank and not (extra and plain[i:j] == low[i:j]):
                     case = 0.0 if value[i:j] == low[i:j] else 1.0 if value[i + 1:j] == low[i + 1:j] else 2.0
                     ends[j].append((i, math.log2(rank + 1) + extra + case, "word"))
-    for m in _DATE.finditer(value):
-        # a day of about 60 years, in a few ways of writing it; a bare year
-        ends[m.end()].append((m.start(), math.log2(60 * (365 * 4 if m.end() - m.start() > 4 else 1)), "date"))
-    for period in (1, 2, 3, 4):
-        i = period
-        while i < n:
-            j = i
+        if value[i].isdigit():
+            for j in range(i + 4, min(n, i + 10) + 1):
+                if _DATE.fullmatch(value, i, j):
+                    # a day of about 60 years, in a few ways of writing it; a bare year
+                    year = j - i == 4 and value[i:i + 2] in ("19", "20")
+                    ends[j].append((i, math.log2(60 * (1 if year else 365 * 4)), "date"))
+        elif value[i] in _SEPARATORS:
+            ends[i + 1].append((i, math.log2(_SEPARATORS.index(value[i]) + 2), "separator"))
+    return ends
+
+
+def _segments(value: str, bits: float) -> list[list[tuple[int, float, str]]]:
+    """All segments, spelled out: :func:`_short_segments`, and the repeats and keyboard walks from
+    every start to every end.  Their number grows with the square of a run; :func:`guess_bits`
+    takes the least of them without listing them."""
+    n, low = len(value), value.lower()
+    ends = _short_segments(value)
+    for i in range(n):
+        for period in _PERIODS:
+            j = i + period
             while j < n and value[j] == value[j - period]:
                 j += 1
-            if j - i >= max(2, period):
-                begin = i - period
-                for end in range(begin + max(3, 2 * period), j + 1):
-                    ends[end].append((begin, period * bits + math.log2((end - begin) / period), "repeat"))
-            i = max(j, i + 1)
-    i = 0
-    while i < n - 1:
+                if j - i >= max(3, 2 * period):
+                    ends[j].append((i, period * bits + math.log2((j - i) / period), "repeat"))
         j, turns, last = i + 1, 0, None
         while j < n and (step := _step(low[j - 1], low[j])):
             turns += step != last
             last = step
             j += 1
             if j - i >= 3:
-                ends[j].append((i, math.log2(94) + 1.5 * turns + math.log2(j - i), "walk"))
-        i = max(j - 1, i + 1)
+                ends[j].append((i, _WALK + _TURN * turns + math.log2(j - i), "walk"))
     return ends
 
 
+class _Starts:
+    """Least ``key + log2(end - start)`` over the starts of a run, for growing ends.
+
+    A start goes for good once another one is the better for all further ends: a later one with
+    no greater key, or an earlier one that has caught up (the logarithms only come closer).
+    """
+
+    def __init__(self):
+        self.first, self.open = 0, []
+
+    def restart(self, first: int) -> None:
+        self.first, self.open = first, []
+
+    def least(self, new: int, key: Callable[[int], float], end: int) -> float:
+        """With ``new`` as one more start, if the run holds it."""
+        if new >= self.first:
+            k = key(new)
+            while self.open and self.open[-1][0] >= k:
+                self.open.pop()
+            self.open.append((k, new))
+        least, kept = float("inf"), []
+        for k, start in self.open:
+            if (cost := k + math.log2(end - start)) < least:
+                least = cost
+                kept.append((k, start))
+        self.open = kept
+        return least
+
+
 def guess_bits(value: str) -> float:
     """Binary logarithm of the guesses for ``value`` by its cheapest segmentation.
 
     Dynamic programming over end positions; brute-forced characters run on in one segment, any
-    other segment (word, date, repeat, keyboard walk) and each new brute-force span cost one
-    more choice.  Time and memory grow in proportion to the length (repeats: to their runs).
+    other segment (word, date, separator, repeat, keyboard walk) and each new brute-force span
+    cost one more choice.  Repeats and walks may start and end anywhere in their runs; of a run
+    only the starts that can still be the cheapest are kept, a few, so time and memory grow in
+    proportion to the length.
     """
     if not value:
         return 0.0
-    bits = _char_bits(value)
-    ends = _segments(value, bits)
+    bits, low, n = _char_bits(value), value.lower(), len(value)
+    ends = _short_segments(value)
     inf = float("inf")
-    best = [0.0] + [inf] * len(value)          # cheapest up to here
-    brute = [inf] * (len(value) + 1)           # the same, ending in a brute-force span
-    for j in range(1, len(value) + 1):
-        brute[j] = min(brute[j - 1], best[j - 1] + _SEGMENT) + bits
-        best[j] = min([brute[j], *(best[i] + cost + _SEGMENT for i, cost, _ in ends[j])])
+    best = [0.0] + [inf] * n          # cheapest up to here
+    brute = [inf] * (n + 1)           # the same, ending in a brute-force span
+    repeats = [(p, max(3, 2 * p), p * bits - math.log2(p), _Starts()) for p in _PERIODS]
+    walks, turns, last = _Starts(), [0] * n, None      # turns: changes of direction so far
+    for j in range(1, n + 1):
+        k = j - 1
+        brute[j] = min(brute[k], best[k] + _SEGMENT) + bits
+        least = min((best[i] + cost for i, cost, _ in ends[j]), default=inf)
+        for period, shortest, cost, starts in repeats:
+            if k >= period and value[k] != value[k - period]:
+                starts.restart(k - period + 1)
+            least = min(least, starts.least(j - shortest, best.__getitem__, j) + cost)
+        if k:
+            step = _step(low[k - 1], low[k])
+            turns[k] = turns[k - 1] + (step != last)
+            last = step
+            if step is None:
+                walks.restart(k)
+            walk = walks.least(j - 3, lambda i: best[i] - _TURN * turns[i + 1], j)
+            least = min(least, walk + _WALK + _TURN * (1 + turns[k]))
+        best[j] = min(brute[j], least + _SEGMENT)
     return best[-1]
 
 

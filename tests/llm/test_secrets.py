@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -76,3 +77,52 @@ def test_spark_scan_and_redaction(spark):
     assert texts_ == [("[SECRET] end", 12, 2)] * 2
     assert out.filter("text IS NULL").count() == 2 and out.filter("char_length(text) <> n_chars").count() == 0
     assert s.scan_secrets(docs(spark, [])).count() == 0 and s.redact_secrets(docs(spark, [])).count() == 0
+
+
+def segment_bits(value, i, j, bits):
+    """Cheapest way to guess value[i:j] as one segment, from the definitions alone."""
+    part, low, out = value[i:j], value[i:j].lower(), [float("inf")]
+    for form, extra in ((low, 0), (low.translate(s._LEET), 2)):
+        if len(part) >= 3 and form in s._RANK:
+            out.append(math.log2(s._RANK[form] + 1) + extra + (part != low) + (part[1:] != low[1:]))
+    if re.fullmatch(r"(19|20)\d\d", part):
+        out.append(math.log2(60))
+    day, month = "(0?[1-9]|[12][0-9]|3[01])", "(0?[1-9]|1[0-2])"
+    if (re.fullmatch(rf"(19|20)\d\d(?P<s>[-/._ ]?){month}(?P=s){day}", part)
+            or re.fullmatch(rf"{day}(?P<s>[-/._ ]){day}(?P=s)\d\d(\d\d)?", part)):
+        out.append(math.log2(60 * 365 * 4))
+    if len(part) == 1 and part in s._SEPARATORS:
+        out.append(math.log2(s._SEPARATORS.index(part) + 2))
+    for p in (1, 2, 3, 4):
+        if len(part) >= max(3, 2 * p) and part == (part[:p] * len(part))[:len(part)]:
+            out.append(p * bits + math.log2(len(part) / p))
+    steps = [s._step(a, b) for a, b in zip(low, low[1:])]
+    if len(part) >= 3 and None not in steps:
+        out.append(math.log2(94) + 1.5 * (1 + sum(a != b for a, b in zip(steps, steps[1:]))) + math.log2(len(part)))
+    return min(out)
+
+
+def independent(value):
+    bits, n = s._char_bits(value), len(value)
+    best = [0.0]
+    for j in range(1, n + 1):
+        best.append(min(best[i] + 1 + min(segment_bits(value, i, j, bits), (j - i) * bits) for i in range(j)))
+    return best[-1]
+
+
+def test_segmentation_against_an_independent_search():
+    rnd = random.Random(21)
+    bits = ["a", "aa", "ab", "1", "11", "qaz", "xsw", "edc", "trustno1", "Love", "p4ss", "1990", "12", "31", "/", "-", "_", "X", "9", "asdf", "cba"]
+    values = ["".join(rnd.choice(bits) for _ in range(rnd.randint(1, 9))) for _ in range(300)]
+    values += ["trustno1qazxswedc", "a" * 90, "ab" * 40 + "b" * 30, "1" * 60, "199012121990", "5/12/12/1990", "qwertyuiop" * 6, "abcdcba" * 9]
+    for value in values:
+        assert abs(s.guess_bits(value) - independent(value)) < 1e-9, value
+
+
+def test_ordinary_words_are_no_secrets():
+    for text in ("auth: middleware/handlers", "pwd: /home/user/projects", "token: trustno1qazxswedc", "auth: authentication-provider"):
+        assert s.find_spans(text, 40.0) == [] or all(k != s.GUESS for _, _, k, _ in s.find_spans(text, 40.0)), text
+
+
+def test_long_runs_are_linear():
+    assert s.guess_bits("a" * 100_000) < 30 and s.guess_bits("1" * 50_000) < 30 and s.guess_bits("qwerty" * 10_000) > 30
