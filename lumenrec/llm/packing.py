@@ -22,13 +22,13 @@ class WordIds:
     """Ids of white-space separated words by a tokenizer that drops white space, as bytes.
 
     Such a tokenizer encodes each word by itself, so a text's ids are those of its words and a
-    word seen before is not encoded again.
+    word seen before is not encoded again.  A special token's string in a text is that token; it
+    must hold no white space.
     """
 
     def __init__(self, json: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(json)
-        self.tokenizer.encode_special_tokens = True    # their strings in a text are ordinary text
         self.known: dict[bytes, bytes] = {}
 
     def _learn(self, words: list[bytes]) -> None:

@@ -64,6 +64,20 @@ def test_word_ids_are_the_texts_ids():
         assert np.frombuffer(ids, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
 
 
+def test_special_tokens_in_a_text(spark):
+    rnd = random.Random(8)
+    t = Tokenizer.from_file(PATH)
+    w = packing.WordIds(open(PATH, encoding="utf-8").read())
+    assert all(not set(x.content) & set(" \t\n\r\x0b\x0c") for x in t.get_added_tokens_decoder().values())
+    bits = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "|>", "a", "Word", "é", "́", "don't", " ", " ", "\n", "中", "😀"]
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(1, 30))) for _ in range(400)]
+    texts += ["a <|endoftext|> b", "a<|endoftext|>b", "<|startoftext|><|endoftext|>", "x<|endoftext|> y"]
+    for text, ids in zip(texts, w.texts(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
+    out = packing.pack_documents(docs(spark, [(1, "a <|endoftext|> b")]), PATH).collect()
+    assert [r.length for r in out] == [4]
+
+
 def test_documents_are_packed_whole(spark):
     rows = [*edge_rows(), *[(100 + i, "word " * random.Random(i).randint(1, 900)) for i in range(150)]]
     t = Tokenizer.from_file(PATH)
