@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, katz, licenses, line_dedup, near_dup, packing, pii, quality, secret_scan
+from . import bpe, fingerprint, katz, licenses, line_dedup, near_dup, packing, pii, quality, secret_scan, url_filter
 from .common import documents
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,12 @@ f AS (SELECT k.doc_id, k.pos, k.line, c.key IS NOT NULL AND k.doc_id <> c.keep A
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM f GROUP BY doc_id"""
+
+
+
+@_query
+def op13_url_filter(spark, sf_dir):
+    return url_filter.judge_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+ORACLE["op13_url_filter"] = url_filter.oracle_sql()
