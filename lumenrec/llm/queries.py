@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, katz, licenses, line_dedup, near_dup, packing, pii, quality, secret_scan, url_filter
+from . import bpe, conv_trie, fingerprint, katz, licenses, line_dedup, near_dup, packing, pii, quality, secret_scan, url_filter
 from .common import documents
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,6 +120,14 @@ FROM f GROUP BY doc_id"""
 
 
 
+@_query
+def op11_conversation_trie(spark, sf_dir):
+    return conv_trie.rebuilt_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+ORACLE["op11_conversation_trie"] = conv_trie.ORACLE_SQL
+
+
 @_query
 def op13_url_filter(spark, sf_dir):
     return url_filter.judge_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
