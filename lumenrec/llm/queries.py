@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, conv_trie, fingerprint, katz, licenses, line_dedup, near_dup, packing, pii, quality, secret_scan, url_filter
+from . import bpe, conv_trie, fingerprint, katz, licenses, line_dedup, near_dup, packing, pii, quality, secret_scan, token_align, url_filter
 from .common import documents
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,6 +128,12 @@ def op11_conversation_trie(spark, sf_dir):
 ORACLE["op11_conversation_trie"] = conv_trie.ORACLE_SQL
 
 
+@_query
+def op12_tokenizer_alignment(spark, sf_dir):
+    return token_align.align_tokenizers(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+                                        public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @_query
 def op13_url_filter(spark, sf_dir):
     return url_filter.judge_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
