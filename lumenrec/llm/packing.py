@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
+import re
 from collections.abc import Iterator
+from json import loads
 
 import numpy as np
 import pyarrow as pa
@@ -10,47 +13,126 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow import in_tasks, parts
+from .arrow import in_tasks, no_collector, parts
 from .common import Scratch
 
-_WORDS_KEPT = 500_000      # encoded words a Python worker keeps; it starts anew beyond that
+_WORDS_KEPT, _PIECES_KEPT = 250_000, 150_000      # in each of two generations that a Python worker keeps
 _WORDS_AT_ONCE = 20_000
 _worker: dict = {}
 
+# ---- fixed values: how the lower-casing word tokenizer splits a word ---------------------
+_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# --------------------------------------------------------------------------------------------
+# the same split of words of western Europe's letters, digits and signs but for ' and <
+_PLAIN = re.compile("[!-&(-;=-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+_PARTS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\\[-`{-~]+")
+
+
+class _Kept:
+    """A dictionary of two generations: what is used again outlives those that are not."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def turn(self) -> None:
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+
+    def unseen(self, keys: set) -> list:
+        """Those of the keys that no generation has; the others are young afterwards."""
+        keys = keys - self.young.keys()
+        again = keys & self.old.keys()
+        self.young.update((k, self.old[k]) for k in again)
+        return list(keys - again)
+
 
 class WordIds:
     """Ids of white-space separated words by a tokenizer that drops white space, as bytes.
 
     Such a tokenizer encodes each word by itself, so a text's ids are those of its words and a
     word seen before is not encoded again.  A special token's string in a text is that token; it
-    must hold no white space.
+    must hold no white space.  If the file is of the lower-casing kind with the split above, the
+    parts of a plain word are encoded by themselves too, so that words share them.
     """
 
     def __init__(self, json: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(json)
-        self.known: dict[bytes, bytes] = {}
+        self.words, self.pieces = _Kept(_WORDS_KEPT), _Kept(_PIECES_KEPT)
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.splits = _splits_as_known(json) and not any(_PLAIN.fullmatch(t.content) for t in added)
+        self.word_end = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.word_end[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _encode(self, words: list[str]) -> Iterator[bytes]:
         for a in range(0, len(words), _WORDS_AT_ONCE):
             some = words[a:a + _WORDS_AT_ONCE]
-            plain = [w.decode() for w in some]
-            starts = np.cumsum([0] + [len(w) + 1 for w in plain[:-1]])
-            found = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
+            starts = np.cumsum([0] + [len(w) + 1 for w in some[:-1]])
+            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
             at = np.array([o[0] for o in found.offsets], np.int64)
-            n = np.bincount(np.searchsorted(starts, at, "right") - 1, minlength=len(some)) * 4
-            ids = np.array(found.ids, "<u4").tobytes()
-            end = np.cumsum(n)
-            self.known.update(zip(some, (ids[e - k:e] for e, k in zip(end.tolist(), n.tolist()))))
+            n = np.bincount(np.searchsorted(starts, at, "right") - 1, minlength=len(some))
+            yield from _cut(found.ids, np.cumsum(n))
+
+    def _encode_parts(self, parts: list[str]) -> Iterator[bytes]:
+        """As _encode, of parts that the tokenizer does not split: each ends with its only word-end token."""
+        for a in range(0, len(parts), _WORDS_AT_ONCE):
+            found, = self.tokenizer.encode_batch_fast([" ".join(parts[a:a + _WORDS_AT_ONCE])], add_special_tokens=False)
+            ids = np.array(found.ids, np.int64)
+            yield from _cut(ids, np.flatnonzero(self.word_end[ids]) + 1)
+
+    def _learn(self, words: list[bytes]) -> None:
+        plain = b" ".join(words).decode().split(" ")
+        if not self.splits:
+            self.words.young.update(zip(words, self._encode(plain)))
+            return
+        split = [_PLAIN.fullmatch(w) is not None for w in plain]
+        whole = list(itertools.compress(zip(words, plain), [not s for s in split]))
+        self.words.young.update(zip([w for w, _ in whole], self._encode([p for _, p in whole])))
+        parts = [_PARTS.findall(w.lower()) for w in itertools.compress(plain, split)]
+        self.pieces.turn()
+        new = self.pieces.unseen(set(itertools.chain.from_iterable(parts)))
+        self.pieces.young.update(zip(new, self._encode_parts(new)))
+        ids = self.pieces.young
+        self.words.young.update(zip(itertools.compress(words, split), [b"".join([ids[p] for p in ps]) for ps in parts]))
 
     def texts(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
-        if len(self.known) > _WORDS_KEPT:
-            self.known.clear()
-        words = [t.encode().split() for t in texts]
-        self._learn(list({w for ws in words for w in ws if w not in self.known}))
+        self.words.turn()
+        words = [(_lowered(t) if self.splits else t).encode().split() for t in texts]
+        new = self.words.unseen(set(itertools.chain.from_iterable(words)))
+        if new:
+            self._learn(new)
+        ids = self.words.young
         for ws in words:
-            yield b"".join(map(self.known.__getitem__, ws))
+            yield b"".join([ids[w] for w in ws])
+
+
+def _lowered(text: str) -> str:
+    """Lower case, where that changes no id: Latin-1 text that holds no special token's string."""
+    if "<" not in text:
+        try:
+            text.encode("latin-1")
+            return text.lower()
+        except UnicodeEncodeError:
+            pass
+    return text
+
+
+def _cut(ids, ends: np.ndarray) -> list[bytes]:
+    """The ids up to each end, as little-endian 32-bit numbers."""
+    data, ends = np.asarray(ids, "<u4").tobytes(), (ends * 4).tolist()
+    return [data[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def _splits_as_known(json: str) -> bool:
+    """Whether a tokenizer file normalizes and splits as the constants above say."""
+    spec = loads(json)
+    norm, pre = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
+    first, *rest = pre.get("pretokenizers") or [{}]
+    return ([n["type"] for n in norm.get("normalizers", [])] == _NORMALIZERS and first.get("pattern") == {"Regex": _SPLIT}
+            and first.get("invert") is True and [r["type"] for r in rest] == ["ByteLevel"] and rest[0].get("use_regex") is False
+            and spec["model"].get("end_of_word_suffix") == "</w>")
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -78,7 +160,9 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
         step = 4 * max_tokens
         for part in parts(batches):
             row, start, out = [], [], []
-            for i, ids in enumerate(_worker["ids"].texts([t or "" for t in part.column("text").to_pylist()])):
+            with no_collector():
+                found = list(_worker["ids"].texts([t or "" for t in part.column("text").to_pylist()]))
+            for i, ids in enumerate(found):
                 ids += last
                 for a in range(0, len(ids), step):
                     row.append(i)

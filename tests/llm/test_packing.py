@@ -64,6 +64,22 @@ def test_word_ids_are_the_texts_ids():
         assert np.frombuffer(ids, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
 
 
+def test_parts_of_plain_words_and_generations(monkeypatch):
+    monkeypatch.setattr(packing, "_WORDS_KEPT", 200)
+    monkeypatch.setattr(packing, "_PIECES_KEPT", 100)
+    rnd = random.Random(11)
+    t = Tokenizer.from_file(PATH)
+    w = packing.WordIds(open(PATH, encoding="utf-8").read())
+    assert w.splits
+    letters = "abZÀÉÞßÿéñ019'.,-<>|_$ªµº×÷\xad\xa0\x85\x1c ŁΣ"
+    for _ in range(30):
+        texts = [" ".join("".join(rnd.choice(letters[:rnd.choice((14, 24, len(letters)))]) for _ in range(rnd.randint(1, 9)))
+                          for _ in range(60)) for _ in range(4)]
+        for text, ids in zip(texts, w.texts(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
+        assert len(w.words.young) <= 200 + 240 and len(w.words.old) <= 200 + 240
+
+
 def test_special_tokens_in_a_text(spark):
     rnd = random.Random(8)
     t = Tokenizer.from_file(PATH)
