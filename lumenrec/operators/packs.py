@@ -72,16 +72,17 @@ def _list(section_name: str, keyed: bool) -> Column:
     return F.array_join(F.transform(F.array_sort(F.collect_list(pair)), lambda p: p["v"]), ",")
 
 
-def render(entries: DataFrame, key: str, keyed: bool = False) -> DataFrame:
-    """``(key, value)``: the JSON value of each key of ``entries``.
+def render(entries: DataFrame, key: str, keyed: bool = False, *more: Column) -> DataFrame:
+    """``(key, value)``: the JSON value of each key of ``entries``, and ``more`` aggregates of it.
 
     For requested keys: the value of a key holds all its entries, so its size
     is the reader's choice.  A key of a list section renders as a JSON list.
     """
     lo, hi = ("{", "}") if keyed else ("[", "]")
     parts = entries.groupBy(key).agg(
-        F.max(F.col("section") == LIST_SECTION).alias("_plain"), _list(LIST_SECTION, False).alias("_l"),
+        *more, F.max(F.col("section") == LIST_SECTION).alias("_plain"), _list(LIST_SECTION, False).alias("_l"),
         _list(ONLINE_KEY, keyed).alias("_on"), _list(OFFLINE_KEY, keyed).alias("_off"))
     both = F.concat(F.lit(f'{{"{ONLINE_KEY}":{lo}'), "_on", F.lit(f'{hi},"{OFFLINE_KEY}":{lo}'), "_off", F.lit(f"{hi}}}"))
-    return parts.select(key, F.when(F.col("_plain"), F.concat(F.lit("["), "_l", F.lit("]")))
+    named = [c for c in parts.columns if c not in (key, "_plain", "_l", "_on", "_off")]
+    return parts.select(key, *named, F.when(F.col("_plain"), F.concat(F.lit("["), "_l", F.lit("]")))
                         .otherwise(both).alias("value"))

@@ -11,7 +11,7 @@ reference the tests compare with.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenrec.functions import intervals_overlap, java_split
@@ -63,25 +63,30 @@ def unpack_register(register: DataFrame) -> DataFrame:
         java_split("end_times", END_SEP).alias("endtime_arr"))
 
 
+def _packed_sessions(all_sessions: bool = False) -> Column:
+    """The sessions of a packed registration as an array ``(d, st, et)``.
+
+    By default only the first position of each date of a registration counts
+    (NS5, SURVEY Q7).  An empty text splits to [''], which is no session; times
+    beyond the dates belong to none.
+    """
+    dates = java_split("class_dates", DATE_SEP)
+    zipped = F.arrays_zip(dates.alias("d"), java_split("start_times", START_SEP).alias("st"),
+                          java_split("end_times", END_SEP).alias("et"))
+    if all_sessions:
+        return F.filter(zipped, lambda s: s["d"] != "")
+    return F.filter(zipped, lambda s, i: (s["d"] != "") & (F.array_position(dates, s["d"]) == i + 1))
+
+
 def registered_sessions(register: DataFrame, all_sessions: bool = False) -> DataFrame:
-    """Registered sessions ``(sid, city_id, cla_id, d, st, et, ok)``.
+    """Registered sessions ``(sid, city_id, cla_id, d, st, et, ok)``, unpacked within each row.
 
-    By default only the first position of each date counts (NS5, SURVEY Q7).
     ``ok`` is false when a date has no start or end at its position -- the
     original fails there (Q9); such rows are kept for counting, never joined.
     """
-    u = unpack_register(register)
-    zipped = F.arrays_zip(F.col("date_arr").alias("d"), F.col("starttime_arr").alias("st"),
-                          F.col("endtime_arr").alias("et"))
-    ex = u.select("sid", "city_id", "cla_id", F.posexplode(zipped).alias("pos", "s"))
-    # an empty text splits to [''] -- not a session; times beyond the dates belong to none
-    ex = ex.select("sid", "city_id", "cla_id", "pos", "s.d", "s.st", "s.et").filter(F.col("d") != "")
-    if not all_sessions:
-        first = F.min(F.struct("pos", "st", "et")).alias("f")
-        ex = ex.groupBy("sid", "city_id", "cla_id", "d").agg(first) \
-            .select("sid", "city_id", "cla_id", "d", "f.st", "f.et")
-    return ex.select("sid", "city_id", "cla_id", "d", "st", "et",
-                     (F.col("st").isNotNull() & F.col("et").isNotNull()).alias("ok"))
+    ex = register.select("sid", "city_id", "cla_id", F.explode(_packed_sessions(all_sessions)).alias("s"))
+    return ex.select("sid", "city_id", "cla_id", "s.d", "s.st", "s.et",
+                     (F.col("s.st").isNotNull() & F.col("s.et").isNotNull()).alias("ok"))
 
 
 def same_subject_exclusion(recs: DataFrame, regs: DataFrame) -> DataFrame:
@@ -142,21 +147,51 @@ def conflict_free_recs(rec_sessions: DataFrame, reg_sessions: DataFrame) -> Data
 
 
 def student_register(regs: DataFrame, all_sessions: bool = False) -> DataFrame:
-    """What both exclusions need of a student, one row per (sid, city_id): ``owned``, the distinct
-    (term, subject, year) registered, and ``booked``, one (d, st, largest end) per date and start.
+    """What both exclusions need of a student, one row per (sid, city_id), from one pass over the
+    registrations: ``owned``, the distinct (term, subject, year), and ``booked``, one
+    (d, st, mx) per date and start, in that order, ``mx`` the largest end of the date so far.
 
     Both are bounded by the values of terms, subjects and years and by the
-    calendar's start times, however many registrations repeat them; each is
-    summed up within a task before it is shuffled.  Rows with a missing time
+    calendar's start times, however many registrations repeat them; they are
+    summed up within a task before they are shuffled.  Rows with a missing time
     book nothing (SURVEY Q9).
     """
-    owned = regs.groupBy("sid", "city_id").agg(F.collect_set(F.struct(
-        F.col("cla_term_id").alias("term"), F.col("cla_subject_names").alias("subject"),
-        F.col("year").alias("year"))).alias("owned"))
-    s = registered_sessions(regs, all_sessions).filter("ok")
-    booked = s.groupBy("sid", "city_id", "d", "st").agg(F.max("et").alias("mx")) \
-        .groupBy("sid", "city_id").agg(F.collect_list(F.struct("d", "st", "mx")).alias("booked"))
-    return owned.join(booked, ["sid", "city_id"], "left")
+    own = F.struct(F.col("cla_term_id").alias("term"), F.col("cla_subject_names").alias("subject"), F.col("year").alias("year"))
+    timed = F.filter(_packed_sessions(all_sessions), lambda s: s["st"].isNotNull() & s["et"].isNotNull())
+    ex = regs.select("sid", "city_id", own.alias("own"), F.posexplode_outer(timed).alias("pos", "s"))
+    first = F.when(F.coalesce(F.col("pos"), F.lit(0)) == 0, F.col("own"))        # once per registration
+    per_start = ex.groupBy("sid", "city_id", F.col("s.d").alias("d"), F.col("s.st").alias("st")) \
+        .agg(F.max("s.et").alias("et"), F.collect_set(first).alias("own"))
+    so_far = F.max("et").over(Window.partitionBy("sid", "city_id", "d").orderBy("st"))
+    # one exchange by student serves the running maximum and the arrays
+    per_start = per_start.repartition("sid", "city_id").withColumn("mx", so_far)
+    return per_start.groupBy("sid", "city_id").agg(
+        F.array_distinct(F.flatten(F.collect_list(F.when(F.size("own") > 0, F.col("own"))))).alias("owned"),
+        F.array_sort(F.collect_list(F.when(F.col("d").isNotNull(), F.struct("d", "st", "mx")))).alias("booked"))
+
+
+def overlaps_booked(booked, d, st, et) -> Column:
+    """Whether a session meets one of ``booked`` (as :func:`student_register` orders it): closed
+    intervals of the same date, found by binary search.
+
+    Of the entries of the date that start by ``et`` the last one knows their
+    largest end; the session meets one of them if that is not before ``st``.
+    """
+    booked, d, st, et = (F.col(c) if isinstance(c, str) else c for c in (booked, d, st, et))
+
+    def halve(acc, _):
+        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+        e = F.get(booked, mid)
+        by_then = (e["d"] < d) | ((e["d"] == d) & (e["st"] <= et))
+        return F.when(acc["lo"] >= acc["hi"], acc) \
+            .when(by_then, F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi"))) \
+            .otherwise(F.struct(acc["lo"].alias("lo"), mid.alias("hi")))
+
+    n = F.size(booked)
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(n + 1)).cast("int"))
+    lo = F.aggregate(steps, F.struct(F.lit(0).alias("lo"), n.alias("hi")), halve, lambda acc: acc["lo"])
+    last = F.get(booked, lo - 1)
+    return F.when(n > 0, F.coalesce((last["d"] == d) & (last["mx"] >= st), F.lit(False))).otherwise(F.lit(False))
 
 
 def rejected_sessions(regs: DataFrame, all_sessions: bool = False) -> DataFrame:

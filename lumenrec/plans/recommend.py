@@ -53,8 +53,7 @@ def conflict_free(t: Tables, recs: DataFrame, as_of: str, city: str | None = Non
     j = offers.join(owned, ["sid", "city_id"], "left")
     same = F.exists("owned", lambda o: o["term"].eqNullSafe(F.col("cla_term_id"))
                     & o["subject"].eqNullSafe(F.col("cla_subject_names")) & o["year"].eqNullSafe(F.col("year")))
-    clash = F.exists("sessions", lambda s: F.exists("booked", lambda b: (b["d"] == s["d"]) & (b["st"] <= s["et"])
-                                                    & (b["mx"] >= s["st"])))
+    clash = F.exists("sessions", lambda s: sc.overlaps_booked("booked", s["d"], s["st"], s["et"]))
     free = ~F.coalesce(same, F.lit(False)) & ~F.coalesce(clash, F.lit(False))
     return j.filter(free).select("sid", "city_id", "cla_id")
 

@@ -7,12 +7,12 @@ a whole group in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumenrec.functions import is_valid, is_valid_city_weak, java_split, not_empty_json, token
-from lumenrec.operators.joins import containment_join
+from lumenrec.operators.joins import MAX_TOKENS, set_key, subset_keys
 from lumenrec.operators.ranking import as_padded_list, recent_distinct
 from lumenrec.sources.tables import Tables
 
@@ -25,15 +25,27 @@ LIVE_KEY = "live-class-service-center"
 # ------------------------------------------------------------------------------------
 
 
-def registrations(t: Tables, pay_after: str) -> DataFrame:
-    """Paid, not deleted registrations of live students (JN1, JN2)."""
-    live = t.student.join(t.user, t.student.stu_uid == t.user.id, "left_semi").select("stu_id")
-    reg = t.regist.filter(F.col("reg_ispay").isin(*PAID_STATES) & (F.col("reg_isdeleted") == 0)
-                          & (F.col("reg_pay_date") > F.lit(pay_after).cast("date"))
-                          & is_valid("reg_student_id") & is_valid("reg_class_id"))
-    return reg.join(live, reg.reg_student_id == live.stu_id, "left_semi") \
-        .select(F.col("reg_student_id").alias("sid"), F.col("reg_class_id").alias("cla_id"),
-                "reg_pay_date")
+def paid_registrations(t: Tables, pay_after: str) -> DataFrame:
+    """Paid, not deleted registrations ``(sid, cla_id, reg_pay_date)`` after a pay date (SRC4)."""
+    return t.regist.filter(F.col("reg_ispay").isin(*PAID_STATES) & (F.col("reg_isdeleted") == 0)
+                           & (F.col("reg_pay_date") > F.lit(pay_after).cast("date"))
+                           & is_valid("reg_student_id") & is_valid("reg_class_id")) \
+        .select(F.col("reg_student_id").alias("sid"), F.col("reg_class_id").alias("cla_id"), "reg_pay_date")
+
+
+def live_students(t: Tables, city: str | None = None) -> DataFrame:
+    """Rows ``(sid, city_id, grade_id)`` of live students (JN1) with a valid city and grade (JN4).
+
+    A student is live if any of its rows names a live user; the students are read once.
+    """
+    users = t.user.select(F.col("id").alias("_uid")).distinct()
+    flagged = t.student.join(users, t.student.stu_uid == users["_uid"], "left")
+    live = F.max(F.col("_uid").isNotNull()).over(Window.partitionBy("stu_id"))
+    rows = flagged.select(F.col("stu_id").alias("sid"), "city_id", F.col("stu_grade_id").alias("grade_id"), live.alias("_live"))
+    keep = F.col("_live") & is_valid_city_weak("city_id") & is_valid("grade_id")
+    if city is not None:
+        keep = keep & (F.col("city_id") == city)
+    return rows.filter(keep).drop("_live")
 
 
 def token_classes(t: Tables, year_after: str = CLASS_YEAR_AFTER) -> DataFrame:
@@ -45,8 +57,9 @@ def token_classes(t: Tables, year_after: str = CLASS_YEAR_AFTER) -> DataFrame:
 
 
 def student_tokens_long(t: Tables, pay_after: str) -> DataFrame:
-    """WN2 in long form: ``(sid, rank, token)`` for the 3 most recent distinct tokens."""
-    rc = registrations(t, pay_after).join(token_classes(t), "cla_id") \
+    """WN2 in long form: ``(sid, rank, token)`` for the 3 most recent distinct tokens of all students
+    with registrations.  Registrations are summed up within a task before they are shuffled."""
+    rc = paid_registrations(t, pay_after).join(token_classes(t), "cla_id") \
         .select("sid", token("cla_subject_names", "cla_term_id").alias("token"), "reg_pay_date")
     return recent_distinct(rc, "sid", "token", "reg_pay_date")
 
@@ -57,13 +70,13 @@ def student_tokens(t: Tables, pay_after: str, dt: str, city: str | None = None)
     ``city`` filters the students early (the original filtered after computing
     every city).
     """
-    lists = as_padded_list(student_tokens_long(t, pay_after), "sid", "token") \
-        .withColumnRenamed("list", "left_rule")
-    stu = t.student.filter(is_valid_city_weak("city_id") & is_valid("stu_grade_id"))
-    if city is not None:
-        stu = stu.filter(F.col("city_id") == city)
-    return lists.join(stu, lists.sid == stu.stu_id).select(
-        "sid", "city_id", F.col("stu_grade_id").alias("grade_id"), "left_rule", F.lit(dt).alias("dt"))
+    return token_lists(student_tokens_long(t, pay_after), live_students(t, city), dt)
+
+
+def token_lists(ranked: DataFrame, students: DataFrame, dt: str) -> DataFrame:
+    """Ranked tokens ``(sid, rank, token)`` as the padded lists of the given students."""
+    lists = as_padded_list(ranked, "sid", "token").withColumnRenamed("list", "left_rule")
+    return lists.join(students, "sid").select("sid", "city_id", "grade_id", "left_rule", F.lit(dt).alias("dt"))
 
 
 # ---- PL6 rule match -----------------------------------------------------------------
@@ -80,30 +93,31 @@ def rules_with_id(rules: DataFrame, city: str | None = None) -> DataFrame:
 
 
 def recall_entries(rules: DataFrame, bad_json: str = "fail") -> DataFrame:
-    """NS1: recall JSON -> rows ``(rule_id, city_id, grade_id, loc, cla_id)``.
+    """NS1: recall JSON -> rows ``(rule_id, city_id, grade_id, left, loc, cla_id)``.
 
     Unparseable JSON fails the job like the original (``bad_json='fail'``), or
     is skipped (``'skip'``).
     """
     parsed = F.from_json("recall", _RECALL)
-    r = rules.select("rule_id", "city_id", "grade_id", "recall", parsed.alias("m"))
+    r = rules.select("rule_id", "city_id", "grade_id", "left", "recall", parsed.alias("m"))
     if bad_json == "fail":
         r = r.withColumn("m", F.when(F.col("m").isNull(),
                                      F.raise_error(F.concat(F.lit("bad recall JSON: "), F.col("recall"))))
                          .otherwise(F.col("m")))
-    return r.select("rule_id", "city_id", "grade_id", F.explode("m").alias("loc", "ids")) \
-        .select("rule_id", "city_id", "grade_id", "loc", F.explode("ids").alias("cla_id"))
+    return r.select("rule_id", "city_id", "grade_id", "left", F.explode("m").alias("loc", "ids")) \
+        .select("rule_id", "city_id", "grade_id", "left", "loc", F.explode("ids").alias("cla_id"))
 
 
-def student_locations(location: DataFrame, city: str | None = None) -> DataFrame:
-    """NS2: each listed location plus the live key, one row per (sid, city, loc).
+def listed_locations(c: str) -> Column:
+    """NS2: the listed locations plus the live key; a null list gives the live key only."""
+    parts = F.coalesce(java_split(c, ","), F.array().cast("array<string>"))
+    return F.array_distinct(F.array_append(parts, F.lit(LIVE_KEY)))
 
-    A null location list gives the live key only (SURVEY Q20).
-    """
+
+def student_locations(location: DataFrame, city: str | None = None) -> DataFrame:
+    """NS2: one row per (sid, city, loc)."""
     loc = location if city is None else location.filter(F.col("city_id") == city)
-    parts = F.coalesce(java_split("depart_4", ","), F.array().cast("array<string>"))
-    return loc.select("sid", "city_id",
-                      F.explode(F.array_distinct(F.array_append(parts, F.lit(LIVE_KEY)))).alias("loc"))
+    return loc.select("sid", "city_id", F.explode(listed_locations("depart_4")).alias("loc"))
 
 
 def rule_match(tokens: DataFrame, rules: DataFrame, location: DataFrame, city: str | None = None,
@@ -115,17 +129,21 @@ def rule_match(tokens: DataFrame, rules: DataFrame, location: DataFrame, city: s
     matches students with fewer than three tokens).  A matched rule offers the
     classes listed under each of the student's locations and the live key.
 
+    Both sides meet once: a student's row per subset of its tokens and location,
+    a rule's row per location and class, on ``(city, grade, subset, location)``.
     The output is students times the classes their rules offer at their
     locations: linear in the students as long as a rule's class list is bounded.
     """
     tk = tokens if city is None else tokens.filter(F.col("city_id") == city)
-    rl = rules_with_id(rules, city)
-    matched = containment_join(tk.select("sid", "city_id", "grade_id", "left_rule"), ["sid", "city_id"],
-                               "left_rule", rl.select("rule_id", "city_id", "grade_id", "left"),
-                               ["rule_id"], "left", on=["city_id", "grade_id"])
-    offers = matched.join(student_locations(location, city), ["sid", "city_id"])
-    recs = offers.join(recall_entries(rl, bad_json).select("rule_id", "loc", "cla_id"), ["rule_id", "loc"])
-    return recs.filter(F.col("cla_id") != "").select("sid", "city_id", "cla_id").distinct()
+    offers = recall_entries(rules_with_id(rules, city), bad_json).filter(F.col("cla_id") != "")
+    loc = location if city is None else location.filter(F.col("city_id") == city)
+    asked = tk.select("sid", "city_id", "grade_id", "left_rule") \
+        .join(loc.select("sid", "city_id", listed_locations("depart_4").alias("_locs")), ["sid", "city_id"]) \
+        .select("sid", "city_id", "grade_id", F.explode(subset_keys("left_rule")).alias("_subset"), "_locs") \
+        .select("sid", "city_id", "grade_id", "_subset", F.explode("_locs").alias("loc"))
+    wanted = offers.select("city_id", "grade_id", set_key("left").alias("_subset"), "loc", "cla_id") \
+        .filter(F.size("_subset") <= MAX_TOKENS)
+    return asked.join(wanted, ["city_id", "grade_id", "_subset", "loc"]).select("sid", "city_id", "cla_id").distinct()
 
 
 def as_lists(recs: DataFrame, item: str = "cla_id", name: str = "rec_class_list") -> DataFrame:

@@ -336,10 +336,8 @@ def q_favor_classtime_literal(spark, sf_dir):
 @register("recall_parse")
 def q_recall_parse(spark, sf_dir):
     t = bind_fixtures(spark, sf_dir)
-    rl = pr.rules_with_id(t.rule)
-    ent = pr.recall_entries(rl)
-    keys = rl.select("rule_id", F.explode("left").alias("left_token"))
-    return ent.join(keys, "rule_id").select("city_id", "grade_id", "left_token", "loc", "cla_id")
+    return pr.recall_entries(pr.rules_with_id(t.rule)) \
+        .select("city_id", "grade_id", F.explode("left").alias("left_token"), "loc", "cla_id")
 
 
 @register("student_locations")

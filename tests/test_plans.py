@@ -45,3 +45,8 @@ def test_building_a_query_runs_no_job(spark):
 def test_events_join_their_classes_without_an_exchange(spark):
     plan = _plan(REGISTRY["event_features"](spark, SF))
     assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan
+
+
+@pytest.mark.parametrize("name, most", [("rule_match", 8), ("conflict_free", 15), ("serve_pack", 16), ("recall_parse", 1)])
+def test_tables_are_scanned_few_times(spark, name, most):
+    assert _plan(REGISTRY[name](spark, SF)).count("FileScan") <= most

@@ -2,6 +2,9 @@
 
 import random
 
+from pyspark.sql import functions as F
+
+from lumenrec import schemas
 from lumenrec.operators import schedule as sc
 from lumenrec.operators.ranking import recent_distinct
 from tests.conftest import rows
@@ -54,3 +57,50 @@ def test_conflict_check_equals_nested_loop(spark):
     pair = rows(sc.time_conflicts(r, f), "sid", "city_id", "cla_id")
     assert pair == sorted({(a[0], a[1], a[2]) for a in recs for b in regs
                            if a[0] == b[0] and a[3] == b[3] and not (a[4] > b[5] or b[4] > a[5])})
+
+
+def test_binary_search_of_booked_times_equals_pairs(spark):
+    """Inverted intervals, equal starts, several dates; registrations without sessions."""
+    rnd = random.Random(12)
+
+    def time():
+        return f"{rnd.randrange(24):02d}:{rnd.choice('0135')}0"
+
+    regs, recs = [], []
+    for i in range(400):
+        n = rnd.randrange(4)
+        days = [f"2001-03-0{rnd.randrange(1, 6)}" for _ in range(n)]
+        regs.append((f"s{i % 9}", f"r{i}", "1", "x", "2017", "1", "0", "c", "\u0001".join(days),
+                     "\u0002".join(time() for _ in days), "\u0003".join(time() for _ in days)))
+    for i in range(600):
+        recs.append((f"s{i % 10}", "c", f"k{i}", f"2001-03-0{rnd.randrange(1, 6)}", time(), time()))
+    reg = spark.createDataFrame(regs, schemas.REGISTER)
+    rec = spark.createDataFrame(recs, "sid string, city_id string, cla_id string, d string, st string, et string")
+    for every in (False, True):
+        want = sorted(tuple(r) for r in sc.time_conflicts(rec, sc.registered_sessions(reg, every)).collect())
+        j = rec.join(sc.student_register(reg, every), ["sid", "city_id"], "left")
+        got = j.filter(F.coalesce(sc.overlaps_booked("booked", "d", "st", "et"), F.lit(False))).select("sid", "city_id", "cla_id")
+        assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def test_one_student_with_ten_thousand_registrations(spark):
+    """Three sessions each on three years of days: one bounded row, found by binary search."""
+    import datetime
+    import time as clock
+    day = datetime.date(2001, 1, 2)
+    regs = spark.range(10_000).select(
+        F.lit("s").alias("sid"), F.concat(F.lit("r"), "id").alias("cla_id"), F.lit("1").alias("cla_term_id"), F.lit("x").alias("cla_subject_names"),
+        F.lit("2017").alias("year"), F.lit("1").alias("reg_ispay"), F.lit("0").alias("reg_isdeleted"), F.lit("c").alias("city_id"),
+        F.array_join(F.transform(F.sequence(F.lit(0), F.lit(2)), lambda k: F.date_add(F.lit(day), (F.col("id") * 3 + k).cast("int") % 1000)
+                                 .cast("string")), "\u0001").alias("class_dates"),
+        F.lit("09:00\u000209:30\u000210:00").alias("start_times"), F.lit("09:20\u000310:10\u000310:30").alias("end_times"))
+    recs = spark.range(20_000).select(F.lit("s").alias("sid"), F.lit("c").alias("city_id"), F.concat(F.lit("k"), "id").alias("cla_id"),
+                                      F.date_add(F.lit(day), F.col("id").cast("int") % 1200).cast("string").alias("d"),
+                                      F.when(F.col("id") % 2 == 0, "09:10").otherwise("10:40").alias("st"),
+                                      F.when(F.col("id") % 2 == 0, "09:15").otherwise("10:50").alias("et"))
+    t0 = clock.perf_counter()
+    j = recs.join(sc.student_register(regs), ["sid", "city_id"])
+    got = j.filter(sc.overlaps_booked("booked", "d", "st", "et")).count()
+    took = clock.perf_counter() - t0
+    assert got == sc.time_conflicts(recs, sc.registered_sessions(regs)).count() > 0
+    assert took < 60
