@@ -3,45 +3,110 @@
 Appends of the original jobs are re-runnable here: a run replaces exactly its
 own slice of a table, ``dt`` or ``dt`` and ``city_id``, also when it has no
 rows (SURVEY Q16).  Runs of other days or cities stay.
+
+A replacement is written aside, checked, and then moved in.  Until the move the
+old rows are readable; the move is two folder renames, and a marker written
+before them lets whoever comes next finish a move that was cut off.  File
+systems whose folder rename is one operation (HDFS and the like) are assumed.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
+from lumenrec.sinks.files import Folder
+
+_STAGING = "_staging"          # readers skip folders with a leading underscore
+_MARKER = "_COMMIT"
+
+
+def _staging(path: str, whole: bool) -> str:
+    """Where replacements of a slice (inside the table) or of the whole table (beside it) wait."""
+    if not whole:
+        return f"{path}/{_STAGING}"
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/{_STAGING}_{name}"
+
 
-def replace_slice(df: DataFrame, path: str, **slice_: str) -> None:
+def _finish(folder: Folder, run: str, target: str) -> None:
+    """The renames of a replacement that is written in full; may be called again after a cut."""
+    new, old = f"{run}/new", f"{run}/old"
+    if folder.exists(new):
+        if folder.exists(target):
+            folder.move(target, old if not folder.exists(old) else f"{run}/old-{uuid.uuid4().hex}")
+        folder.move(new, target)
+    folder.remove(run)
+
+
+def recover(spark: SparkSession, path: str, whole: bool = False) -> int:
+    """Finish the replacements whose rows were all written but whose move was cut off.
+
+    Runs without the marker have died while writing, or still write: they are left alone.
+    Returns how many were finished.
+    """
+    folder, staging, done = Folder(spark, path), _staging(path, whole), 0
+    for name in folder.names(staging):
+        run = f"{staging}/{name}"
+        if folder.exists(f"{run}/{_MARKER}"):
+            _finish(folder, run, folder.read_text(f"{run}/{_MARKER}"))
+            done += 1
+    return done
+
+
+def _replace(rows: DataFrame, path: str, target: str, whole: bool, write: Callable, check: Callable[[], None] | None) -> None:
+    spark = rows.sparkSession
+    recover(spark, path, whole)
+    folder, run = Folder(spark, path), f"{_staging(path, whole)}/{uuid.uuid4().hex}"
+    try:
+        write(f"{run}/new")
+        if check is not None:
+            check()
+    except BaseException:
+        folder.remove(run)
+        raise
+    folder.write_text(f"{run}/{_MARKER}", target)
+    _finish(folder, run, target)
+
+
+def replace_slice(df: DataFrame, path: str, check: Callable[[], None] | None = None, **slice_: str) -> None:
     """SNK1: replace the slice (``dt=...`` or ``dt=..., city_id=...``) of the table at ``path``.
 
     The folders are Hive partitions in the order of ``slice_``.  A run over all
     cities (``dt`` alone) of a table with a ``city_id`` replaces every city of
-    that ``dt``.
+    that ``dt``.  ``check`` runs when the rows are written and before they
+    replace anything; if it or the write fails, the old slice stays.
     """
-    folder = "/".join([path, *(f"{k}={v}" for k, v in slice_.items())])
     rows = df.drop(*slice_)
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if "city_id" in rows.columns:
-        writer = writer.partitionBy("city_id")
-    writer.parquet(folder)
+
+    def write(to: str) -> None:
+        writer = rows.write.option("partitionOverwriteMode", "static")
+        if "city_id" in rows.columns:
+            writer = writer.partitionBy("city_id")
+        writer.parquet(to)
+
+    _replace(rows, path, "/".join([path, *(f"{k}={v}" for k, v in slice_.items())]), False, write, check)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder is there; any other failure is raised."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    return Folder(spark, path).exists(path)
 
 
 def read_slice(spark: SparkSession, schema, path: str, **slice_: str) -> DataFrame:
     """The slice's rows with the columns of ``schema`` (an empty slice has no files to ask)."""
+    recover(spark, path)
     df = spark.read.schema(schema).option("basePath", path).parquet(path)
     for k, v in slice_.items():
         df = df.filter(df[k] == v)
     return df
 
 
-def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """SNK2: replace the whole table."""
-    df.write.mode("overwrite").format(fmt).save(path)
+def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet", check: Callable[[], None] | None = None) -> None:
+    """SNK2: replace the whole table, in the same way; it may be read by the rows that replace it."""
+    _replace(df, path, path, True, lambda to: df.write.format(fmt).save(to), check)
 
 
 def create_if_absent(spark: SparkSession, name: str, df: DataFrame, location: str,
