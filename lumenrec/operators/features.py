@@ -20,13 +20,13 @@ KEY = ["sid", "feature_name"]
 
 
 def unpivot(df: DataFrame, id_col: str, entries: list[tuple[Column, Column]],
-            name: str = "feature_name", value: str = "value") -> DataFrame:
-    """One input row -> ``len(entries)`` rows ``(id, name, value)``.
+            name: str = "feature_name", value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One input row -> ``len(entries)`` rows ``(id, *keep, name, value)``.
 
     Every entry must produce the same value type (ST6-ST8).
     """
     structs = [F.struct(n.alias(name), v.alias(value)) for n, v in entries]
-    return df.select(col(id_col).alias("sid"), F.inline(F.array(*structs)))
+    return df.select(col(id_col).alias("sid"), *keep, F.inline(F.array(*structs)))
 
 
 def _with_subject(rows: DataFrame, subject: str, *more: tuple[str, Column]) -> DataFrame:
@@ -53,24 +53,26 @@ def count_values(rows: DataFrame, feature: str) -> DataFrame:
 
 # ---- unpivots of the two behaviour sources ----------------------------------------
 
-def order_triples(orders: DataFrame) -> DataFrame:
-    """ST6: one order -> subject+level (status weight), subject (2.0), subject+price (price weight)."""
+def order_triples(orders: DataFrame, *keep: str) -> DataFrame:
+    """ST6: one order -> subject+level (status weight), subject (2.0), subject+price (price weight);
+    each with the order's columns ``keep``."""
     subj = F.col("_subj")
     rows = _with_subject(orders, "subjectname", ("_lev", level_tag("classlevelname")))
     return unpivot(rows, "sid", [
         (F.concat(subj, "_lev"), status_weight("orderstatus")),
         (subj, F.lit(2.0)),
         (F.concat(subj, F.lit("price")), price_weight("orderstatus", "classprice")),
-    ])
+    ], keep=keep)
 
 
-def event_triples(events: DataFrame) -> DataFrame:
-    """ST7: one behaviour row -> subject+level, subject, subject+class type; weight 1.0 each."""
+def event_triples(events: DataFrame, *keep: str) -> DataFrame:
+    """ST7: one behaviour row -> subject+level, subject, subject+class type; weight 1.0 each, with
+    the row's columns ``keep``."""
     return unpivot(_event_codes(events), "sid", [
         (F.concat("_subj", "_lev"), F.lit(1.0)),
         (F.col("_subj"), F.lit(1.0)),
         (F.concat("_subj", "_type"), F.lit(1.0)),
-    ])
+    ], keep=keep)
 
 
 def _event_codes(events: DataFrame) -> DataFrame:
@@ -102,12 +104,12 @@ def sum_text_values(rows: DataFrame, id_col: str = "distinctid") -> DataFrame:
 
 # ---- source filters ---------------------------------------------------------------
 
-def valid_orders(orders: DataFrame, begin: str, end: str, created_after: str) -> DataFrame:
-    """Orders of a valid sid created after ``created_after`` with ``dt`` in [begin, end]."""
+def valid_orders(orders: DataFrame, begin: str | None, end: str | None, created_after: str) -> DataFrame:
+    """Orders of a valid sid created after ``created_after`` with ``dt`` in [begin, end] (no bound if None)."""
     return orders.filter(is_valid("sid") & (F.col("finacreatedate") > F.lit(created_after).cast("date"))
                          & date_between("dt", begin, end))
 
 
-def valid_events(events: DataFrame, begin: str, end: str) -> DataFrame:
-    """Behaviour rows of a valid sid and class with ``day`` in [begin, end]."""
+def valid_events(events: DataFrame, begin: str | None = None, end: str | None = None) -> DataFrame:
+    """Behaviour rows of a valid sid and class with ``day`` in [begin, end] (no bound if None)."""
     return events.filter(is_valid("cla_id") & is_valid("sid") & date_between("day", begin, end))

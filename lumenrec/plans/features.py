@@ -73,17 +73,20 @@ def favor_counts(t: Tables, feature: str, begin: str, end: str,
     return rows.groupBy("sid", F.col(feature).alias("feature_name")).agg(F.sum(weight).alias("value"))
 
 
+def favor_source(output_name: str) -> tuple[str, Column | None]:
+    """The behaviour column of a list and the condition on its rows."""
+    types = F.col("cla_class_type").isin(*CLASS_TIME_TYPES) if output_name == "class_time_favor" else None
+    return FAVOR_LISTS[output_name], types
+
+
 def favor_list(t: Tables, output_name: str, begin: str, end: str, dt: str,
                literal_quirk: bool = False) -> DataFrame:
     """PL4 ``CalListOutputFunc``: top-3 values per sid as a JSON list."""
-    feature = FAVOR_LISTS[output_name]
-    cond = lit_or = None
-    if output_name == "class_time_favor":
-        if literal_quirk:
-            cond = F.col("cla_class_type") == CLASS_TIME_TYPES[0]
-            lit_or = F.col("cla_class_type") == CLASS_TIME_TYPES[1]
-        else:
-            cond = F.col("cla_class_type").isin(*CLASS_TIME_TYPES)
+    feature, cond = favor_source(output_name)
+    lit_or = None
+    if literal_quirk and output_name == "class_time_favor":
+        cond = F.col("cla_class_type") == CLASS_TIME_TYPES[0]
+        lit_or = F.col("cla_class_type") == CLASS_TIME_TYPES[1]
     return top3_json(favor_counts(t, feature, begin, end, cond, lit_or), output_name, dt)
 
 

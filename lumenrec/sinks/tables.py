@@ -12,6 +12,7 @@ systems whose folder rename is one operation (HDFS and the like) are assumed.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
@@ -24,20 +25,22 @@ _MARKER = "_COMMIT"
 
 
 def _staging(path: str, whole: bool) -> str:
-    """Where replacements of a slice (inside the table) or of the whole table (beside it) wait."""
+    """Where replacements of slices (inside the table) or of the whole table (beside it) wait."""
     if not whole:
         return f"{path}/{_STAGING}"
     parent, _, name = path.rstrip("/").rpartition("/")
     return f"{parent}/{_STAGING}_{name}"
 
 
-def _finish(folder: Folder, run: str, target: str) -> None:
-    """The renames of a replacement that is written in full; may be called again after a cut."""
-    new, old = f"{run}/new", f"{run}/old"
-    if folder.exists(new):
-        if folder.exists(target):
-            folder.move(target, old if not folder.exists(old) else f"{run}/old-{uuid.uuid4().hex}")
-        folder.move(new, target)
+def _finish(folder: Folder, run: str) -> None:
+    """The renames of a replacement that is written in full, as its marker lists them; may be
+    called again after a cut."""
+    for i, (new, target) in enumerate(json.loads(folder.read_text(f"{run}/{_MARKER}"))):
+        if folder.exists(new):
+            if folder.exists(target):
+                old = f"{run}/old-{i}"
+                folder.move(target, old if not folder.exists(old) else f"{old}-{uuid.uuid4().hex}")
+            folder.move(new, target)
     folder.remove(run)
 
 
@@ -47,28 +50,29 @@ def recover(spark: SparkSession, path: str, whole: bool = False) -> int:
     Runs without the marker have died while writing, or still write: they are left alone.
     Returns how many were finished.
     """
-    folder, staging, done = Folder(spark, path), _staging(path, whole), 0
-    for name in folder.names(staging):
-        run = f"{staging}/{name}"
-        if folder.exists(f"{run}/{_MARKER}"):
-            _finish(folder, run, folder.read_text(f"{run}/{_MARKER}"))
-            done += 1
-    return done
+    folder, staging = Folder(spark, path), _staging(path, whole)
+    runs = [f"{staging}/{name}" for name in folder.names(staging)]
+    ready = [run for run in runs if folder.exists(f"{run}/{_MARKER}")]
+    for run in ready:
+        _finish(folder, run)
+    return len(ready)
 
 
-def _replace(rows: DataFrame, path: str, target: str, whole: bool, write: Callable, check: Callable[[], None] | None) -> None:
-    spark = rows.sparkSession
+def _replace(spark: SparkSession, path: str, whole: bool, write: Callable[[str], list[tuple[str, str]]],
+             check: Callable[[], None] | None = None) -> None:
+    """``write(run)`` writes below the folder ``run`` and gives the pairs (written folder, target)."""
     recover(spark, path, whole)
     folder, run = Folder(spark, path), f"{_staging(path, whole)}/{uuid.uuid4().hex}"
     try:
-        write(f"{run}/new")
+        moves = write(run)
         if check is not None:
             check()
     except BaseException:
         folder.remove(run)
         raise
-    folder.write_text(f"{run}/{_MARKER}", target)
-    _finish(folder, run, target)
+    folder.write_text(f"{run}/{_MARKER}.tmp", json.dumps(moves))
+    folder.move(f"{run}/{_MARKER}.tmp", f"{run}/{_MARKER}")
+    _finish(folder, run)
 
 
 def replace_slice(df: DataFrame, path: str, check: Callable[[], None] | None = None, **slice_: str) -> None:
@@ -81,13 +85,30 @@ def replace_slice(df: DataFrame, path: str, check: Callable[[], None] | None = N
     """
     rows = df.drop(*slice_)
 
-    def write(to: str) -> None:
-        writer = rows.write.option("partitionOverwriteMode", "static")
-        if "city_id" in rows.columns:
-            writer = writer.partitionBy("city_id")
-        writer.parquet(to)
+    def write(run: str) -> list[tuple[str, str]]:
+        writer = rows.write.partitionBy("city_id") if "city_id" in rows.columns else rows.write
+        writer.parquet(f"{run}/new")
+        return [(f"{run}/new", "/".join([path, *(f"{k}={v}" for k, v in slice_.items())]))]
 
-    _replace(rows, path, "/".join([path, *(f"{k}={v}" for k, v in slice_.items())]), False, write, check)
+    _replace(df.sparkSession, path, False, write, check)
+
+
+def replace_slices(df: DataFrame, path: str, column: str, values: list[str]) -> None:
+    """SNK1 for many slices of one column in one write; ``df`` holds rows of these ``values`` alone.
+
+    A value without rows becomes an empty slice.  Each slice is moved in by itself: a reader may
+    see some of the new ones before the others.
+    """
+    folder = Folder(df.sparkSession, path)
+
+    def write(run: str) -> list[tuple[str, str]]:
+        df.write.partitionBy(column).parquet(f"{run}/new")
+        moves = [(f"{run}/new/{column}={v}", f"{path}/{column}={v}") for v in values]
+        for new, _ in moves:
+            folder.make(new)
+        return moves
+
+    _replace(df.sparkSession, path, False, write)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -106,7 +127,11 @@ def read_slice(spark: SparkSession, schema, path: str, **slice_: str) -> DataFra
 
 def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet", check: Callable[[], None] | None = None) -> None:
     """SNK2: replace the whole table, in the same way; it may be read by the rows that replace it."""
-    _replace(df, path, path, True, lambda to: df.write.format(fmt).save(to), check)
+    def write(run: str) -> list[tuple[str, str]]:
+        df.write.format(fmt).save(f"{run}/new")
+        return [(f"{run}/new", path)]
+
+    _replace(df.sparkSession, path, True, write, check)
 
 
 def create_if_absent(spark: SparkSession, name: str, df: DataFrame, location: str,
