@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import re
+import zlib
 from collections.abc import Iterator
 from json import loads
 
@@ -16,8 +17,9 @@ from pyspark.sql import types as T
 from .arrow import in_tasks, no_collector, parts
 from .common import Scratch
 
-_WORDS_KEPT, _PIECES_KEPT = 250_000, 150_000      # in each of two generations that a Python worker keeps
+_WORDS_KEPT, _PIECES_KEPT = 400_000, 250_000      # in each of two generations that a Python worker keeps
 _WORDS_AT_ONCE = 20_000
+_TEXT_AT_ONCE = 5_000_000      # bytes of text whose unseen words are gathered together
 _worker: dict = {}
 
 # ---- fixed values: how the lower-casing word tokenizer splits a word ---------------------
@@ -41,10 +43,13 @@ class _Kept:
 
     def unseen(self, keys: set) -> list:
         """Those of the keys that no generation has; the others are young afterwards."""
-        keys = keys - self.young.keys()
-        again = keys & self.old.keys()
-        self.young.update((k, self.old[k]) for k in again)
-        return list(keys - again)
+        young, old = self.young, self.old
+        new = [k for k in keys if k not in young]
+        if old:
+            again = [k for k in new if k in old]
+            young.update(zip(again, [old[k] for k in again]))
+            new = [k for k in new if k not in young]
+        return new
 
 
 class WordIds:
@@ -136,8 +141,9 @@ def _splits_as_known(json: str) -> bool:
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-                     max_tokens: int = 4096, end_id: int = 1) -> DataFrame:
-    """Documents as pieces of at most ``max_tokens`` ids: ``id_col``, piece, start, length, ids (binary).
+                     max_tokens: int = 4096, end_id: int = 1, checksums: bool = False) -> DataFrame:
+    """Documents as pieces of at most ``max_tokens`` ids: ``id_col``, piece, start, length, ids (binary),
+    or with ``checksums`` the CRC-32 of ids, ids_crc32 (long), in place of them.
 
     A document is its text's ids (null: empty) and ``end_id``; only a longer one is cut, every
     ``max_tokens`` ids.  ids holds little-endian unsigned 32-bit numbers.  The tokenizer file
@@ -148,7 +154,8 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
         json = sc.broadcast(f.read())
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = T.StructType([rows.schema["id"], T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
-                           T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType())])
+                           T.StructField("length", T.LongType()),
+                           T.StructField("ids_crc32", T.LongType()) if checksums else T.StructField("ids", T.BinaryType())])
     last = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
@@ -158,7 +165,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
         if _worker.get("key") != key:
             _worker.update(key=key, ids=WordIds(json.value))
         step = 4 * max_tokens
-        for part in parts(batches):
+        for part in parts(batches, chars=_TEXT_AT_ONCE):
             row, start, out = [], [], []
             with no_collector():
                 found = list(_worker["ids"].texts([t or "" for t in part.column("text").to_pylist()]))
@@ -169,10 +176,10 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
                     start.append(a // 4)
                     out.append(ids[a:a + step])
             starts = np.array(start, np.int64)
+            ids = pa.array([zlib.crc32(x) for x in out], pa.int64()) if checksums else pa.array(out, pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [part.column("id").take(pa.array(row, pa.int64())), pa.array((starts // max_tokens).astype(np.int32)),
-                 pa.array(starts), pa.array([len(x) // 4 for x in out], pa.int64()), pa.array(out, pa.binary())],
-                ["id", "piece", "start", "length", "ids"])
+                 pa.array(starts), pa.array([len(x) // 4 for x in out], pa.int64()), ids], schema.names)
 
     return in_tasks(rows, run, schema).withColumnRenamed("id", id_col)
 
@@ -270,11 +277,6 @@ def _groups(rows: DataFrame, group_rows: int) -> int:
     return max(1, -(-rows.count() // group_rows))
 
 
-def with_crc(pieces: DataFrame) -> DataFrame:
-    """ids replaced by ids_crc32, the CRC-32 of their bytes."""
-    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-
-
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
                    max_tokens: int = 4096, end_id: int = 1, **options) -> DataFrame:
     """One row per piece: ``id_col``, piece, start, length, ids_crc32, sequence_id, offset.
@@ -285,6 +287,6 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     """
     scratch = Scratch(docs.sparkSession, "packing")
     plain = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    pieces = with_crc(tokenized_pieces(plain, tokenizer_path, "__id", "__text", max_tokens, end_id))
+    pieces = tokenized_pieces(plain, tokenizer_path, "__id", "__text", max_tokens, end_id, checksums=True)
     pieces = scratch.write(pieces, "pieces")
     return pack(pieces, scratch, max_tokens, **options).withColumnRenamed("__id", id_col)
