@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow import in_tasks, parts
+from .arrow import in_tasks, no_collector, parts
 from .common import Scratch
 from .katz import pack, pack_sorted, unpack, unpack_sorted
 
@@ -75,6 +75,7 @@ class Aligner:
     def __init__(self, a, b):
         (self.bytes_a, self.encode_a), (self.bytes_b, self.encode_b) = a, b
         self.text_a, self.text_b = [str(i) for i in range(len(self.bytes_a))], [str(i) for i in range(len(self.bytes_b))]
+        self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
         self.young: dict[str, tuple] = {}
         self.old: dict[str, tuple] = {}
 
@@ -83,46 +84,38 @@ class Aligner:
         (little-endian 64 bits), and the number of A tokens; None if the tokens' bytes differ from it."""
         raw = [b" " + s.encode() for s in some]
         ids_a, ids_b = self.encode_a([" " + s for s in some]), self.encode_b(some)
-        good = [b"".join(map(self.bytes_a.__getitem__, x)) == r == b"".join(map(self.bytes_b.__getitem__, y))
-                for x, y, r in zip(ids_a, ids_b, raw)]
-        a = list(itertools.chain.from_iterable(x for x, g in zip(ids_a, good) if g))
-        b = list(itertools.chain.from_iterable(y for y, g in zip(ids_b, good) if g))
-        ends_a = list(itertools.accumulate(len(self.bytes_a[i]) for i in a))
-        ends_b = list(itertools.accumulate(len(self.bytes_b[i]) for i in b))
-        at_a, at_b = dict(zip(ends_a, itertools.count(1))), dict(zip(ends_b, itertools.count(1)))
+        good = [True] * len(some)
+        if not (self._gives(ids_a, raw, self.bytes_a, self.size_a) and self._gives(ids_b, raw, self.bytes_b, self.size_b)):
+            good = [b"".join(map(self.bytes_a.__getitem__, x)) == r == b"".join(map(self.bytes_b.__getitem__, y))
+                    for x, y, r in zip(ids_a, ids_b, raw)]
+            ids_a, ids_b, raw = (list(itertools.compress(x, good)) for x in (ids_a, ids_b, raw))
+        a, b = (np.fromiter(itertools.chain.from_iterable(x), np.int64) for x in (ids_a, ids_b))
+        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        at_a, at_b = dict(zip(ends_a.tolist(), itertools.count(1))), dict(zip(ends_b.tolist(), itertools.count(1)))
         common = sorted(at_a.keys() & at_b.keys())
-        groups, links, n_links = [], [], [0]
-        text_a, text_b, size = self.text_a, self.text_b, len(self.bytes_b)
-        i = j = 0
-        for end in common:
-            i2, j2 = at_a[end], at_b[end]
-            if i2 - i == 1 and j2 - j == 1:
-                groups.append(f"{text_a[a[i]]}|{text_b[b[j]]}")
-                links.append(a[i] * size + b[j])
-            else:
-                groups.append(",".join([text_a[x] for x in a[i:i2]]) + "|" + ",".join([text_b[x] for x in b[j:j2]]))
-                x, y = i, j
-                while True:                                  # the token that ends first gives way to its next
-                    links.append(a[x] * size + b[y])
-                    if ends_a[x] == end and ends_b[y] == end:
-                        break
-                    if ends_a[x] < ends_b[y]:
-                        x += 1
-                    else:
-                        y += 1
-            i, j = i2, j2
-            n_links.append(len(links))
-        codes = np.array(links, "<i8")
-        out, g, end, place = [], 0, 0, {e: k for k, e in enumerate(common, 1)}
-        for x, r, ok in zip(ids_a, raw, good):
-            if not ok:
-                out.append(None)
-                continue
-            end += len(r)
-            k = place[end]
-            out.append((";".join(groups[g:k]), codes[n_links[g]:n_links[k]].tobytes(), len(x)))
-            g = k
-        return out
+        cut_a, cut_b = [0, *[at_a[e] for e in common]], [0, *[at_b[e] for e in common]]
+        text_a, text_b = [self.text_a[i] for i in a.tolist()], [self.text_b[i] for i in b.tolist()]
+        groups = [",".join(text_a[i:i2]) + "|" + ",".join(text_b[j:j2])
+                  for i, i2, j, j2 in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])]
+        # inside a slice every end of either side closes one link: that of the tokens around the bytes before it
+        closes = np.union1d(ends_a, ends_b)
+        codes = a[np.searchsorted(ends_a, closes)] * len(self.bytes_b) + b[np.searchsorted(ends_b, closes)]
+        ends = np.cumsum([len(r) for r in raw])
+        g = np.searchsorted(common, ends, "right").tolist()
+        n = (np.searchsorted(closes, ends, "right") * 8).tolist()
+        data = codes.astype("<i8").tobytes()
+        found = iter([(";".join(groups[x:y]), data[k:m], len(i)) for x, y, k, m, i in zip([0, *g], g, [0, *n], n, ids_a)])
+        return [next(found) if ok else None for ok in good]
+
+    @staticmethod
+    def _gives(ids: list[list[int]], raw: list[bytes], table: list[bytes], size: np.ndarray) -> bool:
+        """Whether the tokens of every text give back its bytes."""
+        flat = list(itertools.chain.from_iterable(ids))
+        if b"".join([table[i] for i in flat]) != b"".join(raw):
+            return False
+        edges = np.cumsum([0] + [len(i) for i in ids])
+        total = np.concatenate(([0], np.cumsum(size[flat])))[edges]
+        return bool((np.diff(total) == [len(r) for r in raw]).all())
 
     def texts(self, texts: list[str]) -> list[tuple[str, bytes, int] | None]:
         """As :meth:`align`, of whole texts; an empty text has no tokens."""
@@ -184,7 +177,8 @@ def _aligned(docs: DataFrame, spec_a, model_b) -> DataFrame:
         for part in parts(batches, "text", _CHUNK):
             n = part.num_rows
             id_type = part.column("id").type
-            found = _worker["aligner"].texts([t or "" for t in part.column("text").to_pylist()])
+            with no_collector():
+                found = _worker["aligner"].texts([t or "" for t in part.column("text").to_pylist()])
             codes = [np.frombuffer(f[1], "<i8") if f else np.empty(0, np.int64) for f in found]
             size = np.array([len(c) for c in codes])
             pairs, place = np.unique(np.concatenate(codes), return_inverse=True)
