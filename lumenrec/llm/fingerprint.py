@@ -4,22 +4,21 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from .arrow import in_tasks, parts
-from .common import Scratch
 
-LEVELS = 3           # phrases of about 3, 10 and 30 characters
 BINS = 64            # registers of a level
-_FEW = 12            # filled registers from which a level is compared
-_EMPTY = 0xFF
+_FEW = 12            # filled registers from which a level is compared; a text of more phrases has another level
+_EMPTY = 0xFFFF
 _CHARS = 300_000     # code points that are parsed at a time
 _EDGE = np.uint64(1 << 63)     # stands before, between and after texts
 
@@ -81,9 +80,9 @@ def _parse(x: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return name, e
 
 
-def _registers(texts: list[str]) -> np.ndarray:
-    """Registers (text, level, bin): eight bits of the phrase name that comes first in its bin by
-    sixteen others."""
+def _registers(texts: list[str]) -> list[np.ndarray]:
+    """Registers (level, bin) of each text: sixteen bits of the phrase name that comes first in its
+    bin by sixteen others.  A text has levels until one has few phrases, whatever its length."""
     n = len(texts)
     size = np.fromiter(map(len, texts), np.int64, n)
     total = int(size.sum()) + n + 1
@@ -92,50 +91,64 @@ def _registers(texts: list[str]) -> np.ndarray:
     x = np.empty(total, np.uint64)
     x[edge] = _EDGE
     x[~edge] = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
-    out = np.full((n, LEVELS, BINS), _EMPTY, np.uint8)
-    for level in range(LEVELS):
+    levels, more = [], np.ones(n, bool)
+    count = np.zeros(n, np.int64)
+    while more.any():
         x, edge = _parse(x, edge)
-        text = (np.cumsum(edge) - 1)[~edge].astype(np.uint64)
+        text = (np.cumsum(edge) - 1)[~edge]
         name = x[~edge]
-        own = np.minimum((name >> _u64(8)) & _u64(0xFF), _u64(_EMPTY - 1))
-        key = np.sort(((text * _u64(BINS) + (name & _u64(BINS - 1))) << _u64(24)) | (name >> _u64(48)) << _u64(8) | own)
+        own = np.minimum((name >> _u64(8)) & _u64(0xFFFF), _u64(_EMPTY - 1))
+        cell = text.astype(np.uint64) * _u64(BINS) + (name & _u64(BINS - 1))
+        key = np.sort((cell << _u64(32)) | (name >> _u64(48)) << _u64(16) | own)
+        out = np.full((n, BINS), _EMPTY, np.uint16)
         if key.size:
-            cell = key >> _u64(24)
+            cell = key >> _u64(32)
             first = np.concatenate(([True], cell[1:] != cell[:-1]))
-            out.reshape(n, LEVELS, BINS)[(cell[first] // _u64(BINS)).astype(np.int64), level,
-                                         (cell[first] % _u64(BINS)).astype(np.int64)] = key[first] & _u64(0xFF)
-    return out
+            out.reshape(-1)[cell[first].astype(np.int64)] = key[first] & _u64(0xFFFF)
+        levels.append(out)
+        count += more
+        more &= np.bincount(text, minlength=n) > _FEW
+    whole = np.stack(levels, axis=1)
+    return [whole[i, :k] for i, k in enumerate(count.tolist())]
 
 
-def registers(texts: list[str]) -> np.ndarray:
+def registers(texts: list[str]) -> list[np.ndarray]:
     """Registers of many texts, about 300,000 code points at a time."""
     out, some, held = [], [], 0
     for t in texts:
         some.append(t)
         held += len(t)
         if held >= _CHARS:
-            out.append(_registers(some))
+            out += _registers(some)
             some, held = [], 0
-    if some or not out:
-        out.append(_registers(some))
-    return np.concatenate(out)
+    return out + _registers(some) if some else out
+
 
+def encoded(regs: list[np.ndarray]) -> list[str]:
+    """Fingerprints as text: base64 of the registers (little-endian), level by level."""
+    return [base64.b64encode(r.astype("<u2").tobytes()).decode() for r in regs]
 
-def encoded(regs: np.ndarray) -> list[str]:
-    """Fingerprints as text: base64 of the registers, level by level."""
-    flat = regs.reshape(len(regs), -1)
-    return [base64.b64encode(r.tobytes()).decode() for r in flat]
+
+def _stacked(regs: list[np.ndarray], levels: int) -> np.ndarray:
+    out = np.full((len(regs), levels, BINS), _EMPTY, np.uint16)
+    for i, r in enumerate(regs):
+        out[i, :len(r)] = r
+    return out
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Share of equal registers among those filled in either, row by row (0 to 1).
+def likeness(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
+    """Share of equal registers among those filled in either, pair by pair (0 to 1).
 
     Compared at the highest level at which both have at least 12 filled registers, else at the
     first level; two empty texts are alike, an empty and another text are not.
     """
+    if not first:
+        return np.empty(0)
+    levels = max(map(len, itertools.chain(first, second)))
+    a, b = _stacked(first, levels), _stacked(second, levels)
     fa, fb = a != _EMPTY, b != _EMPTY
     enough = (fa.sum(axis=2) >= _FEW) & (fb.sum(axis=2) >= _FEW)
-    level = np.where(enough.any(axis=1), LEVELS - 1 - enough[:, ::-1].argmax(axis=1), 0)
+    level = np.where(enough.any(axis=1), levels - 1 - enough[:, ::-1].argmax(axis=1), 0)
     each = np.arange(len(a))
     x, y, fx, fy = a[each, level], b[each, level], fa[each, level], fb[each, level]
     either = (fx | fy).sum(axis=1)
@@ -165,9 +178,9 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 # ---------------------------------------------------------------- texts edited with their neighbour's
 
-_DONE, _FIRST, _LAST = 0, 1, 2
 _VALUES = ("n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 _TYPES = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
+_PER_PART, _SAMPLED = 500, 40      # rows of a part at least; sampled keys for each part
 
 
 def _compared(chain: list[str]) -> list[list]:
@@ -182,6 +195,56 @@ def _compared(chain: list[str]) -> list[list]:
             names[:-1], encoded(new), likeness(own[:-1], new).tolist(), likeness(own[:-1], own[1:]).tolist()]
 
 
+def _after(keys: list, at: Column, kind: T.DataType) -> Column:
+    """How many of the sorted ``keys`` are not greater than ``at``, by binary search."""
+    if not keys:
+        return F.lit(0)
+    table = F.array(*[F.struct(F.lit(k[0]).cast(kind).alias("id"), F.lit(k[1]).alias("tk"), F.lit(k[2]).alias("row")) for k in keys])
+
+    def halve(acc, _):
+        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+        up = F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi"))
+        down = F.struct(acc["lo"].alias("lo"), mid.alias("hi"))
+        return F.when(acc["lo"] >= acc["hi"], acc).when(F.get(table, mid) <= at, up).otherwise(down)
+
+    steps = F.sequence(F.lit(1), F.lit(len(keys).bit_length()))
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(keys)).alias("hi"))
+    return F.aggregate(steps, start, halve, lambda acc: acc["lo"])
+
+
+def _parts_in_order(rows: DataFrame) -> DataFrame:
+    """``rows`` (id, tk, row, text) with the ordered part they belong to, and for each part one more
+    row after its last: the text of the first row of the next part (after the last: of the first).
+
+    Parts begin at sampled rows, whose keys are constants of the plan: a lost task is computed
+    again with the same parts.  The sample only balances them.  If so many rows are equal that they
+    fill parts, ``row``, their place in the input, splits them.
+    """
+    spark = rows.sparkSession
+    n = rows.count()
+    parts_ = max(1, min(8 * int(spark.conf.get("spark.sql.shuffle.partitions")), n // _PER_PART))
+    order, keys = [F.asc_nulls_first("id"), "tk", "row"], []
+    plain = rows.withColumn("row", F.lit(0).cast("long"))
+    for rows in (plain, rows) if parts_ > 1 else (plain,):
+        if parts_ > 1:
+            some = rows.select("id", "tk", "row").sample(min(1.0, _SAMPLED * parts_ / n), seed=1).orderBy(*order).collect()
+            keys = [tuple(some[i * len(some) // parts_]) for i in range(1, parts_)] if len(some) >= parts_ else []
+            keys = list(dict.fromkeys(keys))
+            if len(keys) == parts_ - 1:          # else equal rows fill whole parts: their places tell them apart
+                break
+    kind = rows.schema["id"].dataType
+    placed = rows.withColumn("part", _after(keys, F.struct("id", "tk", "row"), kind)).withColumn("follows", F.lit(0))
+    first = rows.orderBy(*order).limit(1).select(F.lit(len(keys)).alias("part"), "text")
+    begins = first
+    if keys:
+        at = spark.createDataFrame([(*k, i) for i, k in enumerate(keys)], T.StructType(
+            [T.StructField("b_id", kind), *[T.StructField(c, T.LongType()) for c in ("b_tk", "b_row")], T.StructField("part", T.IntegerType())]))
+        found = rows.join(F.broadcast(at), F.col("id").eqNullSafe(F.col("b_id")) & (F.col("tk") == F.col("b_tk")) & (F.col("row") == F.col("b_row")))
+        begins = found.select("part", "text").unionByName(first)
+    none = [F.lit(None).cast(kind).alias("id"), *[F.lit(0).cast("long").alias(c) for c in ("tk", "row")]]
+    return placed.unionByName(begins.select(*none, "text", "part", F.lit(1).alias("follows")))
+
+
 def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: its fingerprint, that of its edited text, and two likenesses.
 
@@ -194,65 +257,26 @@ def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     text, equal rows among them in any order (they are alike); a lone row is its own neighbour;
     an empty table gives an empty result; other columns are ignored.
 
-    The rows are sorted by range, so texts are shuffled once and a task walks its rows in
-    order.  A task's first and last rows meet those of its neighbours in a second step, two
-    rows for each task of the first.
+    Texts are shuffled once, in ordered parts, and a task walks the rows of its parts; nothing
+    else is written.
     """
-    scratch = Scratch(docs.sparkSession, "fingerprint")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("tk"), text.alias("text"))
-    rows = rows.repartitionByRange("id", "tk").sortWithinPartitions("id", "tk")
-    id_field = T.StructField("id", rows.schema["id"].dataType)
-    fields = [T.StructField("n_chars", T.LongType()),
-              *[T.StructField(n, T.StringType()) for n in _VALUES[1:4]],
-              *[T.StructField(n, T.DoubleType()) for n in _VALUES[4:]]]
-    schema = T.StructType([id_field, T.StructField("tk", T.LongType()), T.StructField("kind", T.IntegerType()),
-                           T.StructField("text", T.StringType()), *fields])
-    nothing = [pa.nulls(1, t) for t in _TYPES]
-
-    def edge(row: pa.RecordBatch, kind: int) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([row.column(0), row.column(1), pa.array([kind], pa.int32()),
-                                           row.column(2).cast(pa.string()), *nothing], schema.names)
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("tk"), F.monotonically_increasing_id().alias("row"), text.alias("text"))
+    order = ["part", "follows", F.asc_nulls_first("id"), "tk", "row"]
+    laid = _parts_in_order(rows).repartition("part").sortWithinPartitions(*order).select("id", "part", "follows", "text")
+    schema = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("n_chars", T.LongType()),
+                           *[T.StructField(n, T.StringType()) for n in _VALUES[1:4]],
+                           *[T.StructField(n, T.DoubleType()) for n in _VALUES[4:]]])
 
     def walk(batches):
         last = None
         for part in parts(batches):
-            if last is None:
-                yield edge(part.slice(0, 1), _FIRST)
-                chain = part
-            else:
-                chain = pa.Table.from_batches([last, part]).combine_chunks().to_batches()[0]
+            chain = part if last is None else pa.Table.from_batches([last, part]).combine_chunks().to_batches()[0]
             n = chain.num_rows - 1
             if n:
-                found = [pa.array(v, t) for v, t in zip(_compared(chain.column(2).to_pylist()), _TYPES)]
-                yield pa.RecordBatch.from_arrays(
-                    [chain.column(0).slice(0, n), chain.column(1).slice(0, n), pa.array([_DONE] * n, pa.int32()),
-                     pa.nulls(n, pa.string()), *found], schema.names)
+                found = [pa.array(v, t) for v, t in zip(_compared(chain.column("text").to_pylist()), _TYPES)]
+                own = pc.equal(chain.column("follows").slice(0, n), 0)       # what follows a part is no row of it
+                yield pa.RecordBatch.from_arrays([chain.column("id").slice(0, n), *found], schema.names).filter(own)
             last = chain.slice(n, 1)
-        if last is not None:
-            yield edge(last, _LAST)
-
-    table = scratch.write(in_tasks(rows, walk, schema), "walked")
-    edges = table.filter(F.col("kind") != _DONE).select("id", "tk", "kind", "text")
-    order = Window.orderBy(F.asc_nulls_first("id"), "tk", "kind")
-    at = F.struct("id", "tk").alias("at")
-    ring = edges.select(at, "kind", "id", "tk").select(
-        "at", "kind", F.coalesce(F.lead("at").over(order), F.first("at").over(
-            order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("then"))
-    ring = ring.filter(F.col("kind") == _LAST).select("at", "then")
-    texts = edges.select(at.alias("key"), "kind", "text")
-    own = texts.filter(F.col("kind") == _LAST).select("key", F.col("text").alias("own"))
-    following = texts.filter(F.col("kind") == _FIRST).select(F.col("key").alias("next_key"), F.col("text").alias("following"))
-    pairs = (ring.join(own, F.col("at").eqNullSafe(F.col("key")))
-             .join(following, F.col("then").eqNullSafe(F.col("next_key")))
-             .select(F.col("at.id").alias("id"), "own", "following"))
-
-    def close(batches):
-        for part in parts(batches, "own"):
-            found = [_compared(list(p)) for p in zip(part.column(1).to_pylist(), part.column(2).to_pylist())]
-            columns = [pa.array([f[k][0] for f in found], t) for k, t in enumerate(_TYPES)]
-            yield pa.RecordBatch.from_arrays([part.column(0), *columns], ["id", *_VALUES])
-
-    closed = in_tasks(pairs, close, T.StructType([id_field, *fields]))
-    done = table.filter(F.col("kind") == _DONE).select("id", *_VALUES)
-    return done.unionByName(closed).withColumnRenamed("id", id_col)
+
+    return in_tasks(laid, walk, schema).withColumnRenamed("id", id_col)

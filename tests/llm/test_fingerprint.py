@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from lumenrec.llm import fingerprint as fp
 from tests.llm.helpers import docs, edge_rows, prose
@@ -50,12 +51,100 @@ def test_tossing_keeps_neighbours_apart():
         assert inner.max() < most and (label[2:] != label[1:-1]).all()
 
 
+M = (1 << 64) - 1
+
+
+def mix(x):
+    x = (x ^ x >> 33) * 0xFF51AFD7ED558CCD & M
+    x = (x ^ x >> 29) * 0xC4CEB9FE1A85EC53 & M
+    return x ^ x >> 32
+
+
+def plain_parse(symbols):
+    """One level by loops over one text: runs, three tosses, phrases from peak to peak, names."""
+    runs = []
+    for s in symbols:
+        if runs and runs[-1][0] == s:
+            runs[-1][1] += 1
+        else:
+            runs.append([s, 1])
+    y = [s if n == 1 else mix(s + n * 0x9E3779B97F4A7C15 & M) for s, n in runs]
+    label = [255, *y, 255]
+    for turn in range(3):
+        bits, new = (64 if turn == 0 else 8), [255]
+        for i in range(1, len(label) - 1):
+            before = label[i - 1]
+            if turn == 0 and i == 1:
+                before = 1 << 63                         # the edge's own symbol
+            change = label[i] ^ before
+            k = (change & -change).bit_length() - 1 if change else bits
+            new.append(2 * k + (label[i] >> min(k, bits - 1) & 1))
+        label = [*new, 255]
+    out, phrase = [], []
+    for i in range(1, len(y) + 1):
+        if phrase and label[i] > label[i - 1] and label[i] > label[i + 1]:
+            out.append(phrase)
+            phrase = []
+        phrase.append(y[i - 1])
+    if phrase:
+        out.append(phrase)
+    weight = [mix((k + 1) * 0x9E3779B97F4A7C15 & M) | 1 for k in range(64)]
+    return [mix(sum(s * weight[k % 64] for k, s in enumerate(p)) & M) for p in out]
+
+
+def plain_registers(text):
+    names, levels = list(map(ord, text)), []
+    while True:
+        names = plain_parse(names) if names else []
+        bins = {}
+        for n in names:
+            got = (n >> 48, min(n >> 8 & 0xFFFF, 0xFFFE))
+            bins[n % 64] = min(bins.get(n % 64, got), got)
+        levels.append([bins[b][1] if b in bins else None for b in range(64)])
+        if len(names) <= 12:
+            return levels
+
+
+def plain_likeness(a, b):
+    level = max((k for k in range(min(len(a), len(b))) if all(sum(v is not None for v in x[k]) >= 12 for x in (a, b))), default=0)
+    pairs = [(u, v) for u, v in zip(a[level], b[level]) if u is not None or v is not None]
+    return sum(u == v for u, v in pairs) / len(pairs) if pairs else 1.0
+
+
+TEXTS = ["", "a", "aa", "ab", "aab" * 30, "é😀" * 40, "x" * 999, "abcdefgh" * 300, *[prose(random.Random(i), 8 << i, 500) for i in range(9)]]
+
+
+def test_parse_and_registers_against_loops():
+    got = fp.registers(TEXTS)
+    for text, regs in zip(TEXTS, got):
+        want = plain_registers(text)
+        assert [[None if v == 0xFFFF else int(v) for v in level] for level in regs] == want, text[:30]
+
+
+def test_likeness_against_loops():
+    rnd = random.Random(8)
+    pairs = [(rnd.choice(TEXTS), rnd.choice(TEXTS)) for _ in range(60)]
+    pairs += [(t, t[:len(t) // 2] + TEXTS[-1][:len(t) // 2]) for t in TEXTS]
+    got = fp.likeness([fp.registers([a])[0] for a, _ in pairs], [fp.registers([b])[0] for _, b in pairs])
+    for (a, b), x in zip(pairs, got):
+        assert abs(x - plain_likeness(plain_registers(a), plain_registers(b))) < 1e-12
+
+
+def test_long_texts_have_more_levels_and_unrelated_ones_share_nothing():
+    few, many = (fp.registers([prose(random.Random(3), n, 3000)])[0] for n in (20, 20_000))
+    assert len(few) <= 3 < 6 < len(many)
+    rnd = random.Random(6)
+    texts = ["".join(chr(rnd.randrange(97, 123)) for _ in range(3000)) for _ in range(40)]
+    r = fp.registers(texts)
+    assert fp.likeness(r[:-1], r[1:]).mean() < 0.002
+
+
 def test_registers_do_not_depend_on_the_batch():
     rnd = random.Random(3)
     texts = ["", "a", "aa", "", prose(rnd, 50), "é😀" * 40, prose(rnd, 400), "x" * 999, ""]
-    alone = np.concatenate([fp.registers([t]) for t in texts])
-    assert (fp.registers(texts) == alone).all()
-    assert (fp.registers(texts[::-1])[::-1] == alone).all()
+    alone = [fp.registers([t])[0] for t in texts]
+    for got in (fp.registers(texts), fp.registers(texts[::-1])[::-1]):
+        assert all(x.shape == y.shape and (x == y).all() for x, y in zip(got, alone, strict=True))
     assert fp.encoded(fp.registers(["same", "same"]))[0] == fp.encoded(fp.registers(["same"]))[0]
 
 
@@ -64,7 +153,7 @@ def test_likeness_orders_texts():
     a, b = prose(rnd, 400, 3000), prose(random.Random(99), 400, 3000)
     half = a[:len(a) // 2] + b[len(b) // 2:]
     r = fp.registers([a, half, b, "", "", a + " "])
-    like = lambda i, j: float(fp.likeness(r[i:i + 1], r[j:j + 1])[0])
+    like = lambda i, j: float(fp.likeness([r[i]], [r[j]])[0])
     assert like(0, 0) == 1.0 and like(3, 4) == 1.0 and like(0, 3) == 0.0
     assert like(0, 5) > 0.8 > like(0, 1) > 0.15 > like(0, 2)
 
@@ -87,6 +176,27 @@ def test_edited_neighbours(spark):
         assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got[d])
 
 
+def test_many_parts_and_equal_rows(spark, monkeypatch):
+    """Parts of few rows, a third of the rows equal: the neighbours are those of the sorted rows."""
+    monkeypatch.setattr(fp, "_PER_PART", 4)
+    rnd = random.Random(15)
+    rows = [(7, "the same row again and again " * 3)] * 60 + [(rnd.randrange(40) - 20, prose(rnd, rnd.randrange(20))) for _ in range(100)]
+    rows += [(None, "no id"), (None, "no id"), (None, None), (3, None)]
+    df = docs(spark, rows).repartition(6)
+    text = F.coalesce("text", F.lit(""))
+    chain = [(r.doc_id, r.t) for r in df.select("doc_id", text.alias("t"), F.xxhash64(text).alias("h"))
+             .orderBy(F.asc_nulls_first("doc_id"), "h").collect()]
+    want = []
+    for (d, t), (_, following) in zip(chain, chain[1:] + chain[:1]):
+        half = len(t) // 2
+        edited = t[:len(t) - half] + following[:half]
+        own, new, nxt = (fp.registers([x])[0] for x in (t, edited, following))
+        want.append((d, len(t), hashlib.sha256(edited.encode()).hexdigest(), *fp.encoded([own, new]),
+                     float(fp.likeness([own], [new])[0]), float(fp.likeness([own], [nxt])[0])))
+    got = [tuple(r) for r in fp.edited_neighbours(df).select("doc_id", *fp._VALUES).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_lone_null_and_empty(spark):
     one = fp.edited_neighbours(docs(spark, [(5, "alone in the world")])).first()
     assert one.near_next == 1.0 and one.n_chars == 18
