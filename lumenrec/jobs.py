@@ -17,19 +17,22 @@ from __future__ import annotations
 
 import argparse
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenrec.operators import features as ft
 from lumenrec.operators import schedule as sched
+from lumenrec.operators.rejects import Rejects
 from lumenrec.plans import features as pf
 from lumenrec.plans import recommend as prec
 from lumenrec.plans import rules as pr
 from lumenrec.plans import serve as psv
 from lumenrec.sinks import (
-    create_if_absent, exists, overwrite_table, push_partitions, read_slice, replace_slice, text_export,
+    create_if_absent, exists, overwrite_table, push_export, read_slice, recover, replace_slice, served_keys, text_export,
 )
+from lumenrec.sinks.kv import SERVED
 from lumenrec.sources.tables import Tables, from_catalog
 
 
@@ -45,12 +48,13 @@ class Output:
         if self.database:
             create_if_absent(self.spark, f"{self.database}.{name}", df, self.paths[name], partitions)
 
-    def replace(self, df: DataFrame, name: str, **slice_: str) -> DataFrame:
-        """Replace the run's slice of a table and return it as written (the lineage cut)."""
+    def replace(self, df: DataFrame, name: str, check=None, **slice_: str) -> DataFrame:
+        """Replace the run's slice of a table and return it as written (the lineage cut).
+        ``check`` runs between writing and replacing; if it fails, the old slice stays."""
         for k, v in slice_.items():
             df = df.withColumn(k, F.lit(v))
         path = self.paths[name] = f"{self.root}/{name}"
-        replace_slice(df, path, **slice_)
+        replace_slice(df, path, check, **slice_)
         by = tuple(c for c in ("dt", "pay_after", "city_id") if c in df.columns and (c in slice_ or c == "city_id"))
         self._publish(df, name, by)
         return read_slice(self.spark, df.schema, path, **slice_)
@@ -97,40 +101,65 @@ def _tokens(t: Tables, out: Output, as_of: str, pay_after: str) -> DataFrame:
     return tokens.withColumnRenamed("student_city", "city_id")
 
 
-def _recommendations(t: Tables, out: Output, as_of: str, pay_after: str, city: str | None) -> DataFrame:
-    """PL5 -> PL6 -> PL7 -> PL8, every table written once; returns the conflict-free set."""
+def _recommendations(t: Tables, out: Output, as_of: str, pay_after: str, city: str | None,
+                     limits: dict[str, float] | None) -> DataFrame:
+    """PL5 -> PL6 -> PL7 -> PL8, every table written once; returns the conflict-free set.
+
+    Bad recall JSON fails the job as in the original, unless ``limits`` (reason: largest share of
+    its rows) allows some of it; rejected rows are counted per reason into ``rejects``.
+    """
     cut = _slice(as_of, city)
+    rejects = Rejects({"bad_json": 0.0} | (limits or {}))
     tokens = _tokens(t, out, as_of, pay_after)
     # stored long (one row per student and class); the list shape of the original table is
     # ``rules.as_lists`` over this table
-    recs = out.replace(pr.rule_match(tokens, t.rule, t.location, city), "recommended", **cut)
+    recs = out.replace(pr.rule_match(tokens, t.rule, t.location, city, rejects=rejects), "recommended", rejects.check, **cut)
     out.replace(prec.curriculum_table(t, as_of, city), "class_schedule", **cut)
-    free = out.replace(prec.conflict_free(t, recs, as_of, city), "recommended_free", **cut)
+    free = out.replace(prec.conflict_free(t, recs, as_of, city, rejects=rejects), "recommended_free", rejects.check, **cut)
     out.replace(sched.rejected_sessions(prec.live_registrations(t, city)), "register_rejects", **cut)
+    out.replace(rejects.table(t.spark), "rejects", **cut)
     return free
 
 
+def _export(out: Output, kv: DataFrame, name: str, as_of: str, city: str | None, client_factory, keyed: bool = False) -> None:
+    """Write the run's key-value records and make the store hold them.
+
+    What earlier runs of this export and city left in the store is in ``<name>_served``, so keys
+    and pages that are gone are deleted; the table is replaced when the push is done.
+    """
+    spark = out.spark
+    written = out.replace(kv, name, **_slice(as_of, city))
+    if client_factory is None:
+        return
+    path = out.paths[f"{name}_served"] = f"{out.root}/{name}_served"
+    recover(spark, path, whole=True)
+    served = spark.read.schema(SERVED).parquet(path) if exists(spark, path) else spark.createDataFrame([], SERVED)
+    mine = served if city is None else served.filter(F.col("city_id") == city)
+    generation = uuid.uuid4().hex
+    push_export(written, client_factory, generation, mine, keyed)
+    now = served_keys(written, generation)
+    if city is not None:
+        now = now.unionByName(served.filter(~F.col("city_id").eqNullSafe(F.lit(city))))
+    overwrite_table(now, path)
+
+
 def flagship_job(t: Tables, out_root: str, as_of: str, pay_after: str, city: str | None = None,
-                 client_factory=None, database: str | None = None) -> dict[str, str]:
+                 client_factory=None, database: str | None = None, limits: dict[str, float] | None = None) -> dict[str, str]:
     """PL5 -> PL6 -> PL7 -> PL8 -> PL9 with every intermediate table written once."""
     out = Output(t.spark, out_root, database)
-    free = _recommendations(t, out, as_of, pay_after, city)
+    free = _recommendations(t, out, as_of, pay_after, city, limits)
     kv = psv.kv_records(psv.student_pack(t, free, city), psv.STUDENT_KEY_PREFIX, "sid", as_of)
-    written = out.replace(kv, "kv_student", **_slice(as_of, city))
-    if client_factory is not None:
-        push_partitions(written, client_factory)
+    _export(out, kv, "kv_student", as_of, city, client_factory)
     return out.paths
 
 
 def keyed_job(t: Tables, out_root: str, as_of: str, pay_after: str, city: str | None = None,
-              client_factory=None, database: str | None = None) -> dict[str, str]:
+              client_factory=None, database: str | None = None, limits: dict[str, float] | None = None) -> dict[str, str]:
     """PL10: the same chain into the class-id keyed packs."""
     out = Output(t.spark, out_root, database)
-    free = _recommendations(t, out, as_of, pay_after, city)
+    free = _recommendations(t, out, as_of, pay_after, city, limits)
     kv = psv.kv_records(psv.student_pack_keyed(t, free, city), psv.STUDENT_KEY_PREFIX, "sid", as_of)
-    written = out.replace(kv, "kv_student_keyed", **_slice(as_of, city))
-    if client_factory is not None:
-        push_partitions(written, client_factory)
+    _export(out, kv, "kv_student_keyed", as_of, city, client_factory, keyed=True)
     return out.paths
 
 
@@ -139,9 +168,7 @@ def fallback_job(t: Tables, out_root: str, as_of: str, city: str | None = None,
     """PL11: fallback packs per city/grade/subject -> key-value records."""
     out = Output(t.spark, out_root, database)
     kv = psv.kv_records(psv.fallback_pack(t, city), psv.GROUP_KEY_PREFIX, "key", as_of)
-    written = out.replace(kv, "kv_fallback", **_slice(as_of, city))
-    if client_factory is not None:
-        push_partitions(written, client_factory)
+    _export(out, kv, "kv_fallback", as_of, city, client_factory)
     return out.paths["kv_fallback"]
 
 
@@ -170,6 +197,8 @@ def main(argv=None) -> None:
     ap.add_argument("--as-of", default=fx.AS_OF, help="today: the dt stamp and the future-session bound")
     ap.add_argument("--pay-after", default=fx.PAY_AFTER)
     ap.add_argument("--created-after", default=fx.CREATED_AFTER)
+    ap.add_argument("--reject-limits", type=json.loads, default=None,
+                    help='largest share of rejected rows per reason, e.g. {"bad_json": 0.01, "null_left": 0.05}')
     ap.add_argument("--event-range", nargs=2, default=[fx.EVENT_BEGIN, fx.EVENT_END])
     ap.add_argument("--order-range", nargs=2, default=[fx.ORDER_BEGIN, fx.ORDER_END])
     a = ap.parse_args(argv)
@@ -188,7 +217,7 @@ def main(argv=None) -> None:
         res = list_job(t, a.out, ev[0], ev[1], ev[1], a.database)
     elif a.job in ("flagship", "keyed"):
         job = flagship_job if a.job == "flagship" else keyed_job
-        res = job(t, a.out, a.as_of, a.pay_after, a.city, database=a.database)
+        res = job(t, a.out, a.as_of, a.pay_after, a.city, database=a.database, limits=a.reject_limits)
     elif a.job == "fallback":
         res = fallback_job(t, a.out, a.as_of, a.city, database=a.database)
     else:

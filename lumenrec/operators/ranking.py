@@ -44,10 +44,19 @@ def recent_distinct(rows: DataFrame, key: str, item: str, when: str, n: int = TO
     Walking rows newest first and skipping repeats keeps each item at its latest
     date, so: latest date per (key, item), then rank by that date.
     """
-    latest = rows.groupBy(key, item).agg(F.max(when).alias("_latest"))
-    w = Window.partitionBy(key).orderBy(F.desc("_latest"), F.asc(item))
-    return latest.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n) \
-        .drop("_latest")
+    latest = latest_items(rows, key, item, when)
+    return top_recent(latest, key, item, when, n).drop(when)
+
+
+def latest_items(rows: DataFrame, key: str, item: str, when: str) -> DataFrame:
+    """``(key, item, when)``: each item at its latest date."""
+    return rows.groupBy(key, item).agg(F.max(when).alias(when))
+
+
+def top_recent(latest: DataFrame, key: str, item: str, when: str, n: int = TOP_N) -> DataFrame:
+    """The ``n`` latest rows per key with their ``rank``; equal dates go by the item's text."""
+    w = Window.partitionBy(key).orderBy(F.desc(when), F.asc(item))
+    return latest.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
 def as_padded_list(ranked: DataFrame, key: str, item: str, n: int = TOP_N) -> DataFrame:

@@ -54,15 +54,6 @@ def first_session_per_date(sessions: DataFrame) -> DataFrame:
         .select("cla_id", "city_id", "d", F.col("_f.st").alias("st"), F.col("_f.et").alias("et"))
 
 
-def unpack_register(register: DataFrame) -> DataFrame:
-    """NS3: the packed text columns as arrays, split like ``String.split``."""
-    return register.select(
-        "*",
-        java_split("class_dates", DATE_SEP).alias("date_arr"),
-        java_split("start_times", START_SEP).alias("starttime_arr"),
-        java_split("end_times", END_SEP).alias("endtime_arr"))
-
-
 def _packed_sessions(all_sessions: bool = False) -> Column:
     """The sessions of a packed registration as an array ``(d, st, et)``.
 
@@ -194,6 +185,11 @@ def overlaps_booked(booked, d, st, et) -> Column:
     return F.when(n > 0, F.coalesce((last["d"] == d) & (last["mx"] >= st), F.lit(False))).otherwise(F.lit(False))
 
 
+def missing_time(all_sessions: bool = False) -> Column:
+    """Whether a packed registration has a session without a start or an end."""
+    return F.exists(_packed_sessions(all_sessions), lambda s: s["st"].isNull() | s["et"].isNull())
+
+
 def rejected_sessions(regs: DataFrame, all_sessions: bool = False) -> DataFrame:
     """Sessions of the packed registrations that were left out for a missing start or end
     (SURVEY Q9), counted per city: ``(city_id, n_sessions, n_rejected)``."""

@@ -54,7 +54,10 @@ fx_score AS (
  cla_level_name, 'T' || cla_term_id AS cla_classtime_names, cla_year || '-' || cla_term_id AS cla_classdate_name, fin_score FROM fx_class),
 fx_session AS (
  SELECT cuc_class_id AS cla_id, cuc_class_date AS d, min(cuc_start_time) AS st, min(cuc_end_time) AS et FROM fx_curriculum
- WHERE cuc_class_date > DATE '2001-01-01' GROUP BY 1,2)
+ WHERE cuc_class_date > DATE '2001-01-01' GROUP BY 1,2),
+fx_packed AS (
+ SELECT *, CAST(cla_id AS BIGINT) % 13 = 0 AND count(*) OVER (PARTITION BY cla_id) > 1 AND d = max(d) OVER (PARTITION BY cla_id) AS no_start
+ FROM fx_session)
 """
 
 # Column expressions of the scalar functions, written as SQL CASE chains.
@@ -213,7 +216,8 @@ ra AS (SELECT m.sid, m.city_id, m.cla_id, c.cla_term_id, c.cla_subject_names, c.
        WHERE EXISTS (SELECT 1 FROM fut f WHERE f.cla_id = m.cla_id AND f.city_id = m.city_id)),
 reg AS (SELECT r.sid, r.cla_id, st.city_id, c.cla_term_id, c.cla_subject_names, c.cla_year AS year FROM fx_registered r
         JOIN fx_class c ON c.cla_id = r.cla_id JOIN fx_student st ON st.stu_id = r.sid),
-reg_sess AS (SELECT reg.sid, reg.city_id, reg.cla_id, CAST(s.d AS VARCHAR) AS d, s.st, s.et FROM reg JOIN fx_session s ON s.cla_id = reg.cla_id),
+reg_sess AS (SELECT reg.sid, reg.city_id, reg.cla_id, CAST(s.d AS VARCHAR) AS d, s.st, s.et FROM reg JOIN fx_packed s ON s.cla_id = reg.cla_id
+             WHERE NOT s.no_start),
 rec_first AS (SELECT cla_id, city_id, d, st, et FROM (SELECT *, row_number() OVER (PARTITION BY cla_id, city_id, d ORDER BY st, et) AS rn FROM fut) x WHERE rn = 1),
 same_key AS (SELECT ra.* FROM ra WHERE NOT EXISTS (
        SELECT 1 FROM reg g WHERE g.sid = ra.sid AND g.city_id = ra.city_id
@@ -248,7 +252,8 @@ FROM fut GROUP BY cla_id, city_id""")
 QUERIES["packed_split"] = with_views("""
 reg AS (SELECT r.sid, r.cla_id, st.city_id FROM fx_registered r JOIN fx_class c ON c.cla_id = r.cla_id
         JOIN fx_student st ON st.stu_id = r.sid)
-SELECT reg.sid, reg.city_id, reg.cla_id, CAST(s.d AS VARCHAR) AS d, s.st, s.et FROM reg JOIN fx_session s ON s.cla_id = reg.cla_id""")
+SELECT reg.sid, reg.city_id, reg.cla_id, CAST(s.d AS VARCHAR) AS d, s.st, s.et FROM reg JOIN fx_packed s ON s.cla_id = reg.cla_id
+WHERE NOT s.no_start""")
 
 # ---- PL9-PL11 packs and the key-value export ---------------------------------------------
 
@@ -294,8 +299,13 @@ QUERIES["fallback_pack"] = with_views(_GROUPS + "\nSELECT key, section, cla_id,
 QUERIES["kv_export"] = with_views(_MATCH + _SCHED + _FREE + "," + _GROUPS + """
 SELECT * FROM gkv UNION ALL """ + _kv_sql("recommend_studentid_", "sid", "spack"))
 
-QUERIES["kv_scan_prefix"] = with_views(_GROUPS + """
-SELECT * FROM gkv WHERE key IN (SELECT DISTINCT key FROM gkv WHERE starts_with(key, 'recommend_') ORDER BY key LIMIT 10)""")
+_SCAN = """
+SELECT * FROM {kv} WHERE key IN (SELECT DISTINCT key FROM {kv} WHERE starts_with(key, '{prefix}') ORDER BY key LIMIT 10)"""
+
+QUERIES["kv_scan_prefix"] = with_views(_MATCH + _SCHED + _FREE + ",\nskv AS (" + _kv_sql("recommend_studentid_", "sid", "spack") + ")"
+                                       + _SCAN.format(kv="skv", prefix="recommend_studentid_"))
+
+QUERIES["kv_scan_group_prefix"] = with_views(_GROUPS + _SCAN.format(kv="gkv", prefix="recommend_1_"))
 
 QUERIES["kv_get"] = with_views(_GROUPS + """
 SELECT key, '[' || string_agg(value, ',' ORDER BY cla_id) || ']' AS value, count(*) AS n_entries, max(ttl_s) AS ttl_s,
@@ -306,11 +316,18 @@ SELECT sid, '{"online_recom":[' || coalesce(string_agg(entry, ',' ORDER BY cla_i
   || '],"offine_recom":[' || coalesce(string_agg(entry, ',' ORDER BY cla_id) FILTER (WHERE section = 'offine_recom'), '')
   || ']}' AS value FROM spack GROUP BY sid""")
 
+QUERIES["kv_store"] = with_views(_MATCH + _SCHED + _FREE + "," + _GROUPS + """
+SELECT 'recommend_studentid_' || sid AS key,
+  '{"online_recom":[' || coalesce(string_agg(entry, ',' ORDER BY cla_id) FILTER (WHERE section = 'online_recom'), '')
+  || '],"offine_recom":[' || coalesce(string_agg(entry, ',' ORDER BY cla_id) FILTER (WHERE section = 'offine_recom'), '')
+  || ']}' AS value, CAST(2592000 AS BIGINT) AS ttl_s FROM spack GROUP BY sid
+UNION ALL SELECT key, '[' || string_agg(value, ',' ORDER BY cla_id) || ']', CAST(2592000 AS BIGINT) FROM gkv GROUP BY key""")
+
 QUERIES["register_rejects"] = with_views("""
 reg AS (SELECT r.sid, r.cla_id, st.city_id FROM fx_registered r JOIN fx_class c ON c.cla_id = r.cla_id
         JOIN fx_student st ON st.stu_id = r.sid)
-SELECT reg.city_id, count(*) AS n_sessions, CAST(0 AS BIGINT) AS n_rejected
-FROM reg JOIN fx_session s ON s.cla_id = reg.cla_id GROUP BY reg.city_id""")
+SELECT reg.city_id, count(*) AS n_sessions, count(*) FILTER (WHERE s.no_start) AS n_rejected
+FROM reg JOIN fx_packed s ON s.cla_id = reg.cla_id GROUP BY reg.city_id""")
 
 # ---- per-row functions, filters and reshapes -------------------------------------------------
 
@@ -403,3 +420,32 @@ UNION ALL SELECT 'curriculum', count(*) FROM fx_curriculum""")
 
 QUERIES["fn_today"] = with_views("""x AS (SELECT 1)
 SELECT cuc_class_date > DATE '2001-01-01' AS future, count(*) AS n_sessions FROM fx_curriculum GROUP BY 1""")
+
+# ---- stored tables and states -----------------------------------------------------------------
+
+_DAYS = ("2024-01-10", "2024-01-20")
+QUERIES["append_slices"] = with_views(
+    "ev AS (SELECT * FROM fx_behavior WHERE " + valid_sql("cla_id") + " AND " + valid_sql("sid") + f" AND day IN {_DAYS}),\n"
+    + "tr AS (" + " UNION ALL ".join(f"SELECT sid, {f} AS feature_name, day FROM ev" for f in (
+        subject_sql("cla_subject_names") + " || " + level_sql("cla_level_name"), subject_sql("cla_subject_names"),
+        subject_sql("cla_subject_names") + " || " + type_sql("cla_class_type"))) + ")\n"
+    + "SELECT sid, feature_name, CAST(count(*) AS DOUBLE) AS value, day AS dt FROM tr GROUP BY ALL")
+QUERIES["overwrite_table"] = with_views(_TOKENS + """
+SELECT sid, city_id, grade_id, t1 || ',' || t2 || ',' || t3 AS left_rule, '2001-01-01' AS dt FROM tokens WHERE t2 <> ''""")
+QUERIES["create_if_absent"] = QUERIES["student_tokens"]
+QUERIES["student_tokens_merged"] = QUERIES["student_tokens"]
+QUERIES["event_features_by_day"] = QUERIES["event_features"]
+QUERIES["favor_teacher_by_day"] = QUERIES["favor_teacher"]
+QUERIES["text_export"] = with_views(f"""
+od AS (SELECT * FROM fx_order WHERE dt BETWEEN '1995-01-01' AND '2001-08-01')
+SELECT distinctid, {subject_sql('subjectname')} || {level_sql('classlevelname')} AS feature_name,
+       CAST({status_weight_sql('orderstatus')} AS DOUBLE) AS value, startdate AS dt FROM od
+UNION ALL SELECT distinctid, 'price', round(coalesce(classprice, 0.0), 6), startdate FROM od""")
+QUERIES["reject_counts"] = with_views("""
+rule AS (SELECT DISTINCT city_id, grade_id, left_token, CAST(string_split(left_token, '_')[2] AS INT) AS term FROM fx_rule_long),
+reg AS (SELECT r.sid, r.cla_id FROM fx_registered r JOIN fx_class c ON c.cla_id = r.cla_id JOIN fx_student st ON st.stu_id = r.sid)
+SELECT 'rule' AS source, 'bad_json' AS reason, count(*) AS n_rows, count(*) FILTER (WHERE term = 3) AS n_rejected FROM rule
+UNION ALL SELECT 'rule', 'null_left', count(*), count(*) FILTER (WHERE term = 4) FROM rule
+UNION ALL SELECT 'location', 'null_depart_4', count(*), count(*) FILTER (WHERE CAST(sid AS BIGINT) % 11 = 0) FROM fx_location
+UNION ALL SELECT 'register', 'missing_time', count(*),
+  count(*) FILTER (WHERE cla_id IN (SELECT cla_id FROM fx_packed WHERE no_start)) FROM reg""")

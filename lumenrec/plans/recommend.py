@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lumenrec.functions import is_valid
 from lumenrec.operators import schedule as sc
+from lumenrec.operators.rejects import Rejects
 from lumenrec.sources.tables import Tables
 
 
@@ -37,7 +38,7 @@ def class_sessions(t: Tables, as_of: str, city: str | None = None, all_sessions:
 
 
 def conflict_free(t: Tables, recs: DataFrame, as_of: str, city: str | None = None,
-                  all_sessions: bool = False) -> DataFrame:
+                  all_sessions: bool = False, rejects: Rejects | None = None) -> DataFrame:
     """PL8: recommendations that (a) are current classes (JN8), (b) have a future
     session (JN9), (c) repeat no registered term-subject-year (JN10) and
     (d) overlap no registered session on the same date (JN11).
@@ -45,11 +46,15 @@ def conflict_free(t: Tables, recs: DataFrame, as_of: str, city: str | None = Non
     Returns the set ``(sid, city_id, cla_id)``.  The recommendations move twice:
     to their class, then to their student, where one row per student holds what
     both exclusions need (``schedule.student_register``); no pair of a
-    recommendation and a registration is formed.
+    recommendation and a registration is formed.  ``rejects`` counts the
+    registrations with a session that lacks a time, in the same pass.
     """
     r = recs if city is None else recs.filter(F.col("city_id") == city)
     offers = r.select("sid", "city_id", "cla_id").join(class_sessions(t, as_of, city, all_sessions), ["cla_id", "city_id"])
-    owned = sc.student_register(live_registrations(t, city), all_sessions)
+    regs = live_registrations(t, city)
+    if rejects is not None:
+        regs = rejects.watch(regs, "register", missing_time=sc.missing_time(all_sessions))
+    owned = sc.student_register(regs, all_sessions)
     j = offers.join(owned, ["sid", "city_id"], "left")
     same = F.exists("owned", lambda o: o["term"].eqNullSafe(F.col("cla_term_id"))
                     & o["subject"].eqNullSafe(F.col("cla_subject_names")) & o["year"].eqNullSafe(F.col("year")))

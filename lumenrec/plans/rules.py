@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from lumenrec.functions import is_valid, is_valid_city_weak, java_split, not_empty_json, token
 from lumenrec.operators.joins import MAX_TOKENS, set_key, subset_keys
 from lumenrec.operators.ranking import as_padded_list, recent_distinct
+from lumenrec.operators.rejects import Rejects
 from lumenrec.sources.tables import Tables
 
 # ---- fixed values of the token job ------------------------------------------------
@@ -25,9 +26,10 @@ LIVE_KEY = "live-class-service-center"
 # ------------------------------------------------------------------------------------
 
 
-def paid_registrations(t: Tables, pay_after: str) -> DataFrame:
-    """Paid, not deleted registrations ``(sid, cla_id, reg_pay_date)`` after a pay date (SRC4)."""
-    return t.regist.filter(F.col("reg_ispay").isin(*PAID_STATES) & (F.col("reg_isdeleted") == 0)
+def paid_registrations(t: Tables, pay_after: str, rows: DataFrame | None = None) -> DataFrame:
+    """Paid, not deleted registrations ``(sid, cla_id, reg_pay_date)`` after a pay date (SRC4), of
+    the whole table or of ``rows`` of it."""
+    return (t.regist if rows is None else rows).filter(F.col("reg_ispay").isin(*PAID_STATES) & (F.col("reg_isdeleted") == 0)
                            & (F.col("reg_pay_date") > F.lit(pay_after).cast("date"))
                            & is_valid("reg_student_id") & is_valid("reg_class_id")) \
         .select(F.col("reg_student_id").alias("sid"), F.col("reg_class_id").alias("cla_id"), "reg_pay_date")
@@ -92,15 +94,17 @@ def rules_with_id(rules: DataFrame, city: str | None = None) -> DataFrame:
     return r.withColumn("rule_id", F.xxhash64("city_id", "grade_id", "left", "recall"))
 
 
-def recall_entries(rules: DataFrame, bad_json: str = "fail") -> DataFrame:
+def recall_entries(rules: DataFrame, bad_json: str = "fail", rejects: Rejects | None = None) -> DataFrame:
     """NS1: recall JSON -> rows ``(rule_id, city_id, grade_id, left, loc, cla_id)``.
 
     Unparseable JSON fails the job like the original (``bad_json='fail'``), or
-    is skipped (``'skip'``).
+    is skipped (``'skip'``).  With ``rejects`` it is skipped and counted, as are
+    rules with a null ``left``, which match nothing (SURVEY Q11, Q20).
     """
-    parsed = F.from_json("recall", _RECALL)
-    r = rules.select("rule_id", "city_id", "grade_id", "left", "recall", parsed.alias("m"))
-    if bad_json == "fail":
+    r = rules.select("rule_id", "city_id", "grade_id", "left", "recall", F.from_json("recall", _RECALL).alias("m"))
+    if rejects is not None:
+        r = rejects.watch(r, "rule", bad_json=F.col("m").isNull(), null_left=F.col("left").isNull())
+    elif bad_json == "fail":
         r = r.withColumn("m", F.when(F.col("m").isNull(),
                                      F.raise_error(F.concat(F.lit("bad recall JSON: "), F.col("recall"))))
                          .otherwise(F.col("m")))
@@ -121,7 +125,7 @@ def student_locations(location: DataFrame, city: str | None = None) -> DataFrame
 
 
 def rule_match(tokens: DataFrame, rules: DataFrame, location: DataFrame, city: str | None = None,
-               bad_json: str = "fail") -> DataFrame:
+               bad_json: str = "fail", rejects: Rejects | None = None) -> DataFrame:
     """PL6: distinct recommendations ``(sid, city_id, cla_id)`` (JN5-JN7, NS1-NS2, AG6).
 
     A rule matches a student of its city and grade when every token of its
@@ -129,14 +133,18 @@ def rule_match(tokens: DataFrame, rules: DataFrame, location: DataFrame, city: s
     matches students with fewer than three tokens).  A matched rule offers the
     classes listed under each of the student's locations and the live key.
 
+    ``rejects`` counts bad JSON, null ``left`` and null location lists in the same pass.
+
     Both sides meet once: a student's row per subset of its tokens and location,
     a rule's row per location and class, on ``(city, grade, subset, location)``.
     The output is students times the classes their rules offer at their
     locations: linear in the students as long as a rule's class list is bounded.
     """
     tk = tokens if city is None else tokens.filter(F.col("city_id") == city)
-    offers = recall_entries(rules_with_id(rules, city), bad_json).filter(F.col("cla_id") != "")
+    offers = recall_entries(rules_with_id(rules, city), bad_json, rejects).filter(F.col("cla_id") != "")
     loc = location if city is None else location.filter(F.col("city_id") == city)
+    if rejects is not None:
+        loc = rejects.watch(loc, "location", null_depart_4=F.col("depart_4").isNull())
     asked = tk.select("sid", "city_id", "grade_id", "left_rule") \
         .join(loc.select("sid", "city_id", listed_locations("depart_4").alias("_locs")), ["sid", "city_id"]) \
         .select("sid", "city_id", "grade_id", F.explode(subset_keys("left_rule")).alias("_subset"), "_locs") \

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lumenrec.functions import group_key
 from lumenrec.operators import packs
+from lumenrec.sinks.tables import overwrite_table
 from lumenrec.sources.tables import Tables
 
 # ---- fixed values of the export ---------------------------------------------------------
@@ -70,6 +71,19 @@ def kv_export(student_packs: DataFrame, group_packs: DataFrame, as_of: str) -> D
         .unionByName(kv_records(group_packs, GROUP_KEY_PREFIX, "key", as_of))
 
 
+def store_export(kv: DataFrame, path: str, row_group_bytes: int = 8 << 20) -> DataFrame:
+    """Write a key-value table in order of key, section and class and return it as stored.
+
+    Files hold ranges of the order and row groups parts of them, so the least and greatest keys in
+    the files' statistics let a ``get`` or a prefix scan read the row groups it needs alone.  A key
+    of very many entries lies over many files.
+    """
+    order = ["key", "section", "cla_id"]
+    rows = kv.repartitionByRange(*order).sortWithinPartitions(*order)
+    overwrite_table(rows, path, **{"parquet.block.size": str(row_group_bytes)})
+    return kv.sparkSession.read.schema(kv.schema).parquet(path)
+
+
 def upsert(kv: DataFrame, newer: DataFrame) -> DataFrame:
     """Last write per key wins: a key of ``newer`` is replaced as a whole, whatever it held."""
     return kv.join(newer.select("key").distinct(), "key", "left_anti").unionByName(newer)
@@ -90,6 +104,10 @@ def kv_get(kv: DataFrame, key: str, keyed: bool = False) -> DataFrame:
 
 def kv_scan_prefix(kv: DataFrame, prefix: str, n: int = 10) -> DataFrame:
     """SRC16 ``keys(prefix*)`` then the first ``n`` keys (the limit is the feature), with all
-    their entries."""
-    keys = kv.filter(F.col("key").startswith(prefix)).select("key").distinct().orderBy("key").limit(n)
-    return kv.join(keys, "key", "left_semi")
+    their entries.
+
+    ``kv`` is a stored table: its keys with the prefix are looked up first, and the ``n`` found are
+    a filter that reaches the scan of the entries.
+    """
+    found = kv.filter(F.col("key").startswith(prefix)).select("key").distinct().orderBy("key").limit(n)
+    return kv.filter(F.col("key").isin([r.key for r in found.collect()]))

@@ -88,18 +88,18 @@ def q_order_recall(spark, sf_dir):
     return _round(pf.order_recall(t, fx.ORDER_BEGIN, fx.ORDER_END), "value")
 
 
-def _tokens(t):
+def tokens(t):
     return pr.student_tokens(t, fx.PAY_AFTER, fx.AS_OF)
 
 
 @register("student_tokens")
 def q_student_tokens(spark, sf_dir):
     t = bind_fixtures(spark, sf_dir)
-    return _tokens(t).withColumn("left_rule", F.array_join("left_rule", ","))
+    return tokens(t).withColumn("left_rule", F.array_join("left_rule", ","))
 
 
 def _rule_match(t):
-    return pr.rule_match(_tokens(t), t.rule, t.location)
+    return pr.rule_match(tokens(t), t.rule, t.location)
 
 
 @register("rule_match")
@@ -178,28 +178,18 @@ def q_fallback_pack(spark, sf_dir):
     return psv.fallback_pack(bind_fixtures(spark, sf_dir)).drop("city_id")
 
 
-def _kv_student(t):
+def kv_student(t):
     return psv.kv_records(psv.student_pack(t, _conflict_free(t)), psv.STUDENT_KEY_PREFIX, "sid", fx.AS_OF)
 
 
-def _kv_group(t):
+def kv_group(t):
     return psv.kv_records(psv.fallback_pack(t), psv.GROUP_KEY_PREFIX, "key", fx.AS_OF)
 
 
 @register("kv_export")
 def q_kv_export(spark, sf_dir):
     t = bind_fixtures(spark, sf_dir)
-    return _kv_student(t).unionByName(_kv_group(t))
-
-
-@register("kv_scan_prefix")
-def q_kv_scan_prefix(spark, sf_dir):
-    return psv.kv_scan_prefix(_kv_group(bind_fixtures(spark, sf_dir)), psv.GROUP_KEY_PREFIX)
-
-
-@register("kv_get")
-def q_kv_get(spark, sf_dir):
-    return psv.kv_get(_kv_group(bind_fixtures(spark, sf_dir)), "recommend_0_BUILDING_数学")
+    return kv_student(t).unionByName(kv_group(t))
 
 
 @register("kv_values")
@@ -369,7 +359,7 @@ def q_positional_rename(spark, sf_dir):
 @register("nonblank_lists")
 def q_nonblank_lists(spark, sf_dir):
     """PF12: token lists whose first element is not blank."""
-    t = _tokens(bind_fixtures(spark, sf_dir))
+    t = tokens(bind_fixtures(spark, sf_dir))
     return t.filter(fn.first_not_blank("left_rule")).select("sid", F.get("left_rule", F.lit(0)).alias("first_token"))
 
 

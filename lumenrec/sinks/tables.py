@@ -125,10 +125,11 @@ def read_slice(spark: SparkSession, schema, path: str, **slice_: str) -> DataFra
     return df
 
 
-def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet", check: Callable[[], None] | None = None) -> None:
+def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet", check: Callable[[], None] | None = None,
+                    **options: str) -> None:
     """SNK2: replace the whole table, in the same way; it may be read by the rows that replace it."""
     def write(run: str) -> list[tuple[str, str]]:
-        df.write.format(fmt).save(f"{run}/new")
+        df.write.format(fmt).options(**options).save(f"{run}/new")
         return [(f"{run}/new", path)]
 
     _replace(df.sparkSession, path, True, write, check)

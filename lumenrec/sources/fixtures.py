@@ -28,6 +28,8 @@ CREATED_AFTER = "1996-09-01"      # order creation date lower bound
 EVENT_BEGIN, EVENT_END = "2024-01-10", "2024-01-20"
 ORDER_BEGIN, ORDER_END = "1995-01-01", "2001-08-01"
 # Packed-array delimiters of the registration table.
+CUT_EVERY = 13                    # classes whose packed registrations lack their last start time
+SPOILED_RULE, SPOILED_STUDENT = 3, 11      # what the reject counts' inputs spoil: terms, every so many students
 DATE_SEP, START_SEP, END_SEP = "\u0001", "\u0002", "\u0003"
 # -------------------------------------------------------------------------------
 
@@ -220,13 +222,17 @@ def fx_session(curriculum: DataFrame, as_of: str = AS_OF) -> DataFrame:
 
 
 def fx_register(raw: _Raw, klass: DataFrame, curriculum: DataFrame) -> DataFrame:
-    """Packed registrations: one row per registered (sid, class) with its future sessions."""
+    """Packed registrations: one row per registered (sid, class) with its future sessions.
+
+    Of every ``CUT_EVERY``-th class with several sessions the last start is missing.
+    """
+    _n_starts = F.size("s") - F.when((F.col("cla_id").cast("long") % CUT_EVERY == 0) & (F.size("s") > 1), 1).otherwise(0)
     packed = fx_session(curriculum).groupBy("cla_id").agg(
         F.array_sort(F.collect_list(F.struct("d", "st", "et"))).alias("s"))
     packed = packed.select(
         "cla_id",
         F.array_join(F.transform("s", lambda x: x["d"].cast("string")), DATE_SEP).alias("class_dates"),
-        F.array_join(F.transform("s", lambda x: x["st"]), START_SEP).alias("start_times"),
+        F.array_join(F.transform(F.slice("s", F.lit(1), _n_starts), lambda x: x["st"]), START_SEP).alias("start_times"),
         F.array_join(F.transform("s", lambda x: x["et"]), END_SEP).alias("end_times"),
     )
     k = klass.select("cla_id", "cla_term_id", "cla_subject_names", F.col("cla_year").alias("year"))
@@ -241,6 +247,18 @@ def fx_register(raw: _Raw, klass: DataFrame, curriculum: DataFrame) -> DataFrame
     )
 
 
+def spoiled_rules(rules: DataFrame) -> DataFrame:
+    """Rules of which those for term 3 have cut-off JSON and those for term 4 a null ``left``."""
+    term = F.element_at(F.split(F.get("left", F.lit(0)), "_"), -1).cast("int")
+    return rules.select("city_id", "grade_id", F.when(term != SPOILED_RULE + 1, F.col("left")).alias("left"),
+                        F.when(term == SPOILED_RULE, F.lit('{"L0": [')).otherwise(F.col("recall")).alias("recall"))
+
+
+def spoiled_locations(location: DataFrame) -> DataFrame:
+    """Locations of which every eleventh student has a null list."""
+    return location.withColumn("depart_4", F.when(F.col("sid").cast("long") % SPOILED_STUDENT != 0, F.col("depart_4")))
+
+
 def bind_fixtures(spark: SparkSession, sf_dir: str) -> Tables:
     """All logical inputs bound to the driver tables in ``sf_dir``."""
     raw = _Raw(spark, sf_dir)

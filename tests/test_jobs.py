@@ -82,3 +82,25 @@ def test_feature_and_list_jobs(spark, tmp_path):
     assert {r.feature_name for r in lists.select("feature_name").distinct().collect()} == \
         {"teacher_favor", "class_location_favor", "class_time_favor"}
     assert all(len(json.loads(r.value)) == 3 for r in lists.collect())
+
+
+def test_store_follows_the_runs(spark, tmp_path):
+    """Two cities pushed by their own runs, then the first again with fewer students: the store holds
+    what the last runs exported and nothing else."""
+    from tests.test_sinks import _store
+    folder = str(tmp_path / "store")
+    store = _store(folder)
+    t = fx.bind_fixtures(spark, SF_CITIES)
+    out = str(tmp_path / "out")
+    for city in ("0", "1"):
+        p = jobs.flagship_job(t, out, fx.AS_OF, fx.PAY_AFTER, city=city, client_factory=store)
+    keys = {r.key for r in spark.read.parquet(p["kv_student"]).select("key").distinct().collect()}
+    assert set(os.listdir(folder)) == keys and keys
+    fewer = type(t)(spark, {**t.loaders, "location": lambda: t.location.filter("sid % 2 = 0")})
+    jobs.flagship_job(fewer, out, fx.AS_OF, fx.PAY_AFTER, city="0", client_factory=store)
+    after = {r.key for r in spark.read.parquet(p["kv_student"]).select("key").distinct().collect()}
+    assert set(os.listdir(folder)) == after and after < keys
+    rejects = spark.read.parquet(f"{out}/rejects")
+    assert {(r.source, r.reason) for r in rejects.collect()} == {
+        ("rule", "bad_json"), ("rule", "null_left"), ("location", "null_depart_4"), ("register", "missing_time")}
+    assert rejects.filter("reason = 'missing_time' AND n_rejected > 0").count() == 2        # of both cities

@@ -18,6 +18,7 @@ def con():
 
 
 from lumenrec.queries import REGISTRY  # noqa: E402
+from lumenrec.stored_queries import STORED  # noqa: E402
 
 
 def test_every_query_has_an_oracle():
@@ -40,3 +41,12 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["sid", "section", "cla_id", "entry"]
     assert df.count() >= 0
+
+
+def test_every_stored_query_has_an_oracle():
+    assert sorted(set(STORED) - set(E.oracle_sql())) == [] and not set(STORED) & set(REGISTRY)
+
+
+@pytest.mark.parametrize("name", sorted(STORED))
+def test_stored_query_matches_oracle(spark, con, name):
+    test_query_matches_oracle(spark, con, name)

@@ -4,9 +4,15 @@ import glob
 import json
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
+from lumenrec.plans import serve as psv
 from lumenrec.sinks import (
-    create_if_absent, overwrite_table, push_partitions, read_slice, replace_slice, text_export,
+    create_if_absent, overwrite_table, push_export, push_partitions, read_slice, read_value, recover, replace_slice,
+    replace_slices, served_keys, store_values, text_export,
 )
+from lumenrec.sinks import tables as sink_tables
 
 
 FEATURES = "sid string, feature_name string, value double, dt string"
@@ -85,3 +91,189 @@ def test_push_partitions_one_client_per_partition(spark, tmp_path):
     lines = [json.loads(x) for p in glob.glob(os.path.join(folder, "kv-*.jsonl")) for x in open(p)]
     assert sorted(lines) == sorted([f"k{i}/list/1", 60, f"v{i}"] for i in range(50))
     assert len(glob.glob(os.path.join(folder, "kv-*.jsonl"))) <= 3
+
+
+# ---- replacements that are cut off ---------------------------------------------------------------
+
+def _killed(df):
+    return df.withColumn("value", F.when(F.col("sid") == "new1", F.raise_error(F.lit("killed")).cast("double")).otherwise(F.col("value")))
+
+
+def _sids(spark, path):
+    return sorted(r.sid for r in spark.read.parquet(path).collect())
+
+
+def _slices(spark):
+    old = spark.createDataFrame([("old", "f", 1.0, "d")], FEATURES)
+    new = spark.createDataFrame([("new0", "f", 1.0, "d"), ("new1", "f", 2.0, "d")], FEATURES).repartition(2)
+    return old, new
+
+
+def test_a_run_killed_while_it_writes_leaves_the_old_slice(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old, new = _slices(spark)
+    replace_slice(old, path, dt="d")
+    with pytest.raises(Exception, match="killed"):
+        replace_slice(_killed(new), path, dt="d")
+    assert _sids(spark, path) == ["old"]
+    replace_slice(new, path, dt="d")
+    assert _sids(spark, path) == ["new0", "new1"] and not os.listdir(f"{path}/_staging")
+
+
+@pytest.mark.parametrize("after", [0, 1, 2])
+def test_a_run_killed_while_it_moves_is_finished_by_the_next(spark, tmp_path, monkeypatch, after):
+    """Cut before the first rename, between the two, and before the clean-up."""
+    path = str(tmp_path / "t")
+    old, new = _slices(spark)
+    replace_slice(old, path, dt="d")
+    replace_slice(old, path, dt="other")
+    done = []
+
+    class Cut(sink_tables.Folder):
+        def move(self, source, target):
+            if "_COMMIT" not in target:
+                if len(done) == after:
+                    raise KeyboardInterrupt
+                done.append(target)
+            super().move(source, target)
+
+        def remove(self, path):
+            if after == 2 and len(done) == 2:
+                raise KeyboardInterrupt
+            super().remove(path)
+
+    with monkeypatch.context() as m:
+        m.setattr(sink_tables, "Folder", Cut)
+        with pytest.raises(KeyboardInterrupt):
+            replace_slice(new, path, dt="d")
+    assert _sids(spark, f"{path}/dt=other") == ["old"]
+    if after == 0:
+        assert _sids(spark, f"{path}/dt=d") == ["old"]            # nothing was moved yet
+    got = read_slice(spark, new.schema, path, dt="d")             # a reader finishes the move
+    assert sorted(r.sid for r in got.collect()) == ["new0", "new1"]
+    assert recover(spark, path) == 0 and not os.listdir(f"{path}/_staging")
+
+
+def test_whole_table_replaced_by_rows_made_from_it(spark, tmp_path):
+    path = str(tmp_path / "dir" / "t")
+    old, new = _slices(spark)
+    overwrite_table(new, path)
+    overwrite_table(spark.read.parquet(path).filter("sid = 'new1'"), path)
+    assert _sids(spark, path) == ["new1"]
+    with pytest.raises(Exception, match="killed"):
+        overwrite_table(_killed(new), path)
+    assert _sids(spark, path) == ["new1"]
+
+
+def test_many_slices_in_one_write(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("a", "f", 1.0, "d1"), ("b", "f", 1.0, "d2")], FEATURES)
+    replace_slices(rows, path, "dt", ["d1", "d2", "d3"])
+    replace_slices(rows.filter("dt = 'd2'").withColumn("sid", F.lit("c")), path, "dt", ["d2"])
+    assert _sids(spark, path) == ["a", "c"] and os.path.isdir(f"{path}/dt=d3")
+
+
+# ---- one store value per key -------------------------------------------------------------------------
+
+def _store(folder):
+    """A stand-in store: a file per key; values are whole, so a half-written one is never read."""
+    os.makedirs(folder, exist_ok=True)
+
+    class FileStore:
+        def _file(self, key):
+            return os.path.join(folder, key.replace("/", "~"))
+
+        def setex(self, key, ttl, value):
+            tmp = f"{self._file(key)}.{os.getpid()}-{id(self)}.tmp"
+            with open(tmp, "w") as f:
+                f.write(value)
+            os.replace(tmp, self._file(key))
+
+        def get(self, key):
+            return open(self._file(key)).read() if os.path.exists(self._file(key)) else None
+
+        def delete(self, key):
+            if os.path.exists(self._file(key)):
+                os.remove(self._file(key))
+
+    return FileStore
+
+
+KV = "key string, city_id string, section string, cla_id string, value string, ttl_s long, expires_at string"
+
+
+def _kv(spark, sizes, section="list"):
+    rows = [(k, "0", section if i % 3 else "online_recom" if section != "list" else section, f"{i:05d}", json.dumps({"cla_id": f"{i:05d}", "n": k}), 60, "x")
+            for k, n in sizes.items() for i in range(n)]
+    return spark.createDataFrame(rows, KV).repartition(3) if rows else spark.createDataFrame([], KV)
+
+
+@pytest.mark.parametrize("section", ["list", "offine_recom"])
+def test_a_key_shrinks_from_2500_entries_to_10_and_to_none(spark, tmp_path, section):
+    folder = str(tmp_path / "store")
+    store = _store(folder)
+    previous, want = None, {}
+    for step, sizes in enumerate(({"hot": 2500, "a": 3, "b": 4}, {"hot": 10, "a": 3, "c": 1}, {"hot": 2400, "a": 2}, {"hot": 2500, "a": 3}, {"a": 1}, {})):
+        kv = _kv(spark, sizes, section)
+        push_export(kv, store, f"g{step}", previous, page_entries=100, batch=7)
+        client = store()
+        from lumenrec.operators import packs
+        want = {r.key: r.value for r in packs.render(kv.withColumnRenamed("value", "entry"), "key").collect()}
+        assert {k: json.loads(read_value(client, k)) for k in sizes} == {k: json.loads(v) for k, v in want.items()}
+        for k in {"hot", "a", "b", "c"} - set(sizes):
+            assert read_value(client, k) is None
+        left = set(os.listdir(folder))
+        assert {x for x in left if "~" not in x} == set(sizes)
+        assert all(f"~g{step}~" in x for x in left if "~" in x)           # no page of an earlier push
+        assert max([0, *(len(json.loads(client.get(k))) for k in left if "~" in k and section == "list")]) <= 100
+        previous = spark.createDataFrame(served_keys(kv, f"g{step}").collect(), served_keys(kv, "g").schema)
+
+
+def test_small_keys_have_the_value_readers_expect(spark, tmp_path):
+    kv = _kv(spark, {"recommend_studentid_1": 2}, "offine_recom")
+    got = {r.store_key: r.value for r in store_values(kv, "g").collect()}
+    assert json.loads(got["recommend_studentid_1"]) == {"online_recom": [{"cla_id": "00000", "n": "recommend_studentid_1"}],
+                                                        "offine_recom": [{"cla_id": "00001", "n": "recommend_studentid_1"}]}
+
+
+def test_a_push_that_is_done_again_changes_nothing(spark, tmp_path):
+    folder = str(tmp_path / "store")
+    kv = _kv(spark, {"hot": 500, "a": 3})
+    for _ in range(2):
+        push_export(kv, _store(folder), "g0", served_keys(kv, "g0"), page_entries=100)
+        assert len(json.loads(read_value(_store(folder)(), "hot"))) == 500 and len(os.listdir(folder)) == 2 + 10
+
+
+# ---- the stored export ----------------------------------------------------------------------------------
+
+def test_stored_export_is_in_key_order_and_prunes_by_key(spark, tmp_path):
+    path = str(tmp_path / "export")
+    kv = _kv(spark, {f"recommend_studentid_{i}": 40 for i in range(60)} | {f"recommend_{i}_g": 30 for i in range(20)})
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")        # small data, several files
+    store = psv.store_export(kv, path)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = [spark.read.parquet(f) for f in sorted(glob.glob(f"{path}/part-*"))]
+    spans = [(f.agg(F.min("key"), F.max("key")).first()) for f in files]
+    assert len(files) > 1 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    got = psv.kv_get(store, "recommend_3_g")
+    assert "EqualTo(key,recommend_3_g)" in got._jdf.queryExecution().executedPlan().toString()
+    assert got.first().n_entries == 30
+    scan = psv.kv_scan_prefix(store, "recommend_studentid_")
+    assert "In(key, [" in scan._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    keys = sorted(f"recommend_studentid_{i}" for i in range(60))[:10]
+    assert sorted({r.key for r in scan.collect()}) == keys and scan.count() == 400
+    assert psv.kv_scan_prefix(store, "nobody").count() == 0
+
+
+def test_a_get_reads_few_row_groups(spark, tmp_path):
+    import pyarrow.parquet as pq
+    path = str(tmp_path / "export")
+    kv = spark.range(200_000).selectExpr("concat('k', lpad(cast(id div 10 AS string), 6, '0')) AS key", "'0' AS city_id", "'list' AS section",
+                                         "cast(id AS string) AS cla_id", "repeat(cast(uuid() AS string), 3) AS value", "60L AS ttl_s", "'x' AS expires_at")
+    psv.store_export(kv, path, row_group_bytes=1 << 18)
+    metas = [pq.ParquetFile(f).metadata for f in glob.glob(f"{path}/part-*")]
+    groups = [m.row_group(i).column(0).statistics for m in metas for i in range(m.num_row_groups)]
+    assert len(groups) > 20
+    assert sum(g.min <= "k012345" <= g.max for g in groups) <= 2
