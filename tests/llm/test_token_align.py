@@ -1,4 +1,5 @@
 import hashlib
+import json
 import random
 from collections import Counter
 
@@ -134,11 +135,21 @@ def test_segments_give_the_whole_texts_tokens(text):
         assert sorted(divmod(int(c), size) for c in token_align.np.frombuffer(found[1], "<i8")) == sorted(want[3])
 
 
-def test_words_seen_before_come_from_the_worker_and_old_ones_go(monkeypatch):
+def test_words_seen_before_come_from_the_worker_and_old_ones_go():
     aligner = token_align.Aligner((_aligner.bytes_a, _aligner.encode_a), (_aligner.bytes_b, _aligner.encode_b))
-    monkeypatch.setattr(token_align, "_KEPT", 50)
+    aligner.seen.most = 50
     rnd = random.Random(1)
     for _ in range(30):
         text = prose(rnd, 60)
         assert aligner.texts([text])[0] == _aligner.texts([text])[0]
-        assert len(aligner.young) <= 50 + 61 and len(aligner.old) <= 50 + 61
+        assert len(aligner.seen.young) <= 50 + 61 and len(aligner.seen.old) <= 50 + 61
+
+
+def test_ids_are_the_files_own_and_other_files_keep_their_library():
+    spec = json.loads(open(A, encoding="utf-8").read())
+    assert token_align._plain_ranks(spec, token_align.byte_level()) is not None
+    rnd = random.Random(4)
+    texts = [*ODD, *[prose(rnd, 200, 3000) for _ in range(20)], "".join(map(chr, range(32, 3000))), "ab" * 4000]
+    assert _aligner.encode_a(texts) == [_whole.a.encode(t, add_special_tokens=False).ids for t in texts]
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": None}, {"model": spec["model"] | {"merges": spec["model"]["merges"][::-1]}}):
+        assert token_align._plain_ranks(spec | change, token_align.byte_level()) is None
