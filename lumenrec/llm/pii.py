@@ -26,7 +26,9 @@ PATTERNS = {
 _NEEDS = {"email": "@", "phone": "+"}
 _OCTET = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 # words that may be identifiers: a digit or an at sign, six or more characters
-_CANDIDATE = rf"{WORD_CLASS}*[0-9@]{WORD_CLASS}*"
+_CANDIDATE = rf"(?<!{WORD_CLASS})[^\x20\x09-\x0D0-9@]*+[0-9@]{WORD_CLASS}*+"
+_SPAN_BLOCK = 512          # code points: spans meet block by block, not text by text
+_BROADCAST_ROWS = 500_000  # patterns up to which a counted table is broadcast
 
 
 def _spans(text: Column, pattern: str) -> tuple[Column, Column]:
@@ -120,62 +122,100 @@ def formatted(text_rows: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def _context_rows(text_rows: DataFrame, keep: list[str]) -> DataFrame:
-    """Candidate words with the lower-cased word on either side ('' at the edge of the text)."""
+    """Candidate words with ``slots``: the lower-cased word and the two words on either side, as
+    (side, words), where there are any between it and the next candidate or the edge of the text."""
     found = located(text_rows, keep, _CANDIDATE, F.col("text").rlike("[0-9@]"), context=True)
-    left = F.regexp_extract(F.rtrim(F.col("before"), F.lit(WS)), rf"{WORD_CLASS}+$", 0)
-    right = F.regexp_extract(F.col("after"), rf"^{WS_CLASS}*({WORD_CLASS}+)", 1)
-    return found.select(*keep, "start", "end", "match", ascii_lower(left).alias("left"),
-                        ascii_lower(right).alias("right"))
+    near = F.split(F.reverse(F.rtrim(F.col("before"), F.lit(WS))), WS_CLASS + "+", 3)
+    near = F.transform(F.slice(near, 1, 2), lambda w: F.reverse(w))
+    after = F.slice(F.split(F.ltrim(F.col("after"), F.lit(WS)), WS_CLASS + "+", 3), 1, 2)
+    found = found.select(*keep, "start", "end", "match", near.alias("l"), after.alias("r"))
 
+    def slots(side: str, words: str, two: list[Column]) -> list[Column]:
+        one = F.get(words, F.lit(0))
+        return [F.struct(F.lit(side).alias("side"), F.nullif(one, F.lit("")).alias("word")),
+                F.struct(F.lit(side).alias("side"), F.when((F.size(words) > 1) & (F.get(words, F.lit(1)) != ""),
+                                                           F.concat_ws(" ", *two)).alias("word"))]
 
-def _word_counts(text_rows: DataFrame) -> DataFrame:
-    """How often each lower-cased word occurs in all texts."""
-    word = F.explode_outer(F.split(ascii_lower(F.col("text")), WS_CLASS + "+")).alias("word")
-    return text_rows.select(word).filter("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("uses"))
+    def at(words: str, i: int) -> Column:
+        return F.get(words, F.lit(i))
+
+    every = F.array(*slots("L", "l", [at("l", 1), at("l", 0)]), *slots("R", "r", [at("r", 0), at("r", 1)]))
+    every = F.transform(every, lambda s: F.struct(s["side"].alias("side"), ascii_lower(s["word"]).alias("word")))
+    return found.select(*keep, "start", "end", "match", F.filter(every, lambda s: s["word"].isNotNull()).alias("slots"))
+
+
+def _uses(text_rows: DataFrame, patterns: DataFrame) -> DataFrame:
+    """How often the words of the patterns, one or two in a row, occur in all texts: (word, uses).
+
+    Only uses of these words leave a task; they are summed up within it.
+    """
+    wanted = patterns.select("word").distinct()
+    words = F.filter(F.split(ascii_lower(F.col("text")), WS_CLASS + "+"), lambda w: w != "")
+    t = text_rows.select(words.alias("w"))
+    pairs = F.zip_with(F.slice("w", F.lit(1), F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", F.lit(2), F.greatest(F.size("w") - 1, F.lit(0))),
+                       lambda x, y: F.concat_ws(" ", x, y))
+    if wanted.count() <= _BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    return t.select(F.explode(F.concat("w", pairs)).alias("word")).join(wanted, "word", "left_semi") \
+        .groupBy("word").agg(F.count(F.lit(1)).alias("uses"))
+
+
+def _in_blocks(spans: DataFrame, start: str, end: str) -> DataFrame:
+    """The spans, once for each block of code points that they touch."""
+    blocks = F.sequence(F.floor(F.col(start) / _SPAN_BLOCK), F.floor((F.col(end) - 1) / _SPAN_BLOCK))
+    return spans.withColumn("block", F.explode(blocks))
+
+
+def touching(spans: DataFrame, others: DataFrame) -> DataFrame:
+    """The rows of ``spans`` (key, start, end, ...) that overlap a row of ``others`` (key, start, end);
+    a row may come more than once.  Only spans of one block of a text are compared."""
+    other = _in_blocks(others.select("key", F.col("start").alias("s"), F.col("end").alias("e")), "s", "e")
+    return _in_blocks(spans, "start", "end").join(other, ["key", "block"]) \
+        .filter((F.col("start") < F.col("e")) & (F.col("s") < F.col("end"))).select(*spans.columns)
 
 
 def bootstrap(text_rows: DataFrame, seeds: DataFrame, scratch: Scratch, rounds: int = 3, min_support: int = 5,
               min_confidence: float = 0.5, min_score: float = 0.9) -> DataFrame:
     """Identifiers that the contexts of known ones reveal: rows (key, start, end).
 
-    A pattern is the word before or after a slot.  Edges join patterns and instances (distinct
-    candidate words of six or more characters).  Each round scores
+    A pattern is the word, or the two words, before or after a slot.  Edges join patterns and
+    instances (distinct candidate words of six or more characters).  Each round scores
 
-    * a pattern by the instances' scores summed over its uses, divided by all its uses in the
-      corpus (every filler of the slot counts, ordinary words too), if ``min_support`` distinct
-      known instances support it;
+    * a pattern by the instances' scores summed over its uses, divided by all uses of its words
+      in the corpus (every filler of the slot counts, ordinary words too), if ``min_support``
+      distinct known instances support it;
     * an instance by noisy-or over its patterns of at least ``min_confidence``.
 
     Seeds keep the score 1.  Instances that reach ``min_score`` are discovered; they support
     patterns of the next round, whether or not a seed does.  A discovered word is reported where
     a pattern of the last round stands beside it.  Tables: one edge row per distinct (pattern,
-    instance), so the graph grows with the candidates and not with the text.
+    instance), so the graph grows with the candidates and not with the text; uses are counted
+    for supported patterns alone, in one pass over the texts for each round that has new ones.
     """
     cand = scratch.write(_context_rows(text_rows, ["key"]).filter(F.char_length("match") >= 6), "candidates")
-    seed_at = seeds.select("key", F.col("start").alias("s"), F.col("end").alias("e"))
     # a candidate word that overlaps a seed span is that seed's instance
-    known = (cand.join(seed_at, "key").filter((F.col("start") < F.col("e")) & (F.col("s") < F.col("end")))
-             .select("match").distinct().withColumn("seed", F.lit(1.0)))
+    known = touching(cand.select("key", "start", "end", "match"), seeds).select("match").distinct().withColumn("seed", F.lit(1.0))
     known = scratch.write(known, "known")
-    sides = F.explode(F.array(F.struct(F.lit("L").alias("side"), F.col("left").alias("word")),
-                              F.struct(F.lit("R").alias("side"), F.col("right").alias("word")))).alias("p")
-    edges = scratch.write(cand.select("match", sides).select("match", "p.side", "p.word").filter("word <> ''")
-                          .groupBy("side", "word", "match").agg(F.count(F.lit(1)).alias("n")), "all-edges")
+    edges = (cand.select("match", F.explode("slots").alias("p")).select("match", "p.side", "p.word")
+             .groupBy("side", "word", "match").agg(F.count(F.lit(1)).alias("n")))
+    edges = scratch.write(edges, "all-edges")
     # a pattern with fewer distinct instances, known or not, can never be supported
     possible = (edges.groupBy("side", "word").agg(F.count(F.lit(1)).alias("instances"))
                 .filter(F.col("instances") >= min_support).select("side", "word"))
-    possible = scratch.write(possible, "possible")
-    uses = _word_counts(text_rows).join(possible.select("word").distinct(), "word", "left_semi")
-    patterns = scratch.write(possible.join(uses, "word"), "patterns")
-    edges = scratch.write(edges.join(patterns, ["side", "word"]), "edges")
+    edges = scratch.write(edges.join(possible, ["side", "word"], "left_semi"), "edges")
     seeded = known.select("match", F.col("seed").alias("score"))
-    scores = seeded
+    scores, counted, confident = seeded, None, None
     for i in range(rounds):
-        confident = (edges.join(scores, "match").groupBy("side", "word")
-                     .agg((F.sum(F.col("n") * F.col("score")) / F.max("uses")).alias("conf"),
-                          F.count_if(F.col("score") >= min_score).alias("support"))
-                     .filter((F.col("conf") >= min_confidence) & (F.col("support") >= min_support)))
-        confident = scratch.write(confident.select("side", "word", "conf"), f"confident{i}")
+        supported = (edges.join(scores, "match").groupBy("side", "word")
+                     .agg(F.sum(F.col("n") * F.col("score")).alias("mass"), F.count_if(F.col("score") >= min_score).alias("support"))
+                     .filter(F.col("support") >= min_support))
+        supported = scratch.write(supported, f"supported{i}")
+        new = supported if counted is None else supported.join(counted, "word", "left_anti")
+        if counted is None or not new.isEmpty():
+            more = scratch.write(_uses(text_rows, new), f"uses{i}")
+            counted = more if counted is None else counted.unionByName(more)
+        confident = supported.join(counted, "word").select("side", "word", (F.col("mass") / F.col("uses")).alias("conf"))
+        confident = scratch.write(confident.filter(F.col("conf") >= min_confidence), f"confident{i}")
         doubt = F.sum(F.log(F.lit(1.0) - F.least(F.col("conf"), F.lit(0.999)) + F.lit(1e-9)))
         found = (edges.join(confident, ["side", "word"]).groupBy("match").agg(doubt.alias("d"))
                  .join(known, "match", "left_anti").select("match", (1 - F.exp("d")).alias("score")))
@@ -183,7 +223,7 @@ def bootstrap(text_rows: DataFrame, seeds: DataFrame, scratch: Scratch, rounds:
     if not rounds:
         return cand.select("key", "start", "end").limit(0)
     new = scores.filter(F.col("score") >= min_score).join(known, "match", "left_anti").select("match")
-    return (cand.join(new, "match").select("key", "start", "end", sides)
+    return (cand.join(new, "match").select("key", "start", "end", F.explode("slots").alias("p"))
             .select("key", "start", "end", "p.side", "p.word").join(confident, ["side", "word"], "left_semi")
             .select("key", "start", "end").distinct())
 
@@ -212,9 +252,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     seeds = scratch.write(formatted(texts, ["key"]).distinct(), "seeds")
     more = bootstrap(texts, seeds, scratch, **options)
     # a contextual span that touches a fixed one adds nothing
-    touched = (more.join(seeds.select("key", F.col("start").alias("s"), F.col("end").alias("e")), "key")
-               .filter((F.col("start") < F.col("e")) & (F.col("s") < F.col("end"))).select("key", "start", "end"))
-    more = more.join(touched.distinct(), ["key", "start", "end"], "left_anti")
+    more = more.join(touching(more, seeds).distinct(), ["key", "start", "end"], "left_anti")
     order = F.create_map(*[x for i, k in enumerate((*KINDS, CONTEXT)) for x in (F.lit(k), F.lit(i))])
     spans = (seeds.select("key", "kind", "start", "end")
              .unionByName(more.withColumn("kind", F.lit(CONTEXT)).select("key", "kind", "start", "end"))

@@ -1,5 +1,7 @@
+import math
 import random
 import re
+from collections import Counter, defaultdict
 
 from lumenrec.llm import pii
 from tests.llm.helpers import docs, edge_rows, prose
@@ -94,6 +96,101 @@ def test_discovered_identifiers_make_patterns(spark):
     assert context == want
 
 
+def brute_context(rows, support=5, confidence=0.5, least=0.9, rounds=3):
+    """The bootstrap by loops and dictionaries over (key, text): the contextual spans of each key."""
+    low = lambda w: re.sub("[A-Z]", lambda m: m[0].lower(), w)
+    uses, cands, known = Counter(), [], set()
+    seeds = {k: [(a, e) for a, _, _, e in brute(t)] for k, t in rows}
+    for k, t in rows:
+        words = [(m.start(), m.end(), m[0]) for m in re.finditer(r"[^\x20\x09-\x0D]+", t or "")]
+        uses.update(low(w) for _, _, w in words)
+        uses.update(low(a[2]) + " " + low(b[2]) for a, b in zip(words, words[1:]))
+        is_cand = [bool(re.search("[0-9@]", w)) for _, _, w in words]
+        for i, (a, e, w) in enumerate(words):
+            if not is_cand[i] or len(w) < 6:
+                continue
+            slots = []
+            if i and not is_cand[i - 1]:
+                slots.append(("L", low(words[i - 1][2])))
+                if i > 1 and not is_cand[i - 2]:
+                    slots.append(("L", low(words[i - 2][2]) + " " + slots[0][1]))
+            if i + 1 < len(words) and not is_cand[i + 1]:
+                slots.append(("R", low(words[i + 1][2])))
+                if i + 2 < len(words) and not is_cand[i + 2]:
+                    slots.append(("R", low(words[i + 1][2]) + " " + low(words[i + 2][2])))
+            cands.append((k, a, e, w, slots))
+            if any(a < e2 and a2 < e for a2, e2 in seeds[k]):
+                known.add(w)
+    edges = Counter((s, w) for _, _, _, w, slots in cands for s in slots)
+    score, good = {w: 1.0 for w in known}, {}
+    for _ in range(rounds):
+        mass, sup = Counter(), Counter()
+        for (slot, w), n in edges.items():
+            if w in score:
+                mass[slot] += n * score[w]
+                sup[slot] += score[w] >= least
+        good = {p: mass[p] / uses[p[1]] for p in mass if sup[p] >= support and mass[p] / uses[p[1]] >= confidence}
+        doubt = defaultdict(float)
+        for p, w in edges:
+            if p in good and w not in known:
+                doubt[w] += math.log(1 - min(good[p], 0.999) + 1e-9)
+        score = {w: 1.0 for w in known} | {w: 1 - math.exp(d) for w, d in doubt.items()}
+    out = defaultdict(set)
+    for k, a, e, w, slots in cands:
+        if w not in known and score.get(w, 0) >= least and any(s in good for s in slots) and not any(a < e2 and a2 < e for a2, e2 in seeds[k]):
+            out[k].add((a, e))
+    return {k: sorted(v) for k, v in out.items()}
+
+
+def test_bootstrap_against_brute_force(spark):
+    """Random prose with one- and two-word slots, identifiers shared between slots, candidates side by side."""
+    rnd = random.Random(21)
+    plain = [f"w{chr(97 + i)}" for i in range(20)]
+    slots = ["call me at", "my id is", "account no", "tel", "user name"]
+    rows = []
+    for i in range(400):
+        words = [rnd.choice(plain) for _ in range(rnd.randrange(3, 25))]
+        for _ in range(rnd.randrange(3)):
+            ident = rnd.choice([f"+49 30 {rnd.randrange(10**7, 10**8)}", f"u{rnd.randrange(40)}@host.example.com", f"id-{rnd.randrange(60):05d}",
+                                f"X{rnd.randrange(30)}(at)x", f"{rnd.randrange(100, 999)}",
+                                *[f"v{rnd.randrange(400)}@mail.example.org"] * 5])
+            at = rnd.randrange(len(words))
+            words[at:at] = [*rnd.choice(slots).split(" "), ident, *rnd.choice(["", "please write", "bye"]).split()]
+        rows.append((i, " ".join(words) + rnd.choice(["", "\n", " \t"])))
+    got = {k: sorted((a, e) for a, _, kind, e in spans if kind == "context") for k, spans in found(spark, rows, "spans").items()}
+    want = brute_context(rows)
+    assert {k: v for k, v in got.items() if v} == want and sum(map(len, want.values())) > 20
+
+
+def test_two_words_before_a_slot_reveal_what_one_word_does_not(spark):
+    rnd = random.Random(2)
+    fill = lambda n: " ".join(f"w{'abcdefgh'[rnd.randrange(8)]}" for _ in range(n))
+    rows = [(i, f"{fill(5)} write to user{i}@host.example.com {fill(4)}") for i in range(30)]
+    rows += [(100 + i, f"{fill(5)} to {fill(5)}") for i in range(200)]                    # one word says nothing
+    rows += [(400 + i, f"{fill(5)} write to staff-{i}00 {fill(3)}") for i in range(3)]
+    texts = dict(rows)
+    got = found(spark, rows, "spans")
+    context = {i: [texts[i][a:e] for a, _, kind, e in spans if kind == "context"] for i, spans in got.items()}
+    assert {i: c for i, c in context.items() if c} == {400 + i: [f"staff-{i}00"] for i in range(3)}
+
+
+def test_spans_of_one_text_are_compared_in_blocks(spark):
+    """Forty thousand e-mails in one text: rows made by the join grow with the spans, not with their square."""
+    text = " ".join(f"user{i}@host.example.com" for i in range(40_000))
+    spans = pii.formatted(spark.createDataFrame([(1, text)], "key int, text string"), ["key"]).filter("kind = 'email'")
+    spans = spark.createDataFrame(spans.select("key", "start", "end").collect(), "key int, start int, end int")
+    assert spans.count() == 40_000
+    assert pii.touching(spans, spans).distinct().count() == 40_000
+    pairs = pii._in_blocks(spans, "start", "end").join(pii._in_blocks(spans, "start", "end").selectExpr("key", "block", "start s"), ["key", "block"]).count()
+    assert pairs < 40_000 * 60
+
+
+def test_long_words_take_linear_time(spark):
+    rows = [(1, "a" * 300_000 + " b"), (2, "x " + "é" * 300_000 + " 123456 " + "y" * 200_000), (3, "-" * 100_000 + "1")]
+    got = found(spark, rows, "base")
+    assert {k: [kind for _, _, kind, _ in v] for k, v in got.items()} == {1: [], 2: [], 3: []}
+
+
 def test_plan_is_native(spark):
     plan = pii.find_personal_data(docs(spark, [(1, "a@b.cc")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
