@@ -26,21 +26,29 @@ def in_tasks(rows: DataFrame, f: Callable, schema) -> DataFrame:
     return rows.mapInArrow(f, schema)
 
 
+def cuts(sizes, most: int) -> list[tuple[int, int]]:
+    """Runs of rows whose sizes sum up to about ``most``, one row at least: (begin, end)."""
+    import numpy as np
+
+    if not len(sizes):
+        return []
+    block = np.cumsum(np.asarray(sizes, np.int64)) // most
+    at = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(sizes)]
+    return list(zip(at, at[1:]))
+
+
 def parts(batches: Iterable[pa.RecordBatch], text: str = "text", chars: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of the batches that hold about ``chars`` bytes of ``text`` each, one row at least.
 
-    A task's memory then depends on the longest text and not on the rows of a batch.
+    A batch that arrives is bounded by bytes too: Spark ends it at 64 MB or after one row
+    (``spark.sql.execution.arrow.maxBytesPerBatch``).  A task's memory then depends on the
+    longest text and not on the rows of a batch.
     """
-    import numpy as np
     import pyarrow.compute as pc
 
     for batch in batches:
-        if not batch.num_rows:
-            continue
         size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-        block = np.cumsum(size.astype(np.int64)) // chars
-        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
-        for a, b in zip(cuts, cuts[1:]):
+        for a, b in cuts(size, chars):
             yield batch.slice(a, b - a)
 
 

@@ -8,11 +8,12 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow import in_tasks, parts, texts
+from .arrow import cuts, in_tasks, parts, texts
 
 _NONE = np.int32(2**31 - 1)
 _EMPTY = np.uint64(2**64 - 1)
@@ -20,6 +21,7 @@ _BITS = 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _WIDTHS = (2, 3, 4, 6, 8, 12, 16, 24, 32, 64, 128, 256)   # length buckets in bytes
 _LONG = _WIDTHS[-1]
+_DECODED_AT_ONCE = 2_000_000       # ids; a token of up to 128 bytes keeps a slice far under 2 GB
 
 
 class Ranks:
@@ -231,7 +233,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
-    """The rows with the bytes of their ids in the binary column ``to`` (null ids: no bytes)."""
+    """The rows with the bytes of their ids in the binary column ``to`` (null ids: no bytes).
+
+    Rows are decoded in slices of about two million ids, one row at least.
+    """
     sc = encoded.sparkSession.sparkContext
     with open(ranks_path, "rb") as f:
         table = sc.broadcast(f.read())
@@ -242,12 +247,11 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", to: str =
     def run(batches):
         ranks = _load(table.value)
         for batch in batches:
-            for a in range(0, batch.num_rows, 512):
-                part = batch.slice(a, 512)
-                lists = part.column(at)
-                count = np.array([0 if x is None else x for x in lists.value_lengths().to_pylist()], np.int64)
-                data, length = ranks.decode(lists.flatten().to_numpy(zero_copy_only=False))
-                edge = np.concatenate(([0], np.cumsum(length)))[np.concatenate(([0], np.cumsum(count)))]
+            count = pc.fill_null(pc.list_value_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for a, b in cuts(count, _DECODED_AT_ONCE):
+                part = batch.slice(a, b - a)
+                data, length = ranks.decode(part.column(at).flatten().to_numpy(zero_copy_only=False))
+                edge = np.concatenate(([0], np.cumsum(length)))[np.concatenate(([0], np.cumsum(count[a:b])))]
                 out = pa.Array.from_buffers(pa.binary(), part.num_rows,
                                             [None, pa.py_buffer(edge.astype(np.int32)), pa.py_buffer(data)])
                 yield pa.RecordBatch.from_arrays([*part.columns, out], [*part.schema.names, "out"])

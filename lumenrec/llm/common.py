@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from typing import ClassVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,13 +73,37 @@ class Scratch:
     """Written intermediate tables of one run in the shared folder.
 
     A written table cuts the lineage: a lost executor costs a re-read, never the whole chain.
+    Results read these tables when they are computed, so they stay until :func:`release`.
     """
 
+    _made: ClassVar[list[Scratch]] = []
+
     def __init__(self, spark: SparkSession, what: str):
         self.spark = spark
         self.root = f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+        if not Scratch._made:
+            atexit.register(release)
+        Scratch._made.append(self)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release() -> int:
+    """Delete the intermediate tables of all runs so far; returns of how many.
+
+    For when their results have been written or collected; the end of the process does it too.
+    """
+    some, Scratch._made[:] = list(Scratch._made), []
+    done = 0
+    for scratch in some:
+        if scratch.spark.sparkContext._jsc is not None:        # a stopped session cannot delete
+            scratch.remove()
+            done += 1
+    return done

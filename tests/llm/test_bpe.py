@@ -3,10 +3,12 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
 from lumenrec.llm import bpe
+from lumenrec.llm.arrow import cuts
 from tests.llm.helpers import docs, edge_rows
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -55,3 +57,31 @@ def test_documents(spark, reference):
     want = sorted(((d, reference.encode_ordinary(t or ""), (t or "").encode()) for d, t in rows), key=repr)
     assert sorted(((r.doc_id, list(r.ids), bytes(r.decoded)) for r in got), key=repr) == want
     assert bpe.decode(bpe.encode(docs(spark, []), PATH, public_tokenizers.PATTERN), PATH).count() == 0
+
+
+def test_decode_slices_by_ids(spark, monkeypatch):
+    """Rows of very different sizes, several to a slice and one over many; null ids."""
+    rnd = random.Random(3)
+    lists = [[rnd.randrange(50_000) for _ in range(rnd.choice((0, 1, 5, 400)))] for _ in range(60)] + [None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "doc_id int, ids array<int>").coalesce(1)
+    plain = {r.doc_id: bytes(r.decoded) for r in bpe.decode(df, PATH).collect()}
+    ranks = bpe.Ranks(open(PATH, "rb").read())
+    assert plain == {i: ranks.decode(np.array(x or [], np.int32))[0].tobytes() for i, x in enumerate(lists)}
+
+
+def test_cuts_keep_every_row_and_their_bound():
+    rnd = np.random.default_rng(2)
+    for sizes in ([], [5], [0, 0, 0], [10**9, 1, 10**9], rnd.integers(0, 50, 300)):
+        got = cuts(sizes, 100)
+        assert [i for a, b in got for i in range(a, b)] == list(range(len(sizes)))
+        assert all(b - a == 1 or sum(sizes[a:b]) < 200 + max(sizes) for a, b in got)
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    """What ``parts`` relies on: Spark ends a batch at 64 MB whatever its rows."""
+    def count(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+    df = spark.range(150).selectExpr("repeat('x', 1000000) AS t").coalesce(1)
+    got = [r.n for r in df.mapInArrow(count, "n long").collect()]
+    assert len(got) > 1 and max(got) < 80_000_000
