@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -104,7 +106,42 @@ SENTENCES = [
     ("ccbysa4-notice", "Licensed under CC BY-SA 4.0."),
     ("ccbync4-notice", "Licensed under CC BY-NC 4.0."),
     ("cc0-notice", "Released under CC0 1.0."),
+    ("spdx-tag", "SPDX-License-Identifier:"),
 ]
+# ---- fixed values: licences with the names that notices give them --------------------------
+NAMES = {
+    "Apache-2.0": ["Apache License 2.0", "Apache License, Version 2.0", "Apache 2.0 License", "Apache-2.0 License"],
+    "MIT": ["MIT License", "MIT license (MIT)"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "Simplified BSD License", "2-Clause BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "New BSD License", "Modified BSD License", "3-Clause BSD License"],
+    "GPL-2.0-only": ["GNU General Public License v2.0", "GNU General Public License, version 2", "GPL v2", "GPLv2", "GPLv2 license"],
+    "GPL-3.0-only": ["GNU General Public License v3.0", "GNU General Public License, version 3", "GPL v3", "GPLv3", "GPLv3 license"],
+    "LGPL-2.1-only": ["GNU Lesser General Public License v2.1", "LGPL v2.1", "LGPLv2.1"],
+    "LGPL-3.0-only": ["GNU Lesser General Public License v3.0", "LGPL v3", "LGPLv3"],
+    "AGPL-3.0-only": ["GNU Affero General Public License v3.0", "AGPL v3", "AGPLv3"],
+    "MPL-2.0": ["Mozilla Public License 2.0", "Mozilla Public License, version 2.0", "MPL 2.0"],
+    "ISC": ["ISC License"], "Zlib": ["zlib License"], "Unlicense": ["Unlicense"], "BSL-1.0": ["Boost Software License 1.0"],
+    "EPL-2.0": ["Eclipse Public License 2.0"], "CC0-1.0": ["CC0 1.0 Universal license"],
+    "CC-BY-4.0": ["Creative Commons Attribution 4.0 International License"],
+    "CC-BY-SA-4.0": ["Creative Commons Attribution-ShareAlike 4.0 International License"],
+}
+OR_LATER = ["GPL-2.0-or-later", "GPL-3.0-or-later", "LGPL-2.1-or-later", "LGPL-3.0-or-later", "AGPL-3.0-or-later"]
+SUBJECTS = ["", "It is", *[f"This {x} is" for x in ("project", "software", "program", "library", "package", "work", "code", "file", "repository")]]
+VERBS = ["licensed under", "released under", "distributed under", "available under"]
+ENDINGS = ["", " - see the LICENSE file for details", " - see the [LICENSE](LICENSE) file for details", ", see LICENSE for details"]
+DUAL = [("MIT", "GPL"), ("MIT", "Apache 2.0"), ("MIT", "Apache-2.0"), ("MIT", "BSD"), ("GPL", "MIT"), ("Apache 2.0", "MIT"), ("Apache-2.0", "MIT")]
+DUAL_NAMES = {"Apache 2.0": "Apache-2.0"}
+# ---------------------------------------------------------------------------------------------
+# short notices, tags and expressions follow from the names by rule
+_TAGS = [*NAMES, *OR_LATER]
+_KNOWN = {tuple(re.findall("[a-z0-9]+", text.lower())) for _, text in SENTENCES}
+SENTENCES += [(f"notice-{name}", text)
+              for name, longs in NAMES.items() for long in longs for subject in SUBJECTS for verb in VERBS for ending in ENDINGS
+              if tuple(re.findall("[a-z0-9]+", (text := f"{subject} {verb} the {long}{ending}.").lower())) not in _KNOWN]
+SENTENCES += [(f"id-{name}", name) for name in _TAGS]
+SENTENCES += [(f"expr-{a}-{op}-{b}", f"{a} {op} {b}") for a in _TAGS for b in _TAGS if a != b for op in ("OR", "AND")]
+SENTENCES += [(f"dual-{DUAL_NAMES.get(a, a)}-{DUAL_NAMES.get(b, b)}", f"{start} {verb} the {a} and {b} licenses.")
+              for a, b in DUAL for verb in ("licensed under", "released under") for start in ("Dual", "Dually")]
 # ---- fixed values: ordered rules (rule, licence, sentence identifiers), the longer ones first --
 RULES = [
     ("apache-header", "Apache-2.0", ["apache-1", "apache-2", "apache-3", "apache-4"]),
@@ -142,6 +179,10 @@ RULES = [
     ("ccbync-notice", "CC-BY-NC-4.0", ["ccbync4-notice"]),
     ("cc0-notice", "CC0-1.0", ["cc0-notice"]),
 ]
+RULES += [(f"notice-{name}", name, [f"notice-{name}"]) for name in NAMES]
+RULES += [(f"tag-{name}", name, ["spdx-tag", f"id-{name}"]) for name in _TAGS]
+RULES += [(f"expr-{a}-{op}-{b}", f"{a} {op} {b}", [f"expr-{a}-{op}-{b}"]) for a in _TAGS for b in _TAGS if a != b for op in ("OR", "AND")]
+RULES += [(f"dual-{a}-{b}", f"{a} OR {b}", [f"dual-{a}-{b}"]) for a, b in dict.fromkeys(tuple(DUAL_NAMES.get(x, x) for x in p) for p in DUAL)]
 
 _END = "\x1e"
 VIEWS = ("line", "paragraph")
@@ -168,8 +209,17 @@ def sentences(text: Column, view: str) -> Column:
 
 
 def _rule_pattern(ids: list[str]) -> str:
-    """The identifiers in order; between two of them one run of unknown sentences may stand."""
-    return "(^| )" + " (~ )?".join(ids) + " "
+    """The identifiers in order, each between spaces of its own; between two of them one run of
+    unknown sentences may stand."""
+    return "( ~ )?".join(f" {re.escape(i)} " for i in ids)
+
+
+def _longer(ids: list[str], rules: list[tuple[str, str, list[str]]]) -> list[str]:
+    """The patterns of the rules that hold the identifiers in a row and more, the longest first."""
+    def holds(other: list[str]) -> bool:
+        return len(other) > len(ids) and any(other[k:k + len(ids)] == ids for k in range(len(other)))
+
+    return [_rule_pattern(r[2]) for r in sorted(rules, key=lambda r: -len(r[2])) if holds(r[2])]
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -177,7 +227,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   rules: list[tuple[str, str, list[str]]] = RULES) -> DataFrame:
     """Per row: ``id_col``, n_known (known sentences in the line view), line_ids and paragraph_ids
     (identifier sequences; ``~`` stands for unknown sentences in between), rules and licenses
-    (arrays, in the order of ``rules``; a licence once).
+    (arrays, in the order of ``rules``; a licence once).  A rule whose matches all lie inside those
+    of longer rules is dropped.
 
     Null or empty text has no sentences.  Rows with the same id and text share one result; null
     ids are kept; an empty table gives an empty result; other columns are ignored.
@@ -210,15 +261,26 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 s["sid"], F.lit(" ")).alias("out")))
         return gap["out"].alias(f"{view}_ids")
 
-    per = hits.groupBy("id", "tk").agg(*[sequence(v) for v in VIEWS])
-    per = per.select("id", "tk", F.size("line").cast("long").alias("n_known"), *[rendered(v) for v in VIEWS])
-    matched = [F.when(F.col("line_ids").rlike(_rule_pattern(ids)) | F.col("paragraph_ids").rlike(_rule_pattern(ids)),
-                      F.struct(F.lit(rule).alias("rule"), F.lit(name).alias("license")))
-               for rule, name, ids in rules]
-    per = per.select("id", "tk", "n_known", "line_ids", "paragraph_ids",
-                     F.filter(F.array(*matched), lambda m: m.isNotNull()).alias("m"))
-    per = per.select(F.col("id").alias("p_id"), F.col("tk").alias("p_tk"), "n_known", "line_ids", "paragraph_ids",
-                     F.col("m.rule").alias("rules"), F.array_distinct(F.col("m.license")).alias("licenses"))
+    per = hits.groupBy("id", "tk").agg(*[sequence(v) for v in VIEWS], F.collect_set("sid").alias("sids"))
+    per = per.select("id", "tk", "sids", F.size("line").cast("long").alias("n_known"), *[rendered(v) for v in VIEWS])
+    book = spark.createDataFrame([(i, rule, name, ids[0], _rule_pattern(ids), _longer(ids, rules)) for i, (rule, name, ids) in enumerate(rules)],
+                                 "ord int, rule string, license string, sid string, pattern string, longer array<string>")
+    # a text meets the rules that begin with one of its identifiers
+    tried = per.select("id", "tk", "line_ids", "paragraph_ids", F.explode("sids").alias("sid")).join(F.broadcast(book), "sid")
+    for v in VIEWS:
+        spaced = F.regexp_replace(f"{v}_ids", r"(\S+) ", " $1 ")
+        free = F.aggregate("longer", spaced, lambda seq, p: F.regexp_replace(seq, p, F.lit(" # ")))
+        tried = tried.withColumns({f"{v}_all": F.regexp_count(spaced, F.col("pattern")), f"{v}_free": F.regexp_count(free, F.col("pattern"))})
+    # the view that shows the rule most often decides whether it stands outside longer matches
+    first, second = VIEWS
+    by_first = (F.col(f"{first}_all") > F.col(f"{second}_all")) | (
+        (F.col(f"{first}_all") == F.col(f"{second}_all")) & (F.col(f"{first}_free") <= F.col(f"{second}_free")))
+    kept = tried.filter(F.when(by_first, F.col(f"{first}_free")).otherwise(F.col(f"{second}_free")) > 0)
+    found = kept.groupBy("id", "tk").agg(F.array_sort(F.collect_set(F.struct("ord", "rule", "license"))).alias("m"))
+    found = found.select(F.col("id").alias("f_id"), F.col("tk").alias("f_tk"), F.col("m.rule").alias("rules"),
+                         F.array_distinct(F.col("m.license")).alias("licenses"))
+    per = per.join(found, F.col("id").eqNullSafe(F.col("f_id")) & (F.col("tk") == F.col("f_tk")), "left")
+    per = per.select(F.col("id").alias("p_id"), F.col("tk").alias("p_tk"), "n_known", "line_ids", "paragraph_ids", "rules", "licenses")
     out = rows.select("id", "tk").join(per, F.col("id").eqNullSafe(F.col("p_id")) & (F.col("tk") == F.col("p_tk")), "left")
     none = F.array().cast("array<string>")
     return out.select(F.col("id").alias(id_col), F.coalesce("n_known", F.lit(0).cast("long")).alias("n_known"),
@@ -244,7 +306,18 @@ def oracle_sql() -> str:
     para = ("string_split(" + ends("replace(regexp_replace(text, '\\n[\\x20\\x09\\x0B-\\x0D]*\\n', chr(30), 'g'), "
                                    "chr(10), ' ')") + ", chr(30))")
     known = ", ".join(f"({lit(i)}, {lit(s)})" for i, s in SENTENCES)
-    rules = ", ".join(f"({i}, {lit(r)}, {lit(n)}, {lit(_rule_pattern(ids))})" for i, (r, n, ids) in enumerate(RULES))
+    rules = ", ".join(f"({i}, {lit(r)}, {lit(n)}, {lit(ids[0])}, {lit(_rule_pattern(ids))}, [{', '.join(map(lit, _longer(ids, RULES)))}]::VARCHAR[])"
+                      for i, (r, n, ids) in enumerate(RULES))
+
+    def spaced(v):
+        return rf"regexp_replace({v}_ids, '(\S+) ', ' \1 ', 'g')"
+
+    def count(e):
+        return f"len(regexp_extract_all({e}, pattern))"
+
+    def free(v):
+        return f"list_reduce(list_prepend({spaced(v)}, longer), lambda seq, p: regexp_replace(seq, p, ' # ', 'g'))"
+
     view = "SELECT doc_id, '{v}' AS view, unnest({s}) AS raw, unnest(range(len({s}))) AS pos FROM documents"
     return f"""
 WITH known AS (SELECT DISTINCT sid, {norm('raw')} AS sentence FROM (VALUES {known}) v(sid, raw)),
@@ -258,9 +331,13 @@ q AS (SELECT doc_id, count(*) FILTER (WHERE view = 'line') AS n_known,
              coalesce(string_agg(CASE WHEN step > 1 THEN '~ ' ELSE '' END || sid || ' ', '' ORDER BY pos)
                       FILTER (WHERE view = 'paragraph'), '') AS paragraph_ids
       FROM h GROUP BY doc_id),
-rules(ord, rule, license, pattern) AS (VALUES {rules}),
-m AS (SELECT q.doc_id, ord, rule, license FROM q JOIN rules
-      ON regexp_matches(line_ids, pattern) OR regexp_matches(paragraph_ids, pattern)),
+rules(ord, rule, license, sid, pattern, longer) AS (VALUES {rules}),
+c AS (SELECT DISTINCT doc_id, sid FROM h),
+x AS (SELECT q.doc_id, ord, rule, license, {count(spaced('line'))} AS la, {count(spaced('paragraph'))} AS pa,
+             {count(free('line'))} AS lf, {count(free('paragraph'))} AS pf
+      FROM c JOIN rules USING (sid) JOIN q ON q.doc_id = c.doc_id),
+m AS (SELECT DISTINCT doc_id, ord, rule, license FROM x
+      WHERE CASE WHEN la > pa OR (la = pa AND lf <= pf) THEN lf ELSE pf END > 0),
 l AS (SELECT doc_id, license, min(ord) AS ord FROM m GROUP BY doc_id, license),
 r AS (SELECT doc_id, string_agg(rule, ',' ORDER BY ord) AS rules FROM m GROUP BY doc_id),
 n AS (SELECT doc_id, string_agg(license, ',' ORDER BY ord) AS licenses FROM l GROUP BY doc_id)

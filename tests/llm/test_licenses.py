@@ -22,7 +22,7 @@ def test_rules_in_order(spark):
     assert got[1].licenses == ["MIT"] and got[1].line_ids == "mit-notice"
     assert got[2].rules[0] == "apache-header" and got[2].licenses == ["Apache-2.0"]
     assert got[3].licenses == ["Apache-2.0"]
-    assert got[4].rules == ["bsd-3", "bsd-2"] and got[4].licenses == ["BSD-3-Clause", "BSD-2-Clause"]
+    assert got[4].rules == ["bsd-3"] and got[4].licenses == ["BSD-3-Clause"]      # the shorter rule lies inside
     assert got[5].rules == [] and got[5].n_known == 3
     assert got[6].licenses == ["MIT"]
     assert got[7].licenses == ["GPL-3.0-only", "CC-BY-NC-4.0"] and got[7].line_ids == "ccbync4-notice ~ gpl3-notice"
@@ -124,3 +124,75 @@ def test_no_known_sentence_or_rule_is_dead(spark):
     by_sentence = {}
     for r in table.select("sid", licenses.normalised(F.col("raw")).alias("s")).collect():
         assert by_sentence.setdefault(r.s, r.sid) == r.sid
+
+
+def test_tags_expressions_and_short_notices(spark):
+    cases = [("SPDX-License-Identifier: Apache-2.0", ["Apache-2.0"]), ("// SPDX-License-Identifier: MIT\nint x;", ["MIT"]),
+             ("# SPDX-License-Identifier: GPL-2.0-or-later", ["GPL-2.0-or-later"]), ("MIT OR Apache-2.0", ["MIT OR Apache-2.0"]),
+             ("/* SPDX-License-Identifier: MIT OR Apache-2.0 */", ["MIT OR Apache-2.0"]),
+             ("This project is licensed under the MIT License - see the LICENSE file for details.", ["MIT"]),
+             ("This project is licensed under the MIT License - see the [LICENSE](LICENSE) file for details", ["MIT"]),
+             ("This file is licensed under the Mozilla Public License 2.0.", ["MPL-2.0"]),
+             ("Dual licensed under the MIT and GPL licenses.", ["MIT OR GPL"]),
+             ("It is distributed under the GNU General Public License v3.0.", ["GPL-3.0-only"]),
+             ("This software is released under the BSD 3-Clause License.", ["BSD-3-Clause"]),
+             ("MIT", []), ("The Apache-2.0 was a rocket", []), ("SPDX-License-Identifier: unheard-of", []),
+             ("SPDX-License-Identifier:\n\nOther words.\nMIT", ["MIT"])]         # one run of unknown sentences may stand between
+    got = scan(spark, [(i, t) for i, (t, _) in enumerate(cases)])
+    assert [(t, got[i].licenses) for i, (t, _) in enumerate(cases)] == cases
+
+
+def test_a_rule_inside_a_longer_one_is_dropped_only_there(spark):
+    three = [BY_ID[s] for s in ("bsd-1", "bsd-source", "bsd-binary", "bsd-names")]
+    rows = [(1, "\n".join(three)), (2, "\n".join(three[:3])), (3, "\n".join([*three, "Another part.", *three[:3]])),
+            (4, "\n".join([*three[:3], "Another part.", *three])), (5, "\n".join(three * 2)),
+            (6, "\n".join([BY_ID["mit-title"], BY_ID["mit-1"], BY_ID["mit-2"], BY_ID["as-is-mit"]]))]
+    got = scan(spark, rows)
+    assert [got[i].rules for i in (1, 2, 3, 4, 5)] == [["bsd-3"], ["bsd-2"], ["bsd-3", "bsd-2"], ["bsd-3", "bsd-2"], ["bsd-3"]]
+    assert got[6].rules == ["mit-text-split", "mit-title"]         # overlaps, but lies in none; mit-end lies inside
+
+
+def brute_rules(line, paragraph):
+    """Occurrences as intervals of the sequences; a rule stays if one of the deciding view's lies in no longer rule's."""
+    def spans(seq, ids):
+        out, i = [], 0
+        while i < len(seq):
+            j, k = i, 0
+            while j < len(seq) and k < len(ids):
+                if seq[j] == ids[k]:
+                    k, j = k + 1, j + 1
+                elif seq[j] == "~" and 0 < k:
+                    j += 1
+                else:
+                    break
+            if k == len(ids):
+                out.append((i, j))
+                i = j
+            else:
+                i += 1
+        return out
+    found = []
+    for rule, _, ids in licenses.RULES:
+        longer = sorted((r[2] for r in licenses.RULES if len(r[2]) > len(ids) and any(r[2][k:k + len(ids)] == ids for k in range(len(r[2])))), key=len, reverse=True)
+        views = []
+        for seq in (line, paragraph):
+            rest = list(seq)
+            for other in longer:
+                for a, b in spans(rest, other):
+                    rest[a:b] = ["#"] + [""] * (b - a - 1)
+                rest = [x for x in rest if x]
+            views.append((len(spans(seq, ids)), -len(spans(rest, ids))))
+        if -max(views)[1] > 0 and max(views)[0]:
+            found.append(rule)
+    return found
+
+
+def test_rules_against_brute_force(spark):
+    import random
+    rnd = random.Random(5)
+    bits = [BY_ID[s] for s in ("bsd-1", "bsd-source", "bsd-binary", "bsd-names", "mit-title", "mit-1", "mit-2", "as-is-mit", "apache-at", "apache-url",
+                               "apache-3", "apache-4", "apache-1", "spdx-tag", "id-MIT", "gpl3-or-later", "gpl-hope", "gpl-see")] + ["Other words.", "And more."]
+    rows = [(i, "\n".join(rnd.choice(bits) if rnd.random() < 0.5 else " ".join(bits[a:a + rnd.randrange(1, 5)])
+                          for a in [rnd.randrange(len(bits)) for _ in range(rnd.randrange(1, 9))])) for i in range(150)]
+    for r in scan(spark, rows).values():
+        assert r.rules == brute_rules(r.line_ids.split(), r.paragraph_ids.split()), r
