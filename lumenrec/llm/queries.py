@@ -36,7 +36,7 @@ def _of(*kinds):
 
 @_query
 def op1_secret_scan(spark, sf_dir):
-    out = secret_scan.scan_secrets(documents(spark, sf_dir))
+    out = secret_scan.scan_secrets(documents(spark, sf_dir), lang_col="lang")
     return out.select("doc_id", *[F.size(F.filter("spans", _of(k))).cast("long").alias(f"n_{k}") for k in secret_scan.KINDS],
                       _sha(_spans(F.filter("spans", _of(*secret_scan.KINDS)))).alias("base_sha256"),
                       _spans(F.col("spans")).alias("spans"))

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,7 +44,7 @@ purple orange yellow green black white silver golden tiger eagle mustang ranger
 joshua matthew jessica ashley amanda nicole samsung google apple windows linux the and for you are with""".split()
 _RANK = {w: i + 1 for i, w in reversed(list(enumerate(WORDS)))}
 _RANK |= {w: min(i + 1, _RANK.get(w, i + 1)) for i, w in reversed(list(enumerate(COMMON_WORDS)))}
-_LONGEST = max(map(len, _RANK))
+_LONGEST = max(24, *map(len, _RANK))
 _LEET = str.maketrans("04@31!$57", "oaaeiisst")
 _ROWS = ("1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 _DATE = re.compile(r"(?:19|20)\d\d(?:([-/._ ]?)(?:0?[1-9]|1[0-2])\1(?:0?[1-9]|[12]\d|3[01]))?"
@@ -89,16 +89,19 @@ def _char_bits(value: str) -> float:
     return math.log2(max(n, 10))
 
 
-def _short_segments(value: str) -> list[list[tuple[int, float, str]]]:
+Ranks = Mapping[str, int]
+
+
+def _short_segments(value: str, ranks: Ranks = _RANK) -> list[list[tuple[int, float, str]]]:
     """For each end position the (start, bits, kind) of the words, dates and separators that end there."""
     n = len(value)
     ends: list[list[tuple[int, float, str]]] = [[] for _ in range(n + 1)]
     low = value.lower()
-    plain = low.translate(_LEET)
+    plain = low.translate(_LEET) if len(low) == n else low
     for i in range(n):
         for j in range(i + 3, min(n, i + _LONGEST) + 1):
             for form, extra in ((low, 0.0), (plain, 2.0)):
-                rank = _RANK.get(form[i:j])
+                rank = ranks.get(form[i:j])
                 if rank and not (extra and plain[i:j] == low[i:j]):
                     case = 0.0 if value[i:j] == low[i:j] else 1.0 if value[i + 1:j] == low[i + 1:j] else 2.0
                     ends[j].append((i, math.log2(rank + 1) + extra + case, "word"))
@@ -165,7 +168,7 @@ class _Starts:
         return least
 
 
-def guess_bits(value: str) -> float:
+def guess_bits(value: str, ranks: Ranks = _RANK) -> float:
     """Binary logarithm of the guesses for ``value`` by its cheapest segmentation.
 
     Dynamic programming over end positions; brute-forced characters run on in one segment, any
@@ -177,7 +180,7 @@ def guess_bits(value: str) -> float:
     if not value:
         return 0.0
     bits, low, n = _char_bits(value), value.lower(), len(value)
-    ends = _short_segments(value)
+    ends = _short_segments(value, ranks)
     inf = float("inf")
     best = [0.0] + [inf] * n          # cheapest up to here
     brute = [inf] * (n + 1)           # the same, ending in a brute-force span
@@ -203,7 +206,36 @@ def guess_bits(value: str) -> float:
     return best[-1]
 
 
-def find_spans(text: str, min_bits: float) -> list[tuple[int, int, str, float | None]]:
+# a reference: an address with a scheme, or a path of names with dots, arrows, calls or brackets
+_URL = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://[^\s@?#]+")
+_PATH = re.compile(r"""[A-Za-z_$][\w$-]*(?:(?:\.|::|->|/)[A-Za-z_$][\w$-]*|\[["']?[\w$-]+["']?\]|\(["'][\w$-]+["']\)|\(\))+""")
+_BETWEEN = re.compile(r"""[./\[\]"'():>]+|->""")
+
+
+def _worded(part: str, ranks: Ranks) -> bool:
+    """Whether a name is one or two letters, or words, up to three digits each, and separators alone."""
+    if len(part) <= 2 and part.isalpha():
+        return True
+    whole = [True] + [False] * len(part)
+    for j, some in enumerate(_short_segments(part, ranks)):
+        whole[j] = whole[j] or any(whole[i] for i, _, kind in some if kind in ("word", "separator"))
+        if j and not whole[j]:
+            whole[j] = any(whole[i] and part[i:j].isdigit() for i in range(max(0, j - 3), j))
+    return whole[-1]
+
+
+def value_bits(value: str, ranks: Ranks = _RANK) -> float:
+    """:func:`guess_bits` of a credential value.  A reference (an address, or a path of names such as
+    a setting's) all of whose parts are made of words names no secret as a whole: it counts as its
+    most costly part, whatever its case."""
+    if _URL.fullmatch(value) or _PATH.fullmatch(value):
+        names = [p for p in _BETWEEN.split(value.partition("://")[2] or value) if p]
+        if len(names) > 1 and all(_worded(p, ranks) for p in names):
+            return max(guess_bits(p.lower(), ranks) for p in names)
+    return guess_bits(value, ranks)
+
+
+def find_spans(text: str, min_bits: float, ranks: Ranks = _RANK) -> list[tuple[int, int, str, float | None]]:
     """(start, end, kind, bits) in order of start, kind, end; bits for contextual values alone."""
     out: list[tuple[int, int, int, float | None]] = []
     if ":" in text or "=" in text:
@@ -212,7 +244,9 @@ def find_spans(text: str, min_bits: float) -> list[tuple[int, int, str, float |
             out += [(m.start(), 0, m.end(), None) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 8]
             for m in _CONTEXT.finditer(text):
                 value = m[1].rstrip("\"'`,;.)]}>")
-                if len(value) >= 6 and (bits := guess_bits(value)) >= min_bits:
+                if value != m[1] and _PATH.fullmatch(m[1].rstrip("`,;.")):
+                    value = m[1].rstrip("`,;.")          # the brackets are the reference's own
+                if len(value) >= 6 and (bits := value_bits(value, ranks)) >= min_bits:
                     out.append((m.start(1), 3, m.start(1) + len(value), round(bits, 3)))
     if "AKIA" in text:
         out += [(m.start(), 1, m.end(), None) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 16]
@@ -221,11 +255,44 @@ def find_spans(text: str, min_bits: float) -> list[tuple[int, int, str, float |
     return [(a, e, names[k], bits) for a, k, e, bits in sorted(out, key=lambda s: s[:3])]
 
 
+# ---- words of the corpus ------------------------------------------------------------------------
+
+WORDS_EACH, WORDS_ALL, WORD_DOCS = 30_000, 100_000, 5
+
+
+def corpus_words(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", each: int = WORDS_EACH,
+                 most: int = WORDS_ALL, min_docs: int = WORD_DOCS) -> DataFrame:
+    """The commonest words per language by the documents that hold them: (word, rank).
+
+    Words are three to twenty letters, lower-cased, outside credential values (so a secret that is
+    copied often is no word); every document counts.  A word's rank is its best place in a
+    language.  At most ``each`` words of a language and ``most`` in all are kept, so the table can
+    be sent to every task.  Documents' words are made distinct and summed up before the shuffle.
+    """
+    plain = F.lower(F.regexp_replace(F.col(text_col), _CONTEXT.pattern, " "))
+    rows = docs.select(F.coalesce(F.col(lang_col), F.lit("")).alias("lang"), F.array_distinct(F.regexp_extract_all(plain, F.lit(r"\p{L}+"), F.lit(0))).alias("w"))
+    words = rows.select("lang", F.explode("w").alias("word")).filter(F.char_length("word").between(3, 20))
+    counts = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
+    ranked = counts.withColumn("rank", place).filter(F.col("rank") <= each)
+    return ranked.groupBy("word").agg(F.min("rank").alias("rank")).orderBy("rank", "word").limit(most)
+
+
+def _ranks(docs: DataFrame, text_col: str, lang_col: str | None):
+    """Broadcast ranks of the fixed and the corpus's words (a bounded table)."""
+    found = {r["word"]: r["rank"] for r in corpus_words(docs, text_col, lang_col).collect()} if lang_col else {}
+    # a word guessed from a language's list costs a choice of the list as well
+    ranks = dict(_RANK)
+    for w, r in found.items():
+        ranks[w] = min(2 * r, ranks.get(w, 2 * r))
+    return docs.sparkSession.sparkContext.broadcast(ranks)
+
+
 _SPAN = "array<struct<start:int,end:int,kind:string,bits:double>>"
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 min_bits: float = 40.0) -> DataFrame:
+                 min_bits: float = 40.0, lang_col: str | None = None) -> DataFrame:
     """Per row: ``id_col`` and spans, an array of (start, end, kind, bits) in order.
 
     Kinds: assign, access and hex are the fixed formats (whole match); guess is a value in a
@@ -233,16 +300,19 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Offsets are code points, end exclusive.
 
     Null or empty text has no spans.  Rows are judged one by one, so repeated rows and null ids
-    need no rule; an empty table gives an empty result; other columns are ignored.  Each task
-    reads its own rows in slices of about two million bytes; nothing is shuffled.
+    need no rule; an empty table gives an empty result; other columns are ignored.  With
+    ``lang_col`` (null: a language of its own) words are, besides the fixed list's, the commonest of
+    ``docs`` per language (:func:`corpus_words`).  Word counts are all that is shuffled; each
+    task then reads its own rows in slices of about two million bytes.
     """
+    ranks = _ranks(docs, text_col, lang_col)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = T.StructType([rows.schema["id"], T.StructField("spans", T._parse_datatype_string(_SPAN))])
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("bits", pa.float64())]))
 
     def scan(batches):
         for part in parts(batches):
-            found = [[dict(zip(("start", "end", "kind", "bits"), s)) for s in find_spans(t, min_bits)]
+            found = [[dict(zip(("start", "end", "kind", "bits"), s)) for s in find_spans(t, min_bits, ranks.value)]
                      for t in texts(part)]
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(found, kind)], ["id", "spans"])
 
@@ -261,21 +331,22 @@ def redact(text: str, spans: list[tuple], marker: str) -> str:
 
 
 def redact_secrets(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars",
-                   marker: str = "[SECRET]", min_bits: float = 40.0) -> DataFrame:
+                   marker: str = "[SECRET]", min_bits: float = 40.0, lang_col: str | None = None) -> DataFrame:
     """The rows with secrets replaced by ``marker`` in the text; every other column unchanged,
     but for ``chars_col`` (if there is one), the new count of code points.
 
-    Null text stays null.  Column names may repeat or clash with this function's own: rows pass
+    ``lang_col`` as for :func:`scan_secrets`.  Null text stays null.  Column names may repeat or clash with this function's own: rows pass
     as whole batches and columns are taken by their place.
     """
     at = docs.columns.index(text_col)
     chars = docs.columns.index(chars_col) if chars_col in docs.columns else None
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    ranks = _ranks(plain, f"c{at}", f"c{docs.columns.index(lang_col)}" if lang_col else None)
 
     def rewrite(batches):
         for part in parts(batches, f"c{at}"):
             columns = list(part.columns)
-            new = [None if t is None else redact(t, find_spans(t, min_bits), marker)
+            new = [None if t is None else redact(t, find_spans(t, min_bits, ranks.value), marker)
                    for t in part.column(at).to_pylist()]
             columns[at] = pa.array(new, part.schema.field(at).type)
             if chars is not None:

@@ -126,3 +126,60 @@ def test_ordinary_words_are_no_secrets():
 
 def test_long_runs_are_linear():
     assert s.guess_bits("a" * 100_000) < 30 and s.guess_bits("1" * 50_000) < 30 and s.guess_bits("qwerty" * 10_000) > 30
+
+
+WORDS = {"de": "bundes verfassungs gericht benutzer verwaltung schlüssel größe", "es": "identificador usuario contraseña administración",
+         "fr": "utilisateur authentification clé déploiement", "en": "session handler middleware provider"}
+
+
+def corpus(n=30):
+    rnd = random.Random(3)
+    rows = []
+    for lang, some in WORDS.items():
+        for i in range(n):
+            words = some.split() * 2 + [f"{lang}{rnd.randrange(50)}" for _ in range(10)]
+            rnd.shuffle(words)
+            rows.append((len(rows), " ".join(words) + " auth: qmzkvjxhbwtgr", lang, "s"))
+    return rows
+
+
+def test_corpus_words_per_language(spark):
+    rows = [*corpus(), (900, None, "de", "s"), (901, "", None, "s"), (902, "seldom seldom seldom", "de", "s")]
+    got = {r.word: r.rank for r in s.corpus_words(docs(spark, rows)).collect()}
+    assert all(w in got for some in WORDS.values() for w in some.split())
+    assert "seldom" not in got and "qmzkvjxhbwtgr" not in got          # too few documents; a credential's value
+    assert s.corpus_words(docs(spark, rows), each=2).count() <= 10 and s.corpus_words(docs(spark, rows), most=3).count() == 3
+    assert s.corpus_words(docs(spark, [])).count() == 0
+    counts = {}
+    for _, t, lang, _ in rows:
+        for w in {w for w in re.findall(r"[^\W\d_]+", (t or "").replace("auth: qmzkvjxhbwtgr", "").lower()) if 3 <= len(w) <= 20}:
+            counts[lang, w] = counts.get((lang, w), 0) + 1
+    want = {}
+    for lang in {x for x, _ in counts}:
+        order = sorted((w for x, w in counts if x == lang and counts[x, w] >= 5), key=lambda w: (-counts[lang, w], w))
+        for i, w in enumerate(order, 1):
+            want[w] = min(i, want.get(w, i))
+    assert got == want
+
+
+PLAIN_VALUES = ["Bundesverfassungsgericht", "Benutzerverwaltung", "identificador", "identificador-usuario", "https://docs.example.org/login",
+                "os.environ['API_KEY_NAME']", "process.env.SECRET_TOKEN", "authentification/utilisateur", "settings.auth.provider",
+                "getenv(\"API_TOKEN\")", "session_handler", "config::session::provider"]
+SECRET_VALUES = ["3aef074f60e834b34e", "xK9#mPq2$vLw", "https://docs.example.org/9fQ2xLmZ8vTr41Kp", "os.environ.kT7pQz9wRvx2Lm", "Zx81kqPw02LmvnB4",
+                 "qmzkvjxhbwtgr", "user:kT7$pQz!9wRv@docs.example.org"]
+
+
+def test_values_in_four_languages_addresses_and_identifiers(spark):
+    rows = corpus() + [(1000 + i, f"auth: {v}", "en", "s") for i, v in enumerate(PLAIN_VALUES + SECRET_VALUES)]
+    got = {r.doc_id: [x.kind for x in r.spans] for r in s.scan_secrets(docs(spark, rows), lang_col="lang").collect()}
+    assert [v for i, v in enumerate(PLAIN_VALUES) if s.GUESS in got[1000 + i]] == []
+    assert [v for i, v in enumerate(SECRET_VALUES, len(PLAIN_VALUES)) if s.GUESS not in got[1000 + i]] == []
+    out = dict(records(s.redact_secrets(docs(spark, rows), lang_col="lang"), "doc_id", "text"))
+    assert all(out[1000 + i] == f"auth: {v}" for i, v in enumerate(PLAIN_VALUES))
+    assert all("[SECRET]" in out[1000 + i] for i, _ in enumerate(SECRET_VALUES, len(PLAIN_VALUES)))
+
+
+def test_a_reference_with_a_costly_part_is_as_costly():
+    assert s.value_bits("process.env.TOKEN") < s.guess_bits("process.env.TOKEN")
+    for value in ("kT7.pQz.9wRv", "a.b9x.Zq1", "https://x.org/3aef074f60e834b34e", "plain"):
+        assert s.value_bits(value) == s.guess_bits(value)
