@@ -31,8 +31,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in the text are replaced by a marker; n_chars follows."""
-    return secret_scan.redact_secrets(docs)
+    """Secrets in the text are replaced by a marker; n_chars follows.  Words are the corpus's own too."""
+    return secret_scan.redact_secrets(docs, lang_col="lang")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
