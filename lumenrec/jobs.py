@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from lumenrec.operators import features as ft
 from lumenrec.operators import schedule as sched
 from lumenrec.operators.rejects import Rejects
+from lumenrec.plans import day_state, token_state
 from lumenrec.plans import features as pf
 from lumenrec.plans import recommend as prec
 from lumenrec.plans import rules as pr
@@ -70,29 +71,60 @@ def _slice(as_of: str, city: str | None) -> dict[str, str]:
 
 
 def feature_job(t: Tables, out_root: str, event_range: tuple[str, str], order_range: tuple[str, str],
-                dt: str, created_after: str, database: str | None = None) -> dict[str, str]:
-    """PL3: event weights, order weights, and their merge (three tables)."""
+                dt: str, created_after: str, database: str | None = None, state: str | None = None) -> dict[str, str]:
+    """PL3: event weights, order weights, and their merge (three tables).
+
+    With ``state`` (a folder kept from run to run, one for each ``created_after``) only days without
+    a partial there are scanned.
+    """
     out = Output(t.spark, out_root, database)
-    ev = out.replace(pf.event_features(t, *event_range, dt), "event_features", dt=dt)
-    od = out.replace(pf.order_features(t, *order_range, dt, created_after), "order_features", dt=dt)
+    if state is None:
+        events, orders = pf.event_features(t, *event_range, dt), pf.order_features(t, *order_range, dt, created_after)
+    else:
+        events = day_state.range_sums(t.spark, f"{state}/event_days", day_state.event_days(t), *event_range, dt)
+        orders = day_state.range_sums(t.spark, f"{state}/order_days", day_state.order_days(t, created_after), *order_range, dt)
+    ev = out.replace(events, "event_features", dt=dt)
+    od = out.replace(orders, "order_features", dt=dt)
     out.replace(ft.merge(ev, od, dt), "orderevent_features", dt=dt)
     return out.paths
 
 
-def list_job(t: Tables, out_root: str, begin: str, end: str, dt: str, database: str | None = None) -> str:
-    """PL4: the three preference lists into one table (one write per dt)."""
+def list_job(t: Tables, out_root: str, begin: str, end: str, dt: str, database: str | None = None,
+             state: str | None = None) -> str:
+    """PL4: the three preference lists into one table (one write per dt), from day partials with ``state``."""
     out = Output(t.spark, out_root, database)
-    lists = [pf.favor_list(t, name, begin, end, dt) for name in pf.FAVOR_LISTS]
+    if state is None:
+        lists = [pf.favor_list(t, name, begin, end, dt) for name in pf.FAVOR_LISTS]
+    else:
+        lists = [day_state.favor_list(t.spark, state, t, name, begin, end, dt) for name in pf.FAVOR_LISTS]
     out.replace(lists[0].unionByName(lists[1]).unionByName(lists[2]), "list_output", dt=dt)
     return out.paths["list_output"]
 
 
-def _tokens(t: Tables, out: Output, as_of: str, pay_after: str) -> DataFrame:
-    """PL5 with same-day reuse (Q10): a token table of this day and this pay date is read back."""
+def token_state_job(t: Tables, state: str, pay_after: str, inserted: DataFrame | None = None,
+                    deleted: DataFrame | None = None) -> str:
+    """PL5's token state at the folder ``state``: built from all registrations if it is not there or
+    no changes are given, else advanced by the day's ``inserted`` and ``deleted`` registrations."""
+    recover(t.spark, state, whole=True)
+    if inserted is None or deleted is None or not exists(t.spark, state):
+        overwrite_table(token_state.token_state(t, pay_after), state)
+    else:
+        old = t.spark.read.schema(token_state.STATE).parquet(state)
+        overwrite_table(token_state.advance(t, old, inserted, deleted, pay_after), state)
+    return state
+
+
+def _tokens(t: Tables, out: Output, as_of: str, pay_after: str, state: str | None = None) -> DataFrame:
+    """PL5 with same-day reuse (Q10): a token table of this day and this pay date is read back.
+    With ``state`` the lists come from the token state there instead of the registrations."""
     path = out.paths["rule_tokens"] = f"{out.root}/rule_tokens"
     cut = {"dt": as_of, "pay_after": pay_after}
     # the tokens of all cities are one slice, so the city is an ordinary column of it
-    fresh = pr.student_tokens(t, pay_after, as_of).withColumnRenamed("city_id", "student_city")
+    if state is None:
+        lists = pr.student_tokens(t, pay_after, as_of)
+    else:
+        lists = token_state.state_lists(t, t.spark.read.schema(token_state.STATE).parquet(state), as_of)
+    fresh = lists.withColumnRenamed("city_id", "student_city")
     if exists(t.spark, f"{path}/dt={as_of}/pay_after={pay_after}/_SUCCESS"):
         stored = fresh.withColumn("pay_after", F.lit(pay_after)).schema
         tokens = read_slice(t.spark, stored, path, **cut)
@@ -102,7 +134,7 @@ def _tokens(t: Tables, out: Output, as_of: str, pay_after: str) -> DataFrame:
 
 
 def _recommendations(t: Tables, out: Output, as_of: str, pay_after: str, city: str | None,
-                     limits: dict[str, float] | None) -> DataFrame:
+                     limits: dict[str, float] | None, state: str | None = None) -> DataFrame:
     """PL5 -> PL6 -> PL7 -> PL8, every table written once; returns the conflict-free set.
 
     Bad recall JSON fails the job as in the original, unless ``limits`` (reason: largest share of
@@ -110,7 +142,7 @@ def _recommendations(t: Tables, out: Output, as_of: str, pay_after: str, city: s
     """
     cut = _slice(as_of, city)
     rejects = Rejects({"bad_json": 0.0} | (limits or {}))
-    tokens = _tokens(t, out, as_of, pay_after)
+    tokens = _tokens(t, out, as_of, pay_after, state)
     # stored long (one row per student and class); the list shape of the original table is
     # ``rules.as_lists`` over this table
     recs = out.replace(pr.rule_match(tokens, t.rule, t.location, city, rejects=rejects), "recommended", rejects.check, **cut)
@@ -144,20 +176,23 @@ def _export(out: Output, kv: DataFrame, name: str, as_of: str, city: str | None,
 
 
 def flagship_job(t: Tables, out_root: str, as_of: str, pay_after: str, city: str | None = None,
-                 client_factory=None, database: str | None = None, limits: dict[str, float] | None = None) -> dict[str, str]:
-    """PL5 -> PL6 -> PL7 -> PL8 -> PL9 with every intermediate table written once."""
+                 client_factory=None, database: str | None = None, limits: dict[str, float] | None = None,
+                 state: str | None = None) -> dict[str, str]:
+    """PL5 -> PL6 -> PL7 -> PL8 -> PL9 with every intermediate table written once; tokens from the
+    token state at ``state`` if one is given."""
     out = Output(t.spark, out_root, database)
-    free = _recommendations(t, out, as_of, pay_after, city, limits)
+    free = _recommendations(t, out, as_of, pay_after, city, limits, state)
     kv = psv.kv_records(psv.student_pack(t, free, city), psv.STUDENT_KEY_PREFIX, "sid", as_of)
     _export(out, kv, "kv_student", as_of, city, client_factory)
     return out.paths
 
 
 def keyed_job(t: Tables, out_root: str, as_of: str, pay_after: str, city: str | None = None,
-              client_factory=None, database: str | None = None, limits: dict[str, float] | None = None) -> dict[str, str]:
+              client_factory=None, database: str | None = None, limits: dict[str, float] | None = None,
+              state: str | None = None) -> dict[str, str]:
     """PL10: the same chain into the class-id keyed packs."""
     out = Output(t.spark, out_root, database)
-    free = _recommendations(t, out, as_of, pay_after, city, limits)
+    free = _recommendations(t, out, as_of, pay_after, city, limits, state)
     kv = psv.kv_records(psv.student_pack_keyed(t, free, city), psv.STUDENT_KEY_PREFIX, "sid", as_of)
     _export(out, kv, "kv_student_keyed", as_of, city, client_factory, keyed=True)
     return out.paths
@@ -186,7 +221,7 @@ def main(argv=None) -> None:
     from lumenrec.session import build_session
     from lumenrec.sources import fixtures as fx
     ap = argparse.ArgumentParser(prog="lumenrec.jobs")
-    ap.add_argument("job", choices=["features", "lists", "flagship", "keyed", "fallback", "order_recall"])
+    ap.add_argument("job", choices=["features", "lists", "tokens", "flagship", "keyed", "fallback", "order_recall"])
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--sf-dir", help="driver tables folder (fixture binding)")
     src.add_argument("--catalog", help='JSON map of logical inputs to tables, e.g. {"behavior": "db.behavior"}')
@@ -197,6 +232,9 @@ def main(argv=None) -> None:
     ap.add_argument("--as-of", default=fx.AS_OF, help="today: the dt stamp and the future-session bound")
     ap.add_argument("--pay-after", default=fx.PAY_AFTER)
     ap.add_argument("--created-after", default=fx.CREATED_AFTER)
+    ap.add_argument("--state", default=None, help="folder of day partials (features, lists) or of the token state (tokens, flagship, keyed)")
+    ap.add_argument("--inserted", default=None, help="Parquet of the day's new registrations (tokens)")
+    ap.add_argument("--deleted", default=None, help="Parquet of the day's deleted registrations (tokens)")
     ap.add_argument("--reject-limits", type=json.loads, default=None,
                     help='largest share of rejected rows per reason, e.g. {"bad_json": 0.01, "null_left": 0.05}')
     ap.add_argument("--event-range", nargs=2, default=[fx.EVENT_BEGIN, fx.EVENT_END])
@@ -212,12 +250,16 @@ def main(argv=None) -> None:
     t = fx.bind_fixtures(spark, a.sf_dir) if a.sf_dir else from_catalog(spark, json.loads(a.catalog))
     ev, od = tuple(a.event_range), tuple(a.order_range)
     if a.job == "features":
-        res = feature_job(t, a.out, ev, od, od[1], a.created_after, a.database)
+        res = feature_job(t, a.out, ev, od, od[1], a.created_after, a.database, a.state)
     elif a.job == "lists":
-        res = list_job(t, a.out, ev[0], ev[1], ev[1], a.database)
+        res = list_job(t, a.out, ev[0], ev[1], ev[1], a.database, a.state)
+    elif a.job == "tokens":
+        changes = [spark.read.parquet(p) if p else None for p in (a.inserted, a.deleted)]
+        res = token_state_job(t, a.state or f"{a.out}/token_state", a.pay_after, *changes)
     elif a.job in ("flagship", "keyed"):
         job = flagship_job if a.job == "flagship" else keyed_job
-        res = job(t, a.out, a.as_of, a.pay_after, a.city, database=a.database, limits=a.reject_limits)
+        res = job(t, a.out, a.as_of, a.pay_after, a.city, database=a.database, limits=a.reject_limits,
+                  state=a.state)
     elif a.job == "fallback":
         res = fallback_job(t, a.out, a.as_of, a.city, database=a.database)
     else:

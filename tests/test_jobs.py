@@ -104,3 +104,24 @@ def test_store_follows_the_runs(spark, tmp_path):
     assert {(r.source, r.reason) for r in rejects.collect()} == {
         ("rule", "bad_json"), ("rule", "null_left"), ("location", "null_depart_4"), ("register", "missing_time")}
     assert rejects.filter("reason = 'missing_time' AND n_rejected > 0").count() == 2        # of both cities
+
+
+def test_jobs_from_states_write_the_same_tables(spark, tmp_path):
+    """Features and lists from day partials, recommendations from the token state: the tables of the plain jobs."""
+    t = fx.bind_fixtures(spark, SF)
+    ranges = ((fx.EVENT_BEGIN, fx.EVENT_END), ("2000-06-01", "2000-06-20"))
+    plain, kept = str(tmp_path / "plain"), str(tmp_path / "kept")
+    a = jobs.feature_job(t, plain, *ranges, "d", fx.CREATED_AFTER)
+    for _ in range(2):
+        b = jobs.feature_job(t, kept, *ranges, "d", fx.CREATED_AFTER, state=str(tmp_path / "days"))
+    for name in ("event_features", "order_features", "orderevent_features"):
+        x, y = (sorted((r.sid, r.feature_name, round(r.value, 6)) for r in spark.read.parquet(p[name]).collect()) for p in (a, b))
+        assert x == y and x, name
+    la = jobs.list_job(t, plain, *ranges[0], "d")
+    lb = jobs.list_job(t, kept, *ranges[0], "d", state=str(tmp_path / "days"))
+    assert rows(spark.read.parquet(la)) == rows(spark.read.parquet(lb))
+    state = jobs.token_state_job(t, str(tmp_path / "tokens"), fx.PAY_AFTER)
+    none = t.regist.limit(0)
+    assert jobs.token_state_job(t, state, fx.PAY_AFTER, none, t.regist.filter("reg_isdeleted = 1")) == state
+    free = jobs.flagship_job(t, kept, fx.AS_OF, fx.PAY_AFTER, state=state)["recommended_free"]
+    assert rows(spark.read.parquet(free), "sid", "city_id", "cla_id") == rows(E.queries()["conflict_free"](spark, SF))
