@@ -266,7 +266,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     book = spark.createDataFrame([(i, rule, name, ids[0], _rule_pattern(ids), _longer(ids, rules)) for i, (rule, name, ids) in enumerate(rules)],
                                  "ord int, rule string, license string, sid string, pattern string, longer array<string>")
     # a text meets the rules that begin with one of its identifiers
-    tried = per.select("id", "tk", "line_ids", "paragraph_ids", F.explode("sids").alias("sid")).join(F.broadcast(book), "sid")
+    own = ["id", "tk", "n_known", "line_ids", "paragraph_ids"]
+    tried = per.select(*own, F.explode("sids").alias("sid")).join(F.broadcast(book), "sid", "left")
     for v in VIEWS:
         spaced = F.regexp_replace(f"{v}_ids", r"(\S+) ", " $1 ")
         free = F.aggregate("longer", spaced, lambda seq, p: F.regexp_replace(seq, p, F.lit(" # ")))
@@ -275,12 +276,10 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     first, second = VIEWS
     by_first = (F.col(f"{first}_all") > F.col(f"{second}_all")) | (
         (F.col(f"{first}_all") == F.col(f"{second}_all")) & (F.col(f"{first}_free") <= F.col(f"{second}_free")))
-    kept = tried.filter(F.when(by_first, F.col(f"{first}_free")).otherwise(F.col(f"{second}_free")) > 0)
-    found = kept.groupBy("id", "tk").agg(F.array_sort(F.collect_set(F.struct("ord", "rule", "license"))).alias("m"))
-    found = found.select(F.col("id").alias("f_id"), F.col("tk").alias("f_tk"), F.col("m.rule").alias("rules"),
-                         F.array_distinct(F.col("m.license")).alias("licenses"))
-    per = per.join(found, F.col("id").eqNullSafe(F.col("f_id")) & (F.col("tk") == F.col("f_tk")), "left")
-    per = per.select(F.col("id").alias("p_id"), F.col("tk").alias("p_tk"), "n_known", "line_ids", "paragraph_ids", "rules", "licenses")
+    stands = F.when(by_first, F.col(f"{first}_free")).otherwise(F.col(f"{second}_free")) > 0
+    per = tried.groupBy(*own).agg(F.array_sort(F.collect_set(F.when(stands, F.struct("ord", "rule", "license")))).alias("m"))
+    per = per.select(F.col("id").alias("p_id"), F.col("tk").alias("p_tk"), "n_known", "line_ids", "paragraph_ids",
+                     F.col("m.rule").alias("rules"), F.array_distinct(F.col("m.license")).alias("licenses"))
     out = rows.select("id", "tk").join(per, F.col("id").eqNullSafe(F.col("p_id")) & (F.col("tk") == F.col("p_tk")), "left")
     none = F.array().cast("array<string>")
     return out.select(F.col("id").alias(id_col), F.coalesce("n_known", F.lit(0).cast("long")).alias("n_known"),
