@@ -23,7 +23,7 @@ from .shingles import mix, word_hashes, words
 CUT = 5                       # counts above it keep all but _KEEP_BACK of their mass
 _KEEP_BACK = 0.01
 _CHUNK = 6_000_000            # bytes of text in a chunk
-_PER_PART = 1_000_000         # words of the corpus for each part of the hash space
+_PER_PART = 1_000_000         # words of the corpus for each part of the hash space: a part's keys fit a task at any size
 _END = np.uint64(xxhash.xxh3_64_intdigest(b" end"))        # no word holds a space
 _START = np.uint64(xxhash.xxh3_64_intdigest(b" start"))
 _u64 = np.uint64
@@ -319,7 +319,7 @@ def score_documents(docs: DataFrame, held_out, id_col: str = "doc_id", text_col:
     chunks = scratch.write(_chunk_rows(rows), "chunks")
     n_words = rows.select(F.sum(F.coalesce(F.char_length("text"), F.lit(0)) / 6), F.count_if(~F.col("held"))).first()
     starts = int(n_words[1] or 0)
-    n_parts = int(min(max(64, (n_words[0] or 0) // _PER_PART), 4096))
+    n_parts = int(max(64, (n_words[0] or 0) // _PER_PART))
 
     counted = _requests(chunks, n_parts).groupBy("part", "order").applyInArrow(
         _merged, "part int, order int, chunk long, counts binary, owns binary, stats array<long>")
