@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter, defaultdict
 from collections.abc import Callable, Mapping
 
 import pyarrow as pa
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrow import in_tasks, parts, texts
+from .common import Scratch
 from .words import WORDS
 
 KINDS = ("assign", "access", "hex")
@@ -258,6 +260,24 @@ def find_spans(text: str, min_bits: float, ranks: Ranks = _RANK) -> list[tuple[i
 # ---- words of the corpus ------------------------------------------------------------------------
 
 WORDS_EACH, WORDS_ALL, WORD_DOCS = 30_000, 100_000, 5
+_LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def _word_counts(rows: DataFrame) -> DataFrame:
+    """(lang, word, n): documents that hold each word, of rows (lang, text); summed up over six
+    megabytes of text before the shuffle."""
+    def count(batches):
+        for part in parts(batches, chars=6_000_000):
+            seen: dict[str, Counter] = defaultdict(Counter)
+            for lang, text in zip(part.column("lang").to_pylist(), texts(part)):
+                low = text.lower()
+                if any(h in low for h in _HINTS):
+                    low = _CONTEXT.sub(" ", text).lower()
+                seen[lang].update({w for w in _LETTERS.findall(low) if 3 <= len(w) <= 20})
+            columns = [[lang for lang, c in seen.items() for _ in c], [w for c in seen.values() for w in c], [n for c in seen.values() for n in c.values()]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64()))], ["lang", "word", "n"])
+
+    return in_tasks(rows, count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 def corpus_words(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", each: int = WORDS_EACH,
@@ -265,16 +285,19 @@ def corpus_words(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     """The commonest words per language by the documents that hold them: (word, rank).
 
     Words are three to twenty letters, lower-cased, outside credential values (so a secret that is
-    copied often is no word); every document counts.  A word's rank is its best place in a
-    language.  At most ``each`` words of a language and ``most`` in all are kept, so the table can
-    be sent to every task.  Documents' words are made distinct and summed up before the shuffle.
+    copied often is no word); every document counts.  A word's rank in a language is one more than
+    the words in more documents; its rank here is its best.  Of a language the counts are kept
+    that, with all above them, at most ``each`` words reach, and of those the ``most`` best ranks in
+    all, so the table can be sent to every task.
     """
-    plain = F.lower(F.regexp_replace(F.col(text_col), _CONTEXT.pattern, " "))
-    rows = docs.select(F.coalesce(F.col(lang_col), F.lit("")).alias("lang"), F.array_distinct(F.regexp_extract_all(plain, F.lit(r"\p{L}+"), F.lit(0))).alias("w"))
-    words = rows.select("lang", F.explode("w").alias("word")).filter(F.char_length("word").between(3, 20))
-    counts = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs)
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    ranked = counts.withColumn("rank", place).filter(F.col("rank") <= each)
+    rows = docs.select(F.coalesce(F.col(lang_col), F.lit("")).alias("lang"), F.col(text_col).alias("text"))
+    counts = _word_counts(rows).filter(F.col("n") >= min_docs)
+    counts = Scratch(docs.sparkSession, "secret-words").write(counts, "counts")
+    # a row for each language and count: few, whatever the words
+    levels = counts.groupBy("lang", "n").agg(F.count(F.lit(1)).alias("words"))
+    above = Window.partitionBy("lang").orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    levels = levels.withColumn("upto", F.sum("words").over(above)).filter(F.col("upto") <= each)
+    ranked = counts.join(levels, ["lang", "n"]).select("word", (F.col("upto") - F.col("words") + 1).alias("rank"))
     return ranked.groupBy("word").agg(F.min("rank").alias("rank")).orderBy("rank", "word").limit(most)
 
 
