@@ -80,3 +80,28 @@ def test_null_keys_compare_equal_in_same_subject_exclusion(spark):
     regs = spark.createDataFrame([("s1", "c1", None, "数学", "2017")],
                                  "sid string, city_id string, cla_term_id string, cla_subject_names string, year string")
     assert rows(sc.same_subject_exclusion(recs, regs), "cla_id") == [("B",)]
+
+
+def test_a_class_registered_twice_books_the_first_session_of_each_row(spark):
+    """Q7 holds row by row: each registration's first session of a date counts."""
+    t = tables(spark, klass=[("A", "c1", "g1", "1", "数学", "x", "1", "2017"), ("B", "c1", "g1", "1", "英语", "x", "1", "2017"),
+                             ("C", "c1", "g1", "1", "物理", "x", "1", "2017")],
+               curriculum=[("A", D("2001-03-01"), "08:00", "08:30", "c1"), ("B", D("2001-03-01"), "10:00", "10:30", "c1"),
+                           ("C", D("2001-03-01"), "12:00", "12:30", "c1")],
+               register=[("s1", "R", "9", "x", "2017", "1", "0", "c1", f"2001-03-01{S1}2001-03-01", f"08:00{S2}12:00", f"08:10{S3}12:10"),
+                         ("s1", "R", "9", "x", "2017", "1", "0", "c1", "2001-03-01", "10:00", "10:10")])
+    recs = spark.createDataFrame([("s1", "c1", c) for c in "ABC"], "sid string, city_id string, cla_id string")
+    assert rows(prec.conflict_free(t, recs, "2001-01-01")) == [("s1", "c1", "C")]
+    got = rows(sc.registered_sessions(t.register), "d", "st", "et")
+    assert got == [("2001-03-01", "08:00", "08:10"), ("2001-03-01", "10:00", "10:10")]
+
+
+def test_booked_entries_know_the_largest_end_so_far(spark):
+    t = tables(spark, register=[("s1", f"R{i}", "1", "x", "2017", "1", "0", "c1", d, st, et) for i, (d, st, et) in enumerate(
+        [("2001-03-01", "08:00", "12:00"), ("2001-03-01", "09:00", "09:30"), ("2001-03-01", "09:00", "09:40"), ("2001-03-02", "07:00", "07:10"),
+         ("", "", "")])])
+    one = sc.student_register(t.register).first()
+    assert [tuple(b) for b in one.booked] == [("2001-03-01", "08:00", "12:00"), ("2001-03-01", "09:00", "12:00"), ("2001-03-02", "07:00", "07:10")]
+    assert [tuple(o) for o in one.owned] == [("1", "x", "2017")]
+    alone = sc.student_register(t.register.filter("cla_id = 'R4'")).first()
+    assert alone.booked == [] and len(alone.owned) == 1

@@ -104,3 +104,29 @@ def test_one_student_with_ten_thousand_registrations(spark):
     took = clock.perf_counter() - t0
     assert got == sc.time_conflicts(recs, sc.registered_sessions(regs)).count() > 0
     assert took < 60
+
+
+def test_rule_match_equals_loops(spark):
+    """Random lists, rules with up to four tokens, repeated and empty ones, locations in several rows."""
+    import json
+
+    from lumenrec.plans import rules as pr
+
+    rnd = random.Random(31)
+    tok = ["a", "b", "c", "d", "e", ""]
+    tokens = [(f"s{i}", f"c{i % 3}", f"g{i % 2}", rnd.sample(tok[:5], k) + [""] * (3 - k), "d") for i in range(60) for k in [rnd.randrange(4)]]
+    places = ["L0", "L1", "L2", pr.LIVE_KEY]
+    rules = [(f"c{rnd.randrange(3)}", f"g{rnd.randrange(2)}", rnd.choice([None, [], [rnd.choice(tok) for _ in range(rnd.randrange(1, 5))]]),
+              json.dumps({p: [str(rnd.randrange(30)) for _ in range(rnd.randrange(3))] + rnd.choice([[], [""]]) for p in rnd.sample(places, rnd.randrange(1, 4))}))
+             for _ in range(80)]
+    where = [(f"s{rnd.randrange(70)}", f"c{rnd.randrange(3)}", rnd.choice([None, "L0", "L1,L2", "L2,", "nowhere"])) for _ in range(150)]
+    want = set()
+    for sid, city, grade, have, _ in tokens:
+        mine = {p for s, c, d in where if (s, c) == (sid, city) for p in [*(d or "").rstrip(",").split(","), pr.LIVE_KEY]}
+        for c, g, left, recall in rules:
+            if (c, g) == (city, grade) and left is not None and set(left) <= set(have):
+                want |= {(sid, city, k) for p, ks in json.loads(recall).items() if p in mine for k in ks if k}
+    got = pr.rule_match(spark.createDataFrame(tokens, schemas.TOKENS),
+                        spark.createDataFrame(rules, "city_id string, grade_id string, left array<string>, recall string"),
+                        spark.createDataFrame(where, "sid string, city_id string, depart_4 string"))
+    assert rows(got) == sorted(want) and len(want) > 100
