@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from .arrow import in_tasks, no_collector, parts
 from .common import Scratch
 
-_WORDS_KEPT, _PIECES_KEPT = 400_000, 250_000      # in each of two generations that a Python worker keeps
+_WORDS_KEPT, _PIECES_KEPT = 250_000, 500_000      # in each of two generations that a Python worker keeps
 _WORDS_AT_ONCE = 20_000
 _TEXT_AT_ONCE = 5_000_000      # bytes of text whose unseen words are gathered together
 _worker: dict = {}
@@ -26,9 +26,9 @@ _worker: dict = {}
 _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # --------------------------------------------------------------------------------------------
-# the same split of words of western Europe's letters, digits and signs but for ' and <
-_PLAIN = re.compile("[!-&(-;=-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
-_PARTS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\\[-`{-~]+")
+# the same split of lower-cased Latin-1 text: letters, numbers and white space as Unicode has them there
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
+                    "|[^a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe\t-\r \x85\xa0]+")
 
 
 class _Kept:
@@ -57,22 +57,23 @@ class WordIds:
 
     Such a tokenizer encodes each word by itself, so a text's ids are those of its words and a
     word seen before is not encoded again.  A special token's string in a text is that token; it
-    must hold no white space.  If the file is of the lower-casing kind with the split above, the
-    parts of a plain word are encoded by themselves too, so that words share them.
+    must hold no white space.  If the file is of the lower-casing kind with the split above, texts
+    in Latin-1 are split here, and their parts take the place of words.
     """
 
     def __init__(self, json: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(json)
         self.words, self.pieces = _Kept(_WORDS_KEPT), _Kept(_PIECES_KEPT)
-        added = self.tokenizer.get_added_tokens_decoder().values()
-        self.splits = _splits_as_known(json) and not any(_PLAIN.fullmatch(t.content) for t in added)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # a special token's string begins with a sign that no text split here holds
+        self.splits = _splits_as_known(json) and all(t.startswith("<") for t in added)
         self.word_end = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.word_end[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
 
-    def _encode(self, words: list[str]) -> Iterator[bytes]:
+    def _encode(self, words: list[bytes]) -> Iterator[bytes]:
         for a in range(0, len(words), _WORDS_AT_ONCE):
-            some = words[a:a + _WORDS_AT_ONCE]
+            some = [w.decode() for w in words[a:a + _WORDS_AT_ONCE]]
             starts = np.cumsum([0] + [len(w) + 1 for w in some[:-1]])
             found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
             at = np.array([o[0] for o in found.offsets], np.int64)
@@ -86,42 +87,34 @@ class WordIds:
             ids = np.array(found.ids, np.int64)
             yield from _cut(ids, np.flatnonzero(self.word_end[ids]) + 1)
 
-    def _learn(self, words: list[bytes]) -> None:
-        plain = b" ".join(words).decode().split(" ")
-        if not self.splits:
-            self.words.young.update(zip(words, self._encode(plain)))
-            return
-        split = [_PLAIN.fullmatch(w) is not None for w in plain]
-        whole = list(itertools.compress(zip(words, plain), [not s for s in split]))
-        self.words.young.update(zip([w for w, _ in whole], self._encode([p for _, p in whole])))
-        parts = [_PARTS.findall(w.lower()) for w in itertools.compress(plain, split)]
-        self.pieces.turn()
-        new = self.pieces.unseen(set(itertools.chain.from_iterable(parts)))
-        self.pieces.young.update(zip(new, self._encode_parts(new)))
-        ids = self.pieces.young
-        self.words.young.update(zip(itertools.compress(words, split), [b"".join([ids[p] for p in ps]) for ps in parts]))
-
     def texts(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
-        self.words.turn()
-        words = [(_lowered(t) if self.splits else t).encode().split() for t in texts]
-        new = self.words.unseen(set(itertools.chain.from_iterable(words)))
-        if new:
-            self._learn(new)
-        ids = self.words.young
-        for ws in words:
-            yield b"".join([ids[w] for w in ws])
-
-
-def _lowered(text: str) -> str:
-    """Lower case, where that changes no id: Latin-1 text that holds no special token's string."""
-    if "<" not in text:
-        try:
-            text.encode("latin-1")
-            return text.lower()
-        except UnicodeEncodeError:
-            pass
-    return text
+        split = [_PARTS.findall(t.lower()) if self.splits and _simple(t) else t.encode().split() for t in texts]
+        for kept, encode, some in ((self.pieces, self._encode_parts, [x for x in split if x and isinstance(x[0], str)]),
+                                   (self.words, self._encode, [x for x in split if x and isinstance(x[0], bytes)])):
+            kept.turn()
+            new = kept.unseen(set(itertools.chain.from_iterable(some)))
+            if new:
+                kept.young.update(zip(new, encode(new)))
+        pieces, words = self.pieces.young, self.words.young
+        for x in split:
+            if not x:
+                yield b""
+            elif isinstance(x[0], str):
+                yield b"".join([pieces[p] for p in x])
+            else:
+                yield b"".join([words[w] for w in x])
+
+
+def _simple(text: str) -> bool:
+    """Whether a text is Latin-1 and holds no ``<``."""
+    if "<" in text:
+        return False
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 def _cut(ids, ends: np.ndarray) -> list[bytes]:

@@ -80,6 +80,18 @@ def test_parts_of_plain_words_and_generations(monkeypatch):
         assert len(w.words.young) <= 200 + 240 and len(w.words.old) <= 200 + 240
 
 
+def test_every_latin_1_character_is_split_as_the_tokenizer_does():
+    rnd = random.Random(5)
+    t = Tokenizer.from_file(PATH)
+    w = packing.WordIds(open(PATH, encoding="utf-8").read())
+    every = [chr(c) for c in range(256) if chr(c) != "<"]
+    few = "ab'sStTreVeMlLd É1²ª µ.-\x85\xa0\x1c\t"
+    texts = ["".join(rnd.choice(every if k % 2 else few) for _ in range(rnd.randrange(1, 40))) for k in range(3000)]
+    assert all(map(packing._simple, texts))
+    for text, ids in zip(texts, w.texts(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
+
+
 def test_special_tokens_in_a_text(spark):
     rnd = random.Random(8)
     t = Tokenizer.from_file(PATH)
