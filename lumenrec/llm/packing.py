@@ -9,12 +9,14 @@ from collections.abc import Iterator
 from json import loads
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrow import in_tasks, no_collector, parts
+from .bpe import _ragged, byte_level
 from .common import Scratch
 
 _WORDS_KEPT, _PIECES_KEPT = 250_000, 500_000      # in each of two generations that a Python worker keeps
@@ -26,9 +28,53 @@ _worker: dict = {}
 _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # --------------------------------------------------------------------------------------------
-# the same split of lower-cased Latin-1 text: letters, numbers and white space as Unicode has them there
-_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
-                    "|[^a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe\t-\r \x85\xa0]+")
+_CONTRACTED = ("s", "t", "re", "ve", "m", "ll", "d")
+# white space, letters, numbers and the rest of lower-cased Latin-1, as Unicode has them
+_SPACE, _LETTER, _NUMBER, _SIGN = range(4)
+_CLASS = np.full(256, _SIGN, np.uint8)
+_CLASS[[*range(9, 14), 32, 0x85, 0xA0]] = _SPACE
+_CLASS[[*range(97, 123), 0xAA, 0xB5, 0xBA, *range(0xDF, 0xF7), *range(0xF8, 0x100)]] = _LETTER
+_CLASS[[*range(48, 58), 0xB2, 0xB3, 0xB9, 0xBC, 0xBD, 0xBE]] = _NUMBER
+_HASHED_AT_ONCE = 2_000_000        # characters whose parts are hashed by running sums
+_MULTIPLIERS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
+
+
+def _part_bounds(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of each part of lower-cased Latin-1 text: runs of letters, single numbers, runs
+    of signs; an apostrophe that stands alone takes the letters of a contraction."""
+    kind = _CLASS[x]
+    before = np.concatenate(([_SPACE], kind[:-1]))
+    begin = (kind != before) | (kind == _NUMBER)
+    after = np.concatenate((kind[1:], [_SPACE]))
+    quote = np.flatnonzero((x == 39) & (before != _SIGN) & (after == _LETTER))
+    if quote.size:
+        one = np.append(x, [0, 0])[quote + 1]
+        two = np.append(x, [0, 0, 0])[quote + 2]
+        for letters in _CONTRACTED:
+            hit = quote[(one == ord(letters[0])) & ((two == ord(letters[1])) if len(letters) == 2 else True)]
+            end = hit + 1 + len(letters)
+            begin[hit + 1] = False
+            inside = end[end < len(x)]
+            begin[inside] |= kind[inside] == _LETTER
+    first = np.flatnonzero(begin & (kind != _SPACE))
+    breaks = np.flatnonzero(begin)
+    last = np.append(breaks, len(x))[np.searchsorted(breaks, first) + 1]
+    return first, last
+
+
+class _Powers:
+    """Powers of an odd multiplier and of its inverse modulo 2^64, for hashes by running sums."""
+
+    def __init__(self, base: int):
+        def powers(b):
+            out = np.full(_HASHED_AT_ONCE + 1, b, np.uint64)
+            out[0] = 1
+            return np.multiply.accumulate(out)
+        self.up, self.down = powers(base), powers(pow(base, -1, 1 << 64))
+
+    def hashes(self, x: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((x.astype(np.uint64) + np.uint64(1)) * self.up[:len(x)])))
+        return (total[last] - total[first]) * self.down[first]
 
 
 class _Kept:
@@ -65,6 +111,8 @@ class WordIds:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(json)
         self.words, self.pieces = _Kept(_WORDS_KEPT), _Kept(_PIECES_KEPT)
+        self.powers: list[_Powers] = []
+        self.ranks, self.rank_ids = _word_end_ranks(json)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # a special token's string begins with a sign that no text split here holds
         self.splits = _splits_as_known(json) and all(t.startswith("<") for t in added)
@@ -83,32 +131,80 @@ class WordIds:
     def _encode_parts(self, parts: list[str]) -> Iterator[bytes]:
         """As _encode, of parts that the tokenizer does not split: each ends with its only word-end token."""
         for a in range(0, len(parts), _WORDS_AT_ONCE):
-            found, = self.tokenizer.encode_batch_fast([" ".join(parts[a:a + _WORDS_AT_ONCE])], add_special_tokens=False)
-            ids = np.array(found.ids, np.int64)
+            some = parts[a:a + _WORDS_AT_ONCE]
+            if self.ranks is None:
+                found, = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+                ids = np.array(found.ids, np.int64)
+            else:
+                ids = self.rank_ids[self.ranks.encode_ordinary("\0".join([*some, ""]))]
             yield from _cut(ids, np.flatnonzero(self.word_end[ids]) + 1)
 
-    def texts(self, texts: list[str]) -> Iterator[bytes]:
+    def texts(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [_PARTS.findall(t.lower()) if self.splits and _simple(t) else t.encode().split() for t in texts]
-        for kept, encode, some in ((self.pieces, self._encode_parts, [x for x in split if x and isinstance(x[0], str)]),
-                                   (self.words, self._encode, [x for x in split if x and isinstance(x[0], bytes)])):
-            kept.turn()
-            new = kept.unseen(set(itertools.chain.from_iterable(some)))
-            if new:
-                kept.young.update(zip(new, encode(new)))
-        pieces, words = self.pieces.young, self.words.young
-        for x in split:
-            if not x:
-                yield b""
-            elif isinstance(x[0], str):
-                yield b"".join([pieces[p] for p in x])
-            else:
-                yield b"".join([words[w] for w in x])
+        out = [b""] * len(texts)
+        simple = [i for i, t in enumerate(texts) if self.splits and _simple(t)]
+        self.pieces.turn()
+        some, held = [], 0
+        for i in simple:
+            if some and held + len(texts[i]) >= _HASHED_AT_ONCE:
+                self._by_parts(texts, some, out)
+                some, held = [], 0
+            some.append(i)
+            held += len(texts[i]) + 1
+        self._by_parts(texts, some, out)
+        others = set(range(len(texts))) - set(simple)
+        words = {i: texts[i].encode().split() for i in others}
+        self.words.turn()
+        new = self.words.unseen(set(itertools.chain.from_iterable(words.values())))
+        if new:
+            self.words.young.update(zip(new, self._encode(new)))
+        for i, x in words.items():
+            out[i] = b"".join([self.words.young[w] for w in x])
+        return out
+
+    def _by_parts(self, texts: list[str], some: list[int], out: list[bytes]) -> None:
+        """The ids of the texts ``some`` through their distinct parts, which two 64-bit hashes tell apart."""
+        if not some:
+            return
+        low = "\n".join([texts[i] for i in some]).lower()
+        x = np.frombuffer(low.encode("latin-1"), np.uint8)
+        if len(x) > _HASHED_AT_ONCE:              # one text by itself
+            parts = _PARTS.findall(low)
+            new = self.pieces.unseen(set(parts))
+            self.pieces.young.update(zip(new, self._encode_parts(new)))
+            out[some[0]] = b"".join([self.pieces.young[p] for p in parts])
+            return
+        first, last = _part_bounds(x)
+        if not self.powers:
+            self.powers = [_Powers(m) for m in _MULTIPLIERS]
+        one, two = (p.hashes(x, first, last) for p in self.powers)
+        which, distinct = pd.factorize(one)
+        at = np.empty(len(distinct), np.int64)
+        at[which[::-1]] = np.arange(len(one))[::-1]            # the first place of each
+        if not ((two[at][which] == two) & ((last - first)[at][which] == last - first)).all():
+            raise AssertionError("parts of one hash differ")
+        parts = [low[a:b] for a, b in zip(first[at].tolist(), last[at].tolist())]
+        new = self.pieces.unseen(set(parts))
+        if new:
+            self.pieces.young.update(zip(new, self._encode_parts(new)))
+        found = [self.pieces.young[p] for p in parts]
+        count = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids = np.frombuffer(b"".join(found), "<u4")
+        data = _ragged(ids, np.cumsum(count) - count, count, which).astype("<u4").tobytes()
+        ends = np.cumsum([len(texts[i]) + 1 for i in some])
+        token = np.concatenate(([0], np.cumsum(count[which])))[np.searchsorted(first, np.concatenate(([0], ends)))] * 4
+        for i, a, b in zip(some, token.tolist(), token[1:].tolist()):
+            out[i] = data[a:b]
+
+
+# the same split by a pattern, for a text longer than the running sums reach
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
+                    "|[^a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe\t-\r \x85\xa0]+")
 
 
 def _simple(text: str) -> bool:
-    """Whether a text is Latin-1 and holds no ``<``."""
-    if "<" in text:
+    """Whether a text is Latin-1 and holds no ``<`` and no NUL."""
+    if "<" in text or "\0" in text:
         return False
     try:
         text.encode("latin-1")
@@ -123,6 +219,35 @@ def _cut(ids, ends: np.ndarray) -> list[bytes]:
     return [data[a:b] for a, b in zip([0, *ends], ends)]
 
 
+def _word_end_ranks(json: str):
+    """An encoder for parts that each end in NUL, by the library for ranks, and the file's id of each
+    of its ids; (None, None) for a file whose ids are not in order of its merges.
+
+    The mark of a word's end is a symbol of its own there: joined to the byte before it first, as
+    these pairs have the least ranks, it leaves what the file's merges begin with.
+    """
+    import tiktoken
+    model, to_byte = loads(json)["model"], byte_level()
+    vocab = model["vocab"]
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    ends = [c + "</w>" for c in to_byte]
+    ids = [vocab.get(m) for m in merged]
+    if (any(t not in vocab for t in (*to_byte, *ends)) or None in ids or ids != sorted(set(ids))
+            or any(model.get(k) for k in ("dropout", "byte_fallback", "ignore_merges"))):
+        return None, None
+
+    def raw(token: str) -> bytes:
+        return bytes(to_byte[c] for c in token.removesuffix("</w>")) + b"\0" * token.endswith("</w>")
+
+    order = sorted(to_byte, key=to_byte.get) + [t for t in ends if to_byte[t[0]]] + merged
+    ranks = {raw(t): i for i, t in enumerate(order)}
+    known = {i: vocab[t] for i, t in enumerate(order)}
+    if len(ranks) != len(order):
+        return None, None
+    encoder = tiktoken.Encoding("word ends", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
+    return encoder, np.array([known[i] for i in range(len(order))], np.int64)
+
+
 def _splits_as_known(json: str) -> bool:
     """Whether a tokenizer file normalizes and splits as the constants above say."""
     spec = loads(json)
@@ -161,7 +286,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
         for part in parts(batches, chars=_TEXT_AT_ONCE):
             row, start, out = [], [], []
             with no_collector():
-                found = list(_worker["ids"].texts([t or "" for t in part.column("text").to_pylist()]))
+                found = _worker["ids"].texts([t or "" for t in part.column("text").to_pylist()])
             for i, ids in enumerate(found):
                 ids += last
                 for a in range(0, len(ids), step):

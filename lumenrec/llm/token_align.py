@@ -21,13 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrow import in_tasks, no_collector, parts
+from .bpe import byte_level
 from .common import Scratch
 from .katz import pack, pack_sorted, unpack, unpack_sorted
 from .packing import _Kept
 
 _CHUNK = 6_000_000        # bytes of text whose documents share a table of id pairs; a longer text has its own
 _SLICE = 20_000           # id pairs in one row of such a table
-_KEPT, _KEPT_CHARS = 150_000, 64      # aligned segments a worker keeps in each of two generations, and their length
+_KEPT, _KEPT_CHARS = 300_000, 64      # aligned segments a worker keeps in each of two generations, and their length
 _AT_ONCE = 20_000         # new segments aligned together
 _worker: dict = {}
 
@@ -42,14 +43,6 @@ def segments(text: str) -> list[str]:
     return _CUT.split(text) if _ODD.search(text) else text.split(" ")
 
 
-def byte_level() -> dict[str, int]:
-    """Byte of each character of a byte-level vocabulary: the printable bytes stand for themselves,
-    the others for the characters from 256 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(c): b for c, b in [*zip(plain, plain), *zip(itertools.count(256), rest)]}
-
-
 # ---- fixed value: how a byte-level tokenizer of this kind splits a text before it merges ---
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # ---------------------------------------------------------------------------------------------
