@@ -28,7 +28,7 @@ from .packing import _Kept
 
 _CHUNK = 6_000_000        # bytes of text whose documents share a table of id pairs; a longer text has its own
 _SLICE = 20_000           # id pairs in one row of such a table
-_KEPT, _KEPT_CHARS = 300_000, 64      # aligned segments a worker keeps in each of two generations, and their length
+_KEPT, _KEPT_CHARS = 200_000, 64      # aligned segments a worker keeps in each of two generations, and their length
 _AT_ONCE = 20_000         # new segments aligned together
 _worker: dict = {}
 
@@ -66,8 +66,9 @@ def _plain_ranks(spec: dict, to_byte: dict[str, int]) -> dict[bytes, int] | None
     return {bytes(to_byte[c] for c in t): model["vocab"][t] for t in [*to_byte, *merged]}
 
 
-def byte_bpe(spec: str) -> tuple[list[bytes], Callable[[list[str]], list[list[int]]]]:
-    """Token bytes and encoder of a byte-level tokenizer file's text; special tokens' strings are plain text."""
+def byte_bpe(spec: str) -> tuple:
+    """Token bytes and encoder of a byte-level tokenizer file's text, and True if tokens give back any
+    text; special tokens' strings are plain text."""
     from tokenizers import Tokenizer
     t = Tokenizer.from_str(spec)
     t.encode_special_tokens = True
@@ -80,7 +81,7 @@ def byte_bpe(spec: str) -> tuple[list[bytes], Callable[[list[str]], list[list[in
         return table, lambda texts: [e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False)]
     import tiktoken
     encode = tiktoken.Encoding("ranks", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    return table, lambda texts: list(map(encode, texts))
+    return table, lambda texts: list(map(encode, texts)), True
 
 
 def piece_bpe(model: bytes) -> tuple[list[bytes], Callable[[list[str]], list[list[int]]]]:
@@ -96,7 +97,8 @@ class Aligner:
     """Aligns texts segment by segment; segments seen before are not encoded again."""
 
     def __init__(self, a, b):
-        (self.bytes_a, self.encode_a), (self.bytes_b, self.encode_b) = a, b
+        (self.bytes_a, self.encode_a, *exact), (self.bytes_b, self.encode_b) = a, b
+        self.exact_a = bool(exact and exact[0])
         self.text_a, self.text_b = [str(i) for i in range(len(self.bytes_a))], [str(i) for i in range(len(self.bytes_b))]
         self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
         self.seen = _Kept(_KEPT)
@@ -107,11 +109,15 @@ class Aligner:
         raw = [b" " + s.encode() for s in some]
         ids_a, ids_b = self.encode_a([" " + s for s in some]), self.encode_b(some)
         good = [True] * len(some)
-        if not (self._gives(ids_a, raw, self.bytes_a, self.size_a) and self._gives(ids_b, raw, self.bytes_b, self.size_b)):
+        a, b = (list(itertools.chain.from_iterable(x)) for x in (ids_a, ids_b))
+        # tokens of all single bytes and their merges give back any text
+        if not ((self.exact_a or self._gives(a, ids_a, raw, self.bytes_a, self.size_a))
+                and self._gives(b, ids_b, raw, self.bytes_b, self.size_b)):
             good = [b"".join(map(self.bytes_a.__getitem__, x)) == r == b"".join(map(self.bytes_b.__getitem__, y))
                     for x, y, r in zip(ids_a, ids_b, raw)]
             ids_a, ids_b, raw = (list(itertools.compress(x, good)) for x in (ids_a, ids_b, raw))
-        a, b = (np.fromiter(itertools.chain.from_iterable(x), np.int64) for x in (ids_a, ids_b))
+            a, b = (list(itertools.chain.from_iterable(x)) for x in (ids_a, ids_b))
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
         ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         at_a, at_b = dict(zip(ends_a.tolist(), itertools.count(1))), dict(zip(ends_b.tolist(), itertools.count(1)))
         common = sorted(at_a.keys() & at_b.keys())
@@ -130,9 +136,8 @@ class Aligner:
         return [next(found) if ok else None for ok in good]
 
     @staticmethod
-    def _gives(ids: list[list[int]], raw: list[bytes], table: list[bytes], size: np.ndarray) -> bool:
+    def _gives(flat: list[int], ids: list[list[int]], raw: list[bytes], table: list[bytes], size: np.ndarray) -> bool:
         """Whether the tokens of every text give back its bytes."""
-        flat = list(itertools.chain.from_iterable(ids))
         if b"".join([table[i] for i in flat]) != b"".join(raw):
             return False
         edges = np.cumsum([0] + [len(i) for i in ids])
