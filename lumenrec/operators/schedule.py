@@ -54,19 +54,32 @@ def first_session_per_date(sessions: DataFrame) -> DataFrame:
         .select("cla_id", "city_id", "d", F.col("_f.st").alias("st"), F.col("_f.et").alias("et"))
 
 
-def _packed_sessions(all_sessions: bool = False) -> Column:
-    """The sessions of a packed registration as an array ``(d, st, et)``.
+def with_lists(register: DataFrame) -> DataFrame:
+    """Packed registrations with their texts split, once a row: ``_dates``, ``_starts``, ``_ends``.
 
-    By default only the first position of each date of a registration counts
-    (NS5, SURVEY Q7).  An empty text splits to [''], which is no session; times
-    beyond the dates belong to none.
+    A row without one of the texts has no dates.
     """
-    dates = java_split("class_dates", DATE_SEP)
-    zipped = F.arrays_zip(dates.alias("d"), java_split("start_times", START_SEP).alias("st"),
-                          java_split("end_times", END_SEP).alias("et"))
-    if all_sessions:
-        return F.filter(zipped, lambda s: s["d"] != "")
-    return F.filter(zipped, lambda s, i: (s["d"] != "") & (F.array_position(dates, s["d"]) == i + 1))
+    if "_dates" in register.columns:
+        return register
+    texts = F.col("class_dates").isNotNull() & F.col("start_times").isNotNull() & F.col("end_times").isNotNull()
+    return register.withColumns({"_dates": F.when(texts, java_split("class_dates", DATE_SEP)),
+                                 "_starts": java_split("start_times", START_SEP), "_ends": java_split("end_times", END_SEP)})
+
+
+def _unpacked(register: DataFrame, columns: list, all_sessions: bool = False) -> DataFrame:
+    """The positions of packed registrations, ``columns`` of the row with ``(pos, d, st, et, counts)``;
+    a row without any gives one with nulls.
+
+    ``counts`` tells the sessions: by default only the first position of each date of a
+    registration counts (NS5, SURVEY Q7).  An empty text splits to [''], which is no session;
+    times beyond the dates belong to none.
+    """
+    ex = with_lists(register).select(*columns, "_dates", "_starts", "_ends", F.posexplode_outer("_dates").alias("pos", "d"))
+    counts = F.col("d") != ""
+    if not all_sessions:
+        counts = counts & (F.array_position("_dates", F.col("d")) == F.col("pos") + 1)
+    return ex.withColumns({"st": F.get("_starts", "pos"), "et": F.get("_ends", "pos"), "counts": F.coalesce(counts, F.lit(False))}) \
+        .drop("_dates", "_starts", "_ends")
 
 
 def registered_sessions(register: DataFrame, all_sessions: bool = False) -> DataFrame:
@@ -75,9 +88,8 @@ def registered_sessions(register: DataFrame, all_sessions: bool = False) -> Data
     ``ok`` is false when a date has no start or end at its position -- the
     original fails there (Q9); such rows are kept for counting, never joined.
     """
-    ex = register.select("sid", "city_id", "cla_id", F.explode(_packed_sessions(all_sessions)).alias("s"))
-    return ex.select("sid", "city_id", "cla_id", "s.d", "s.st", "s.et",
-                     (F.col("s.st").isNotNull() & F.col("s.et").isNotNull()).alias("ok"))
+    ex = _unpacked(register, ["sid", "city_id", "cla_id"], all_sessions).filter("counts")
+    return ex.select("sid", "city_id", "cla_id", "d", "st", "et", (F.col("st").isNotNull() & F.col("et").isNotNull()).alias("ok"))
 
 
 def same_subject_exclusion(recs: DataFrame, regs: DataFrame) -> DataFrame:
@@ -137,28 +149,51 @@ def conflict_free_recs(rec_sessions: DataFrame, reg_sessions: DataFrame) -> Data
         .filter(~F.col("_c")).select("sid", "city_id", "cla_id")
 
 
+def _largest_ends(booked: Column) -> Column:
+    """Entries ``(d, st, mx)`` in order, ``mx`` still each one's own end, as one ``(d, st, mx)`` per
+    date and start, ``mx`` the largest end of the date so far.
+
+    A date's entries are put together before they join those of the dates before it, so the work
+    is that of the dates and of the entries of a date, not the square of a student's entries.
+    """
+    entry = "struct<d:string,st:string,mx:string>"
+    none = F.array().cast(f"array<{entry}>")
+
+    def closed(acc):
+        return F.concat(acc["day"], F.array(acc["last"]))
+
+    def state(days, day, last):
+        return F.struct(days.alias("days"), day.alias("day"), last.alias("last"))
+
+    def add(acc, x):
+        last = acc["last"]
+        later = F.struct(x["d"].alias("d"), x["st"].alias("st"), F.greatest(last["mx"], x["mx"]).alias("mx"))
+        return F.when(last["d"] != x["d"], state(F.concat(acc["days"], F.array(closed(acc))), none, x)) \
+            .when(last["st"] != x["st"], state(acc["days"], closed(acc), later)) \
+            .when(last["st"] == x["st"], state(acc["days"], acc["day"], later)) \
+            .otherwise(state(acc["days"], acc["day"], x))           # the first one
+    start = state(F.array().cast(f"array<array<{entry}>>"), none, F.lit(None).cast(entry))
+    return F.when(F.size(booked) > 0, F.aggregate(booked, start, add, lambda acc: F.flatten(F.concat(acc["days"], F.array(closed(acc)))))) \
+        .otherwise(none)
+
+
 def student_register(regs: DataFrame, all_sessions: bool = False) -> DataFrame:
     """What both exclusions need of a student, one row per (sid, city_id), from one pass over the
     registrations: ``owned``, the distinct (term, subject, year), and ``booked``, one
     (d, st, mx) per date and start, in that order, ``mx`` the largest end of the date so far.
 
-    Both are bounded by the values of terms, subjects and years and by the
-    calendar's start times, however many registrations repeat them; they are
-    summed up within a task before they are shuffled.  Rows with a missing time
-    book nothing (SURVEY Q9).
+    Both are sets, bounded by the values of terms, subjects and years and by the calendar's
+    sessions, however many registrations repeat them; they are put together within a task
+    before they are shuffled, once.  Rows with a missing time book nothing (SURVEY Q9).
     """
     own = F.struct(F.col("cla_term_id").alias("term"), F.col("cla_subject_names").alias("subject"), F.col("year").alias("year"))
-    timed = F.filter(_packed_sessions(all_sessions), lambda s: s["st"].isNotNull() & s["et"].isNotNull())
-    ex = regs.select("sid", "city_id", own.alias("own"), F.posexplode_outer(timed).alias("pos", "s"))
+    ex = _unpacked(regs, ["sid", "city_id", own.alias("own")], all_sessions)
     first = F.when(F.coalesce(F.col("pos"), F.lit(0)) == 0, F.col("own"))        # once per registration
-    per_start = ex.groupBy("sid", "city_id", F.col("s.d").alias("d"), F.col("s.st").alias("st")) \
-        .agg(F.max("s.et").alias("et"), F.collect_set(first).alias("own"))
-    so_far = F.max("et").over(Window.partitionBy("sid", "city_id", "d").orderBy("st"))
-    # one exchange by student serves the running maximum and the arrays
-    per_start = per_start.repartition("sid", "city_id").withColumn("mx", so_far)
-    return per_start.groupBy("sid", "city_id").agg(
-        F.array_distinct(F.flatten(F.collect_list(F.when(F.size("own") > 0, F.col("own"))))).alias("owned"),
-        F.array_sort(F.collect_list(F.when(F.col("d").isNotNull(), F.struct("d", "st", "mx")))).alias("booked"))
+    timed = F.col("counts") & F.col("st").isNotNull() & F.col("et").isNotNull()
+    sets = ex.groupBy("sid", "city_id").agg(F.collect_set(first).alias("owned"),
+                                            F.sort_array(F.collect_set(F.when(timed, F.struct("d", "st", F.col("et").alias("mx"))))).alias("booked"))
+    once = F.size(F.array_distinct("booked.d")) == F.size("booked")             # no date twice
+    return sets.withColumn("booked", F.when(once, F.col("booked")).otherwise(_largest_ends(F.col("booked"))))
 
 
 def overlaps_booked(booked, d, st, et) -> Column:
@@ -186,8 +221,14 @@ def overlaps_booked(booked, d, st, et) -> Column:
 
 
 def missing_time(all_sessions: bool = False) -> Column:
-    """Whether a packed registration has a session without a start or an end."""
-    return F.exists(_packed_sessions(all_sessions), lambda s: s["st"].isNull() | s["et"].isNull())
+    """Whether a packed registration (as :func:`with_lists` gives it) has a session without a start
+    or an end (SURVEY Q9): a date beyond the times that no position before repeats."""
+    def dates(some):
+        found = F.array_remove(some, "")
+        return F.size(found if all_sessions else F.array_distinct(found))
+
+    n = F.least(F.size("_starts"), F.size("_ends"))
+    return (F.size("_dates") > n) & (dates(F.col("_dates")) > dates(F.slice("_dates", F.lit(1), n)))
 
 
 def rejected_sessions(regs: DataFrame, all_sessions: bool = False) -> DataFrame:

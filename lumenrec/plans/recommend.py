@@ -53,7 +53,7 @@ def conflict_free(t: Tables, recs: DataFrame, as_of: str, city: str | None = Non
     offers = r.select("sid", "city_id", "cla_id").join(class_sessions(t, as_of, city, all_sessions), ["cla_id", "city_id"])
     regs = live_registrations(t, city)
     if rejects is not None:
-        regs = rejects.watch(regs, "register", missing_time=sc.missing_time(all_sessions))
+        regs = rejects.watch(sc.with_lists(regs), "register", missing_time=sc.missing_time(all_sessions))
     owned = sc.student_register(regs, all_sessions)
     j = offers.join(owned, ["sid", "city_id"], "left")
     same = F.exists("owned", lambda o: o["term"].eqNullSafe(F.col("cla_term_id"))

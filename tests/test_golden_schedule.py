@@ -3,6 +3,7 @@
 import datetime as dt
 
 from lumenrec.operators import schedule as sc
+from lumenrec.operators.rejects import Rejects
 from lumenrec.plans import recommend as prec
 from tests.conftest import rows
 from tests.helpers import tables
@@ -105,3 +106,35 @@ def test_booked_entries_know_the_largest_end_so_far(spark):
     assert [tuple(o) for o in one.owned] == [("1", "x", "2017")]
     alone = sc.student_register(t.register.filter("cla_id = 'R4'")).first()
     assert alone.booked == [] and len(alone.owned) == 1
+
+
+def test_packed_texts_are_split_once_a_row_and_the_summary_moves_once(spark):
+    """Q9, Q7: a registration's texts are not split again for each of its dates, and one exchange by
+    student serves both exclusions."""
+    t = tables(spark, register=[("s1", "R", "9", "x", "2017", "1", "0", "c1", f"2001-03-01{S1}2001-03-02", f"08:00{S2}12:00", f"08:10{S3}12:10")])
+    for every in (False, True):
+        watched = Rejects().watch(sc.with_lists(t.register), "register", missing_time=sc.missing_time(every))
+        for regs in (t.register, watched):
+            summary = sc.student_register(regs, every)._jdf.queryExecution()
+            assert summary.optimizedPlan().toString().count("split(") == 3
+            assert summary.sparkPlan().toString().count("Window") == 0
+            assert summary.executedPlan().toString().count("Exchange") == 1
+
+
+def test_missing_texts_and_repeated_dates_of_registrations(spark):
+    """A registration without a text has no sessions and lacks no time; a date that an earlier
+    position holds is no session unless all are asked for."""
+    def reg(cla_id, dates, starts, ends):
+        return ("s1", cla_id, cla_id, "x", "2017", "1", "0", "c1", dates, starts, ends)
+
+    a, b = "2001-03-01", "2001-03-02"
+    t = tables(spark, register=[reg("no starts", a, None, "10:00"), reg("no dates", None, "09:00", "10:00"),
+                                reg("again", f"{a}{S1}{b}{S1}{a}", f"09:00{S2}09:10", f"10:00{S3}10:10{S3}10:20"),
+                                reg("short", f"{a}{S1}{S1}{b}", f"11:00{S2}11:10{S2}11:20", "12:00"), reg("gap", f"{a}{S1}{S1}", "13:00", "14:00")])
+    missing = {every: sorted(r.cla_id for r in sc.with_lists(t.register).filter(sc.missing_time(every)).collect()) for every in (False, True)}
+    assert missing == {False: ["short"], True: ["again", "short"]}
+    one = sc.student_register(t.register).first()
+    assert [tuple(x) for x in one.booked] == [(a, "09:00", "10:00"), (a, "11:00", "12:00"), (a, "13:00", "14:00"), (b, "09:10", "10:10")]
+    assert sorted(o.term for o in one.owned) == ["again", "gap", "no dates", "no starts", "short"]
+    left_out = sc.rejected_sessions(t.register).first()
+    assert (left_out.n_sessions, left_out.n_rejected) == (5, 1)
