@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lumenrec.functions import group_key
 from lumenrec.operators import packs
+from lumenrec.sinks.files import Folder
 from lumenrec.sinks.tables import overwrite_table
 from lumenrec.sources.tables import Tables
 
@@ -77,11 +78,18 @@ def store_export(kv: DataFrame, path: str, row_group_bytes: int = 8 << 20) -> Da
     Files hold ranges of the order and row groups parts of them, so the least and greatest keys in
     the files' statistics let a ``get`` or a prefix scan read the row groups it needs alone.  A key
     of very many entries lies over many files.
+
+    Ranges are chosen from a first pass over the rows and dealt in a second one, so the rows are
+    written as they come first: what they are made from runs once.
     """
-    order = ["key", "section", "cla_id"]
-    rows = kv.repartitionByRange(*order).sortWithinPartitions(*order)
-    overwrite_table(rows, path, **{"parquet.block.size": str(row_group_bytes)})
-    return kv.sparkSession.read.schema(kv.schema).parquet(path)
+    spark, order, loose = kv.sparkSession, ["key", "section", "cla_id"], f"{path}_loose"
+    try:
+        overwrite_table(kv, loose)
+        rows = spark.read.schema(kv.schema).parquet(loose).repartitionByRange(*order).sortWithinPartitions(*order)
+        overwrite_table(rows, path, **{"parquet.block.size": str(row_group_bytes)})
+    finally:
+        Folder(spark, loose).remove(loose)
+    return spark.read.schema(kv.schema).parquet(path)
 
 
 def upsert(kv: DataFrame, newer: DataFrame) -> DataFrame:

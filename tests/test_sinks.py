@@ -277,3 +277,17 @@ def test_a_get_reads_few_row_groups(spark, tmp_path):
     groups = [m.row_group(i).column(0).statistics for m in metas for i in range(m.num_row_groups)]
     assert len(groups) > 20
     assert sum(g.min <= "k012345" <= g.max for g in groups) <= 2
+
+
+def test_what_an_export_is_made_from_runs_once(spark, tmp_path):
+    """Ranges are chosen from a pass over written rows; nothing else is left beside the export."""
+    path, made = str(tmp_path / "export"), spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def entry(key):
+        made.add(1)
+        return f"{key}!"
+
+    store = psv.store_export(_kv(spark, {f"k{i}": 5 for i in range(100)}).withColumn("value", entry("key")), path)
+    assert store.count() == 500 and sorted(r.key for r in store.select("key").distinct().collect()) == sorted(f"k{i}" for i in range(100))
+    assert made.value == 500 and {d for d in os.listdir(tmp_path) if not d.startswith("_")} == {"export"}
